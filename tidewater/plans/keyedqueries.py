@@ -1,3 +1,83 @@
-"""Registered queries (continued)."""
+"""Registered queries: per-key sequential operators, OVER windows, changelogs."""
 
-from tidewater.plans.catalog import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.functions import text as T
+from tidewater.operators import changelog as CL
+from tidewater.operators import keyed as K
+from tidewater.plans import sequence as S
+from tidewater.plans.catalog import _t, query, sensor_readings
+from tidewater.plans.timequeries import TIME_BUCKET_S
+
+ORDER = ["ts", "event_id"]
+
+
+def _bucket():
+    return S.time_bucket("ts", TIME_BUCKET_S)
+
+
+@query
+def jump_alert(spark, sf):
+    s = sensor_readings(spark, sf)
+    return K.jump_alert(s, "id", ORDER, _bucket(), "temperature", 10.0) \
+        .select("event_id", "id", "last_value", "temperature")
+
+
+@query
+def jump_alert_default_zero(spark, sf):
+    s = sensor_readings(spark, sf)
+    return K.jump_alert(s, "id", ORDER, _bucket(), "temperature", 10.0, initial=0.0) \
+        .select("event_id", "id", "last_value", "temperature")
+
+
+@query
+def running_reduce(spark, sf):
+    s = sensor_readings(spark, sf).withColumn("time_stamp", F.unix_seconds(F.col("ts").cast("timestamp")))
+    return K.running_reduce_latest_step(s, "id", ORDER, _bucket(), "time_stamp", 10) \
+        .select("event_id", "id", "time_stamp", "temperature")
+
+
+@query
+def running_wordcount(spark, sf):
+    d = _t(spark, sf, "documents")
+    w = (d.select("doc_id", F.posexplode(T.words("text")).alias("pos", "word"))
+         .filter(F.col("word") != ""))
+    return K.running_count(w, ["word"], ["doc_id", "pos"], S.seq_bucket("doc_id", 100), "cnt")
+
+
+@query
+def changelog_count(spark, sf):
+    s = sensor_readings(spark, sf)
+    return CL.changelog_count(s, "id", ORDER, _bucket(), carry=["event_id"])
+
+
+@query
+def changelog_adds_top1(spark, sf):
+    s = sensor_readings(spark, sf).select("event_id", "id", "ts", "temperature")
+    return CL.top1_additions(s, "id", ORDER, _bucket(), "temperature").select("event_id", "id", "temperature",
+                                                                             "is_add")
+
+
+@query
+def over_rows_2_preceding(spark, sf):
+    s = sensor_readings(spark, sf)
+    r = K.rows_frame(s, ["id"], ORDER, _bucket(), 2,
+                     {"cnt": lambda w: F.count("id").over(w),
+                      "avg_temp": lambda w: F.round(F.avg("temperature").over(w), 6)})
+    return r.select("event_id", "id", "cnt", "avg_temp")
+
+
+@query
+def over_rows_named_window(spark, sf):
+    s = sensor_readings(spark, sf)
+    ctx = S.with_preceding(s, ["id"], ORDER, _bucket(), 2)
+    r = spark.sql("""
+        SELECT event_id, id, ts, _ghost,
+               count(id) OVER w AS cnt,
+               round(avg(temperature) OVER w, 6) AS avg_temp
+        FROM {ctx}
+        WINDOW w AS (PARTITION BY id, _bkt ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+                  ctx=ctx)
+    return r.filter(~F.col("_ghost")).select("event_id", "id", "ts", "cnt", "avg_temp")

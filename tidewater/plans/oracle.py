@@ -131,7 +131,7 @@ SELECT slots.id, greatest(coalesce(r.temperature, 0.0), 0.0) AS temp, CAST(slots
 FROM slots LEFT JOIN r ON slots.id = r.id AND slots.rk = r.rk"""
 ORACLE["udaf_avg"] = f"SELECT id, round(sum(temperature) / count(temperature), 6) AS avg_temp FROM {SENSOR} s GROUP BY id"
 
-ORACLE["java_hash"] = (f"SELECT event_id, id, {_int32(_int32(_java_hash('id')) + ' * 2 - 1000')} AS hash_code "
+ORACLE["java_hash"] = (f"SELECT event_id, id, {_int32('CAST(' + _int32(_java_hash('id')) + ' AS BIGINT) * 2 - 1000')} AS hash_code "
                        f"FROM {SENSOR} s")
 ORACLE["normalize_address"] = (
     f"SELECT c_custkey, {_normalize('c_name')} || ', ' || {_normalize('n_name')} || ', ' || {_normalize('c_mktsegment')} "
@@ -143,3 +143,117 @@ ORACLE["getting_started"] = (
     f"{_normalize('c_name')} || ', ' || {_normalize('c_mktsegment')} || ', ' || {_normalize('n_name')} AS address "
     f"FROM customer JOIN nation ON c_nationkey = n_nationkey "
     f"WHERE c_mktsegment IS NOT NULL AND c_acctbal > 0 AND c_acctbal >= 5000.0")
+
+# ------------------------------------------------------------ time windows
+ORACLE["tumble_min_reduce"] = f"""
+SELECT id, time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+       min(temperature) AS min_temp, arg_max(ts, event_id) AS last_ts
+FROM {SENSOR} s GROUP BY ALL"""
+
+ORACLE["tumble_wordcount"] = """
+SELECT event_type AS word, time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end, count(*) AS cnt
+FROM events GROUP BY ALL"""
+
+ORACLE["sliding_sum"] = """
+SELECT user_id, ws AS window_start, ws + INTERVAL '50 minutes' AS window_end, round(sum(value), 6) AS total
+FROM (SELECT user_id, value, time_bucket(INTERVAL '10 minutes', ts) - to_minutes(10 * r.i) AS ws
+      FROM events, (SELECT range AS i FROM range(5)) r) x
+GROUP BY user_id, ws"""
+
+ORACLE["session_sum"] = """
+WITH g AS (
+  SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                   OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL '600 seconds'
+                 THEN 1 ELSE 0 END AS st FROM events),
+s AS (SELECT *, sum(st) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sno FROM g)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '600 seconds' AS session_end,
+       count(*) AS cnt, round(sum(value), 6) AS total
+FROM s GROUP BY user_id, sno"""
+
+ORACLE["window_all_model"] = """
+SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+       count(*) AS n, round(avg(value), 6) AS model
+FROM events GROUP BY ALL"""
+
+ORACLE["table_tumble_count_avg"] = f"""
+SELECT id, count(id) AS cnt, round(avg(temperature), 6) AS avg_temp,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end
+FROM {SENSOR} s GROUP BY id, time_bucket(INTERVAL '1 hour', ts)"""
+
+ORACLE["minby_tumble"] = """
+SELECT user_id, window_start, event_id, value FROM (
+  SELECT user_id, time_bucket(INTERVAL '1 hour', ts) AS window_start, event_id, value,
+         row_number() OVER (PARTITION BY user_id, time_bucket(INTERVAL '1 hour', ts) ORDER BY value, event_id) AS rn
+  FROM events) x WHERE rn = 1"""
+
+ORACLE["ddl_tumble_sum"] = """
+SELECT event_type AS album_id, round(sum(value), 6) AS price,
+       time_bucket(INTERVAL '1 hour', date_trunc('second', ts)) AS start_time,
+       time_bucket(INTERVAL '1 hour', date_trunc('second', ts)) + INTERVAL '1 hour' AS end_time
+FROM events WHERE event_type IS NOT NULL
+GROUP BY event_type, time_bucket(INTERVAL '1 hour', date_trunc('second', ts))"""
+
+ORACLE["window_join"] = """
+SELECT g.user_id AS name, time_bucket(INTERVAL '1 hour', g.ts) AS window_start, g.value AS grade, s.value AS salary
+FROM (SELECT * FROM events WHERE event_type = 'click') g
+JOIN (SELECT * FROM events WHERE event_type = 'view') s
+  ON g.user_id = s.user_id AND time_bucket(INTERVAL '1 hour', g.ts) = time_bucket(INTERVAL '1 hour', s.ts)"""
+
+ORACLE["count_window_sliding"] = """
+SELECT event_type, n, round(total, 6) AS total FROM (
+  SELECT event_type, row_number() OVER w AS n,
+         sum(value) OVER (w ROWS BETWEEN 249 PRECEDING AND CURRENT ROW) AS total
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id)) x
+WHERE n % 150 = 0"""
+
+ORACLE["count_window_tumbling"] = """
+SELECT user_id, min(value) AS min_temp, arg_max(ts, event_id) AS last_ts, blk + 1 AS window_no FROM (
+  SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 10 AS blk FROM events) x
+GROUP BY user_id, blk HAVING count(*) = 10"""
+
+_ARRIVALS = """(SELECT event_id, user_id, ts, value,
+    ts + CASE WHEN event_id % 7 = 0 THEN INTERVAL '2 hours' ELSE INTERVAL '0 hours' END AS arrival,
+    epoch_us(ts) AS ts_us FROM events)"""
+_LATE_FLAG = f"""(SELECT *, coalesce(
+      (ts_us // 900000000 + 1) * 900000000 + 3600000000
+        <= max(ts_us) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 180000000,
+      false) AS too_late
+  FROM {_ARRIVALS} a)"""
+ORACLE["late_side_output"] = f"SELECT event_id, user_id, ts, value FROM {_LATE_FLAG} l WHERE too_late"
+ORACLE["late_updates"] = f"""
+SELECT user_id, min(value) AS min_temp, count(*) AS cnt, time_bucket(INTERVAL '15 minutes', ts) AS window_start
+FROM {_LATE_FLAG} l WHERE NOT too_late GROUP BY user_id, time_bucket(INTERVAL '15 minutes', ts)"""
+
+# --------------------------------------------------------------- keyed scans
+_LAGGED = f"""(SELECT *, lag(temperature) OVER (PARTITION BY id ORDER BY ts, event_id) AS last_value FROM {SENSOR} s)"""
+ORACLE["jump_alert"] = f"SELECT event_id, id, last_value, temperature FROM {_LAGGED} l WHERE abs(temperature - last_value) > 10.0"
+ORACLE["jump_alert_default_zero"] = f"""
+SELECT event_id, id, coalesce(last_value, 0.0) AS last_value, temperature FROM {_LAGGED} l
+WHERE abs(temperature - coalesce(last_value, 0.0)) > 10.0"""
+ORACLE["running_reduce"] = f"""
+SELECT event_id, id,
+  CAST(floor(epoch(first_value(ts) OVER w)) AS BIGINT) + 10 * (row_number() OVER w - 1) AS time_stamp, temperature
+FROM {SENSOR} s WINDOW w AS (PARTITION BY id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"""
+ORACLE["running_wordcount"] = r"""
+SELECT doc_id, pos, word, count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS cnt
+FROM (SELECT doc_id, unnest(t) AS word, unnest(generate_series(0, len(t) - 1)) AS pos
+      FROM (SELECT doc_id, string_split_regex(lower(text), '\W+') AS t FROM documents) a) b
+WHERE word <> ''"""
+_RC = f"""(SELECT event_id, id, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS n FROM {SENSOR} s)"""
+ORACLE["changelog_count"] = f"""
+SELECT event_id, id, false AS is_add, n - 1 AS cnt, 0 AS step FROM {_RC} r WHERE n > 1
+UNION ALL SELECT event_id, id, true AS is_add, n AS cnt, 1 AS step FROM {_RC} r"""
+ORACLE["changelog_adds_top1"] = f"""
+SELECT event_id, id, temperature, true AS is_add FROM (
+  SELECT *, max(temperature) OVER (PARTITION BY id ORDER BY ts, event_id
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM {SENSOR} s) x
+WHERE best IS NULL OR temperature > best"""
+ORACLE["over_rows_2_preceding"] = f"""
+SELECT event_id, id, count(id) OVER w AS cnt, round(avg(temperature) OVER w, 6) AS avg_temp
+FROM {SENSOR} s WINDOW w AS (PARTITION BY id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
+ORACLE["over_rows_named_window"] = f"""
+SELECT event_id, id, ts, count(id) OVER w AS cnt, round(avg(temperature) OVER w, 6) AS avg_temp
+FROM {SENSOR} s WINDOW w AS (PARTITION BY id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""

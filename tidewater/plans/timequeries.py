@@ -1,3 +1,146 @@
-"""Registered queries (continued)."""
+"""Registered queries: event-time windows, count windows, late data."""
 
-from tidewater.plans.catalog import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.operators import countwindows as CW
+from tidewater.operators import late as L
+from tidewater.operators import timewindows as TW
+from tidewater.plans import sequence as S
+from tidewater.plans.catalog import _t, query, sensor_readings
+
+# Bucket widths of the two-level scans for the test tables (events span 30
+# days).  On production data pick widths so one bucket of one key is a
+# comfortable task.
+TIME_BUCKET_S = 6 * 3600
+ID_BUCKET = 1000
+
+
+@query
+def tumble_min_reduce(spark, sf):
+    s = sensor_readings(spark, sf)
+    return TW.tumble(s, ["id"], "ts", "1 hour",
+                     [F.min("temperature").alias("min_temp"), F.max_by("ts", "event_id").alias("last_ts")])
+
+
+@query
+def tumble_wordcount(spark, sf):
+    e = _t(spark, sf, "events").select(F.col("event_type").alias("word"), "ts")
+    return TW.tumble(e, ["word"], "ts", "1 hour", [F.count(F.lit(1)).alias("cnt")])
+
+
+@query
+def sliding_sum(spark, sf):
+    e = _t(spark, sf, "events").select("user_id", "ts", "value")
+    r = TW.sliding_sum(e, ["user_id"], "ts", "value", "50 minutes", "10 minutes")
+    return r.withColumn("total", F.round("total", 6))
+
+
+@query
+def session_sum(spark, sf):
+    e = _t(spark, sf, "events").select("user_id", "ts", "event_id", "value")
+    return TW.session_windows(e, ["user_id"], "ts", "event_id", 600,
+                              [F.count(F.lit(1)).alias("cnt"), F.round(F.sum("value"), 6).alias("total")],
+                              bucket_seconds=TIME_BUCKET_S)
+
+
+@query
+def window_all_model(spark, sf):
+    e = _t(spark, sf, "events").select("ts", "value")
+    return TW.tumble(e, [], "ts", "1 hour",
+                     [F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("model")])
+
+
+@query
+def table_tumble_count_avg(spark, sf):
+    s = sensor_readings(spark, sf)
+    return (TW.tumble(s, ["id"], "ts", "1 hour",
+                      [F.count("id").alias("cnt"), F.round(F.avg("temperature"), 6).alias("avg_temp")])
+            .drop("window_start"))
+
+
+@query
+def minby_tumble(spark, sf):
+    e = _t(spark, sf, "events").select("user_id", "ts", "event_id", "value")
+    r = TW.tumble(e, ["user_id"], "ts", "1 hour",
+                  [F.min_by(F.struct("event_id", "value"), F.struct("value", "event_id")).alias("r")])
+    return r.select("user_id", "window_start", "r.event_id", "r.value")
+
+
+@query
+def ddl_tumble_sum(spark, sf):
+    from tidewater.sources.table_source import table_source
+    e = _t(spark, sf, "events")
+    payload = e.select(F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("impression_id"),
+        F.col("user_id").cast("string").alias("uaa_user_id"),
+        F.col("event_type").alias("album_id"),
+        F.col("event_id").alias("episode_id"),
+        F.col("value").alias("bidding_price"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("request_time"))).alias("value"))
+    t = table_source(
+        payload, "impressions",
+        "impression_id string, uaa_user_id string, album_id string, episode_id bigint, "
+        "bidding_price double, request_time string",
+        computed={"ts": "to_timestamp(request_time)"}, watermark=("ts", "5 seconds"))
+    return spark.sql("""
+        SELECT album_id, round(sum(bidding_price), 6) AS price,
+               CAST(window.start AS TIMESTAMP_NTZ) AS start_time,
+               CAST(window.end AS TIMESTAMP_NTZ) AS end_time
+        FROM {t}
+        WHERE album_id IS NOT NULL
+        GROUP BY album_id, window(ts, '1 hour')""", t=t)
+
+
+@query
+def window_join(spark, sf):
+    e = _t(spark, sf, "events")
+    grades = e.filter(F.col("event_type") == "click").select(F.col("user_id").alias("name"),
+                                                             F.col("value").alias("grade"), F.col("ts").alias("gts"))
+    salaries = e.filter(F.col("event_type") == "view").select(F.col("user_id").alias("name"),
+                                                              F.col("value").alias("salary"), F.col("ts").alias("sts"))
+    return TW.window_join(grades, salaries, "name", "gts", "sts", "1 hour") \
+        .select("name", "window_start", "grade", "salary")
+
+
+@query
+def count_window_sliding(spark, sf):
+    e = _t(spark, sf, "events").select("event_type", "event_id", "value")
+    return CW.sliding_count_window_sum(e, ["event_type"], ["event_id"], S.seq_bucket("event_id", ID_BUCKET),
+                                       "value", size=250, slide=150)
+
+
+@query
+def count_window_tumbling(spark, sf):
+    e = _t(spark, sf, "events").select("user_id", "ts", "event_id", "value")
+    return CW.tumbling_count_window(e, ["user_id"], ["ts", "event_id"], S.time_bucket("ts", TIME_BUCKET_S), 10,
+                                    [F.min("value").alias("min_temp"), F.max_by("ts", "event_id").alias("last_ts")])
+
+
+def _delayed_arrivals(spark, sf):
+    """Arrival time = event time, plus two hours for every seventh event id:
+    an out-of-order stream derived from ``events``."""
+    e = _t(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    delay = F.when(F.col("event_id") % 7 == 0, F.expr("INTERVAL 2 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+    return e.withColumn("arrival", F.col("ts") + delay)
+
+
+LATE_ARGS = dict(size_seconds=900, delay_seconds=180, lateness_seconds=3600)
+
+
+@query
+def late_side_output(spark, sf):
+    d = _delayed_arrivals(spark, sf)
+    _, late = L.split_late(d, "ts", ["arrival", "event_id"], S.time_bucket("arrival", TIME_BUCKET_S), **LATE_ARGS)
+    return late.select("event_id", "user_id", "ts", "value")
+
+
+@query
+def late_updates(spark, sf):
+    d = _delayed_arrivals(spark, sf)
+    on_time, _ = L.split_late(d, "ts", ["arrival", "event_id"], S.time_bucket("arrival", TIME_BUCKET_S),
+                              **LATE_ARGS)
+    return (TW.tumble(on_time, ["user_id"], "ts", "15 minutes",
+                      [F.min("value").alias("min_temp"), F.count(F.lit(1)).alias("cnt")])
+            .drop("window_end"))
