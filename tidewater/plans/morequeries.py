@@ -1,3 +1,234 @@
-"""Registered queries (continued)."""
+"""Registered queries: sources and sinks (written then read back), iteration,
+k-means, latest-model join, concurrent lookups and sequential folds."""
 
-from tidewater.plans.catalog import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.functions import text as T
+from tidewater.operators import folds as FO
+from tidewater.operators import iterate as IT
+from tidewater.operators import joins as J
+from tidewater.operators import timewindows as TW
+from tidewater.plans import sequence as S
+from tidewater.plans.catalog import _t, query, sensor_readings
+from tidewater.plans.timequeries import TIME_BUCKET_S
+from tidewater.session import scratch_path
+from tidewater.sinks import writers as W
+from tidewater.sources import readers as RD
+
+
+def _readings_seconds(spark, sf):
+    s = sensor_readings(spark, sf)
+    return s.withColumn("time_stamp", F.unix_seconds(F.col("ts").cast("timestamp")))
+
+
+# ------------------------------------------------------------------ sources
+@query
+def src_text_lines(spark, sf):
+    path = scratch_path(spark, "doc-text")
+    _t(spark, sf, "documents").select("text").write.mode("overwrite").text(path)
+    return RD.read_lines(spark, path).withColumnRenamed("value", "line")
+
+
+@query
+def src_delimited(spark, sf):
+    path = scratch_path(spark, "lineitem-psv")
+    W.write_delimited(_t(spark, sf, "lineitem"), path, sep="|")
+    li = RD.read_delimited(spark, path, "id bigint, extdprice double, discount double, shipdate string",
+                           sep="|", positions=[0, 5, 6, 10])
+    return li.withColumn("shipdate", F.to_date(F.substring("shipdate", 1, 10)))
+
+
+@query
+def src_csv_table(spark, sf):
+    path = scratch_path(spark, "customer-csv")
+    W.write_delimited(_t(spark, sf, "customer"), path, sep=",", header=True)
+    RD.register_csv(spark, "customer_csv", path,
+                    "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+                    header=True)
+    return spark.sql("SELECT c_custkey, c_name, c_acctbal FROM customer_csv WHERE c_mktsegment = 'BUILDING'")
+
+
+@query
+def parse_readings(spark, sf):
+    s = _readings_seconds(spark, sf)
+    lines = s.select(F.concat_ws(", ", "id", F.col("time_stamp").cast("string"),
+                                 F.col("temperature").cast("string")).alias("value"))
+    return RD.parse_readings(lines)
+
+
+@query
+def parse_tuple(spark, sf):
+    e = _t(spark, sf, "events")
+    lines = e.select(F.concat(F.lit("("), F.concat_ws(",", F.col("user_id").cast("string"),
+                                                      F.col("event_id").cast("string"),
+                                                      F.col("value").cast("string")), F.lit(")")).alias("value"))
+    return RD.parse_tuple(lines, "value", "a bigint, b bigint, v double")
+
+
+@query
+def kafka_style_csv_filter(spark, sf):
+    e = _t(spark, sf, "events")
+    topic = e.select(W.csv_value(["event_id", "user_id", "event_type", "value"]).alias("value"))
+    decoded = RD.decode_csv(topic, "event_id bigint, user_id bigint, event_type string, amount double")
+    clicks = decoded.filter(F.col("event_type") == "click")
+    return clicks.withColumn("value", W.csv_value(["event_id", "user_id", "event_type", "amount"]))
+
+
+@query
+def kafka_value_encode(spark, sf):
+    s = _readings_seconds(spark, sf)
+    return s.select("event_id", W.record_string("SensorReading", ["id", "time_stamp", "temperature"]).alias("value"))
+
+
+@query
+def json_documents(spark, sf):
+    s = _readings_seconds(spark, sf)
+    return s.select("event_id", W.document_json({"sensor_id": "id", "temperature": "temperature",
+                                                 "ts": "time_stamp"}).alias("doc"))
+
+
+@query
+def catalog_roundtrip(spark, sf):
+    import uuid
+    name = f"customer_copy_{uuid.uuid4().hex[:8]}"
+    loc = scratch_path(spark, name)
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, name STRING, balance DOUBLE) USING parquet LOCATION '{loc}'")
+    c = _t(spark, sf, "customer")
+    spark.sql(f"INSERT INTO {name} SELECT c_custkey, c_name, c_acctbal FROM {{c}}", c=c)
+    assert spark.sql("SHOW TABLES").filter(F.col("tableName") == name).count() == 1
+    return spark.table(name)
+
+
+@query
+def sink_delimited_roundtrip(spark, sf):
+    from tidewater.plans.catalog import wordcount_batch
+    path = scratch_path(spark, "wordcount-ssv")
+    W.write_delimited(wordcount_batch(spark, sf), path, sep=" ")
+    return RD.read_delimited(spark, path, "word string, cnt bigint", sep=" ")
+
+
+@query
+def sink_stream_files(spark, sf):
+    from tidewater.streaming.runner import replay_as_files, run_available_now
+    e = _t(spark, sf, "events").select("event_id", "user_id", "value")
+    src = replay_as_files(spark, e, "event_id", 3, scratch_path(spark, "events-replay"))
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = run_available_now(stream, scratch_path(spark, "events-sink"), fmt="parquet")
+    return spark.read.parquet(out)
+
+
+@query
+def stream_wordcount(spark, sf):
+    from tidewater.streaming.runner import replay_as_files, run_keyed_updates
+    lines = _t(spark, sf, "documents").select("doc_id", "text")
+    src = replay_as_files(spark, lines, "doc_id", 3, scratch_path(spark, "docs-replay"), fmt="parquet")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    # a line reader over each document, then the socket word count: split on
+    # single spaces, empty tokens included, no lower-casing
+    st_lines = stream.select(F.explode(F.split("text", "\r\n|\r|\n")).alias("line")).filter(F.col("line") != "")
+    counts = (st_lines.select(F.explode(T.split_drop_trailing("line", T.SPACE)).alias("word"))
+              .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
+    return run_keyed_updates(spark, counts, ["word"], scratch_path(spark, "wordcount-state"))
+
+
+@query
+def map_partition_setup(spark, sf):
+    import pandas as pd
+
+    e = _t(spark, sf, "events").select("event_id", "props")
+
+    def with_setup(batches):
+        import re
+        pattern = re.compile(r'"k"\s*:\s*(-?\d+)')     # "open": compiled once per partition
+        for pdf in batches:
+            ks = [int(m.group(1)) if (m := pattern.search(p or "")) else None for p in pdf["props"]]
+            yield pd.DataFrame({"event_id": pdf["event_id"], "k": pd.array(ks, dtype="Int64")})
+
+    return e.mapInPandas(with_setup, "event_id bigint, k bigint")
+
+
+# ------------------------------------------------------- async lookups
+@query
+def async_enrich_ordered(spark, sf):
+    e = _t(spark, sf, "events").select("event_id", "user_id")
+    return J.async_lookup(e, "user_id", "event_id", J.key_mod_label, capacity=20, timeout_s=10.0, ordered=True)
+
+
+@query
+def async_enrich_unordered(spark, sf):
+    e = _t(spark, sf, "events").select("event_id", "user_id")
+    return J.async_lookup(e, "user_id", "event_id", J.key_mod_label, capacity=10, timeout_s=10.0, ordered=False)
+
+
+# ------------------------------------------------------------- iteration
+@query
+def iterate_fibonacci(spark, sf):
+    e = _t(spark, sf, "events")
+    pairs = e.select("event_id", F.ceil("value").cast("long").alias("a"), (F.col("user_id") + 1).alias("b"))
+    return pairs.select("event_id", "a", "b", IT.fibonacci_steps(F.col("a"), F.col("b"), 100).alias("n"))
+
+
+def _embeddings(spark, sf):
+    return _t(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"), "label")
+
+
+def _round_vec(c):
+    return F.transform(c, lambda x: F.round(x, 6))
+
+
+@query
+def kmeans_assign(spark, sf):
+    pts = _embeddings(spark, sf)
+    seeds = IT.initial_centroids_by_label(pts, "v", "label")
+    return IT.kmeans_assign(pts, "v", seeds).select("vec_id", "cluster_id")
+
+
+@query
+def kmeans_step(spark, sf):
+    pts = _embeddings(spark, sf)
+    seeds = IT.initial_centroids_by_label(pts, "v", "label")
+    means = IT.cluster_means(IT.kmeans_assign(pts, "v", seeds), "v")
+    return means.select("cluster_id", "n", _round_vec(F.col("centroid")).alias("centroid"))
+
+
+KMEANS_ROUNDS = 3
+
+
+@query
+def kmeans_centroids(spark, sf, rounds: int = KMEANS_ROUNDS):
+    pts = _embeddings(spark, sf).select("v").persist()
+    cents = IT.initial_centroids_by_label(_embeddings(spark, sf), "v", "label")
+    for _ in range(rounds - 1):
+        cents = IT.collect_centroids(IT.cluster_means(IT.kmeans_assign(pts, "v", cents), "v"))
+    last = IT.cluster_means(IT.kmeans_assign(pts, "v", cents), "v")
+    return last.select("cluster_id", _round_vec(F.col("centroid")).alias("centroid"))
+
+
+# ------------------------------------------------------ latest-model join
+@query
+def latest_model_predict(spark, sf):
+    e = _t(spark, sf, "events").select("event_id", "ts", "value")
+    models = (TW.tumble(e, [], "ts", "1 hour", [F.round(F.avg("value"), 6).alias("prediction")])
+              .select(F.col("window_end").alias("model_ts"), "prediction"))
+    return J.asof_backward(e, "ts", models, "model_ts", 3600).select("event_id", "model_ts", "prediction")
+
+
+# ---------------------------------------------------------------- folds
+@query
+def rising_alert(spark, sf):
+    s = sensor_readings(spark, sf)
+    return FO.rising_alert(s, "id", "ts", "event_id", "temperature", S.time_bucket("ts", TIME_BUCKET_S),
+                           seconds=6 * 3600)
+
+
+@query
+def top_speed_delta(spark, sf):
+    e = _t(spark, sf, "events").select(F.col("user_id").alias("car_id"), "ts", "event_id",
+                                       F.col("value").alias("speed"),
+                                       F.round(F.col("value") * 100).cast("long").alias("cents"))
+    d = S.running_agg(e, ["car_id"], ["ts", "event_id"], S.time_bucket("ts", TIME_BUCKET_S),
+                      [("distance_cents", "cents", "sum")])
+    return FO.top_speed_delta(d, "car_id", "ts", "event_id", "speed", "distance_cents",
+                              threshold_cents=5000, evict_seconds=10 * 3600)

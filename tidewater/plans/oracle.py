@@ -257,3 +257,108 @@ FROM {SENSOR} s WINDOW w AS (PARTITION BY id ORDER BY ts, event_id ROWS BETWEEN
 ORACLE["over_rows_named_window"] = f"""
 SELECT event_id, id, ts, count(id) OVER w AS cnt, round(avg(temperature) OVER w, 6) AS avg_temp
 FROM {SENSOR} s WINDOW w AS (PARTITION BY id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
+
+# -------------------------------------------------------- sources and sinks
+ORACLE["src_text_lines"] = "SELECT unnest(string_split(text, chr(10))) AS line FROM documents"
+ORACLE["src_delimited"] = ("SELECT l_orderkey AS id, l_extendedprice AS extdprice, l_discount AS discount, "
+                           "CAST(l_shipdate AS DATE) AS shipdate FROM lineitem")
+ORACLE["src_csv_table"] = "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'"
+ORACLE["parse_readings"] = ("SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, CAST(floor(epoch(ts)) AS BIGINT) AS time_stamp, "
+                            "value AS temperature FROM events")
+ORACLE["parse_tuple"] = "SELECT user_id AS a, event_id AS b, value AS v FROM events"
+ORACLE["kafka_style_csv_filter"] = (
+    "SELECT event_id, user_id, event_type, value AS amount, "
+    "concat_ws(',', event_id, user_id, event_type, CAST(value AS VARCHAR)) AS value "
+    "FROM events WHERE event_type = 'click'")
+ORACLE["kafka_value_encode"] = (
+    "SELECT event_id, 'SensorReading(sensor_' || CAST(user_id AS VARCHAR) || ',' || "
+    "CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) || ',' || CAST(value AS VARCHAR) || ')' AS value FROM events")
+ORACLE["json_documents"] = (
+    "SELECT event_id, CAST(json_object('sensor_id', 'sensor_' || CAST(user_id AS VARCHAR), "
+    "'temperature', CAST(value AS VARCHAR), 'ts', CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR)) AS VARCHAR) AS doc "
+    "FROM events")
+ORACLE["catalog_roundtrip"] = "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer"
+ORACLE["sink_delimited_roundtrip"] = ORACLE["wordcount_batch"]
+ORACLE["sink_stream_files"] = "SELECT event_id, user_id, value FROM events"
+ORACLE["stream_wordcount"] = f"""
+SELECT word, count(*) AS cnt FROM (
+  SELECT unnest({_split_drop_trailing('line', ' ')}) AS word FROM {LINES} l WHERE line <> '') w
+GROUP BY word"""
+ORACLE["map_partition_setup"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+ORACLE["async_enrich_ordered"] = "SELECT event_id, 'key' || CAST(user_id % 10 AS VARCHAR) AS result FROM events"
+ORACLE["async_enrich_unordered"] = ORACLE["async_enrich_ordered"]
+
+# ------------------------------------------------------------- iteration
+ORACLE["iterate_fibonacci"] = """
+WITH RECURSIVE it(event_id, a, b, x, y, n) AS (
+  SELECT event_id, CAST(ceil(value) AS BIGINT), user_id + 1, CAST(ceil(value) AS BIGINT), user_id + 1, 0 FROM events
+  UNION ALL
+  SELECT event_id, a, b, y, x + y, n + 1 FROM it WHERE n = 0 OR (x < 100 AND y < 100))
+SELECT event_id, a, b, n FROM it WHERE n > 0 AND NOT (x < 100 AND y < 100)"""
+
+_PTS = "(SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)"
+
+
+def _means(assign_sql: str, rnd: bool) -> str:
+    inner = (f"SELECT cid, dim, avg(x) AS m, count(*) AS n FROM (SELECT a.cid, generate_subscripts(p.v, 1) AS dim, "
+             f"unnest(p.v) AS x FROM ({assign_sql}) a JOIN {_PTS} p USING (vec_id)) z GROUP BY cid, dim")
+    val = "round(m, 6)" if rnd else "m"
+    return f"SELECT cid, max(n) AS n, list({val} ORDER BY dim) AS c FROM ({inner}) y GROUP BY cid"
+
+
+def _assign(cent_sql: str) -> str:
+    return (f"SELECT vec_id, cid FROM (SELECT p.vec_id, c.cid, row_number() OVER (PARTITION BY p.vec_id "
+            f"ORDER BY list_distance(p.v, c.c), c.cid) AS rn FROM {_PTS} p, ({cent_sql}) c) q WHERE rn = 1")
+
+
+_SEED = _means(f"SELECT vec_id, label AS cid FROM {_PTS} s", False)
+ORACLE["kmeans_assign"] = f"SELECT vec_id, CAST(cid AS INTEGER) AS cluster_id FROM ({_assign(_SEED)}) a"
+ORACLE["kmeans_step"] = (f"SELECT CAST(cid AS INTEGER) AS cluster_id, n, c AS centroid "
+                         f"FROM ({_means(_assign(_SEED), True)}) m")
+_R1 = _means(_assign(_SEED), False)
+_R2 = _means(_assign(_R1), False)
+ORACLE["kmeans_centroids"] = f"SELECT CAST(cid AS INTEGER) AS cluster_id, c AS centroid FROM ({_means(_assign(_R2), True)}) m"
+
+ORACLE["latest_model_predict"] = """
+WITH m AS (SELECT time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS model_ts, round(avg(value), 6) AS prediction
+           FROM events GROUP BY 1)
+SELECT e.event_id, m.model_ts, m.prediction FROM events e ASOF LEFT JOIN m ON e.ts >= m.model_ts"""
+
+# ----------------------------------------------------------------- folds
+ORACLE["rising_alert"] = f"""
+WITH RECURSIVE r AS (
+  SELECT id, ts, temperature AS v, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS n FROM {SENSOR} s),
+st(id, n, last, deadline, alert_ts, alert_last) AS (
+  SELECT DISTINCT id, CAST(0 AS BIGINT), CAST(0.0 AS DOUBLE), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP),
+         CAST(NULL AS DOUBLE) FROM r
+  UNION ALL
+  SELECT r.id, r.n, r.v,
+    CASE WHEN r.v > st.last AND (st.deadline IS NULL OR st.deadline <= r.ts) THEN r.ts + INTERVAL '6 hours'
+         WHEN r.v < st.last THEN NULL
+         WHEN st.deadline IS NOT NULL AND st.deadline <= r.ts THEN NULL
+         ELSE st.deadline END,
+    CASE WHEN st.deadline IS NOT NULL AND st.deadline <= r.ts THEN st.deadline END,
+    CASE WHEN st.deadline IS NOT NULL AND st.deadline <= r.ts THEN st.last END
+  FROM st JOIN r ON r.id = st.id AND r.n = st.n + 1)
+SELECT id, alert_ts, alert_last AS last_value FROM st WHERE alert_ts IS NOT NULL
+UNION ALL
+SELECT id, deadline AS alert_ts, last AS last_value FROM (
+  SELECT st.*, row_number() OVER (PARTITION BY id ORDER BY n DESC) AS k FROM st) f
+WHERE k = 1 AND deadline IS NOT NULL"""
+
+ORACLE["top_speed_delta"] = """
+WITH RECURSIVE r AS (
+  SELECT user_id AS car_id, event_id, ts, value AS speed,
+         sum(CAST(round(value * 100) AS BIGINT)) OVER w AS dc, row_number() OVER w AS n
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+st(car_id, n, ref, fired) AS (
+  SELECT car_id, n, dc, false FROM r WHERE n = 1
+  UNION ALL
+  SELECT r.car_id, r.n, CASE WHEN r.dc - st.ref > 5000 THEN r.dc ELSE st.ref END, r.dc - st.ref > 5000
+  FROM st JOIN r ON r.car_id = st.car_id AND r.n = st.n + 1),
+fires AS (SELECT r.car_id, r.ts AS fire_ts FROM st JOIN r USING (car_id, n) WHERE st.fired),
+cand AS (
+  SELECT f.car_id, f.fire_ts, w.event_id, w.speed, w.dc, w.ts,
+         row_number() OVER (PARTITION BY f.car_id, f.fire_ts ORDER BY w.speed DESC, w.ts, w.event_id) AS k
+  FROM fires f JOIN r w ON w.car_id = f.car_id AND w.ts <= f.fire_ts AND w.ts > f.fire_ts - INTERVAL '10 hours')
+SELECT car_id, event_id, speed, dc / 100.0 AS distance, ts AS time FROM cand WHERE k = 1"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = False,
@@ -21,24 +21,21 @@ def write_noop(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def record_string(df: DataFrame, name: str, cols: list[str] | None = None) -> DataFrame:
-    """Record ``toString`` form ``Name(f1,f2,...)`` in a ``value`` column:
-    the payload a string producer sends."""
-    cols = cols or df.columns
+def record_string(name: str, cols: list[str]) -> Column:
+    """Record ``toString`` form ``Name(f1,f2,...)``: the payload a string
+    producer sends for a typed record."""
     body = F.concat_ws(",", *[F.col(c).cast("string") for c in cols])
-    return df.select(F.concat(F.lit(f"{name}("), body, F.lit(")")).alias("value"))
+    return F.concat(F.lit(f"{name}("), body, F.lit(")"))
 
 
-def to_csv_value(df: DataFrame, cols: list[str] | None = None, sep: str = ",") -> DataFrame:
-    """CSV table sink payload: each row as one CSV line in ``value``."""
-    cols = cols or df.columns
-    return df.select(F.to_csv(F.struct(*[F.col(c) for c in cols]), {"sep": sep}).alias("value"))
+def csv_value(cols: list[str], sep: str = ",") -> Column:
+    """CSV table sink payload: the row as one CSV line."""
+    return F.to_csv(F.struct(*[F.col(c) for c in cols]), {"sep": sep})
 
 
-def to_documents(df: DataFrame, fields: dict[str, str]) -> DataFrame:
-    """JSON documents with every value as a string: ``{out_name: column}``."""
-    st = F.struct(*[F.col(c).cast("string").alias(k) for k, c in fields.items()])
-    return df.select(F.to_json(st).alias("doc"))
+def document_json(fields: dict[str, str]) -> Column:
+    """JSON document with every value as a string: ``{out_name: column}``."""
+    return F.to_json(F.struct(*[F.col(c).cast("string").alias(k) for k, c in fields.items()]))
 
 
 def write_topic(df: DataFrame, servers: str, topic: str, checkpoint: str, fmt: str = "kafka"):
