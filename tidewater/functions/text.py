@@ -23,16 +23,25 @@ def split_drop_trailing(col, pattern: str) -> Column:
     ``""`` gives ``[""]``; a string made only of separators gives ``[]``.
     """
     s = _c(col)
-    stripped = F.regexp_replace(s, f"(?:{pattern})+\\z", "")
+    # a pattern that already ends in "+" must not be wrapped in another
+    # repetition: nested quantifiers backtrack exponentially on long runs
+    tail = f"(?:{pattern})\\z" if pattern.endswith("+") else f"(?:{pattern})+\\z"
+    stripped = F.regexp_replace(s, tail, "")
     return (F.when(s.isNull(), F.lit(None))
             .when(stripped == "", F.when(s == "", F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
             .otherwise(F.split(stripped, pattern)))
 
 
-def words(col, pattern: str = WORD_SEPARATOR, lower: bool = True) -> Column:
-    """Token array: optional lower-casing, split, trailing empties dropped."""
+def words(col, pattern: str = WORD_SEPARATOR, lower: bool = True, keep_empty: bool = True) -> Column:
+    """Token array: optional lower-casing, split.  With ``keep_empty`` the
+    JVM split shape is kept (trailing empties dropped, interior ones kept);
+    without it empty tokens are removed, which makes the trailing rule moot
+    and saves a regex pass."""
     s = _c(col)
-    return split_drop_trailing(F.lower(s) if lower else s, pattern)
+    s = F.lower(s) if lower else s
+    if keep_empty:
+        return split_drop_trailing(s, pattern)
+    return F.filter(F.split(s, pattern), lambda t: t != "")
 
 
 def java_string_hash(col) -> Column:

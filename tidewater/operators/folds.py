@@ -90,12 +90,13 @@ def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket:
                 yield pd.DataFrame({key: out_k, "__alert_us": out_ts, "last_value": out_last})
                 out_k, out_ts, out_last = [], [], []
         close()
-        yield pd.DataFrame({key: out_k, "__alert_us": pd.Series(out_ts, dtype="int64"),
-                            "last_value": pd.Series(out_last, dtype="float64")})
+        if out_k:
+            yield pd.DataFrame({key: out_k, "__alert_us": pd.Series(out_ts, dtype="int64"),
+                                "last_value": pd.Series(out_last, dtype="float64")})
 
     key_type = dict(df.dtypes)[key]
     ts_type = dict(df.dtypes)[ts]
-    res = _sorted_fold(d, [key, "__seg"], [seq, "__us"] if False else ["__us", seq], fold,
+    res = _sorted_fold(d, [key, "__seg"], ["__us", seq], fold,
                        f"{key} {key_type}, __alert_us long, last_value double")
     return res.select(key, F.timestamp_micros("__alert_us").cast(ts_type).alias("alert_ts"), "last_value")
 
@@ -145,8 +146,9 @@ def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, dist
             if len(rows) >= 10_000:
                 yield pd.DataFrame(rows, columns=[key, seq, "__us", "__sp", "__dc"])
                 rows = []
-        yield pd.DataFrame(rows, columns=[key, seq, "__us", "__sp", "__dc"]).astype(
-            {"__us": "int64", "__sp": "float64", "__dc": "int64"})
+        if rows:
+            yield pd.DataFrame(rows, columns=[key, seq, "__us", "__sp", "__dc"]).astype(
+                {"__us": "int64", "__sp": "float64", "__dc": "int64"})
 
     types = dict(df.dtypes)
     res = _sorted_fold(d, [key], ["__us", seq], fold,

@@ -66,8 +66,11 @@ def tpch_q3(lineitem: DataFrame, customer: DataFrame, orders: DataFrame,
     items = (o.join(c, o.o_custkey == c.c_custkey, "inner")
              .select("o_orderkey", "o_orderdate")
              .join(l, F.col("o_orderkey") == F.col("l_orderkey"), "inner"))
-    return (items.groupBy("l_orderkey", "o_orderdate")
-            .agg(F.round(F.sum("rev"), 2).alias("revenue"))
+    # o_orderdate depends on the order key alone: grouping by the key keeps
+    # the join's hash partitioning (no second shuffle when the join is a
+    # sort-merge join at scale)
+    return (items.groupBy("l_orderkey")
+            .agg(F.round(F.sum("rev"), 2).alias("revenue"), F.any_value("o_orderdate").alias("o_orderdate"))
             .select("l_orderkey", "revenue", F.to_date("o_orderdate").alias("o_orderdate"),
                     prio.cast("int").alias("o_shippriority"))
             .orderBy(F.col("revenue").desc(), F.col("o_orderdate").asc()))

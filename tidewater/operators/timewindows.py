@@ -59,7 +59,7 @@ def sliding_sum(df: DataFrame, keys: list[str], ts: str, value: str, size: str,
             .select(*keys, start.alias("window_start"), end.alias("window_end"), out))
 
 
-def session_windows(df: DataFrame, keys: list[str], ts: str, seq: str, gap_seconds: int,
+def session_windows(df: DataFrame, keys: list[str], ts: str, seq: str, gap_seconds: float,
                     aggs: list[Column], bucket_seconds: int = 6 * 3600) -> DataFrame:
     """Keyed session windows: a new session starts when the gap to the
     previous event of the key is larger than ``gap_seconds`` (events exactly
@@ -77,11 +77,12 @@ def session_windows(df: DataFrame, keys: list[str], ts: str, seq: str, gap_secon
     w = Window.partitionBy(*keys, S.BKT).orderBy(ts, seq)
     prev = F.lag(F.col(ts)).over(w)
     gap_us = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(prev.cast("timestamp"))
-    marked = ctx.withColumn("__start", F.when(prev.isNull() | (gap_us > F.lit(gap_seconds * 1_000_000)), 1)
+    gap_micros = int(round(gap_seconds * 1_000_000))
+    marked = ctx.withColumn("__start", F.when(prev.isNull() | (gap_us > F.lit(gap_micros)), 1)
                             .otherwise(0))
     marked = S.drop_ghosts(marked)
     numbered = S.running_agg(marked, keys, [ts, seq], bucket, [("__session", "__start", "sum")])
-    gap_iv = F.expr(f"INTERVAL {gap_seconds} SECONDS")
+    gap_iv = F.make_dt_interval(secs=F.lit(gap_micros / 1_000_000).cast("decimal(18,6)"))
     return (numbered.groupBy(*keys, "__session")
             .agg(F.min(ts).alias("session_start"), (F.max(ts) + gap_iv).alias("session_end"), *aggs)
             .drop("__session"))

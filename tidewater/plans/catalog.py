@@ -120,8 +120,9 @@ def connect_comap(spark, sf):
 
 # --------------------------------------------------------------- word counts
 def doc_words(spark, sf, pattern=T.WORD_SEPARATOR, lower=True) -> DataFrame:
+    """Non-empty tokens of every document."""
     d = _t(spark, sf, "documents")
-    return d.select(F.explode(T.words("text", pattern, lower)).alias("word"))
+    return d.select(F.explode(T.words("text", pattern, lower, keep_empty=False)).alias("word"))
 
 
 @query
@@ -160,7 +161,7 @@ def tokenize_variants(spark, sf):
     parts = []
     for name, pat, lower, drop_empty in variants:
         tok = lines.select(F.lit(name).alias("variant"),
-                           F.explode(T.words("line", pat, lower)).alias("token"))
+                           F.explode(T.words("line", pat, lower, keep_empty=not drop_empty)).alias("token"))
         if drop_empty:
             tok = tok.filter(F.col("token") != "")
         parts.append(tok)

@@ -77,7 +77,11 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
             raise ValueError(f"unknown running aggregate kind {kind!r}")
         finals.append((name, kind))
 
-    per_bucket = d.groupBy(*keys, BKT).agg(*bucket_aggs)
+    local = d.select("*", *local_cols)
+    # Bucket totals: Catalyst prunes the window from this branch and plans a
+    # partial aggregate before the shuffle, so only one row per map task and
+    # (key, bucket) moves.
+    per_bucket = local.groupBy(*keys, BKT).agg(*bucket_aggs)
     w_prev = Window.partitionBy(*keys).orderBy(BKT).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*keys).orderBy(BKT).rowsBetween(Window.unboundedPreceding, 0)
     offs = [F.col(c) for c in keys] + [F.col(BKT)]
@@ -93,7 +97,6 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
             offs.append(F.first(b).over(w_all).alias(f"{name}__off"))
     offsets = per_bucket.select(*offs)
 
-    local = d.select("*", *local_cols)
     out = _null_safe_join(local, offsets, keys + [BKT])
     for name, kind in finals:
         loc, off = F.col(f"{name}__loc"), F.col(f"{name}__off")
