@@ -17,6 +17,9 @@ def changelog_count(df: DataFrame, key: str, order: list[str], bucket: Column,
     """Retract stream of ``count(*) GROUP BY key`` in arrival order:
     ``(false, n-1)`` (when n > 1) then ``(true, n)`` per row."""
     carry = carry or []
+    if df.isStreaming:
+        from tidewater.streaming.stateful import changelog_count_stream
+        return changelog_count_stream(df, key, order, carry).select(*carry, key, "is_add", "cnt", "step")
     r = S.running_agg(df, [key], order, bucket, [("__n", F.lit(1), "count")])
     changes = F.array(
         F.struct(F.lit(False).alias("is_add"), (F.col("__n") - 1).alias("cnt"), F.lit(0).alias("step")),

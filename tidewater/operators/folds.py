@@ -45,7 +45,12 @@ def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket:
     ``ts + seconds`` if none is pending, ``value < last`` cancels it, equal
     leaves it; ``last = value``.  At the end of input a pending timer fires
     when ``flush_at_end``.  Output: ``(key, alert_ts, last_value)``.
+    A streaming input runs the timer-based stateful processor (the end of
+    input is a watermark that passes every deadline).
     """
+    if df.isStreaming:
+        from tidewater.streaming.stateful import rising_alert_stream
+        return rising_alert_stream(df, key, ts, seq, value, seconds, initial)
     d = df.select(key, ts, seq, value)
     d = K.with_previous(d, [key], [ts, seq], bucket, value, "__last", default=initial)
     d = d.withColumn("__fall", (F.col(value) < F.col("__last")).cast("int"))

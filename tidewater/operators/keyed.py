@@ -27,7 +27,11 @@ def jump_alert(df: DataFrame, key: str, order: list[str], bucket: Column, value:
                threshold: float, initial: float | None = None) -> DataFrame:
     """Emit ``(key, last, current)`` when ``|current - last| > threshold``.
     Without ``initial`` the first row of a key only sets ``last``; with it,
-    the first row is compared with ``initial`` (value-state default)."""
+    the first row is compared with ``initial`` (value-state default).
+    A streaming input runs the stateful processor form."""
+    if df.isStreaming:
+        from tidewater.streaming.stateful import jump_alert_stream
+        return jump_alert_stream(df, key, order, value, threshold, initial)
     p = with_previous(df, [key], order, bucket, value, "last_value", initial)
     return p.filter(F.abs(F.col(value) - F.col("last_value")) > F.lit(threshold))
 

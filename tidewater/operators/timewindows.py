@@ -70,7 +70,15 @@ def session_windows(df: DataFrame, keys: list[str], ts: str, seq: str, gap_secon
     edges, the session number from a bucketed running count of starts, then
     a plain partial/final aggregate per ``(key, session)`` -- a key with a
     third of the rows is spread over its time buckets.
+
+    A streaming input uses Spark's ``session_window`` (merging sessions in
+    the state store); it needs a watermark on ``ts`` and emits a session
+    once the watermark passes its end.
     """
+    if df.isStreaming:
+        sw = F.session_window(F.col(ts), f"{int(round(gap_seconds * 1_000_000))} microseconds")
+        return (df.groupBy(*keys, sw.alias("__s")).agg(F.min(ts).alias("session_start"), *aggs)
+                .withColumn("session_end", F.col("__s.end")).drop("__s"))
     bucket = S.time_bucket(ts, bucket_seconds)
     ctx = S.with_preceding(df, keys, [ts, seq], bucket, 1)
     from pyspark.sql import Window
