@@ -268,3 +268,17 @@ def test_with_preceding_matches_plain_lag(spark, k):
     got = S.drop_ghosts(ctx.withColumn("p", F.lag("v", k).over(w)))
     ref = df.withColumn("p", F.lag("v", k).over(Window.partitionBy("key").orderBy("seq")))
     assert rows(got, "seq", "p") == rows(ref, "seq", "p")
+
+
+def test_sql_function_surface(spark, sensors):
+    from tidewater.functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    sensors.createOrReplaceTempView("sensor")
+    h = dict((r.id, r.h) for r in spark.sql("SELECT DISTINCT id, hash_code(id, 2) AS h FROM sensor").collect())
+    assert h["sensor_1"] == -1770738192 and h["sensor_10"] == 941720992
+    words = spark.sql("SELECT id, word, length FROM sensor, LATERAL split_words(id, '_') WHERE id = 'sensor_10'")
+    assert rows(words, "word", "length") == [("10", 2), ("sensor", 6)]
+    avg = spark.sql("SELECT id, avg_temp(temperature) AS a FROM sensor GROUP BY id").collect()
+    assert round(dict((r.id, r.a) for r in avg)["sensor_1"], 6) == 37.266667
+    addr = spark.sql("SELECT normalize_address('2448 Rodney STreet', '85023', 'Phoenix') AS a").first().a
+    assert addr == "2448 RODNEY STREET, 85023, PHOENIX"

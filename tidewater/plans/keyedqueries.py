@@ -82,3 +82,28 @@ def over_rows_named_window(spark, sf):
         WINDOW w AS (PARTITION BY id, _bkt ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
                   ctx=ctx)
     return r.filter(~F.col("_ghost")).select("event_id", "id", "ts", "cnt", "avg_temp")
+
+
+# ------------------------------------------------------ SQL function surface
+@query
+def sql_hash_code(spark, sf):
+    from tidewater.functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    return spark.sql("SELECT event_id, id, hash_code(id, 2) AS hash_code FROM {s}", s=sensor_readings(spark, sf))
+
+
+@query
+def sql_lateral_split(spark, sf):
+    from tidewater.functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    s = sensor_readings(spark, sf).select("event_id", "id")
+    return spark.sql("SELECT s.event_id, s.id, t.word, t.length FROM {s} s, LATERAL split_words(s.id, '_') t", s=s)
+
+
+@query
+def sql_normalize_address(spark, sf):
+    from tidewater.functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    c, n = _t(spark, sf, "customer"), _t(spark, sf, "nation")
+    return spark.sql("""SELECT c_custkey, normalize_address(c_name, n_name, c_mktsegment) AS address
+                        FROM {c} JOIN {n} ON c_nationkey = n_nationkey""", c=c, n=n)

@@ -362,3 +362,8 @@ cand AS (
          row_number() OVER (PARTITION BY f.car_id, f.fire_ts ORDER BY w.speed DESC, w.ts, w.event_id) AS k
   FROM fires f JOIN r w ON w.car_id = f.car_id AND w.ts <= f.fire_ts AND w.ts > f.fire_ts - INTERVAL '10 hours')
 SELECT car_id, event_id, speed, dc / 100.0 AS distance, ts AS time FROM cand WHERE k = 1"""
+
+# ------------------------------------------------------ SQL function surface
+ORACLE["sql_hash_code"] = ORACLE["java_hash"]
+ORACLE["sql_lateral_split"] = ORACLE["lateral_split"]
+ORACLE["sql_normalize_address"] = ORACLE["normalize_address"]
