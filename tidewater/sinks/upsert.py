@@ -53,13 +53,20 @@ def upsert_parquet(spark, batch: DataFrame, path: str, version: int, keys: list[
 
 
 def upsert_jdbc(spark, batch: DataFrame, url: str, table: str, keys: list[str], order: list[str],
-                value_cols: list[str], properties: dict | None = None) -> None:
+                value_cols: list[str], properties: dict | None = None,
+                string_type: str = "VARCHAR(1024)") -> None:
     """Latest value per key into a JDBC table through a staging table and a
-    single ``MERGE`` (one round trip per batch instead of per row)."""
+    single ``MERGE`` (one round trip per batch instead of per row).  String
+    columns of the staging table get ``string_type`` so they compare with
+    the target's keys."""
     props = dict(properties or {})
     latest = latest_per_key(batch, keys, order).select(*keys, *value_cols)
     staging = f"{table}_STAGE"
-    latest.write.mode("overwrite").jdbc(url, staging, properties=props)
+    str_cols = [c for c, t in latest.dtypes if t == "string"]
+    w = latest.write.mode("overwrite")
+    if str_cols:
+        w = w.option("createTableColumnTypes", ", ".join(f"{c} {string_type}" for c in str_cols))
+    w.jdbc(url, staging, properties=props)
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
     sets = ", ".join(f"{c} = s.{c}" for c in value_cols)
     cols = ", ".join(keys + value_cols)
