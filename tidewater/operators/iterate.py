@@ -41,11 +41,18 @@ def as_vectors(points: DataFrame, col: str) -> DataFrame:
     return points.withColumn("__vec", array_to_vector(F.col(col).cast("array<double>")))
 
 
+def _double_sql(x: float) -> str:
+    r = repr(float(x))
+    return r if ("e" in r or "n" in r) else f"{r}D"
+
+
 def centroid_literal(centroids: list[tuple[int, list[float]]]) -> Column:
-    """Centroids as one array-of-struct literal (k is small and checked)."""
-    return F.array(*[F.struct(F.lit(int(cid)).alias("id"),
-                              F.array(*[F.lit(float(x)) for x in vec]).alias("v"))
-                     for cid, vec in centroids])
+    """Centroids as one array-of-struct literal (k is small and checked),
+    written as one SQL expression so it is built in a single call."""
+    items = ", ".join(
+        f"named_struct('id', {int(cid)}, 'v', array({', '.join(_double_sql(x) for x in vec)}))"
+        for cid, vec in centroids)
+    return F.expr(f"array({items})")
 
 
 def nearest(point: Column, cents: Column) -> Column:
