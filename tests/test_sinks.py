@@ -81,3 +81,30 @@ def test_declared_stream_table_tumble(spark):
     got = sorted((r.album_id, r.price) for r in out.collect())
     # the last window (a @ 00:01:00) stays open: the watermark has not passed it
     assert got == [("a", 3.5), ("b", 3.0)]
+
+
+def test_stream_tumble_to_jdbc(spark):
+    from tidewater.sources.table_source import table_source
+    payloads = [
+        '{"album_id": "a", "bidding_price": 1.5, "request_time": "2024-01-01 00:00:01"}',
+        '{"album_id": "a", "bidding_price": 2.0, "request_time": "2024-01-01 00:00:04"}',
+        '{"album_id": "b", "bidding_price": 3.0, "request_time": "2024-01-01 00:00:06"}',
+        '{"album_id": "a", "bidding_price": 0.5, "request_time": "2024-01-01 00:01:00"}',
+    ]
+    src = scratch_path(spark, "payloads")
+    spark.createDataFrame([(p,) for p in payloads], "value string").coalesce(1).write.text(src)
+    view = f"imp_{uuid.uuid4().hex[:6]}"
+    table_source(spark.readStream.format("text").load(src), view,
+                 "album_id string, bidding_price double, request_time string",
+                 computed={"ts": "to_timestamp(request_time)", "pt": "current_timestamp()"},
+                 watermark=("ts", "5 seconds"))
+    agg = spark.sql(f"""SELECT album_id, sum(bidding_price) AS price, window.start AS start_time,
+                               window.end AS end_time
+                        FROM {view} WHERE album_id IS NOT NULL GROUP BY album_id, window(ts, '5 seconds')""")
+    url = f"jdbc:derby:memory:tw{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    U._jdbc_execute(spark, url, ["CREATE TABLE ALBUM_PRICE (ALBUM_ID VARCHAR(64), PRICE DOUBLE, "
+                                 "START_TIME TIMESTAMP, END_TIME TIMESTAMP)"], props)
+    W.stream_to_jdbc(agg, url, "ALBUM_PRICE", scratch_path(spark, "ckpt"), props).awaitTermination()
+    got = sorted((r.ALBUM_ID, r.PRICE) for r in spark.read.jdbc(url, "ALBUM_PRICE", properties=props).collect())
+    assert got == [("a", 3.5), ("b", 3.0)]

@@ -108,3 +108,50 @@ def test_state_kinds(spark, sensors):
     s1 = sorted((r.previous or -1.0, r.list_size, r.had_marker, r.running_max)
                 for r in got.filter("id = 'sensor_1'").collect())
     assert s1 == [(-1.0, 1, False, 35.6), (35.6, 1, True, 39.6), (39.6, 1, True, 39.6)]
+
+
+def _late_rows(spark):
+    # seq, id, event time (s), temperature: the fourth row moves the
+    # watermark far ahead, the fifth is then too late for its window
+    return (spark.createDataFrame([(1, "s", 0, 5.0), (2, "s", 20, 6.0), (3, "s", 3, 4.0), (4, "s", 90, 7.0),
+                                   (5, "s", 2, 1.0)], "event_id long, id string, t long, temperature double")
+            .withColumn("ts", F.timestamp_seconds("t")).drop("t"))
+
+
+def test_late_side_output_stream(spark):
+    from tidewater.operators.late import split_late_stream
+    df = _late_rows(spark)
+    src = as_stream(spark, df, 5)
+    on_time, late, state = (scratch_path(spark, n) for n in ("ontime", "late", "lstate"))
+    q = split_late_stream(src, "ts", 15, 3, 60, on_time, late, state, scratch_path(spark, "ckpt"))
+    q.awaitTermination()
+    assert [r.event_id for r in spark.read.parquet(late).collect()] == [5]
+    assert spark.read.parquet(on_time).count() == 4
+
+
+def test_allowed_lateness_updates_stream(spark):
+    """Late-but-allowed rows update their window; too-late rows go to the
+    side output and never re-open a window.  (Spark's own update mode can
+    re-create an evicted window for a row behind the watermark, so the
+    too-late rows are split off first.)"""
+    from tidewater.operators.late import split_late_stream
+    df = _late_rows(spark)
+    on_time, late, state = (scratch_path(spark, n) for n in ("ontime", "late", "lstate"))
+    split_late_stream(as_stream(spark, df, 5), "ts", 15, 3, 60, on_time, late, state,
+                      scratch_path(spark, "ckpt")).awaitTermination()
+    agg = TW.tumble(spark.read.parquet(on_time), ["id"], "ts", "15 seconds", [F.min("temperature").alias("m")])
+    assert sorted((int(r.window_start.timestamp()), r.m) for r in agg.collect()) == [(0, 4.0), (15, 6.0), (90, 7.0)]
+
+
+def test_window_join_stream(spark):
+    g = (spark.createDataFrame([(1, "tom", 0, 3), (2, "tom", 1999, 4), (3, "bob", 2000, 5)],
+                               "event_id long, name string, ms long, grade int")
+         .withColumn("gts", F.timestamp_millis("ms")).drop("ms"))
+    s = (spark.createDataFrame([(1, "tom", 500, 100), (2, "bob", 1999, 200), (3, "bob", 3999, 300)],
+                               "event_id long, name string, ms long, salary int")
+         .withColumn("sts", F.timestamp_millis("ms")).drop("ms"))
+    gs = as_stream(spark, g, 2).withWatermark("gts", "1 second").drop("event_id")
+    ss = as_stream(spark, s, 2).withWatermark("sts", "1 second").drop("event_id")
+    got = collect_stream(spark, TW.window_join(gs, ss, "name", "gts", "sts", "2 seconds")
+                         .select("name", "grade", "salary"))
+    assert keyset(got, ["name", "grade", "salary"]) == [("bob", 5, 300), ("tom", 3, 100), ("tom", 4, 100)]

@@ -40,3 +40,46 @@ def split_late(df: DataFrame, ts: str, arrival_order: list[str], arrival_bucket:
     """``(on_time, too_late)``; on-time rows include the late-but-allowed ones."""
     m = mark_late(df, ts, arrival_order, arrival_bucket, size_seconds, delay_seconds, lateness_seconds, "__late")
     return m.filter(~F.col("__late")).drop("__late"), m.filter(F.col("__late")).drop("__late")
+
+
+def split_late_stream(stream: DataFrame, ts: str, size_seconds: int, delay_seconds: int,
+                      lateness_seconds: int, on_time_path: str, late_path: str, state_path: str,
+                      checkpoint: str, trigger: dict | None = None):
+    """Streaming side output for too-late rows.
+
+    Spark's watermark advances once per micro-batch, so the rule is applied
+    with the maximum event time of all *earlier batches*.  That maximum is a
+    one-row table versioned by ``batch_id`` below ``state_path``; both
+    outputs are written into ``batch_id=`` folders, so a replayed batch
+    overwrites exactly what it wrote before (idempotent sink)."""
+    size_us, delay_us, late_us = (x * 1_000_000 for x in (size_seconds, delay_seconds, lateness_seconds))
+    spark = stream.sparkSession
+
+    def prev_max(batch_id: int):
+        if batch_id == 0:
+            return None
+        try:
+            return spark.read.parquet(f"{state_path}/v={batch_id - 1:08d}").first()[0]
+        except Exception:  # no earlier version (empty history)
+            return None
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        m = prev_max(batch_id)
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        win_end = (F.floor(us / F.lit(size_us)) + 1) * F.lit(size_us)
+        late = (F.lit(False) if m is None else (win_end + F.lit(late_us) <= F.lit(m - delay_us)))
+        tagged = batch.withColumn("__late", late).persist()
+        try:
+            tagged.filter(~F.col("__late")).drop("__late").write.mode("overwrite").parquet(
+                f"{on_time_path}/batch_id={batch_id}")
+            tagged.filter(F.col("__late")).drop("__late").write.mode("overwrite").parquet(
+                f"{late_path}/batch_id={batch_id}")
+            bmax = tagged.agg(F.max(us)).first()[0]
+        finally:
+            tagged.unpersist()
+        new = max(v for v in (m, bmax) if v is not None) if (m is not None or bmax is not None) else None
+        spark.createDataFrame([(new,)], "max_us long").coalesce(1).write.mode("overwrite").parquet(
+            f"{state_path}/v={batch_id:08d}")
+
+    w = stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

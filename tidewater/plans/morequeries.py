@@ -122,13 +122,14 @@ def sink_stream_files(spark, sf):
 @query
 def stream_wordcount(spark, sf):
     from tidewater.streaming.runner import replay_as_files, run_keyed_updates
-    lines = _t(spark, sf, "documents").select("doc_id", "text")
-    src = replay_as_files(spark, lines, "doc_id", 3, scratch_path(spark, "docs-replay"), fmt="parquet")
-    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    # a line reader over each document, then the socket word count: split on
-    # single spaces, empty tokens included, no lower-casing
-    st_lines = stream.select(F.explode(F.split("text", "\r\n|\r|\n")).alias("line")).filter(F.col("line") != "")
-    counts = (st_lines.select(F.explode(T.split_drop_trailing("line", T.SPACE)).alias("word"))
+    docs = _t(spark, sf, "documents").select("doc_id", "text")
+    # the documents as text files, replayed in doc_id order; a line reader
+    # stream over them feeds the word count
+    src = replay_as_files(spark, docs, "doc_id", 3, scratch_path(spark, "docs-text"), fmt="text",
+                          columns=["text"])
+    lines = RD.read_lines(spark, src, streaming=True, max_files_per_trigger=1).filter(F.col("value") != "")
+    # split on single spaces, empty tokens included, no lower-casing
+    counts = (lines.select(F.explode(T.split_drop_trailing("value", T.SPACE)).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
     return run_keyed_updates(spark, counts, ["word"], scratch_path(spark, "wordcount-state"))
 

@@ -21,11 +21,13 @@ from tidewater.session import scratch_path
 
 
 def replay_as_files(spark: SparkSession, df: DataFrame, order_col: str, n: int, path: str,
-                    fmt: str = "parquet") -> str:
-    """Write ``df`` as ``n`` consecutive chunks of ``order_col`` ranges."""
+                    fmt: str = "parquet", columns: list[str] | None = None) -> str:
+    """Write ``df`` as ``n`` consecutive chunks of ``order_col`` ranges
+    (only ``columns``, if given -- e.g. the one string column of a text
+    file)."""
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     if lo is None:
-        df.limit(0).write.mode("overwrite").format(fmt).save(f"{path}/c00000")
+        df.select(*(columns or df.columns)).limit(0).write.mode("overwrite").format(fmt).save(f"{path}/c00000")
         return path
     span = (hi - lo) / n if n else 1
     for i in range(n):
@@ -33,7 +35,8 @@ def replay_as_files(spark: SparkSession, df: DataFrame, order_col: str, n: int,
         b = lo + span * (i + 1)
         cond = (F.col(order_col) >= F.lit(a)) & ((F.col(order_col) < F.lit(b)) if i < n - 1
                                                   else (F.col(order_col) <= F.lit(hi)))
-        (df.filter(cond).coalesce(1).write.mode("overwrite").format(fmt).save(f"{path}/c{i:05d}"))
+        (df.filter(cond).select(*(columns or df.columns)).coalesce(1)
+         .write.mode("overwrite").format(fmt).save(f"{path}/c{i:05d}"))
     return f"{path}/c*"
 
 
