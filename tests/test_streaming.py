@@ -155,3 +155,39 @@ def test_window_join_stream(spark):
     got = collect_stream(spark, TW.window_join(gs, ss, "name", "gts", "sts", "2 seconds")
                          .select("name", "grade", "salary"))
     assert keyset(got, ["name", "grade", "salary"]) == [("bob", 5, 300), ("tom", 3, 100), ("tom", 4, 100)]
+
+
+def test_rows_frame_stream_equals_batch(spark, readings):
+    from tidewater.streaming.stateful import rows_frame_stream
+    bucket = S.time_bucket("ts", 6 * 3600)
+    batch = K.rows_frame(readings, ["id"], ORDER, bucket, 2,
+                         {"cnt": lambda w: F.count("id").over(w),
+                          "avg_value": lambda w: F.round(F.avg("temperature").over(w), 6)})
+    got = collect_stream(spark, rows_frame_stream(as_stream(spark, readings), "id", ORDER, "temperature", 2,
+                                                  ["event_id"])).withColumn("avg_value", F.round("avg_value", 6))
+    cols = ["event_id", "id", "cnt", "avg_value"]
+    assert keyset(got, cols) == keyset(batch, cols)
+
+
+def test_count_window_stream_equals_batch(spark):
+    from tidewater.operators import countwindows as CW
+    e = table(spark, SF, "events").select("event_type", "event_id", "value")
+    batch = CW.sliding_count_window_sum(e, ["event_type"], ["event_id"], S.seq_bucket("event_id", 100),
+                                        "value", size=25, slide=15)
+    got = collect_stream(spark, CW.sliding_count_window_sum(as_stream(spark, e), ["event_type"], ["event_id"],
+                                                            None, "value", size=25, slide=15))
+    cols = ["event_type", "n", "total"]
+    assert keyset(got.withColumn("total", F.round("total", 6)), cols) == keyset(batch, cols)
+    assert got.count() > 0
+
+
+def test_running_reduce_stream(spark, sensors):
+    from tidewater.streaming.stateful import running_reduce_stream
+    df = sensors.select(F.col("seq").alias("event_id"), "id", "time_stamp", "temperature", "ts")
+
+    def keep_latest_step(acc, row):
+        return dict(row, time_stamp=acc["time_stamp"] + 10)
+
+    got = collect_stream(spark, running_reduce_stream(as_stream(spark, df, 2), "id", ORDER, keep_latest_step))
+    assert keyset(got.filter("id = 'sensor_1'"), ["time_stamp", "temperature"]) == [
+        (1612523073, 35.6), (1612523083, 39.6), (1612523093, 36.6)]

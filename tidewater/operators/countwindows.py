@@ -23,6 +23,10 @@ EXACT = "decimal(38,10)"
 
 def sliding_count_window_sum(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
                              value: str, size: int, slide: int, out: str = "total") -> DataFrame:
+    if df.isStreaming:
+        from tidewater.streaming.stateful import count_window_stream
+        (key,) = keys
+        return count_window_stream(df, key, order, value, size, slide).withColumnRenamed("total", out)
     d = df.select(*keys, *order, F.col(value).cast(EXACT).alias("__v"))
     ranked = S.running_agg(d, keys, order, bucket, [("__n", "__v", "count"), ("__p", "__v", "sum")])
     fire = ranked.filter(F.col("__n") % F.lit(slide) == 0).select(*keys, "__n", "__p")

@@ -212,3 +212,116 @@ def state_kinds_stream(df: DataFrame, key: str, value: str, order: list[str]) ->
         statefulProcessor=StateKindsProcessor(key, value, order),
         outputStructType=f"{key} {key_type}, previous double, list_size int, had_marker boolean, running_max double",
         outputMode="Append", timeMode="None")
+
+
+# ------------------------------------------------------ row frame (last k+1)
+class RowsFrameProcessor(StatefulProcessor):
+    """``count / sum / avg`` over ``ROWS BETWEEN k PRECEDING AND CURRENT ROW``
+    per key: list state keeps the previous ``k`` values."""
+
+    def __init__(self, key: str, value: str, order: list[str], preceding: int, carry: list[str]):
+        self.key, self.value, self.order, self.k, self.carry = key, value, order, preceding, carry
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.buf = handle.getListState("buf", "v double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted_rows(rows, self.order)
+        buf = [r[0] for r in self.buf.get()] if self.buf.exists() else []
+        cnt, sm = [], []
+        for v in pdf[self.value].to_numpy(dtype=float):
+            frame = buf[-self.k:] + [float(v)] if self.k else [float(v)]
+            cnt.append(len(frame))
+            sm.append(sum(frame))
+            buf = frame[-self.k:] if self.k else []
+        self.buf.put([(x,) for x in buf])
+        out = pdf[[self.key, *self.carry]].assign(cnt=cnt, total=sm)
+        yield out.assign(avg_value=out["total"] / out["cnt"])
+
+    def close(self) -> None:
+        pass
+
+
+def rows_frame_stream(df: DataFrame, key: str, order: list[str], value: str, preceding: int,
+                      carry: list[str]) -> DataFrame:
+    types = dict(df.dtypes)
+    fields = ", ".join(f"`{c}` {types[c]}" for c in [key, *carry])
+    return df.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=RowsFrameProcessor(key, value, order, preceding, carry),
+        outputStructType=f"{fields}, cnt long, total double, avg_value double",
+        outputMode="Append", timeMode="None")
+
+
+# ------------------------------------------------- sliding count window
+class CountWindowProcessor(StatefulProcessor):
+    """Every ``slide``-th row of a key emits the sum of its last ``size``
+    rows: a ring of at most ``size`` values in list state plus the row
+    count in value state."""
+
+    def __init__(self, key: str, value: str, order: list[str], size: int, slide: int):
+        self.key, self.value, self.order, self.size, self.slide = key, value, order, size, slide
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.buf = handle.getListState("ring", "v double")
+        self.n = handle.getValueState("n", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted_rows(rows, self.order)
+        buf = [r[0] for r in self.buf.get()] if self.buf.exists() else []
+        n = self.n.get()[0] if self.n.exists() else 0
+        out = []
+        for v in pdf[self.value].to_numpy(dtype=float):
+            n += 1
+            buf.append(float(v))
+            if len(buf) > self.size:
+                buf = buf[-self.size:]
+            if n % self.slide == 0:
+                out.append((key[0], n, sum(buf)))
+        self.buf.put([(x,) for x in buf])
+        self.n.update((n,))
+        if out:
+            yield pd.DataFrame(out, columns=[self.key, "n", "total"])
+
+    def close(self) -> None:
+        pass
+
+
+def count_window_stream(df: DataFrame, key: str, order: list[str], value: str, size: int, slide: int) -> DataFrame:
+    key_type = dict(df.dtypes)[key]
+    return df.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=CountWindowProcessor(key, value, order, size, slide),
+        outputStructType=f"{key} {key_type}, n long, total double", outputMode="Append", timeMode="None")
+
+
+# ------------------------------------------------ generic running reduce
+class RunningReduceProcessor(StatefulProcessor):
+    """Keyed running reduce with an arbitrary function ``fn(acc, row) ->
+    acc`` over dict rows; emits the accumulator after every input row."""
+
+    def __init__(self, order: list[str], fn, columns: list[str], state_schema: str):
+        self.order, self.fn, self.columns, self.state_schema = order, fn, columns, state_schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", self.state_schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted_rows(rows, self.order)
+        acc = dict(zip(self.columns, self.acc.get())) if self.acc.exists() else None
+        out = []
+        for rec in pdf[self.columns].to_dict("records"):
+            acc = rec if acc is None else self.fn(acc, rec)
+            out.append(dict(acc))
+        self.acc.update(tuple(acc[c] for c in self.columns))
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+def running_reduce_stream(df: DataFrame, key: str, order: list[str], fn) -> DataFrame:
+    """Streaming running reduce: output rows have the input's columns."""
+    schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+    return df.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=RunningReduceProcessor(order, fn, df.columns, schema),
+        outputStructType=schema, outputMode="Append", timeMode="None")
