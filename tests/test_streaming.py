@@ -191,3 +191,15 @@ def test_running_reduce_stream(spark, sensors):
     got = collect_stream(spark, running_reduce_stream(as_stream(spark, df, 2), "id", ORDER, keep_latest_step))
     assert keyset(got.filter("id = 'sensor_1'"), ["time_stamp", "temperature"]) == [
         (1612523073, 35.6), (1612523083, 39.6), (1612523093, 36.6)]
+
+
+def test_latest_model_stream_equals_batch(spark):
+    from tidewater.operators.joins import latest_model_predict_stream
+    from tidewater.plans.morequeries import latest_model_predict
+    e = table(spark, SF, "events").select("event_id", "ts", "value")
+    out = scratch_path(spark, "pred")
+    latest_model_predict_stream(as_stream(spark, e, 4), "event_id", "ts", "value", 3600, out,
+                                scratch_path(spark, "models"), scratch_path(spark, "ckpt")).awaitTermination()
+    got = spark.read.parquet(out)
+    cols = ["event_id", "model_ts", "prediction"]
+    assert keyset(got, cols) == keyset(latest_model_predict(spark, SF), cols)

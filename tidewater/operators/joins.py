@@ -95,3 +95,47 @@ def async_lookup(df: DataFrame, key_col: str, id_col: str, lookup: Callable[[obj
 def key_mod_label(k) -> str:
     """Sample lookup of the reference's client: ``"key" + (k % 10)``."""
     return "key" + str(int(k) % 10)
+
+
+def latest_model_predict_stream(stream: DataFrame, id_col: str, ts: str, value: str, window_seconds: int,
+                                out_path: str, model_path: str, checkpoint: str,
+                                trigger: dict | None = None):
+    """Streaming latest-model enrichment.  The model of a tumbling window is
+    the mean of ``value`` over it, available from the window's end; every
+    row is paired with the newest available model.
+
+    Per micro-batch (``foreachBatch``): the batch's per-window partial sums
+    and counts are merged into a small model table (one version per
+    ``batch_id``), then the batch's rows are as-of joined against it.  With
+    in-order input a window is complete before any row at or after its end
+    arrives, so predictions equal the batch result.  Outputs and model
+    versions are keyed by ``batch_id``, so a replayed batch rewrites them."""
+    spark = stream.sparkSession
+    w_us = window_seconds * 1_000_000
+
+    def models_before(batch_id: int):
+        if batch_id == 0:
+            return None
+        try:
+            return spark.read.parquet(f"{model_path}/v={batch_id - 1:08d}")
+        except Exception:  # nothing stored yet
+            return None
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        part = (batch.groupBy((F.floor(us / F.lit(w_us)) * F.lit(w_us)).alias("w_us"))
+                .agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("n")))
+        prev = models_before(batch_id)
+        merged = part if prev is None else (prev.unionByName(part).groupBy("w_us")
+                                            .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
+        merged.coalesce(1).write.mode("overwrite").parquet(f"{model_path}/v={batch_id:08d}")
+        models = (spark.read.parquet(f"{model_path}/v={batch_id:08d}")
+                  .select(F.timestamp_micros(F.col("w_us") + F.lit(w_us)).cast(dict(batch.dtypes)[ts])
+                          .alias("model_ts"),
+                          F.round(F.col("s") / F.col("n"), 6).alias("prediction")))
+        pred = asof_backward(batch.select(id_col, ts), ts, models, "model_ts", window_seconds)
+        pred.select(id_col, "model_ts", "prediction").write.mode("overwrite").parquet(
+            f"{out_path}/batch_id={batch_id}")
+
+    w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
