@@ -6,9 +6,9 @@
   (files out of event order make Spark drop rows behind the watermark).
 * ``run_available_now``: append-mode query into a file sink with a
   checkpoint; returns the sink folder.
-* ``run_keyed_updates``: update-mode query whose micro-batches are merged
-  into a keyed parquet table in ``foreachBatch`` (latest row per key wins),
-  versioned by ``batch_id`` so a replayed batch rewrites the same version.
+* ``run_keyed_updates``: update-mode query whose micro-batches are written
+  in ``foreachBatch`` as ``batch_id`` folders of a keyed table (merge on
+  read: latest row per key wins); a replayed batch rewrites its folder.
 
 Checkpoints and sink folders go below the shared ``spark.checkpoint.dir``.
 """
@@ -57,49 +57,34 @@ def run_available_now(stream: DataFrame, out_path: str, fmt: str = "parquet", mo
 
 def run_keyed_updates(spark: SparkSession, stream: DataFrame, keys: list[str], table_path: str,
                       checkpoint: str | None = None, timeout_s: float | None = None) -> DataFrame:
-    """Run an updating aggregate (update mode) to completion; each batch's
-    changed rows replace the stored rows of their keys.  Returns the final
-    table as a DataFrame."""
-    from tidewater.sinks.upsert import merge_latest
-
+    """Run an updating aggregate (update mode) to completion and return the
+    current table: the newest row per key.
+
+    Merge-on-read: each micro-batch writes only its changed rows into its
+    own ``batch_id=N`` folder (overwritten when a batch is replayed, so the
+    sink is idempotent); :func:`read_keyed_table` resolves the latest row
+    per key with a partial/final ``max_by`` aggregate.  Writing is
+    proportional to the changes, not to the table."""
     ckpt = checkpoint or scratch_path(spark, "ckpt")
-    state = {"last": -1}
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = None
-        if batch_id > 0:
-            prev = _latest_version(spark, table_path, batch_id)
-        cur = batch.withColumn("__batch", F.lit(batch_id))
-        if prev is not None:
-            prev = prev.withColumn("__batch", F.lit(-1))
-        merged = merge_latest(prev, cur, keys, ["__batch"]).drop("__batch")
-        merged.write.mode("overwrite").parquet(f"{table_path}/v={batch_id:08d}")
-        state["last"] = batch_id
-
-    q = (stream.writeStream.outputMode("update").foreachBatch(merge)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+
+    q = (stream.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.exception():
         raise q.exception()
-    return _latest_version(spark, table_path, None) if state["last"] >= 0 else stream.sparkSession.createDataFrame(
-        [], stream.schema)
-
-
-def _latest_version(spark: SparkSession, table_path: str, before: int | None) -> DataFrame | None:
-    """Newest complete version folder below ``table_path`` (strictly before
-    ``before`` when given), read through Spark's file listing."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return None
-    versions = []
-    for st in fs.listStatus(hpath):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = int(name[2:])
-            if before is None or v < before:
-                versions.append(v)
-    if not versions:
-        return None
-    return spark.read.parquet(f"{table_path}/v={max(versions):08d}")
+    return read_keyed_table(spark, table_path, keys, stream.schema)
+
+
+def read_keyed_table(spark: SparkSession, table_path: str, keys: list[str], schema=None) -> DataFrame:
+    """Latest row per key over all ``batch_id=`` folders of a keyed table."""
+    from tidewater.sinks.upsert import latest_per_key
+    try:
+        log = spark.read.parquet(table_path)
+    except Exception:  # nothing written yet
+        if schema is None:
+            raise
+        return spark.createDataFrame([], schema)
+    return latest_per_key(log, keys, ["batch_id"]).drop("batch_id")
