@@ -22,6 +22,17 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False,
     return spark.read.text(path)
 
 
+def rows(spark: SparkSession, data: list, schema: str | StructType) -> DataFrame:
+    """In-memory rows with an explicit schema (typed records, untyped rows,
+    NULLs and dates); meant for small literal inputs."""
+    return spark.createDataFrame(data, schema)
+
+
+def same_rows(df: DataFrame, expected: list[tuple]) -> bool:
+    """Result set equals ``expected`` as a set (collects: small results only)."""
+    return set(tuple(r) for r in df.collect()) == set(expected)
+
+
 def read_delimited(spark: SparkSession, path: str, schema: str | StructType, sep: str = ",",
                    positions: list[int] | None = None, header: bool = False) -> DataFrame:
     """Delimited text mapped onto ``schema``; with ``positions`` only those
