@@ -213,8 +213,9 @@ def test_top_speed_delta(spark):
                                  "car_id int, speed int, distance double, ms long")
     cars = (cars.withColumn("ts", F.timestamp_millis("ms")).withColumn("seq", F.col("ms"))
             .withColumn("dc", F.round(F.col("distance") * 100).cast("long")))
-    r = FO.top_speed_delta(cars, "car_id", "ts", "seq", "speed", "dc", threshold_cents=5000, evict_seconds=10)
-    assert rows(r, "speed", "distance", "seq") == [(55.0, 30.0, 1000), (60.0, 111.0, 14000)]
+    for op in (FO.top_speed_delta, FO.top_speed_delta_fold, FO.top_speed_delta_doubling):
+        r = op(cars, "car_id", "ts", "seq", "speed", "dc", threshold_cents=5000, evict_seconds=10)
+        assert rows(r, "speed", "distance", "seq") == [(55.0, 30.0, 1000), (60.0, 111.0, 14000)]
 
 
 def test_fibonacci(spark):
@@ -282,3 +283,18 @@ def test_sql_function_surface(spark, sensors):
     assert round(dict((r.id, r.a) for r in avg)["sensor_1"], 6) == 37.266667
     addr = spark.sql("SELECT normalize_address('2448 Rodney STreet', '85023', 'Phoenix') AS a").first().a
     assert addr == "2448 RODNEY STREET, 85023, PHOENIX"
+
+
+def test_top_speed_doubling_equals_fold_on_events(spark):
+    from tidewater.sources.tables import table
+    e = table(spark, "/root/testdata/sf0.001", "events").select(
+        F.col("user_id").alias("car_id"), "ts", "event_id", F.col("value").alias("speed"),
+        F.round(F.col("value") * 100).cast("long").alias("cents"))
+    d = S.running_agg(e, ["car_id"], ["ts", "event_id"], S.time_bucket("ts", 6 * 3600),
+                      [("dc", "cents", "sum")])
+    args = ("car_id", "ts", "event_id", "speed", "dc")
+    fold = FO.top_speed_delta_fold(d, *args, threshold_cents=5000, evict_seconds=36000)
+    par = FO.top_speed_delta_doubling(d, *args, threshold_cents=5000, evict_seconds=36000)
+    cols = ["car_id", "event_id", "speed", "distance", "time"]
+    assert rows(par, *cols) == rows(fold, *cols)
+    assert fold.count() > 0

@@ -107,8 +107,8 @@ def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket:
 
 
 # ------------------------------------------------- delta trigger + evictor
-def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
-                    threshold_cents: int, evict_seconds: int) -> DataFrame:
+def top_speed_delta_fold(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
+                         threshold_cents: int, evict_seconds: int) -> DataFrame:
     """Global window per key with a delta trigger and a time evictor.
 
     The first row of a key arms the trigger; a later row fires when its
@@ -117,6 +117,9 @@ def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, dist
     window holds the rows with ``ts > fire_ts - evict`` (up to the firing
     row) and the row with the highest speed is emitted (earliest on ties).
     Distances are integer cents so the comparison is exact.
+
+    Sequential form (one task per key, bounded memory); the parallel plan is
+    :func:`top_speed_delta`.
     """
     d = df.select(key, seq, F.unix_micros(F.col(ts).cast("timestamp")).alias("__us"),
                   F.col(speed).cast("double").alias("__sp"), F.col(distance_cents).cast("long").alias("__dc"))
@@ -160,3 +163,99 @@ def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, dist
                        f"{key} {types[key]}, {seq} {types[seq]}, __us long, __sp double, __dc long")
     return res.select(key, seq, F.col("__sp").alias("speed"), (F.col("__dc") / 100.0).alias("distance"),
                       F.timestamp_micros("__us").cast(types[ts]).alias("time"))
+
+
+# Largest key (rows) the sequential fold may give to one task.
+MAX_ROWS_PER_TASK = 5_000_000
+
+
+def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
+                    threshold_cents: int, evict_seconds: int, bucket: Column | None = None,
+                    max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
+    """Delta trigger + time evictor.  The size of the largest key is
+    measured first (one aggregate job): up to ``max_rows_per_task`` rows the
+    sorted fold runs (one task per key, bounded memory); above it the
+    parallel pointer-doubling plan runs, which never gives a key to a single
+    task.  Both are exact and give the same rows."""
+    largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    if largest <= max_rows_per_task:
+        return top_speed_delta_fold(df, key, ts, seq, speed, distance_cents, threshold_cents, evict_seconds)
+    return top_speed_delta_doubling(df, key, ts, seq, speed, distance_cents, threshold_cents, evict_seconds,
+                                    bucket)
+
+
+def top_speed_delta_doubling(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
+                             threshold_cents: int, evict_seconds: int, bucket: Column | None = None,
+                             partitions: int | None = None) -> DataFrame:
+    """Delta trigger + time evictor with no key processed by one task.
+
+    Distances are non-decreasing per key, so the row that fires after row
+    ``i`` is ``next(i) = 1 + max{n : d_n <= d_i + T}`` -- a running maximum
+    over a merged sequence of distance points and queries.  The firing rows
+    are the chain ``1 -> next(1) -> ...``, found by pointer doubling
+    (``R <- R + J(R)``, ``J <- J o J``) in O(log chain length) rounds of
+    equi-joins, each round checkpointed below the shared checkpoint folder.
+    The emitted row per firing is the top speed among rows with
+    ``fire_ts - evict < ts <= fire_ts`` (earliest on ties), found through
+    time buckets of the evictor width.  Same output as
+    :func:`top_speed_delta_fold`.
+    """
+    from tidewater.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    base = df.select(key, seq, us.alias("__us"), F.col(speed).cast("double").alias("__sp"),
+                     F.col(distance_cents).cast("long").alias("__dc"))
+    bkt = bucket if bucket is not None else F.floor(F.col("__us") / F.lit(6 * 3600 * 1_000_000))
+    numbered = S.running_agg(base.withColumn("__tb", bkt), [key], ["__us", seq], F.col("__tb"),
+                             [("__n", F.lit(1), "count")]).drop("__tb").checkpoint()
+
+    # next pointers: merged points (kind 0) and queries d + T (kind 1),
+    # range-partitioned so that a hot key spans several buckets
+    pts = numbered.select(key, F.col("__dc").alias("__v"), F.lit(0).alias("__kind"),
+                          F.col("__n").alias("__m"), F.lit(None).cast("long").alias("__q"))
+    qs = numbered.select(key, (F.col("__dc") + F.lit(threshold_cents)).alias("__v"), F.lit(1).alias("__kind"),
+                         F.lit(None).cast("long").alias("__m"), F.col("__n").alias("__q"))
+    merged = (pts.unionByName(qs).withColumn("__ord", F.coalesce("__m", "__q"))
+              .repartitionByRange(nparts, key, "__v", "__kind", "__ord")
+              .withColumn("__rb", F.spark_partition_id()).checkpoint())
+    scanned = S.running_agg(merged, [key], ["__v", "__kind", "__ord"], F.col("__rb"),
+                            [("__maxn", "__m", "max")])
+    jump = (scanned.filter(F.col("__kind") == 1)
+            .select(key, F.col("__q").alias("n"), (F.col("__maxn") + 1).alias("j")).checkpoint())
+
+    reached = numbered.filter(F.col("__n") == 1).select(key, F.col("__n").alias("n")).checkpoint()
+    size = reached.count()
+    while True:
+        step = reached.join(jump, [key, "n"]).filter(F.col("j").isNotNull()).select(key, F.col("j").alias("n"))
+        grown = reached.unionByName(step).distinct().checkpoint()
+        new_size = grown.count()
+        if new_size == size:
+            break
+        a, b = jump.alias("a"), jump.alias("b")
+        jump = (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.j") == F.col("b.n")), "left")
+                .select(F.col(f"a.{key}").alias(key), F.col("a.n").alias("n"), F.col("b.j").alias("j"))
+                .checkpoint())
+        reached, size = grown, new_size
+
+    # only existing rows can fire (a pointer past the last row ends the chain)
+    fires = (reached.filter(F.col("n") > 1)
+             .join(numbered.select(key, F.col("__n").alias("n"), F.col("__us").alias("__fus"),
+                                   F.col(seq).alias("__fseq")), [key, "n"]))
+    ev = evict_seconds * 1_000_000
+    fires = fires.withColumn("__b", F.floor(F.col("__fus") / F.lit(ev)))
+    rows = numbered.withColumn("__b", F.explode(F.array(F.floor(F.col("__us") / F.lit(ev)),
+                                                        F.floor(F.col("__us") / F.lit(ev)) + 1)))
+    cand = (fires.join(rows, [key, "__b"])
+            .filter((F.col("__us") > F.col("__fus") - F.lit(ev))
+                    & ((F.col("__us") < F.col("__fus"))
+                       | ((F.col("__us") == F.col("__fus")) & (F.col(seq) <= F.col("__fseq"))))))
+    rec = F.struct(F.col(seq).alias("s"), F.col("__us").alias("u"), F.col("__sp").alias("sp"),
+                   F.col("__dc").alias("dc"))
+    best = cand.groupBy(key, "n").agg(
+        F.max_by(rec, F.struct(F.col("__sp"), -F.col("__us"), -F.col(seq))).alias("r"))
+    ts_type = dict(df.dtypes)[ts]
+    return best.select(key, F.col("r.s").alias(seq), F.col("r.sp").alias("speed"),
+                       (F.col("r.dc") / 100.0).alias("distance"),
+                       F.timestamp_micros(F.col("r.u")).cast(ts_type).alias("time"))
