@@ -36,6 +36,24 @@ def time_bucket(col: str | Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
+def balanced_bucket(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None,
+                    name: str = "_rbkt") -> tuple[DataFrame, Column]:
+    """Buckets that are balanced whatever the key or time distribution:
+    range-partition on ``keys + order`` (Spark samples the boundaries) and
+    use the partition index, which is non-decreasing along the order within
+    every key.  The result is checkpointed below the shared checkpoint
+    folder so every later branch of the plan sees the same buckets.
+    Returns ``(df_with_bucket, bucket_column)``."""
+    from tidewater.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = (df.repartitionByRange(n, *keys, *order)
+           .withColumn(name, F.spark_partition_id().cast("long"))
+           .checkpoint())
+    return out, F.col(name)
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
     r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
                      *[c for c in right.columns if c not in cols])
