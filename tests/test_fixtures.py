@@ -311,3 +311,26 @@ def test_balanced_bucket_hot_key(spark):
     got = S.running_agg(b, ["key"], ["seq"], col, [("s", "v", "sum")])
     ref = df.withColumn("s", F.sum("v").over(Window.partitionBy("key").orderBy("seq")))
     assert rows(got, "seq", "s") == rows(ref, "seq", "s")
+
+
+# The embedded k-means sample (4 centroids, 40 points).
+KMEANS_CENTROIDS = [(1, -31.85, -44.77), (2, 35.16, 17.46), (3, -5.16, 21.93), (4, -24.06, 6.81)]
+KMEANS_POINTS = [
+    (-14.22, -48.01), (-22.78, 37.10), (56.18, -42.99), (35.04, 50.29), (-9.53, -46.26),
+    (-34.35, 48.25), (55.82, -57.49), (21.03, 54.64), (-13.63, -42.26), (-36.57, 32.63),
+    (50.65, -52.40), (24.48, 34.04), (-2.69, -36.02), (-38.80, 36.58), (24.00, -53.74),
+    (32.41, 24.96), (-4.32, -56.92), (-22.68, 29.42), (59.02, -39.56), (24.47, 45.07),
+    (5.23, -41.20), (-23.00, 38.15), (44.55, -51.50), (14.62, 59.06), (7.41, -56.05),
+    (-26.63, 28.97), (47.37, -44.72), (29.07, 51.06), (0.59, -31.89), (-39.09, 20.78),
+    (42.97, -48.98), (34.36, 49.08), (-21.91, -49.01), (-46.68, 46.04), (48.52, -43.67),
+    (30.05, 49.25), (4.03, -43.56), (-37.85, 41.72), (38.24, -48.32), (20.83, 57.85),
+]
+
+
+def test_kmeans_sample_ten_rounds(spark):
+    pts = spark.createDataFrame([([x, y],) for x, y in KMEANS_POINTS], "v array<double>")
+    cents = IT.kmeans(pts, "v", [(c, [x, y]) for c, x, y in KMEANS_CENTROIDS], iterations=10)
+    got = {c: (round(v[0], 3), round(v[1], 3)) for c, v in cents}
+    assert got == {1: (-4.904, -45.118), 2: (46.732, -48.337), 3: (26.636, 47.53), 4: (-32.843, 35.964)}
+    sizes = IT.kmeans_assign(pts, "v", cents).groupBy("cluster_id").count()
+    assert sorted(r["count"] for r in sizes.collect()) == [10, 10, 10, 10]
