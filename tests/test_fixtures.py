@@ -334,3 +334,83 @@ def test_kmeans_sample_ten_rounds(spark):
     assert got == {1: (-4.904, -45.118), 2: (46.732, -48.337), 3: (26.636, 47.53), 4: (-32.843, 35.964)}
     sizes = IT.kmeans_assign(pts, "v", cents).groupBy("cluster_id").count()
     assert sorted(r["count"] for r in sizes.collect()) == [10, 10, 10, 10]
+
+
+# The embedded word-count text (35 lines of verse).
+VERSE = [
+    "To be, or not to be,--that is the question:--",
+    "Whether 'tis nobler in the mind to suffer",
+    "The slings and arrows of outrageous fortune",
+    "Or to take arms against a sea of troubles,",
+    "And by opposing end them?--To die,--to sleep,--",
+    "No more; and by a sleep to say we end",
+    "The heartache, and the thousand natural shocks",
+    "That flesh is heir to,--'tis a consummation",
+    "Devoutly to be wish'd. To die,--to sleep;--",
+    "To sleep! perchance to dream:--ay, there's the rub;",
+    "For in that sleep of death what dreams may come,",
+    "When we have shuffled off this mortal coil,",
+    "Must give us pause: there's the respect",
+    "That makes calamity of so long life;",
+    "For who would bear the whips and scorns of time,",
+    "The oppressor's wrong, the proud man's contumely,",
+    "The pangs of despis'd love, the law's delay,",
+    "The insolence of office, and the spurns",
+    "That patient merit of the unworthy takes,",
+    "When he himself might his quietus make",
+    "With a bare bodkin? who would these fardels bear,",
+    "To grunt and sweat under a weary life,",
+    "But that the dread of something after death,--",
+    "The undiscover'd country, from whose bourn",
+    "No traveller returns,--puzzles the will,",
+    "And makes us rather bear those ills we have",
+    "Than fly to others that we know not of?",
+    "Thus conscience does make cowards of us all;",
+    "And thus the native hue of resolution",
+    "Is sicklied o'er with the pale cast of thought;",
+    "And enterprises of great pith and moment,",
+    "With this regard, their currents turn awry,",
+    "And lose the name of action.--Soft you now!",
+    "The fair Ophelia!--Nymph, in thy orisons",
+    "Be all my sins remember'd.",
+]
+
+
+def test_verse_wordcount_and_count_window(spark):
+    lines = spark.createDataFrame(list(enumerate(VERSE)), "line_no long, line string")
+    toks = (lines.select("line_no", F.posexplode(T.words("line", keep_empty=False)).alias("pos", "word"))
+            .withColumn("one", F.lit(1.0)))
+    assert toks.count() == 287
+    counts = dict((r.word, r["count"]) for r in toks.groupBy("word").count().collect())
+    assert len(counts) == 170
+    assert [counts[w] for w in ("the", "to", "of", "and", "that", "a")] == [22, 15, 15, 12, 7, 5]
+    # sliding count window 250 / 150 per word: no word reaches 150 rows
+    toks = toks.withColumn("seq", F.col("line_no") * 1000 + F.col("pos"))
+    assert CW.sliding_count_window_sum(toks, ["word"], ["seq"], S.seq_bucket("seq", 5000), "one",
+                                       size=250, slide=150).count() == 0
+
+
+def test_english_tweets_running_counts(spark):
+    from tidewater.sources.readers import parse_json
+    tweets = ['{"text": "Apache Flink", "user": {"lang": "en"}}'] * 3 + [
+        '{"text": "Apache Flink", "user": {"lang": "de"}}',   # not English
+        '{"text": "Apache Flink"}',                            # no user
+        '{"user": {"lang": "en"}}']                            # no text
+    df = spark.createDataFrame(list(enumerate(tweets)), "seq long, value string")
+    parsed = df.select("seq", F.col("value")).withColumn("j", F.from_json("value", "text string, user struct<lang: string>"))
+    english = parsed.filter((F.col("j.user.lang") == "en") & F.col("j.text").isNotNull())
+    toks = english.select("seq", F.posexplode(F.split(F.col("j.text"), "[ \t\n\r\f]+")).alias("pos", "t")) \
+        .select("seq", "pos", F.lower("t").alias("word"))
+    r = K.running_count(toks, ["word"], ["seq", "pos"], S.seq_bucket("seq", 1), "n")
+    assert rows(r, "word", "n") == [("apache", 1), ("apache", 2), ("apache", 3),
+                                    ("flink", 1), ("flink", 2), ("flink", 3)]
+    assert parse_json(df, "value", "text string").count() == 6
+
+
+def test_word_frequency_sql_and_having(spark):
+    words = spark.createDataFrame([("hello", 1), ("hello", 1), ("ciao", 1)], "word string, frequency long")
+    words.createOrReplaceTempView("word_counts")
+    total = spark.sql("SELECT word, SUM(frequency) AS frequency FROM word_counts GROUP BY word")
+    assert rows(total, "word", "frequency") == [("ciao", 1), ("hello", 2)]
+    having = words.groupBy("word").agg(F.sum("frequency").alias("frequency")).filter(F.col("frequency") == 2)
+    assert rows(having, "word", "frequency") == [("hello", 2)]
