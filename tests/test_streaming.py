@@ -203,3 +203,33 @@ def test_latest_model_stream_equals_batch(spark):
     got = spark.read.parquet(out)
     cols = ["event_id", "model_ts", "prediction"]
     assert keyset(got, cols) == keyset(latest_model_predict(spark, SF), cols)
+
+
+def test_fibonacci_loop_on_stream(spark):
+    from tidewater.operators import iterate as IT
+    df = spark.createDataFrame([(1, 10, 7), (2, 1, 1), (3, 49, 49)], "event_id long, a int, b int")
+    got = collect_stream(spark, as_stream(spark, df, 2).select(
+        "event_id", IT.fibonacci_steps(F.col("a"), F.col("b"), 100).alias("n")))
+    assert keyset(got, ["event_id", "n"]) == [(1, 5), (2, 10), (3, 2)]
+
+
+def test_async_lookup_results_and_failure(spark):
+    from tidewater.operators.joins import async_lookup
+
+    def slow_label(k):
+        import time
+        time.sleep(0.002 * (k % 3))
+        return "key" + str(int(k) % 10)
+
+    def failing_lookup(k):
+        if k == 77:
+            raise RuntimeError("lookup failed")
+        return "ok"
+
+    df = spark.range(0, 200).select(F.col("id").alias("rid"), (F.col("id") * 7).alias("k")).repartition(2)
+    for ordered in (True, False):
+        got = async_lookup(df, "k", "rid", slow_label, capacity=5, ordered=ordered).collect()
+        assert sorted((r.rid, r.result) for r in got) == [(i, "key" + str((i * 7) % 10)) for i in range(200)]
+    # a failed lookup fails the task (and the job after retries)
+    with pytest.raises(Exception):
+        async_lookup(df, "k", "rid", failing_lookup, capacity=5).collect()

@@ -20,6 +20,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewater.session import scratch_path
 
 
+def tolerate_idle_inputs(spark: SparkSession) -> None:
+    """Multi-input stream queries (joins, unions) follow the fastest input's
+    watermark instead of the slowest, so an idle source does not hold the
+    others back.  Set before the query starts."""
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
+
+
 def replay_as_files(spark: SparkSession, df: DataFrame, order_col: str, n: int, path: str,
                     fmt: str = "parquet", columns: list[str] | None = None) -> str:
     """Write ``df`` as ``n`` consecutive chunks of ``order_col`` ranges
