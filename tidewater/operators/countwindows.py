@@ -30,7 +30,10 @@ def sliding_count_window_sum(df: DataFrame, keys: list[str], order: list[str], b
     d = df.select(*keys, *order, F.col(value).cast(EXACT).alias("__v"))
     ranked = S.running_agg(d, keys, order, bucket, [("__n", "__v", "count"), ("__p", "__v", "sum")])
     fire = ranked.filter(F.col("__n") % F.lit(slide) == 0).select(*keys, "__n", "__p")
-    lower = ranked.select(*keys, (F.col("__n") + F.lit(size)).alias("__n"), F.col("__p").alias("__lo"))
+    # only rows whose n + size is a firing position can be a lower bound, so
+    # both join sides hold about 1/slide of the rows
+    lower = (ranked.filter((F.col("__n") + F.lit(size)) % F.lit(slide) == 0)
+             .select(*keys, (F.col("__n") + F.lit(size)).alias("__n"), F.col("__p").alias("__lo")))
     j = fire.join(lower, keys + ["__n"], "left")
     total = (F.col("__p") - F.coalesce(F.col("__lo"), F.lit(0).cast(EXACT))).cast("double")
     return j.select(*keys, F.col("__n").alias("n"), F.round(total, 6).alias(out))
