@@ -54,11 +54,12 @@ def top_n_filled(df: DataFrame, keys: list[str], value: str, n: int = 2, floor:
     top = (df.select(*keys, value)
            .withColumn("__rk", F.row_number().over(w))
            .filter(F.col("__rk") <= n))
-    ranks = F.explode(F.sequence(F.lit(1), F.lit(n))).alias(rank_name)
-    slots = top.select(*keys).distinct().select(*keys, ranks)
-    joined = slots.join(top.withColumnRenamed("__rk", rank_name), keys + [rank_name], "left")
-    v = F.greatest(F.coalesce(F.col(value), F.lit(floor)), F.lit(floor))
-    return joined.select(*keys, v.cast("double").alias(value_name), F.col(rank_name).cast("int"))
+    # at most n entries per key (bounded); the aggregate reuses the window's
+    # partitioning, so the whole operator has one exchange
+    slots = top.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__rk", value))).alias("__m"))
+    out = slots.select(*keys, "__m", F.explode(F.sequence(F.lit(1), F.lit(n))).alias(rank_name))
+    v = F.greatest(F.coalesce(F.element_at("__m", F.col(rank_name)), F.lit(floor)), F.lit(floor))
+    return out.select(*keys, v.cast("double").alias(value_name), F.col(rank_name).cast("int"))
 
 
 def avg_temp(col) -> Column:
