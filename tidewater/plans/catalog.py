@@ -120,9 +120,12 @@ def connect_comap(spark, sf):
 
 # --------------------------------------------------------------- word counts
 def doc_words(spark, sf, pattern=T.WORD_SEPARATOR, lower=True) -> DataFrame:
-    """Non-empty tokens of every document."""
+    """Non-empty tokens of every document.  Empty tokens are removed as rows
+    after the explode (plain codegen), which also makes the JVM trailing-
+    empty rule irrelevant."""
     d = _t(spark, sf, "documents")
-    return d.select(F.explode(T.words("text", pattern, lower, keep_empty=False)).alias("word"))
+    text = F.lower("text") if lower else F.col("text")
+    return d.select(F.explode(F.split(text, pattern)).alias("word")).filter(F.col("word") != "")
 
 
 @query
@@ -160,8 +163,11 @@ def tokenize_variants(spark, sf):
                 ("semicolon", T.SEMICOLON, False, False)]
     parts = []
     for name, pat, lower, drop_empty in variants:
-        tok = lines.select(F.lit(name).alias("variant"),
-                           F.explode(T.words("line", pat, lower, keep_empty=not drop_empty)).alias("token"))
+        if drop_empty:   # plain split; empty tokens are dropped as rows below
+            arr = F.split(F.lower("line") if lower else F.col("line"), pat)
+        else:
+            arr = T.words("line", pat, lower)
+        tok = lines.select(F.lit(name).alias("variant"), F.explode(arr).alias("token"))
         if drop_empty:
             tok = tok.filter(F.col("token") != "")
         parts.append(tok)
