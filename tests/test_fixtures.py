@@ -414,3 +414,10 @@ def test_word_frequency_sql_and_having(spark):
     assert rows(total, "word", "frequency") == [("ciao", 1), ("hello", 2)]
     having = words.groupBy("word").agg(F.sum("frequency").alias("frequency")).filter(F.col("frequency") == 2)
     assert rows(having, "word", "frequency") == [("hello", 2)]
+
+
+def test_counter_timestamps_window_all(spark):
+    df = spark.range(0, 1000).withColumnRenamed("id", "seq").withColumn("v", F.lit(1.0))
+    t = TW.counter_timestamps(df, "seq", step_ms=10)
+    r = TW.tumble(t, [], "ts", "5 seconds", [F.count(F.lit(1)).alias("n")])
+    assert sorted(x.n for x in r.collect()) == [500, 500]

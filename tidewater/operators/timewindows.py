@@ -19,6 +19,14 @@ def _interval_seconds(spec: str) -> int:
     return int(float(n) * mult)
 
 
+def counter_timestamps(df: DataFrame, seq: str, step_ms: int = 10, start_ms: int = 0,
+                       out: str = "ts") -> DataFrame:
+    """Event time made by a counter (``start + step * seq`` milliseconds),
+    as the punctuated-watermark sample does; with the rows replayed in
+    ``seq`` order the stream's watermark advances with every micro-batch."""
+    return df.withColumn(out, F.timestamp_millis(F.lit(start_ms) + F.col(seq) * F.lit(step_ms)))
+
+
 def tumble(df: DataFrame, keys: list[str], ts: str, size: str, aggs: list[Column]) -> DataFrame:
     """Keyed tumbling window aggregate; output has ``window_start`` /
     ``window_end`` next to the keys."""

@@ -91,14 +91,18 @@ def json_documents(spark, sf):
 
 @query
 def catalog_roundtrip(spark, sf):
+    """Database -> table in the session catalog: create a database and a
+    parquet table in it, list its tables, insert a query result, read it."""
     import uuid
+    db = "tidewater_catalog"
     name = f"customer_copy_{uuid.uuid4().hex[:8]}"
-    loc = scratch_path(spark, name)
-    spark.sql(f"CREATE TABLE {name} (id BIGINT, name STRING, balance DOUBLE) USING parquet LOCATION '{loc}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
+    spark.sql(f"CREATE TABLE {db}.{name} (id BIGINT, name STRING, balance DOUBLE) USING parquet "
+              f"LOCATION '{scratch_path(spark, name)}'")
     c = _t(spark, sf, "customer")
-    spark.sql(f"INSERT INTO {name} SELECT c_custkey, c_name, c_acctbal FROM {{c}}", c=c)
-    assert spark.sql("SHOW TABLES").filter(F.col("tableName") == name).count() == 1
-    return spark.table(name)
+    spark.sql(f"INSERT INTO {db}.{name} SELECT c_custkey, c_name, c_acctbal FROM {{c}}", c=c)
+    assert spark.sql(f"SHOW TABLES IN {db}").filter(F.col("tableName") == name).count() == 1
+    return spark.table(f"{db}.{name}")
 
 
 @query
