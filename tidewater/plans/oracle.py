@@ -238,7 +238,8 @@ SELECT event_id, id,
   CAST(floor(epoch(first_value(ts) OVER w)) AS BIGINT) + 10 * (row_number() OVER w - 1) AS time_stamp, temperature
 FROM {SENSOR} s WINDOW w AS (PARTITION BY id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"""
 ORACLE["running_wordcount"] = r"""
-SELECT doc_id, pos, word, count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS cnt
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, word,
+       count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS cnt
 FROM (SELECT doc_id, unnest(t) AS word, unnest(generate_series(0, len(t) - 1)) AS pos
       FROM (SELECT doc_id, string_split_regex(lower(text), '\W+') AS t FROM documents) a) b
 WHERE word <> ''"""
