@@ -19,8 +19,8 @@ def asof_backward(data: DataFrame, ts: str, right: DataFrame, right_ts: str, buc
     ``right_ts`` must be unique.
 
     ``right`` is a small, slowly changing table (models).  Each right row
-    gets its validity interval ``[right_ts, next right_ts)`` (the last one
-    ends after the newest data row); intervals are cut into time buckets, so
+    gets its validity interval ``[right_ts, next right_ts)`` (the last one is
+    open-ended); intervals are cut into time buckets, so
     the join is an equi-join on the bucket plus a range filter -- no
     nested-loop join.  The expanded right side is broadcast only when it has
     at most ``max_broadcast_rows`` rows; otherwise the same join shuffles.
@@ -30,18 +30,20 @@ def asof_backward(data: DataFrame, ts: str, right: DataFrame, right_ts: str, buc
     def us(c):
         return F.unix_micros(F.col(c).cast("timestamp"))
 
-    d = data.withColumn("__dus", us(ts)).withColumn("__db", F.floor(F.col("__dus") / F.lit(bw)).cast("long"))
-    data_end = d.agg(F.max("__dus")).first()[0]
-    if data_end is None:
-        data_end = 0
     # validity intervals; ordering the (small) right table as a whole is fine
     w = Window.orderBy(right_ts)
     r = (right.withColumn("__from", us(right_ts))
-         .withColumn("__to", F.coalesce(F.lead(us(right_ts)).over(w), F.lit(data_end + 1)))
+         .withColumn("__to", F.coalesce(F.lead(us(right_ts)).over(w), F.lit(2 ** 63 - 1)))
          .filter(F.col("__to") > F.col("__from")))
-    r = r.withColumn("__b", F.explode(F.sequence(F.floor(F.col("__from") / F.lit(bw)).cast("long"),
-                                                 F.floor((F.col("__to") - 1) / F.lit(bw)).cast("long"))))
+    last_from = r.agg(F.max("__from")).first()[0]          # one value from the small side
+    last_bucket = (last_from // bw) if last_from is not None else 0
+    # closed intervals cover their buckets; the open last one only its first
+    # bucket, and data rows after it are clamped into that bucket
+    end_bucket = F.least(F.floor((F.col("__to") - 1) / F.lit(bw)), F.lit(last_bucket)).cast("long")
+    r = r.withColumn("__b", F.explode(F.sequence(F.floor(F.col("__from") / F.lit(bw)).cast("long"), end_bucket)))
     rb, _ = maybe_broadcast(r, max_broadcast_rows)
+    d = (data.withColumn("__dus", us(ts))
+         .withColumn("__db", F.least(F.floor(F.col("__dus") / F.lit(bw)), F.lit(last_bucket)).cast("long")))
     cond = (d["__db"] == rb["__b"]) & (d["__dus"] >= rb["__from"]) & (d["__dus"] < rb["__to"])
     return d.join(rb, cond, "left").drop("__dus", "__db", "__from", "__to", "__b")
 
