@@ -252,11 +252,12 @@ def test_rising_alert(spark):
     df = (spark.createDataFrame([(1, "s", 0, 1.0), (2, "s", 3, 2.0), (3, "s", 5, 2.0), (4, "s", 12, 3.0),
                                  (5, "s", 13, 1.0), (6, "s", 14, 4.0)], "seq long, id string, t long, v double")
           .withColumn("ts", F.timestamp_seconds("t")))
-    r = FO.rising_alert(df, "id", "ts", "seq", "v", S.time_bucket("ts", 4), seconds=10)
-    got = [(int(x.alert_ts.timestamp()), x.last_value) for x in r.orderBy("alert_ts").collect()]
     # armed at 0 (1.0 > 0.0) -> fires at 10 before the row at 12 (last = 2.0);
     # re-armed at 12, cancelled at 13 by the fall; armed at 14 -> flushed at 24
-    assert got == [(10, 2.0), (24, 4.0)]
+    for limit in (None, 0):   # 0 forces the parallel plan
+        r = FO.rising_alert(df, "id", "ts", "seq", "v", S.time_bucket("ts", 4), seconds=10, max_rows_per_task=limit)
+        got = [(int(x.alert_ts.timestamp()), x.last_value) for x in r.orderBy("alert_ts").collect()]
+        assert got == [(10, 2.0), (24, 4.0)]
 
 
 @pytest.mark.parametrize("k", [1, 2, 3])
@@ -421,3 +422,15 @@ def test_counter_timestamps_window_all(spark):
     t = TW.counter_timestamps(df, "seq", step_ms=10)
     r = TW.tumble(t, [], "ts", "5 seconds", [F.count(F.lit(1)).alias("n")])
     assert sorted(x.n for x in r.collect()) == [500, 500]
+
+
+def test_rising_alert_doubling_equals_fold(spark):
+    from tidewater.sources.tables import table
+    e = table(spark, "/root/testdata/sf0.001", "events").select(
+        F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("id"), "ts", "event_id", "value")
+    b = S.time_bucket("ts", 6 * 3600)
+    fold = FO.rising_alert(e, "id", "ts", "event_id", "value", b, seconds=6 * 3600)
+    par = FO.rising_alert_doubling(e, "id", "ts", "event_id", "value", b, seconds=6 * 3600)
+    cols = ["id", "alert_ts", "last_value"]
+    assert rows(par, *cols) == rows(fold, *cols)
+    assert fold.count() > 0

@@ -26,6 +26,10 @@ from tidewater.operators import keyed as K
 from tidewater.plans import sequence as S
 
 
+# Largest key (rows) a sequential fold may give to one task.
+MAX_ROWS_PER_TASK = 5_000_000
+
+
 def _sorted_fold(df: DataFrame, group: list[str], order: list[str], fn, schema: str,
                  partitions: int | None = None) -> DataFrame:
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -36,7 +40,8 @@ def _sorted_fold(df: DataFrame, group: list[str], order: list[str], fn, schema:
 
 # ------------------------------------------------------------ rising alert
 def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket: Column,
-                 seconds: int, initial: float = 0.0, flush_at_end: bool = True) -> DataFrame:
+                 seconds: int, initial: float = 0.0, flush_at_end: bool = True,
+                 max_rows_per_task: int | None = None) -> DataFrame:
     """Event-time form of "value rose continuously for ``seconds``".
 
     Per key, in ``(ts, seq)`` order, with ``last`` starting at ``initial``:
@@ -46,11 +51,17 @@ def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket:
     leaves it; ``last = value``.  At the end of input a pending timer fires
     when ``flush_at_end``.  Output: ``(key, alert_ts, last_value)``.
     A streaming input runs the timer-based stateful processor (the end of
-    input is a watermark that passes every deadline).
+    input is a watermark that passes every deadline).  A batch input whose
+    largest key exceeds ``max_rows_per_task`` runs the parallel
+    :func:`rising_alert_doubling`; otherwise the segmented sorted fold.
     """
+    max_rows_per_task = MAX_ROWS_PER_TASK if max_rows_per_task is None else max_rows_per_task
     if df.isStreaming:
         from tidewater.streaming.stateful import rising_alert_stream
         return rising_alert_stream(df, key, ts, seq, value, seconds, initial)
+    largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    if largest > max_rows_per_task:
+        return rising_alert_doubling(df, key, ts, seq, value, bucket, seconds, initial, flush_at_end)
     d = df.select(key, ts, seq, value)
     d = K.with_previous(d, [key], [ts, seq], bucket, value, "__last", default=initial)
     d = d.withColumn("__fall", (F.col(value) < F.col("__last")).cast("int"))
@@ -165,10 +176,6 @@ def top_speed_delta_fold(df: DataFrame, key: str, ts: str, seq: str, speed: str,
                       F.timestamp_micros("__us").cast(types[ts]).alias("time"))
 
 
-# Largest key (rows) the sequential fold may give to one task.
-MAX_ROWS_PER_TASK = 5_000_000
-
-
 def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
                     threshold_cents: int, evict_seconds: int, bucket: Column | None = None,
                     max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
@@ -225,19 +232,8 @@ def top_speed_delta_doubling(df: DataFrame, key: str, ts: str, seq: str, speed:
     jump = (scanned.filter(F.col("__kind") == 1)
             .select(key, F.col("__q").alias("n"), (F.col("__maxn") + 1).alias("j")).checkpoint())
 
-    reached = numbered.filter(F.col("__n") == 1).select(key, F.col("__n").alias("n")).checkpoint()
-    size = reached.count()
-    while True:
-        step = reached.join(jump, [key, "n"]).filter(F.col("j").isNotNull()).select(key, F.col("j").alias("n"))
-        grown = reached.unionByName(step).distinct().checkpoint()
-        new_size = grown.count()
-        if new_size == size:
-            break
-        a, b = jump.alias("a"), jump.alias("b")
-        jump = (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.j") == F.col("b.n")), "left")
-                .select(F.col(f"a.{key}").alias(key), F.col("a.n").alias("n"), F.col("b.j").alias("j"))
-                .checkpoint())
-        reached, size = grown, new_size
+    heads = numbered.filter(F.col("__n") == 1).select(key, F.col("__n").alias("n"))
+    reached = S.chain_from_heads(jump, heads, [key], "n", "j")
 
     # only existing rows can fire (a pointer past the last row ends the chain)
     fires = (reached.filter(F.col("n") > 1)
@@ -259,3 +255,50 @@ def top_speed_delta_doubling(df: DataFrame, key: str, ts: str, seq: str, speed:
     return best.select(key, F.col("r.s").alias(seq), F.col("r.sp").alias("speed"),
                        (F.col("r.dc") / 100.0).alias("distance"),
                        F.timestamp_micros(F.col("r.u")).cast(ts_type).alias("time"))
+
+
+def rising_alert_doubling(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket: Column,
+                          seconds: int, initial: float = 0.0, flush_at_end: bool = True) -> DataFrame:
+    """Parallel plan of :func:`rising_alert` for segments too long for one
+    task.  Within a segment (a run without falling values) the timer is armed
+    by a strictly rising row; once armed, the next arming row is the first
+    rising row at or after the deadline.  So the arming rows are the chain
+    ``head -> next(head) -> ...`` over rising rows (pointer doubling), and an
+    armed deadline ``D`` fires iff the first row of the key at or after ``D``
+    is in the same segment or opens the next one (or, with no such row, the
+    segment is the key's last and the end of input flushes it).  The alert
+    carries the value of the row just before that first row."""
+    period = seconds * 1_000_000
+    d = df.select(key, ts, seq, value)
+    d = K.with_previous(d, [key], [ts, seq], bucket, value, "__last", default=initial)
+    fall = (F.col(value) < F.col("__last")).cast("int")
+    d = S.running_agg(d, [key], [ts, seq], bucket, [("__n", F.lit(1), "count"), ("__seg", fall, "sum")])
+    d = (d.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
+         .withColumn("__first", (F.col(value) < F.col("__last")) | (F.col("__n") == 1))
+         .select(key, "__n", "__seg", "__us", F.col(value).alias("__v"), "__last", "__first")
+         .checkpoint())
+
+    rises = d.filter(F.col("__v") > F.col("__last"))
+    nxt = S.first_at_or_after(rises.select(key, "__seg", "__us", "__n"),
+                              rises.select(key, "__seg", (F.col("__us") + F.lit(period)).alias("__x"),
+                                           F.col("__n").alias("__from")),
+                              [key, "__seg"], "__us", "__n", "__x", out="__j")
+    heads = rises.groupBy(key, "__seg").agg(F.min("__n").alias("n"))
+    arms = S.chain_from_heads(nxt.select(key, "__seg", F.col("__from").alias("n"), F.col("__j").alias("j")),
+                              heads, [key, "__seg"], "n", "j")
+    arms = (arms.join(d.select(key, F.col("__n").alias("n"), "__us"), [key, "n"])
+            .select(key, "__seg", (F.col("__us") + F.lit(period)).alias("__x")))
+    first = S.first_at_or_after(d.select(key, "__us", "__n"), arms, [key], "__us", "__n", "__x", out="__f")
+    info = d.select(key, F.col("__n").alias("__f"), F.col("__seg").alias("__fseg"),
+                    F.col("__last").alias("__fprev"), F.col("__first").alias("__ffirst"))
+    per_key = d.groupBy(key).agg(F.max("__seg").alias("__maxseg"),
+                                 F.max_by("__v", "__n").alias("__lastv"))
+    j = first.join(info, [key, "__f"], "left").join(per_key, [key])
+    has_next = F.col("__f").isNotNull()
+    fires = ((has_next & ((F.col("__fseg") == F.col("__seg"))
+                          | ((F.col("__fseg") == F.col("__seg") + 1) & F.col("__ffirst"))))
+             | (~has_next & (F.col("__seg") == F.col("__maxseg")) & F.lit(flush_at_end)))
+    ts_type = dict(df.dtypes)[ts]
+    return (j.filter(fires)
+            .select(key, F.timestamp_micros("__x").cast(ts_type).alias("alert_ts"),
+                    F.when(has_next, F.col("__fprev")).otherwise(F.col("__lastv")).alias("last_value")))

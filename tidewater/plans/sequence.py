@@ -164,3 +164,51 @@ def with_preceding(df: DataFrame, keys: list[str], order: list[str], bucket: Col
 
 def drop_ghosts(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(GHOST)).drop(GHOST, BKT)
+
+
+def first_at_or_after(points: DataFrame, queries: DataFrame, keys: list[str], t: str, n: str,
+                      x: str, out: str = "first_n", partitions: int | None = None) -> DataFrame:
+    """For every query row, the smallest ``n`` among ``points`` of the same
+    key with ``t >= x`` (NULL if none); ``n`` must increase with ``t``.
+
+    Points and queries are merged into one sequence in *descending* time
+    (a point at the query's own time comes first), cut into balanced
+    range-partition buckets, and scanned with a running minimum."""
+    pts = points.select(*keys, (-F.col(t)).alias("__nt"), F.lit(0).alias("__k"),
+                        F.col(n).cast("long").alias("__pn"), F.lit(None).cast("long").alias("__qn"))
+    qcols = [c for c in queries.columns if c not in keys]
+    qs = queries.select(*keys, (-F.col(x)).alias("__nt"), F.lit(1).alias("__k"),
+                        F.lit(None).cast("long").alias("__pn"),
+                        F.monotonically_increasing_id().alias("__qn"), *qcols)
+    merged = pts.unionByName(qs, allowMissingColumns=True).withColumn("__o", F.coalesce("__pn", "__qn"))
+    merged, bkt = balanced_bucket(merged, keys, ["__nt", "__k", "__o"], partitions)
+    scanned = running_agg(merged, keys, ["__nt", "__k", "__o"], bkt, [(out, "__pn", "min")])
+    return scanned.filter(F.col("__k") == 1).select(*keys, *qcols, out)
+
+
+def chain_from_heads(jump: DataFrame, heads: DataFrame, keys: list[str], node: str = "n",
+                     target: str = "j") -> DataFrame:
+    """Nodes reachable from ``heads`` along ``jump`` pointers (a forest of
+    linked lists, one pointer per node), by pointer doubling: ``R <- R + J(R)``
+    then ``J <- J o J``, O(log chain length) rounds of equi-joins, each
+    round checkpointed below the shared checkpoint folder."""
+    from tidewater.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(jump.sparkSession)
+    jump = jump.select(*keys, F.col(node).alias("__n"), F.col(target).alias("__j")).checkpoint()
+    reached = heads.select(*keys, F.col(node).alias("__n")).distinct().checkpoint()
+    size = reached.count()
+    while True:
+        step = (reached.join(jump, keys + ["__n"]).filter(F.col("__j").isNotNull())
+                .select(*keys, F.col("__j").alias("__n")))
+        grown = reached.unionByName(step).distinct().checkpoint()
+        new_size = grown.count()
+        if new_size == size:
+            break
+        a = jump.alias("a")
+        b = jump.select(*keys, F.col("__n").alias("__bn"), F.col("__j").alias("__bj"))
+        jump = (a.join(b, [F.col(f"a.{k}") == b[k] for k in keys] + [F.col("a.__j") == b["__bn"]], "left")
+                .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.__n").alias("__n"),
+                        F.col("__bj").alias("__j"))
+                .checkpoint())
+        reached, size = grown, new_size
+    return reached.withColumnRenamed("__n", node)
