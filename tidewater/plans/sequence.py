@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 BKT = "_bkt"
 GHOST = "_ghost"
@@ -61,6 +61,37 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str]) -> DataF
     return left.join(r, cond, "inner").drop(*[f"__r_{c}" for c in cols])
 
 
+def _zero(dt):
+    if isinstance(dt, (T.NumericType, T.BooleanType, T.StringType)):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dt)
+    return None
+
+
+def null_free_keys(df: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]] | None:
+    """Columns that identify ``cols`` null-safely and hold no NULL: a
+    non-nullable column stands for itself, a nullable one becomes the pair
+    ``(coalesce(c, zero), isnull(c))``.  Partitioning a window and joining on
+    these plain columns lets the sort-merge join reuse the window's hash
+    partitioning (an ``eqNullSafe`` join hashes rewritten expressions and
+    shuffles the big side again).  ``None`` if a type has no zero value."""
+    fields = {f.name: f for f in df.schema.fields}
+    out, names = df, []
+    for i, c in enumerate(cols):
+        f = fields[c]
+        if not f.nullable:
+            names.append(c)
+            continue
+        z = _zero(f.dataType)
+        if z is None:
+            return None
+        out = (out.withColumn(f"__nv{i}", F.coalesce(F.col(c), z))
+               .withColumn(f"__nn{i}", F.col(c).isNull()))
+        names += [f"__nv{i}", f"__nn{i}"]
+    return out, names
+
+
 def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
                 specs: list[tuple[str, str | Column, str]], inclusive: bool = True) -> DataFrame:
     """Add running aggregates per ``keys`` along ``order``.
@@ -71,10 +102,16 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     the first row of the key).
     """
     d = df.withColumn(BKT, bucket)
+    enc = null_free_keys(d, keys + [BKT])
+    if enc is None:
+        part, kpart, join = keys + [BKT], keys, None
+    else:
+        d, part = enc
+        kpart, join = part[:-1] if part[-1] == BKT else part[:-2], part
     ordc = [F.col(o) for o in order]
     lo = 0 if inclusive else -1
-    w_local = Window.partitionBy(*keys, BKT).orderBy(*ordc).rowsBetween(Window.unboundedPreceding, lo)
-    w_first = Window.partitionBy(*keys, BKT).orderBy(*ordc)
+    w_local = Window.partitionBy(*part).orderBy(*ordc).rowsBetween(Window.unboundedPreceding, lo)
+    w_first = Window.partitionBy(*part).orderBy(*ordc)
 
     bucket_aggs, local_cols, finals = [], [], []
     for name, c, kind in specs:
@@ -99,10 +136,11 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     # Bucket totals: Catalyst prunes the window from this branch and plans a
     # partial aggregate before the shuffle, so only one row per map task and
     # (key, bucket) moves.
-    per_bucket = local.groupBy(*keys, BKT).agg(*bucket_aggs)
-    w_prev = Window.partitionBy(*keys).orderBy(BKT).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*keys).orderBy(BKT).rowsBetween(Window.unboundedPreceding, 0)
-    offs = [F.col(c) for c in keys] + [F.col(BKT)]
+    carry_bkt = [] if BKT in part else [F.first(BKT).alias(BKT)]
+    per_bucket = local.groupBy(*part).agg(*carry_bkt, *bucket_aggs)
+    w_prev = Window.partitionBy(*kpart).orderBy(BKT).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*kpart).orderBy(BKT).rowsBetween(Window.unboundedPreceding, 0)
+    offs = [F.col(c) for c in dict.fromkeys(part + [BKT])]
     for name, kind in finals:
         b = F.col(f"{name}__bkt")
         if kind in ("sum", "count"):
@@ -115,7 +153,11 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
             offs.append(F.first(b).over(w_all).alias(f"{name}__off"))
     offsets = per_bucket.select(*offs)
 
-    out = _null_safe_join(local, offsets, keys + [BKT])
+    if join is None:
+        out = _null_safe_join(local, offsets, keys + [BKT])
+    else:
+        out = local.join(offsets.drop(*[c for c in offsets.columns if c not in join and not c.endswith("__off")]),
+                         join, "inner")
     for name, kind in finals:
         loc, off = F.col(f"{name}__loc"), F.col(f"{name}__off")
         if kind in ("sum", "count"):
@@ -127,7 +169,8 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
         else:
             val = off
         out = out.withColumn(name, val)
-    drop = [c for c in out.columns if c.endswith("__loc") or c.endswith("__off")]
+    drop = [c for c in out.columns if c.endswith("__loc") or c.endswith("__off")
+            or c.startswith("__nv") or c.startswith("__nn")]
     return out.drop(*drop, BKT)
 
 
