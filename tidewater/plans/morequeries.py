@@ -138,6 +138,19 @@ def stream_wordcount(spark, sf):
     return run_keyed_updates(spark, counts, ["word"], scratch_path(spark, "wordcount-state"))
 
 
+@query
+def state_kinds(spark, sf):
+    """Value / list / map / reducing state per sensor, run as a stream over
+    the readings replayed in arrival order."""
+    from tidewater.streaming.runner import replay_as_files, run_available_now
+    from tidewater.streaming.stateful import state_kinds_stream
+    s = sensor_readings(spark, sf)
+    src = replay_as_files(spark, s, "event_id", 3, scratch_path(spark, "readings-replay"))
+    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    kinds = state_kinds_stream(stream, "id", "temperature", ["ts", "event_id"])
+    return spark.read.parquet(run_available_now(kinds, scratch_path(spark, "state-kinds"), fmt="parquet"))
+
+
 @query
 def map_partition_setup(spark, sf):
     import pandas as pd

@@ -368,3 +368,9 @@ SELECT car_id, event_id, speed, dc / 100.0 AS distance, ts AS time FROM cand WHE
 ORACLE["sql_hash_code"] = ORACLE["java_hash"]
 ORACLE["sql_lateral_split"] = ORACLE["lateral_split"]
 ORACLE["sql_normalize_address"] = ORACLE["normalize_address"]
+
+ORACLE["state_kinds"] = f"""
+SELECT id, lag(temperature) OVER w AS previous, CAST(1 AS INTEGER) AS list_size,
+       row_number() OVER w > 1 AS had_marker,
+       max(temperature) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_max
+FROM {SENSOR} s WINDOW w AS (PARTITION BY id ORDER BY ts, event_id)"""

@@ -166,10 +166,14 @@ def rising_alert_stream(df: DataFrame, key: str, ts: str, seq: str, value: str,
 
 # -------------------------------------------------------------- state kinds
 class StateKindsProcessor(StatefulProcessor):
-    """Exercises the four keyed-state kinds per row: value (previous value,
-    then update), list (add, add all, replace, read), map (contains, get,
-    put) and a reducing cell (running maximum merged on every row).
-    Emits ``(key, previous, list_size, had_marker, running_max)``."""
+    """Exercises the four keyed-state kinds: value (previous value, then
+    update), list (add, add all, replace, read), map (contains, get, put) and
+    a reducing cell (running maximum).  Emits per row
+    ``(key, previous, list_size, had_marker, running_max)``.
+
+    Each state is read and written once per key and micro-batch (every state
+    call is a round trip to the state store); the rows of the batch are
+    computed vectorised from what was read."""
 
     def __init__(self, key: str, value: str, order: list[str]):
         self.key, self.value, self.order = key, value, order
@@ -181,26 +185,31 @@ class StateKindsProcessor(StatefulProcessor):
         self.red = handle.getValueState("reduce", "v double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted_rows(rows, self.order)
-        out = []
-        for v in pdf[self.value].to_numpy(dtype=float):
-            v = float(v)
-            prev = self.val.get()[0] if self.val.exists() else None
-            self.val.update((v,))
-            self.lst.appendValue((1,))
-            self.lst.appendList([(1,)])
-            self.lst.put([(1,)])
-            size = sum(1 for _ in self.lst.get())
-            had = self.map.containsKey(("marker",))
-            if had:
-                self.map.getValue(("marker",))
-            self.map.updateValue(("marker",), (0.0,))
-            cur = self.red.get()[0] if self.red.exists() else None
-            merged = v if cur is None else max(cur, v)
-            self.red.update((merged,))
-            out.append((key[0], prev, size, had, merged))
-        if out:
-            yield pd.DataFrame(out, columns=[self.key, "previous", "list_size", "had_marker", "running_max"])
+        import numpy as np
+        v = _sorted_rows(rows, self.order)[self.value].to_numpy(dtype=float)
+        if len(v) == 0:
+            return
+        prev0 = self.val.get()[0] if self.val.exists() else None
+        previous = pd.Series([prev0] + list(v[:-1]), dtype="float64")
+        self.val.update((float(v[-1]),))
+        # add, add-all, then replace the whole list: one element remains
+        self.lst.appendValue((1,))
+        self.lst.appendList([(1,)])
+        self.lst.put([(1,)])
+        size = sum(1 for _ in self.lst.get())
+        had0 = self.map.containsKey(("marker",))
+        if had0:
+            self.map.getValue(("marker",))
+        self.map.updateValue(("marker",), (0.0,))
+        had = np.ones(len(v), dtype=bool)
+        had[0] = had0
+        cur = self.red.get()[0] if self.red.exists() else None
+        running = np.maximum.accumulate(v if cur is None else np.concatenate([[cur], v]))
+        running = running if cur is None else running[1:]
+        self.red.update((float(running[-1]),))
+        yield pd.DataFrame({self.key: [key[0]] * len(v), "previous": previous,
+                            "list_size": np.full(len(v), size, dtype=np.int32),
+                            "had_marker": had, "running_max": running})
 
     def close(self) -> None:
         pass
