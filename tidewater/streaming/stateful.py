@@ -35,18 +35,17 @@ class JumpAlertProcessor(StatefulProcessor):
         self.last = handle.getValueState("last", "v double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        import numpy as np
         pdf = _sorted_rows(rows, self.order)
         last = self.last.get()[0] if self.last.exists() else self.initial
         vals = pdf[self.value].to_numpy(dtype=float)
-        hit, lasts = [], []
-        for i, v in enumerate(vals):
-            if last is not None and abs(v - last) > self.threshold:
-                hit.append(i)
-                lasts.append(last)
-            last = float(v)
-        self.last.update((last,))
-        if hit:
-            yield pdf.iloc[hit].assign(last_value=lasts)
+        if len(vals) == 0:
+            return
+        prev = np.concatenate([[np.nan if last is None else last], vals[:-1]])
+        hit = np.abs(vals - prev) > self.threshold       # NaN (no previous) compares False
+        self.last.update((float(vals[-1]),))
+        if hit.any():
+            yield pdf[hit].assign(last_value=prev[hit])
 
     def close(self) -> None:
         pass
@@ -72,19 +71,17 @@ class RunningCountProcessor(StatefulProcessor):
         self.count = handle.getValueState("count", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        import numpy as np
         pdf = _sorted_rows(rows, self.order)
-        n = self.count.get()[0] if self.count.exists() else 0
-        out = []
-        cols = [self.key, *self.carry]
-        for vals in pdf[cols].itertuples(index=False, name=None):
-            base = dict(zip(cols, vals))
-            n += 1
-            if n > 1:
-                out.append(base | {"is_add": False, "cnt": n - 1, "step": 0})
-            out.append(base | {"is_add": True, "cnt": n, "step": 1})
-        self.count.update((n,))
-        if out:
-            yield pd.DataFrame(out)
+        n0 = self.count.get()[0] if self.count.exists() else 0
+        if len(pdf) == 0:
+            return
+        base = pdf[[self.key, *self.carry]].reset_index(drop=True)
+        n = n0 + np.arange(1, len(base) + 1, dtype=np.int64)
+        adds = base.assign(is_add=True, cnt=n, step=np.int32(1), __o=2 * np.arange(len(base)) + 1)
+        retracts = base.assign(is_add=False, cnt=n - 1, step=np.int32(0), __o=2 * np.arange(len(base)))[n > 1]
+        self.count.update((int(n[-1]),))
+        yield pd.concat([retracts, adds]).sort_values("__o", kind="stable").drop(columns="__o")
 
     def close(self) -> None:
         pass
@@ -123,20 +120,26 @@ class RisingAlertProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted_rows(rows, [self.us, self.seq])
         last, deadline = (self.state.get() if self.state.exists() else (self.initial, None))
+        registered = deadline          # the only timer that can exist for this key
         out = []
         for t_us, v in zip(pdf[self.us].to_numpy(), pdf[self.value].to_numpy(dtype=float)):
             t_us = int(t_us)
             if deadline is not None and deadline <= t_us:
                 out.append((key[0], deadline, last))
-                self.handle.deleteTimer(self._timer_ms(deadline))
                 deadline = None
             if v > last and deadline is None:
                 deadline = t_us + self.period_us
-                self.handle.registerTimer(self._timer_ms(deadline))
             elif v < last and deadline is not None:
-                self.handle.deleteTimer(self._timer_ms(deadline))
                 deadline = None
             last = float(v)
+        # timers fire only when the watermark passes them after this call,
+        # so only the trailing deadline needs one: one delete / register
+        # per key and batch instead of one per arm or cancel
+        if registered != deadline:
+            if registered is not None:
+                self.handle.deleteTimer(self._timer_ms(registered))
+            if deadline is not None:
+                self.handle.registerTimer(self._timer_ms(deadline))
         self.state.update((last, deadline))
         if out:
             yield pd.DataFrame(out, columns=[self.key, "alert_us", "last_value"])
