@@ -1,8 +1,8 @@
 """Iteration: per-row bounded loops and bulk k-means rounds.
 
 * ``fibonacci_steps``: the feedback-loop sample (step ``(x, y) -> (y, x+y)``
-  until either number reaches the bound) as one native ``aggregate`` over a
-  step sequence -- no Python, no driver loop.
+  until either number reaches the bound) in closed form as one native
+  ``CASE`` -- no Python, no driver loop.
 * k-means: each round is one distributed job (assign by nearest centroid,
   mean per cluster with a partial/final aggregate); only the k centroids go
   through the driver between rounds.
@@ -20,22 +20,34 @@ from pyspark.sql.functions import pandas_udf
 MAX_STEPS = 64
 
 
+def _fibonacci(n: int) -> list[int]:
+    """F(0) .. F(n) by the recurrence F(k) = F(k-1) + F(k-2)."""
+    f = [0, 1]
+    while len(f) <= n:
+        f.append(f[-1] + f[-2])
+    return f
+
+
 def fibonacci_steps(a: Column, b: Column, bound: int = 100, max_steps: int = MAX_STEPS) -> Column:
     """Number of steps until ``x >= bound or y >= bound`` (at least one step
     is always taken).  NULL if the bound is not reached within ``max_steps``
     (only possible for non-positive inputs, which the feedback loop would
-    never emit either)."""
-    init = F.struct(a.cast("long").alias("x"), b.cast("long").alias("y"),
-                    F.lit(0).alias("n"), F.lit(False).alias("done"))
-
-    def step(s, _i):
-        nx, ny = s["y"], s["x"] + s["y"]
-        out = (nx >= bound) | (ny >= bound)
-        return F.when(s["done"], s).otherwise(
-            F.struct(nx.alias("x"), ny.alias("y"), (s["n"] + 1).alias("n"), out.alias("done")))
-
-    final = F.aggregate(F.sequence(F.lit(1), F.lit(max_steps)), init, step)
-    return F.when(final["done"], final["n"])
+    never emit either).
+
+    After ``n`` steps from ``(a, b)`` the pair is
+    ``(F(n-1)*a + F(n)*b, F(n)*a + F(n+1)*b)``, so the answer is the first
+    ``n`` whose pair reaches the bound: one native ``CASE`` with a branch per
+    step, compiled by whole-stage code generation and cut short at the first
+    hit (a step loop in a higher-order function would be interpreted)."""
+    fib = _fibonacci(max_steps + 1)
+    a, b = a.cast("long"), b.cast("long")
+    steps = None
+    for n in range(1, max_steps + 1):
+        x = F.lit(fib[n - 1]) * a + F.lit(fib[n]) * b
+        y = F.lit(fib[n]) * a + F.lit(fib[n + 1]) * b
+        hit = (x >= bound) | (y >= bound)
+        steps = F.when(hit, F.lit(n)) if steps is None else steps.when(hit, F.lit(n))
+    return steps
 
 
 # ------------------------------------------------------------------ k-means
