@@ -108,3 +108,18 @@ def test_stream_tumble_to_jdbc(spark):
     W.stream_to_jdbc(agg, url, "ALBUM_PRICE", scratch_path(spark, "ckpt"), props).awaitTermination()
     got = sorted((r.ALBUM_ID, r.PRICE) for r in spark.read.jdbc(url, "ALBUM_PRICE", properties=props).collect())
     assert got == [("a", 3.5), ("b", 3.0)]
+
+
+def test_print_schema_of_declared_table(spark, capsys):
+    """SQL6: a declared table's schema (payload fields plus computed
+    columns) prints as a tree."""
+    from tidewater.sources.table_source import table_source
+    raw = spark.createDataFrame([('{"id": "sensor_1", "ts": "2021-02-05 11:04:33", "temperature": 35.6}',)],
+                                "value string")
+    t = table_source(raw, "declared_readings", "id string, ts string, temperature double",
+                     computed={"rowtime": "to_timestamp(ts)"})
+    t.printSchema()
+    printed = capsys.readouterr().out
+    for line in ("|-- id: string", "|-- temperature: double", "|-- rowtime: timestamp"):
+        assert line in printed
+    assert printed.strip() == t.schema.treeString().strip()

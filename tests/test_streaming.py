@@ -233,3 +233,29 @@ def test_async_lookup_results_and_failure(spark):
     # a failed lookup fails the task (and the job after retries)
     with pytest.raises(Exception):
         async_lookup(df, "k", "rid", failing_lookup, capacity=5).collect()
+
+
+def test_idle_input_does_not_hold_back_windows(spark, readings):
+    """WM4: a union of a busy and an idle input.  Under the default policy
+    the idle input's watermark holds every window open; with
+    ``tolerate_idle_inputs`` the busy input's watermark closes them."""
+    from tidewater.streaming.runner import tolerate_idle_inputs
+
+    def run():
+        busy = as_stream(spark, readings, 4).withWatermark("ts", "0 seconds")
+        idle = as_stream(spark, readings.filter("event_id <= 3"), 1).withWatermark("ts", "0 seconds")
+        counts = (busy.unionByName(idle).groupBy(F.window("ts", "1 hour"))
+                  .agg(F.count(F.lit(1)).alias("n")))
+        return collect_stream(spark, counts).count()
+
+    key = "spark.sql.streaming.multipleWatermarkPolicy"
+    old = spark.conf.get(key, "min")
+    try:
+        spark.conf.set(key, "min")
+        held = run()
+        tolerate_idle_inputs(spark)
+        assert spark.conf.get(key) == "max"
+        released = run()
+    finally:
+        spark.conf.set(key, old)
+    assert held <= 1 < released
