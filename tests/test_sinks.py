@@ -123,3 +123,11 @@ def test_print_schema_of_declared_table(spark, capsys):
     for line in ("|-- id: string", "|-- temperature: double", "|-- rowtime: timestamp"):
         assert line in printed
     assert printed.strip() == t.schema.treeString().strip()
+
+
+def test_same_rows_is_a_set_comparison(spark, sensors):
+    from tidewater.sources.readers import same_rows
+    ids = sensors.select("id")
+    assert same_rows(ids, [("sensor_1",), ("sensor_10",), ("sensor_2",), ("sensor_3",), ("sensor_4",)])
+    assert not same_rows(ids, [("sensor_1",), ("sensor_2",)])
+    assert same_rows(ids, ids.union(ids))

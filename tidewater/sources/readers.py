@@ -28,9 +28,14 @@ def rows(spark: SparkSession, data: list, schema: str | StructType) -> DataFrame
     return spark.createDataFrame(data, schema)
 
 
-def same_rows(df: DataFrame, expected: list[tuple]) -> bool:
-    """Result set equals ``expected`` as a set (collects: small results only)."""
-    return set(tuple(r) for r in df.collect()) == set(expected)
+def same_rows(df: DataFrame, expected: list[tuple] | DataFrame) -> bool:
+    """Result set equals ``expected`` as a set.  Both differences are
+    computed by Spark (``exceptAll`` of the distinct rows); only two counts
+    reach the driver, so the result may be any size."""
+    exp = expected if isinstance(expected, DataFrame) else \
+        df.sparkSession.createDataFrame(expected, df.schema)
+    a, b = df.distinct(), exp.select(*df.columns).distinct()
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str | StructType, sep: str = ",",
