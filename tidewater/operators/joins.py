@@ -30,11 +30,20 @@ def asof_backward(data: DataFrame, ts: str, right: DataFrame, right_ts: str, buc
     def us(c):
         return F.unix_micros(F.col(c).cast("timestamp"))
 
-    # validity intervals; ordering the (small) right table as a whole is fine
-    w = Window.orderBy(right_ts)
-    r = (right.withColumn("__from", us(right_ts))
-         .withColumn("__to", F.coalesce(F.lead(us(right_ts)).over(w), F.lit(2 ** 63 - 1)))
+    # validity intervals: the end of each is the next start, a running
+    # minimum over the starts in descending time (two-level, time buckets:
+    # no single-task window over the right side)
+    from tidewater.plans import sequence as S
+    from tidewater.session import ensure_checkpoint_dir
+    r = right.withColumn("__from", us(right_ts)).withColumn("__neg", -F.col("__from"))
+    r = S.running_agg(r, [], ["__neg"], F.floor(F.col("__neg") / F.lit(bw)).cast("long"),
+                      [("__to", "__from", "min")], inclusive=False)
+    r = (r.withColumn("__to", F.coalesce(F.col("__to"), F.lit(2 ** 63 - 1))).drop("__neg")
          .filter(F.col("__to") > F.col("__from")))
+    # the right side is computed once: its last start, its size check and the
+    # join all read this checkpoint (below the shared checkpoint folder)
+    ensure_checkpoint_dir(right.sparkSession)
+    r = r.checkpoint()
     last_from = r.agg(F.max("__from")).first()[0]          # one value from the small side
     last_bucket = (last_from // bw) if last_from is not None else 0
     # closed intervals cover their buckets; the open last one only its first
