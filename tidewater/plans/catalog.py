@@ -15,7 +15,7 @@ from tidewater.functions import text as T
 from tidewater.operators import aggregates as A
 from tidewater.operators import relational as R
 from tidewater.session import prepare
-from tidewater.sources.tables import table
+from tidewater.sources.tables import spread, table
 
 QUERIES: dict = {}
 
@@ -123,7 +123,7 @@ def doc_words(spark, sf, pattern=T.WORD_SEPARATOR, lower=True) -> DataFrame:
     """Non-empty tokens of every document.  Empty tokens are removed as rows
     after the explode (plain codegen), which also makes the JVM trailing-
     empty rule irrelevant."""
-    d = _t(spark, sf, "documents")
+    d = spread(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     text = F.lower("text") if lower else F.col("text")
     return d.select(F.explode(F.split(text, pattern)).alias("word")).filter(F.col("word") != "")
 
@@ -149,7 +149,7 @@ def having_filter(spark, sf):
 
 def doc_lines(spark, sf) -> DataFrame:
     """Documents as text lines (a line reader splits on \\n, \\r\\n and \\r)."""
-    d = _t(spark, sf, "documents")
+    d = spread(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     return d.select("doc_id", F.posexplode(F.split(F.col("text"), "\r\n|\r|\n")).alias("line_no", "line"))
 
 
@@ -177,7 +177,7 @@ def tokenize_variants(spark, sf):
 @query
 def json_english_wordcount(spark, sf):
     from tidewater.sources.readers import parse_json
-    d = _t(spark, sf, "documents")
+    d = spread(_t(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
     tweets = d.select(F.to_json(F.struct(F.col("text"), F.struct(F.col("lang")).alias("user"))).alias("value"))
     parsed = parse_json(tweets, "value", "text string, user struct<lang: string>")
     english = parsed.filter((F.col("user.lang") == "en") & F.col("text").isNotNull())

@@ -9,6 +9,7 @@ from tidewater.operators import changelog as CL
 from tidewater.operators import keyed as K
 from tidewater.plans import sequence as S
 from tidewater.plans.catalog import _t, query, sensor_readings
+from tidewater.sources.tables import spread
 from tidewater.plans.timequeries import TIME_BUCKET_S
 
 ORDER = ["ts", "event_id"]
@@ -41,7 +42,7 @@ def running_reduce(spark, sf):
 
 @query
 def running_wordcount(spark, sf):
-    d = _t(spark, sf, "documents")
+    d = spread(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     # empty tokens are dropped, so the plain split gives the same positions
     w = (d.select("doc_id", F.posexplode(F.split(F.lower("text"), T.WORD_SEPARATOR)).alias("pos", "word"))
          .filter(F.col("word") != ""))

@@ -20,3 +20,16 @@ def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Register each table as a temp view of the same name (SQL surface)."""
     for n in names:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute an under-split input on ``key`` (a unique id) before
+    CPU-heavy per-row work such as tokenizing text.  Only when the scan gives
+    fewer splits than the session has cores -- a table stored as one large
+    row group, or unsplittable files; a large table already has enough
+    splits and is returned as it is (no extra shuffle).  Checking the split
+    count plans the scan; it runs no job."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
