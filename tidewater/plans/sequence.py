@@ -101,7 +101,9 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     strictly before it when ``inclusive`` is False) and ``first`` (value of
     the first row of the key).
     """
-    d = df.withColumn(BKT, bucket)
+    # a NULL bucket (NULL order value) becomes the smallest long: it still
+    # sorts first, and the bucket column needs no null-safe encoding
+    d = df.withColumn(BKT, F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long")))
     enc = null_free_keys(d, keys + [BKT])
     if enc is None:
         part, kpart, join = keys + [BKT], keys, None
