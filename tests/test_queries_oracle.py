@@ -11,8 +11,10 @@ import __spark_entry__ as E  # noqa: E402
 from tools.check_oracle import digest  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
-ORACLE = E.oracle_sql()
+E.queries()  # registers them
+from tidewater.plans.catalog import QUERIES  # noqa: E402
+from tidewater.plans.oracle import ORACLE  # noqa: E402
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
