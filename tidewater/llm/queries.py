@@ -4,9 +4,10 @@ whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, mixing, packing
+from tidewater.llm import exact_dedup, mixing, packing, token_counts, token_ids
 from tidewater.session import prepare
 from tidewater.sources.tables import table
 
@@ -50,3 +51,14 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 @query
 def op10_mixing(spark, sf):
     return mixing.mix(_t(spark, sf, "documents"))
+
+
+@query
+def op3_token_counts(spark, sf):
+    return token_counts.token_counts(_t(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_token_shards(spark, sf):
+    files = token_ids.token_shards(_t(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_ids.read_shards(files)
