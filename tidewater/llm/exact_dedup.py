@@ -64,8 +64,10 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def survivors(rows: DataFrame, on: list[str]) -> DataFrame:
-    """Rows that share ``on`` with another row."""
-    shared = rows.groupBy(*on).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    """Rows that share ``on`` with another row.  The shared keys are a written
+    table, so the join has a shuffle of its own on both sides and a key with
+    many rows is split."""
+    shared = written(rows.groupBy(*on).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "dedup-shared")
     return rows.join(shared, on, "left_semi")
 
 
@@ -94,7 +96,7 @@ def duplicate_groups(docs: DataFrame, digest_all: bool = False) -> tuple[DataFra
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of every row."""
     rows, groups = duplicate_groups(docs, digest_all=True)
-    both = rows.join(groups, ["length", "sha"], "left")
+    both = rows.join(written(groups, "dedup-groups"), ["length", "sha"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return both.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
                        F.col("doc_id").eqNullSafe(keep).alias("kept"), F.col("sha").alias("text_sha256"))
@@ -104,7 +106,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents that stay, all columns of the input.  Rows that repeat
     both doc_id and text stay once (the greatest row in column order)."""
     rows, groups = duplicate_groups(docs)
-    members = written(rows.join(groups, ["length", "sha"])
+    members = written(rows.join(written(groups, "dedup-groups"), ["length", "sha"])
                       .select("doc_id", "keep_id", "sha"), "dedup-members")
     x, h = fresh(docs, "__dup"), fresh(docs, "__sha")
     again = written(rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias(x)),
