@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, mixing, packing, token_counts, token_ids
+from tidewater.llm import exact_dedup, language, mixing, packing, quality, token_counts, token_ids
 from tidewater.session import prepare
 from tidewater.sources.tables import table
 
@@ -62,3 +62,13 @@ def op3_token_counts(spark, sf):
 def op8_token_shards(spark, sf):
     files = token_ids.token_shards(_t(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return token_ids.read_shards(files)
+
+
+@query
+def op5_language(spark, sf):
+    return language.identify(_t(spark, sf, "documents"))
+
+
+@query
+def op2_quality(spark, sf):
+    return quality.score_quality(_t(spark, sf, "documents"), _t(spark, sf, "labels"))
