@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, language, mixing, packing, quality, token_counts, token_ids
+from tidewater.llm import exact_dedup, language, mixing, packing, pii, quality, token_counts, token_ids
 from tidewater.session import prepare
 from tidewater.sources.tables import table
 
@@ -72,3 +72,8 @@ def op5_language(spark, sf):
 @query
 def op2_quality(spark, sf):
     return quality.score_quality(_t(spark, sf, "documents"), _t(spark, sf, "labels"))
+
+
+@query
+def op1_pii(spark, sf):
+    return pii.find_pii(_t(spark, sf, "documents"))
