@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, language, mixing, packing, pii, quality, token_counts, token_ids
+from tidewater.llm import exact_dedup, language, mixing, packing, pii, quality, token_counts, token_ids, topk
 from tidewater.session import prepare
 from tidewater.sources.tables import table
 
@@ -77,3 +77,24 @@ def op2_quality(spark, sf):
 @query
 def op1_pii(spark, sf):
     return pii.find_pii(_t(spark, sf, "documents"))
+
+
+@query
+def op6_topk(spark, sf):
+    return topk.top_k(_t(spark, sf, "embeddings"))
+
+
+ORACLE["op6_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
