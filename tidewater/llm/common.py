@@ -55,6 +55,38 @@ def word_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return start
 
 
+def word_ends(data: np.ndarray, off: np.ndarray, start: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Where the words that begin at ``start``, of texts ``doc``, end: at the
+    next space or at the end of the text."""
+    stop = np.flatnonzero(np.append(IS_SPACE[data], True))
+    return np.minimum(stop[np.searchsorted(stop, start)], off[doc + 1]) if len(start) else start
+
+
+# Random 64-bit values of the bytes in hashes.
+_CODE = np.random.default_rng(1).integers(1, 2 ** 63, 256, dtype=np.uint64)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(31))
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte run starts[i]:ends[i] (ascending, disjoint)."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    length = ends - starts
+    power = np.cumprod(np.full(int(length.max()), 0x5851F42D4C957F2D, np.uint64))
+    gap = np.diff(np.append(starts, len(data)))
+    place = np.arange(starts[0], len(data)) - np.repeat(starts, gap)
+    inside = place < np.repeat(length, gap)
+    run = np.zeros(len(data) + 1, np.uint64)
+    term = np.where(inside, _CODE[data[starts[0]:]] * power[np.minimum(place, len(power) - 1)], np.uint64(0))
+    np.cumsum(term, out=run[starts[0] + 1:])
+    return mixed(run[ends] - run[starts] + length.astype(np.uint64))
+
+
 def per_row(mask: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Number of set bytes in each text."""
     run = np.zeros(len(mask) + 1, np.int64)

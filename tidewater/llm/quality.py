@@ -29,7 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import IS_SPACE, documents_of, held_out, per_row, text_slices, word_starts, written
+from tidewater.llm.common import (IS_SPACE, documents_of, held_out, mixed, per_row, run_hashes, text_slices, word_ends,
+                                  word_starts, written)
 
 MAX_POSITIVE = 20_000
 MAX_UNLABELLED = 40_000
@@ -54,29 +55,6 @@ _MARK[0x80:] = False
 _ODD, _STOP = _bytes("#$%&*@^~<>{}[]\\_=+/"), _bytes(".,;:?")
 _WIDE = np.zeros(256, bool)
 _WIDE[0xC0:] = True
-_RNG = np.random.default_rng(1)
-_CODE = _RNG.integers(1, 2 ** 63, 256, dtype=np.uint64)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(31))
-    x = x * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
-
-
-def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte run starts[i]:ends[i] (ascending, disjoint)."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    length = ends - starts
-    power = np.cumprod(np.full(int(length.max()), 0x5851F42D4C957F2D, np.uint64))
-    gap = np.diff(np.append(starts, len(data)))
-    place = np.arange(starts[0], len(data)) - np.repeat(starts, gap)
-    inside = place < np.repeat(length, gap)
-    run = np.zeros(len(data) + 1, np.uint64)
-    term = np.where(inside, _CODE[data[starts[0]:]] * power[np.minimum(place, len(power) - 1)], np.uint64(0))
-    np.cumsum(term, out=run[starts[0] + 1:])
-    return mixed(run[ends] - run[starts] + length.astype(np.uint64))
 
 
 def distinct_share(doc: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
@@ -100,9 +78,7 @@ def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     start = np.flatnonzero(words)
     doc = np.searchsorted(off, start, side="right") - 1
     space = IS_SPACE[data]
-    # a word ends at the next space or at the end of its text
-    stop = np.flatnonzero(np.append(space, True))
-    end = np.minimum(stop[np.searchsorted(stop, start)], off[doc + 1]) if len(start) else start
+    end = word_ends(data, off, start, doc)
     count = np.bincount(doc, minlength=n)
     safe, per = np.maximum(size, 1), np.maximum(count, 1)
     share = lambda mask: per_row(mask, off) / safe

@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, language, mixing, packing, pii, quality, token_counts, token_ids, topk
+from tidewater.llm import exact_dedup, language, mixing, near_join, packing, pii, quality, token_counts, token_ids, topk
 from tidewater.session import prepare
 from tidewater.sources.tables import table
 
@@ -98,3 +98,8 @@ r AS (
   FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+
+@query
+def op4_near_join(spark, sf):
+    return near_join.near_duplicates(_t(spark, sf, "documents"))
