@@ -71,12 +71,12 @@ def survivors(rows: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(shared, on, "left_semi")
 
 
-def duplicate_groups(docs: DataFrame, digest_all: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``(rows, groups)``: the narrow rows (all of them with ``digest_all``,
-    else the survivors of length and prefix), each with its digest, and one
-    row (length, sha, keep_id, group_size) per text that occurs more than
-    once."""
-    rows = written(keys(docs, digest_all), "dedup-keys")
+def duplicate_groups(docs: DataFrame, digest_all: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(all_rows, rows, groups)``: a narrow row per document; those of them
+    that have a digest (all with ``digest_all``, else the survivors of length
+    and prefix); and one row (length, sha, keep_id, group_size) per text that
+    occurs more than once."""
+    all_rows = rows = written(keys(docs, digest_all), "dedup-keys")
     left = survivors(survivors(rows, ["length"]), ["length", "prefix"])
     if not digest_all:
         ids = written(left.drop("sha"), "dedup-left")
@@ -90,12 +90,12 @@ def duplicate_groups(docs: DataFrame, digest_all: bool = False) -> tuple[DataFra
               .agg(F.count("*").alias("group_size"),
                    F.min_by("doc_id", F.struct(-F.col("chars"), F.col("doc_id").isNull(), F.col("doc_id"))).alias("keep_id"))
               .filter("group_size > 1"))
-    return rows, groups
+    return all_rows, rows, groups
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of every row."""
-    rows, groups = duplicate_groups(docs, digest_all=True)
+    _, rows, groups = duplicate_groups(docs, digest_all=True)
     both = rows.join(written(groups, "dedup-groups"), ["length", "sha"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return both.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -105,11 +105,11 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents that stay, all columns of the input.  Rows that repeat
     both doc_id and text stay once (the greatest row in column order)."""
-    rows, groups = duplicate_groups(docs)
+    all_rows, rows, groups = duplicate_groups(docs)
     members = written(rows.join(written(groups, "dedup-groups"), ["length", "sha"])
                       .select("doc_id", "keep_id", "sha"), "dedup-members")
     x, h = fresh(docs, "__dup"), fresh(docs, "__sha")
-    again = written(rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias(x)),
+    again = written(all_rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias(x)),
                     "dedup-repeated")
     gone = members.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias(x)) \
         .unionByName(again).distinct()
