@@ -12,7 +12,8 @@ with the logistic loss: where the second part is negative, the step raises it
 instead.  The class prior is estimated first: a positive-against-unlabelled
 score is fitted, and on rows kept out of that fit the prior is the smallest
 upper bound of share(unlabelled above t) / share(positives above t) over all
-thresholds t (best-bin estimation, Garg et al. 2021).
+thresholds t (best-bin estimation, Garg et al. 2021).  Last, the margin is
+scaled to a posterior with the prior and the two densities of the margin.
 
 Fitted on at most about ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` rows, chosen
 by the hash of their id; every row is scored over its whole text.
@@ -35,8 +36,10 @@ from tidewater.llm.common import (IS_SPACE, documents_of, held_out, mixed, per_r
 MAX_POSITIVE = 20_000
 MAX_UNLABELLED = 40_000
 THRESHOLD = 0.3
-CELLS = 12
-STEPS = 400
+# Quantiles at which features are cut; junk sits in the tails.
+CUTS = (0.005, 0.01, 0.02, 0.04, *(i / 12 for i in range(1, 12)), 0.96, 0.98, 0.99, 0.995)
+CELLS = len(CUTS) + 1
+STEPS = 600
 FEATURES = ("log_bytes", "log_words", "word_bytes", "upper", "digit", "mark", "odd_mark", "bang", "bar", "stop",
             "wide", "space", "line_words", "line_repeat", "word_repeat", "next_same", "new_words", "pair_repeat",
             "marked_word", "all_upper_word", "single_word")
@@ -128,7 +131,7 @@ def document_features(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the model
 def cells(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     """Column index of each feature's cell in the one-hot matrix."""
-    return np.column_stack([np.searchsorted(c, x[:, j], side="right") + j * (CELLS + 1) for j, c in enumerate(cuts)])
+    return np.column_stack([np.searchsorted(c, x[:, j], side="right") + j * CELLS for j, c in enumerate(cuts)])
 
 
 def logit(cell: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -173,7 +176,7 @@ def class_prior(pos: np.ndarray, unl: np.ndarray, size: int) -> float:
     def step(w):
         zp, zu = logit(pos[::2], w), logit(unl[::2], w)
         return gradient(pos[::2], (sigmoid(zp) - 1) / len(zp), size) + gradient(unl[::2], sigmoid(zu) / len(zu), size)
-    w = minimise(step, size, STEPS // 2)
+    w = minimise(step, size, 400)
     zp, zu = np.sort(logit(pos[1::2], w)), np.sort(logit(unl[1::2], w))
     above_p = 1 - np.searchsorted(zp, zp, side="left") / len(zp)
     above_u = 1 - np.searchsorted(zu, zp, side="left") / len(zu)
@@ -182,6 +185,36 @@ def class_prior(pos: np.ndarray, unl: np.ndarray, size: int) -> float:
     return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
 
 
+def calibration(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and offset that turn the margin into a posterior.  In bins of the
+    margin the posterior of unlabelled rows is prior * share(positives) /
+    share(unlabelled), made monotone by pooling neighbours; a logistic curve
+    is fitted to it."""
+    edge = np.unique(np.quantile(zu, np.linspace(0, 1, 65)[1:-1]))
+    bin_p = np.bincount(np.searchsorted(edge, zp, side="right"), minlength=len(edge) + 1)
+    own = np.searchsorted(edge, zu, side="right")
+    bin_u = np.bincount(own, minlength=len(edge) + 1)
+    middle = np.bincount(own, zu, len(edge) + 1) / np.maximum(bin_u, 1)
+    pools: list[list[float]] = []           # posterior, unlabelled rows, bins
+    for p, u in zip(bin_p / len(zp), bin_u):
+        pools.append([prior * p / max(u / len(zu), 1e-9), float(u), 1])
+        while len(pools) > 1 and pools[-2][0] >= pools[-1][0]:
+            v, n, k = pools.pop()
+            w = pools[-1]
+            w[0], w[1], w[2] = (w[0] * w[1] + v * n) / max(w[1] + n, 1e-9), w[1] + n, w[2] + k
+    target = np.clip(np.repeat([v for v, _, _ in pools], [k for _, _, k in pools]), 0.001, 0.999)
+    weight = bin_u / bin_u.sum()
+    scale = max(float(np.std(zu)), 1e-6)
+    x = middle / scale
+
+    def step(w):
+        slope = weight * (sigmoid(w[0] * x + w[1]) - target)
+        return np.array([(slope * x).sum(), slope.sum()])
+
+    a, b = minimise(step, 2, 3000)
+    return (a / scale, b) if a > 0 else (1.0, 0.0)
+
+
 class Quality:
     def __init__(self, cuts: list[np.ndarray], weights: np.ndarray):
         self.cuts, self.weights = cuts, weights
@@ -197,11 +230,15 @@ def train(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[Quality, float]
     if not len(positive) or not len(unlabelled):
         return Quality([], None), 0.5
     both = np.concatenate((positive, unlabelled))
-    cuts = [np.unique(np.quantile(both[:, j], np.linspace(0, 1, CELLS + 1)[1:-1])) for j in range(both.shape[1])]
-    size = len(cuts) * (CELLS + 1) + 1
+    cuts = [np.unique(np.quantile(both[:, j], CUTS)) for j in range(both.shape[1])]
+    size = len(cuts) * CELLS + 1
     pos, unl = cells(positive, cuts), cells(unlabelled, cuts)
     prior = class_prior(pos, unl, size) if len(pos) > 20 and len(unl) > 20 else 0.5
-    return Quality(cuts, non_negative_risk(pos, unl, prior, size)), prior
+    weights = non_negative_risk(pos, unl, prior, size)
+    a, b = calibration(logit(pos, weights), logit(unl, weights), prior)
+    weights = a * weights
+    weights[-1] += b
+    return Quality(cuts, weights), prior
 
 
 def _bounded(rows: DataFrame, most: int) -> np.ndarray:
