@@ -27,7 +27,9 @@ is allocated one-deletion segments, twice as wide, in that band.  As a linked
 pair has ``1 + slack`` segments in common, one of them is left unless both
 sets are of the latter kind, and then both are in the second index.
 
-*Verification.*  A bucket's sets are compared with its smallest id first; after
+*Verification.*  Pairs whose parity sketches (a few bits per shingle) differ in
+more than (s + t) / 9 bits cannot link and are ruled out first; the others are
+verified by their whole shingle sets.  A bucket's sets are compared with its smallest id first; after
 the links found so far are turned into components, what remains are pairs of a
 bucket that lie in different components.  All of those are compared, so no
 link that could join two components is lost, and a bucket of near copies costs
@@ -52,6 +54,7 @@ from tidewater.llm.common import (broadcast_if_small, documents_of, fresh, mixed
 
 WORDS = 5
 POPULAR = 32
+SKETCH_BITS = 0.6
 SMALL_SEGMENT_COST = 8.0
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -105,6 +108,31 @@ def set_keys(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return a.view(np.int64), b.view(np.int64)
 
 
+def parity_sketches(h: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """One bit string per set, of a power of two of at least 64 and
+    ``SKETCH_BITS`` times its size: bit p is the parity of the number of its
+    shingles that hash to p.  Two sets' strings differ in no more bits than
+    the sets differ in shingles."""
+    size = np.diff(bounds)
+    bits = np.int64(1) << np.maximum(6, np.ceil(np.log2(np.maximum(SKETCH_BITS * size, 1))).astype(np.int64))
+    base = np.concatenate(([0], np.cumsum(bits)))
+    of = np.repeat(np.arange(len(size)), size)
+    at = (mixed(h * np.uint64(0xC2B2AE3D27D4EB4F)) & (bits[of] - 1).astype(np.uint64)).astype(np.int64)
+    raw = np.packbits((np.bincount(base[of] + at, minlength=base[-1]) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [raw[i // 8:j // 8] for i, j in zip(base[:-1], base[1:])]
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Bits that differ, after folding the longer string to the shorter."""
+    if len(a) < len(b):
+        a, b = b, a
+    x, n = int.from_bytes(a, "little"), 8 * len(a)
+    while n > 8 * len(b):
+        n //= 2
+        x = (x ^ (x >> n)) & ((1 << n) - 1)
+    return (x ^ int.from_bytes(b, "little")).bit_count()
+
+
 # ------------------------------------------------------------- bands, schemes
 def _bands() -> np.ndarray:
     low = [1]
@@ -200,14 +228,16 @@ def _sets_of(batches):
 
 
 def describe_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, s1, s2): size and key of each document's set."""
+    """(doc_id, n, s1, s2, sketch): size, key and parity sketch of each
+    document's set."""
     def describe(batches):
         for b, h, bounds in _sets_of(batches):
             s1, s2 = set_keys(h, bounds)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(bounds)), pa.array(s1), pa.array(s2)],
-                                             names=["doc_id", "n", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(np.diff(bounds)), pa.array(s1), pa.array(s2),
+                 pa.array(parity_sketches(h, bounds), pa.binary())], names=["doc_id", "n", "s1", "s2", "sketch"])
 
-    return documents_of(docs, "doc_id", "text").mapInArrow(describe, "doc_id long, n long, s1 long, s2 long")
+    return documents_of(docs, "doc_id", "text").mapInArrow(describe, "doc_id long, n long, s1 long, s2 long, sketch binary")
 
 
 def set_signatures(docs: DataFrame, rich: DataFrame | None = None) -> DataFrame:
@@ -331,10 +361,28 @@ def wide_buckets(sigs: DataFrame) -> DataFrame:
     return _bucketed(sigs).mapInArrow(scan, BUCKET)
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link, by whole shingle sets.  Each pair
-    meets the set of b, then that of a; a set with many partners is split by
-    the join."""
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that size and parity sketch do not rule out: linked sets
+    differ in at most (s + t) / 9 shingles, and the sketches in no more bits."""
+    of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
+    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 80
+    both = pairs.join(of("b"), "b").join(of("a"), "a").filter(near)
+
+    def compare(batches):
+        for b in batches:
+            most = np.asarray(b.column("na")) + np.asarray(b.column("nb"))
+            keep = [9 * sketch_distance(x, y) <= m for x, y, m in zip(
+                b.column("ka").to_pylist(), b.column("kb").to_pylist(), most.tolist())]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(compare, "a long, b long").distinct()
+
+
+def verified(candidates: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link.  Those that the sketches leave are
+    compared by whole shingle sets: each meets the set of b, then that of a;
+    a set with many partners is split by the join."""
+    pairs = written(possible(candidates, sets), "near-possible")
     nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-nodes")
     d = documents_of(docs, "doc_id", "text").join(broadcast_if_small(nodes), F.col("doc_id") == F.col("node"), "left_semi")
 
@@ -404,7 +452,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = narrow.unionByName(broad)
 
     star = written(buckets.filter("pivot <> node").select(*_pairs("pivot", "node")).distinct(), "near-star")
-    links = written(verified(star, docs), "near-verified")
+    links = written(verified(star, sets, docs), "near-verified")
     comp = components(links)
     # what the buckets still hold: pairs of different components
     label = F.coalesce("comp", "node")
@@ -416,7 +464,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = (open_rows.join(other, "key").filter((F.col("comp") < F.col("comp2")) & ~(F.col("deletion") & F.col("deletion2")))
             .select(*_pairs("node", "node2")).distinct())
     rest = written(rest.join(star, ["a", "b"], "left_anti"), "near-rest")
-    comp = components(links.unionByName(verified(rest, docs)))
+    comp = components(links.unionByName(verified(rest, sets, docs)))
 
     member = sets.join(classes, ["n", "s1", "s2"], "left").withColumn("node", F.coalesce("rep", "doc_id"))
     out = member.join(comp.withColumnRenamed("node", "id"), F.col("node") == F.col("id"), "left")
