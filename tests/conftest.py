@@ -8,8 +8,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from tidewater.session import build_session
-    s = build_session("local[4]", shuffle_partitions=8)
+    """A session as a user brings it: nothing of the library is configured
+    beforehand, ``prepare`` must do."""
+    from pyspark.sql import SparkSession
+    from tidewater.session import prepare
+    s = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "8")
+         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
+    prepare(s)
     yield s
     s.stop()
 

@@ -137,7 +137,7 @@ def test_session_windows(spark):
     data = [("a", 1, 1), ("b", 1, 1), ("b", 3, 1), ("b", 5, 1), ("c", 6, 1), ("a", 10, 1), ("c", 11, 1)]
     df = (spark.createDataFrame([(i, *d) for i, d in enumerate(data)], "seq long, key string, ms long, n int")
           .withColumn("ts", F.timestamp_millis("ms")))
-    r = TW.session_windows(df, ["key"], "ts", "seq", 0.003, [F.sum("n").alias("n")], bucket_seconds=1)
+    r = TW.session_windows(df, ["key"], "ts", "seq", 0.003, [F.sum("n").alias("n")], bucket=S.time_bucket("ts", 1))
     got = sorted((x.key, int(x.session_start.timestamp() * 1000), x.n) for x in r.collect())
     assert got == [("a", 1, 1), ("a", 10, 1), ("b", 1, 3), ("c", 6, 1), ("c", 11, 1)]
 
@@ -146,7 +146,7 @@ def test_session_windows_gap_rule(spark):
     df = (spark.createDataFrame([(1, "k", 0), (2, "k", 600), (3, "k", 1201), (4, "k", 1800)],
                                 "seq long, key string, s long")
           .withColumn("ts", F.timestamp_seconds("s")))
-    r = TW.session_windows(df, ["key"], "ts", "seq", 600, [F.count(F.lit(1)).alias("c")], bucket_seconds=500)
+    r = TW.session_windows(df, ["key"], "ts", "seq", 600, [F.count(F.lit(1)).alias("c")], bucket=S.time_bucket("ts", 500))
     # 0 and 600 are exactly one gap apart (same session); 1201 starts a new one
     assert sorted(x.c for x in r.collect()) == [2, 2]
 
@@ -213,15 +213,70 @@ def test_top_speed_delta(spark):
                                  "car_id int, speed int, distance double, ms long")
     cars = (cars.withColumn("ts", F.timestamp_millis("ms")).withColumn("seq", F.col("ms"))
             .withColumn("dc", F.round(F.col("distance") * 100).cast("long")))
-    for op in (FO.top_speed_delta, FO.top_speed_delta_fold, FO.top_speed_delta_doubling):
-        r = op(cars, "car_id", "ts", "seq", "speed", "dc", threshold_cents=5000, evict_seconds=10)
-        assert rows(r, "speed", "distance", "seq") == [(55.0, 30.0, 1000), (60.0, 111.0, 14000)]
+    r = FO.top_speed_delta(cars, "car_id", "ts", "seq", "speed", "dc", threshold_cents=5000, evict_seconds=10)
+    assert rows(r, "speed", "distance", "seq") == [(55.0, 30.0, 1000), (60.0, 111.0, 14000)]
 
 
 def test_fibonacci(spark):
-    df = spark.createDataFrame([(10, 7), (1, 1), (49, 49), (0, 0)], "a int, b int")
-    got = [r.n for r in df.select(IT.fibonacci_steps(F.col("a"), F.col("b"), 100).alias("n")).collect()]
-    assert got == [5, 10, 2, None]
+    pairs = [(10, 7), (1, 1), (49, 49), (0, 0), (None, 1), (-10 ** 7, -1), (-1, 0), (-2 ** 31, 2 ** 31 - 1)]
+    df = spark.createDataFrame(pairs, "a int, b int")
+
+    def plain(a, b, bound):
+        wrap = lambda x: (x + 2 ** 31) % 2 ** 32 - 2 ** 31
+        if a is None or (a, b) == (0, 0):
+            return None
+        n = 0
+        while n == 0 or (a < bound and b < bound):
+            a, b, n = b, wrap(a + b), n + 1
+        return n
+
+    for bound in (100, 2 ** 30):
+        got = [r.n for r in df.select(IT.fibonacci_steps(F.col("a"), F.col("b"), bound).alias("n")).collect()]
+        assert got == [plain(a, b, bound) for a, b in pairs]
+    assert [plain(a, b, 100) for a, b in pairs][:4] == [5, 10, 2, None]
+
+
+def test_iterate_until(spark):
+    """The feedback loop over rows equals the closed function; a row goes
+    round as often as it needs."""
+    df = spark.createDataFrame([(1, 10, 7, 0), (2, 1, 1, 0), (3, 49, 49, 0), (4, 200, 1, 0)], "id int, x int, y int, n int")
+    step = lambda d: d.select("id", F.col("y").alias("x"), (F.col("x") + F.col("y")).alias("y"), (F.col("n") + 1).alias("n"))
+    out = IT.iterate_until(df, step, (F.col("x") < 100) & (F.col("y") < 100))
+    assert out.columns == df.columns and rows(out, "id", "n") == [(1, 5), (2, 10), (3, 2), (4, 1)]
+    down = IT.iterate_until(spark.createDataFrame([(25,), (3,)], "k int"), lambda d: d.select((F.col("k") - 1).alias("k")),
+                            F.col("k") > 0)
+    assert rows(down, "k") == [(0,), (0,)]
+    assert IT.iterate_until(df.limit(0), step, F.col("x") < 100).count() == 0
+
+
+def test_map_with_setup_opens_and_closes(spark):
+    from tidewater.operators.rich import map_with_setup
+    from tidewater.session import scratch_path
+    log = scratch_path(spark, "life").removeprefix("file:")
+
+    def open_():
+        import os
+        import uuid
+        os.makedirs(log, exist_ok=True)
+        name = f"{log}/{uuid.uuid4().hex}"
+        open(name, "w").write("open")
+        return name
+
+    def close(name):
+        open(name, "a").write(" closed")
+
+    def fail(name, pdf):
+        if (pdf["id"] == 7).any():
+            raise ValueError("bad row")
+        return pdf
+
+    df = spark.range(0, 6).repartition(3)
+    assert map_with_setup(df, open_, fail, "id long", close).count() == 6
+    with pytest.raises(Exception):
+        map_with_setup(spark.range(7, 8).coalesce(1), open_, fail, "id long", close).count()
+    import glob
+    states = [open(f).read() for f in glob.glob(f"{log}/*")]
+    assert len(states) >= 4 and set(states) == {"open closed"}
 
 
 def test_late_rows(spark):
@@ -254,8 +309,8 @@ def test_rising_alert(spark):
           .withColumn("ts", F.timestamp_seconds("t")))
     # armed at 0 (1.0 > 0.0) -> fires at 10 before the row at 12 (last = 2.0);
     # re-armed at 12, cancelled at 13 by the fall; armed at 14 -> flushed at 24
-    for limit in (None, 0):   # 0 forces the parallel plan
-        r = FO.rising_alert(df, "id", "ts", "seq", "v", S.time_bucket("ts", 4), seconds=10, max_rows_per_task=limit)
+    for bucket in (None, S.time_bucket("ts", 4)):
+        r = FO.rising_alert(df, "id", "ts", "seq", "v", bucket, seconds=10)
         got = [(int(x.alert_ts.timestamp()), x.last_value) for x in r.orderBy("alert_ts").collect()]
         assert got == [(10, 2.0), (24, 4.0)]
 
@@ -286,19 +341,79 @@ def test_sql_function_surface(spark, sensors):
     assert addr == "2448 RODNEY STREET, 85023, PHOENIX"
 
 
-def test_top_speed_doubling_equals_fold_on_events(spark):
-    from tidewater.sources.tables import table
-    e = table(spark, "/root/testdata/sf0.001", "events").select(
-        F.col("user_id").alias("car_id"), "ts", "event_id", F.col("value").alias("speed"),
-        F.round(F.col("value") * 100).cast("long").alias("cents"))
-    d = S.running_agg(e, ["car_id"], ["ts", "event_id"], S.time_bucket("ts", 6 * 3600),
-                      [("dc", "cents", "sum")])
-    args = ("car_id", "ts", "event_id", "speed", "dc")
-    fold = FO.top_speed_delta_fold(d, *args, threshold_cents=5000, evict_seconds=36000)
-    par = FO.top_speed_delta_doubling(d, *args, threshold_cents=5000, evict_seconds=36000)
-    cols = ["car_id", "event_id", "speed", "distance", "time"]
-    assert rows(par, *cols) == rows(fold, *cols)
-    assert fold.count() > 0
+def plain_top_speed(data, threshold, evict):
+    """(key, seq of the top row) per firing, row by row."""
+    out = []
+    for key in {k for k, *_ in data}:
+        ref, seen = None, []
+        for _, t, seq, sp, d in sorted((r for r in data if r[0] == key), key=lambda r: (r[1], r[2])):
+            seen.append((t, seq, sp))
+            if d is None:
+                continue
+            if ref is None:
+                ref = d
+            elif d - ref > threshold:
+                ref = d
+                window = [r for r in seen if r[0] > t - evict]
+                out.append((key, max(window, key=lambda r: (r[2], -r[0], -r[1]))[1]))
+    return sorted(out, key=str)
+
+
+def plain_rising(data, seconds):
+    out = []
+    for key in {k for k, *_ in data}:
+        last, deadline = 0.0, None
+        for _, t, _, v in sorted((r for r in data if r[0] == key), key=lambda r: (r[1], r[2])):
+            if deadline is not None and deadline <= t:
+                out.append((key, deadline, last))
+                deadline = None
+            if v > last and deadline is None:
+                deadline = t + seconds
+            elif v < last:
+                deadline = None
+            last = v
+        if deadline is not None:
+            out.append((key, deadline, last))
+    return sorted(out, key=str)
+
+
+def hot_rows(n=3000, seed=1):
+    """(key, t, seq): one key holds 90 % of the rows, one is NULL, times tie."""
+    import random
+    rng = random.Random(seed)
+    keys = ["hot"] * 18 + ["cold", None]
+    return [(rng.choice(keys), rng.randrange(n // 2), i, rng) for i in range(n)]
+
+
+@pytest.mark.parametrize("falling", [False, True])
+def test_top_speed_equals_row_by_row(spark, falling):
+    """Hot, NULL and small keys; distances that grow, fall or are missing."""
+    total, data = {}, []
+    for k, t, i, rng in sorted(hot_rows(), key=lambda r: (r[1], r[2])):
+        total[k] = total.get(k, 0) + rng.randrange(-60 if falling else 0, 90)
+        data.append((k, t, i, float(rng.randrange(50)), None if rng.random() < 0.02 else total[k]))
+    df = spark.createDataFrame(data, "k string, t long, seq long, sp double, d long").withColumn("ts", F.timestamp_seconds("t"))
+    got = FO.top_speed_delta(df, "k", "ts", "seq", "sp", "d", threshold_cents=500, evict_seconds=37)
+    want = plain_top_speed(data, 500, 37)
+    assert sorted(((r.k, r.seq) for r in got.collect()), key=str) == want and len(want) > 5
+    # distances may fall: the cents steps of a short example
+    steps = [10, 60, -80, 30, 70, -20, 90, 5, 60]
+    short = [("a", i, i, float(s), sum(steps[:i + 1]) * 100) for i, s in enumerate(steps)]
+    df = spark.createDataFrame(short, "k string, t long, seq long, sp double, d long").withColumn("ts", F.timestamp_seconds("t"))
+    got = FO.top_speed_delta(df, "k", "ts", "seq", "sp", "d", threshold_cents=5000, evict_seconds=100)
+    assert sorted(((r.k, r.seq) for r in got.collect()), key=str) == plain_top_speed(short, 5000, 100)
+
+
+def test_rising_alert_equals_row_by_row(spark):
+    data = []
+    level = {}
+    for k, t, i, rng in sorted(hot_rows(2000, 5), key=lambda r: (r[1], r[2])):
+        level[k] = max(0.0, level.get(k, 1.0) + rng.choice([0, 0, 1, 1, 1, 1, 1, 1, -3]))
+        data.append((k, t, i, level[k]))
+    df = spark.createDataFrame(data, "k string, t long, seq long, v double").withColumn("ts", F.timestamp_seconds("t"))
+    got = FO.rising_alert(df, "k", "ts", "seq", "v", seconds=5)
+    want = plain_rising(data, 5)
+    assert sorted(((r.k, int(r.alert_ts.timestamp()), r.last_value) for r in got.collect()), key=str) == want and len(want) > 20
 
 
 def test_balanced_bucket_hot_key(spark):
@@ -393,9 +508,9 @@ def test_verse_wordcount_and_count_window(spark):
 
 def test_english_tweets_running_counts(spark):
     from tidewater.sources.readers import parse_json
-    tweets = ['{"text": "Apache Flink", "user": {"lang": "en"}}'] * 3 + [
-        '{"text": "Apache Flink", "user": {"lang": "de"}}',   # not English
-        '{"text": "Apache Flink"}',                            # no user
+    tweets = ['{"text": "Quick Start", "user": {"lang": "en"}}'] * 3 + [
+        '{"text": "Quick Start", "user": {"lang": "de"}}',   # not English
+        '{"text": "Quick Start"}',                            # no user
         '{"user": {"lang": "en"}}']                            # no text
     df = spark.createDataFrame(list(enumerate(tweets)), "seq long, value string")
     parsed = df.select("seq", F.col("value")).withColumn("j", F.from_json("value", "text string, user struct<lang: string>"))
@@ -403,8 +518,8 @@ def test_english_tweets_running_counts(spark):
     toks = english.select("seq", F.posexplode(F.split(F.col("j.text"), "[ \t\n\r\f]+")).alias("pos", "t")) \
         .select("seq", "pos", F.lower("t").alias("word"))
     r = K.running_count(toks, ["word"], ["seq", "pos"], S.seq_bucket("seq", 1), "n")
-    assert rows(r, "word", "n") == [("apache", 1), ("apache", 2), ("apache", 3),
-                                    ("flink", 1), ("flink", 2), ("flink", 3)]
+    assert rows(r, "word", "n") == [("quick", 1), ("quick", 2), ("quick", 3),
+                                    ("start", 1), ("start", 2), ("start", 3)]
     assert parse_json(df, "value", "text string").count() == 6
 
 
@@ -424,13 +539,65 @@ def test_counter_timestamps_window_all(spark):
     assert sorted(x.n for x in r.collect()) == [500, 500]
 
 
-def test_rising_alert_doubling_equals_fold(spark):
-    from tidewater.sources.tables import table
-    e = table(spark, "/root/testdata/sf0.001", "events").select(
-        F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("id"), "ts", "event_id", "value")
-    b = S.time_bucket("ts", 6 * 3600)
-    fold = FO.rising_alert(e, "id", "ts", "event_id", "value", b, seconds=6 * 3600)
-    par = FO.rising_alert_doubling(e, "id", "ts", "event_id", "value", b, seconds=6 * 3600)
-    cols = ["id", "alert_ts", "last_value"]
-    assert rows(par, *cols) == rows(fold, *cols)
-    assert fold.count() > 0
+def test_sequential_operators_with_a_hot_key(spark):
+    """One key with 90 % of the rows and a NULL key: every operator over its
+    balanced buckets equals a plain window."""
+    from pyspark.sql import Window
+    from tidewater.operators import changelog as CL
+    data = [(k, t, i, float(rng.randrange(40))) for k, t, i, rng in hot_rows(1500, 9)]
+    df = spark.createDataFrame(data, "k string, t long, seq long, v double").withColumn("ts", F.timestamp_seconds("t"))
+    order, w = ["ts", "seq"], Window.partitionBy("k").orderBy("ts", "seq")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    same = lambda got, want, *cols: sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+    assert same(K.running_count(df, ["k"], order, None, "n"), df.withColumn("n", F.count("*").over(upto)), "seq", "n")
+    assert same(K.jump_alert(df, "k", order, None, "v", 10.0),
+                df.withColumn("last_value", F.lag("v").over(w)).filter(F.abs(F.col("v") - F.col("last_value")) > 10),
+                "seq", "last_value")
+    assert same(K.rows_frame(df, ["k"], order, None, 2, {"a": lambda s: F.sum("v").over(s)}),
+                df.withColumn("a", F.sum("v").over(w.rowsBetween(-2, 0))), "seq", "a")
+    assert same(CL.top1_additions(df, "k", order, None, "v"),
+                df.withColumn("b", F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+                .filter("b is null or v > b"), "seq")
+    assert CL.changelog_count(df, "k", order, None, carry=["seq"]).filter("is_add").count() == len(data)
+    gap = F.coalesce((F.col("t") - F.lag("t").over(w) > 3).cast("int"), F.lit(1))
+    plain = df.withColumn("g", gap).withColumn("s", F.sum("g").over(upto)).groupBy("k", "s").agg(F.count("*").alias("c"), F.min("ts").alias("session_start"))
+    assert same(TW.session_windows(df, ["k"], "ts", "seq", 3, [F.count("*").alias("c")]), plain, "k", "c", "session_start")
+    n = df.withColumn("n", F.row_number().over(w))
+    tiny = n.withColumn("v", F.col("v") * 1e-12)
+    slid = CW.sliding_count_window_sum(tiny.drop("n"), ["k"], order, None, "v", size=25, slide=10)
+    want = tiny.withColumn("total", F.sum("v").over(w.rowsBetween(-24, 0))).filter("n % 10 = 0")
+    rnd = F.round(F.col("total") * 1e12, 6).alias("r")
+    assert same(slid.select("k", "n", rnd), want.select("k", F.col("n").cast("long").alias("n"), rnd), "k", "n", "r")
+    full = n.withColumn("blk", F.floor((F.col("n") - 1) / 7)).groupBy("k", "blk").agg(F.count("*").alias("c"), F.min("v").alias("m")).filter("c = 7")
+    assert same(CW.tumbling_count_window(df, ["k"], order, None, 7, [F.min("v").alias("m")]), full, "k", "m")
+
+
+def test_as_of_join_broadcast_and_merged(spark):
+    from tidewater.operators.joins import asof_backward
+    data = spark.range(0, 400).select(F.col("id"), F.timestamp_seconds((F.col("id") * 37) % 500).alias("ts")) \
+        .union(spark.createDataFrame([(999, None)], "id long, ts timestamp"))
+    models = spark.createDataFrame([(t, float(t)) for t in (50, 51, 200, 203, 400)], "t long, p double") \
+        .select(F.timestamp_seconds("t").alias("mts"), "p")
+    times = [50, 51, 200, 203, 400]
+    want = sorted((i, max((float(t) for t in times if t <= (i * 37) % 500), default=None)) for i in range(400))
+    for broadcast in (True, False, None):
+        got = asof_backward(data, "ts", models, "mts", 60, broadcast=broadcast)
+        assert sorted((r.id, r.p) for r in got.collect() if r.id != 999) == want
+        assert got.filter("id = 999").first().p is None
+
+
+def test_kmeans_blocks_of_centroids(spark, monkeypatch):
+    pts = spark.createDataFrame([([x, y],) for x, y in KMEANS_POINTS] + [(None,)], "v array<double>")
+    cents = [(i, [float(i * 7 % 50 - 25), float(i * 11 % 60 - 30)]) for i in range(20)] + [(30, [-25.0, -30.0])]
+    whole = rows(IT.kmeans_assign(pts, "v", cents).select(F.coalesce("cluster_id", F.lit(-1)).alias("c"), F.to_json(F.struct("v")).alias("v")), "v", "c")
+    monkeypatch.setattr(IT, "MAX_CENTROID_VALUES", 6)
+    assert rows(IT.kmeans_assign(pts, "v", cents).select(F.coalesce("cluster_id", F.lit(-1)).alias("c"), F.to_json(F.struct("v")).alias("v")), "v", "c") == whole
+
+
+def test_intervals():
+    assert TW.interval_micros("2500 milliseconds") == 2_500_000
+    assert TW.interval_micros("1 hour 30 minutes") == 5_400_000_000
+    assert TW.interval_micros("INTERVAL 0.5 seconds") == 500_000
+    for bad in ("", "5", "0 seconds", "0.5 microseconds"):
+        with pytest.raises(ValueError):
+            TW.interval_micros(bad)

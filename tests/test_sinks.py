@@ -3,11 +3,13 @@ declared stream tables."""
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.session import scratch_path
 from tidewater.sinks import upsert as U
 from tidewater.sinks import writers as W
+from tidewater.sinks.versions import commit, committed, newest_before
 
 
 def test_jdbc_upsert_latest_value(spark, sensors):
@@ -26,14 +28,73 @@ def test_jdbc_upsert_latest_value(spark, sensors):
     assert got == {"sensor_1": 40.5, "sensor_10": 36.6, "sensor_2": 36.1, "sensor_3": 37.6, "sensor_4": 38.3}
 
 
-def test_parquet_upsert_versions_are_idempotent(spark, sensors):
+def test_parquet_upsert_versions(spark, sensors):
+    """Deltas, a replayed and a skipped version, compaction."""
     path = scratch_path(spark, "upsert")
+    read = lambda **kw: dict((r.id, r.temperature) for r in U.read_upserted(spark, path, ["id"], ["ts", "seq"], **kw).collect())
+    assert U.read_upserted(spark, path, ["id"], ["ts", "seq"]) is None
     U.upsert_parquet(spark, sensors.filter("seq <= 3"), path, 0, ["id"], ["ts", "seq"])
-    U.upsert_parquet(spark, sensors.filter("seq > 3"), path, 1, ["id"], ["ts", "seq"])
-    # a replayed batch rewrites the same version folder
-    out = U.upsert_parquet(spark, sensors.filter("seq > 3"), path, 1, ["id"], ["ts", "seq"])
-    got = dict((r.id, r.temperature) for r in spark.read.parquet(out).collect())
-    assert got == {"sensor_1": 36.6, "sensor_10": 36.6, "sensor_2": 36.1, "sensor_3": 37.6, "sensor_4": 38.3}
+    U.upsert_parquet(spark, sensors.filter("seq = 4"), path, 1, ["id"], ["ts", "seq"])
+    U.upsert_parquet(spark, sensors.filter("seq = 4"), path, 1, ["id"], ["ts", "seq"])        # replayed
+    out = U.upsert_parquet(spark, sensors.filter("seq > 4"), path, 3, ["id"], ["ts", "seq"])  # 2 was skipped
+    assert spark.read.parquet(out).count() == 3                                               # only what changed
+    want = {"sensor_1": 36.6, "sensor_10": 36.6, "sensor_2": 36.1, "sensor_3": 37.6, "sensor_4": 38.3}
+    assert read() == want and read(upto=1) == {k: want[k] for k in ("sensor_1", "sensor_10")}
+    for v in range(4, U.COMPACT_EVERY + 2):
+        row = [(100 + v, "sensor_9", 1, float(v))]
+        U.upsert_parquet(spark, spark.createDataFrame(row, "seq long, id string, time_stamp long, temperature double")
+                         .withColumn("ts", F.timestamp_seconds("time_stamp")), path, v, ["id"], ["ts", "seq"])
+    assert committed(spark, f"{path}/base") == [U.COMPACT_EVERY - 1]
+    assert read() == want | {"sensor_9": float(U.COMPACT_EVERY + 1)}
+
+
+def test_damaged_version_is_an_error_not_an_empty_table(spark, sensors):
+    import glob
+    path = scratch_path(spark, "damaged")
+    out = U.upsert_parquet(spark, sensors, path, 0, ["id"], ["ts", "seq"])
+    for f in glob.glob(f"{out.removeprefix('file:')}/part-*"):
+        open(f, "wb").write(b"not parquet")
+    for f in glob.glob(f"{out.removeprefix('file:')}/.part-*.crc"):
+        open(f, "wb").write(b"")
+    with pytest.raises(Exception):
+        U.read_upserted(spark, path, ["id"], ["ts", "seq"]).collect()
+    # a version that was never finished is passed over
+    half = scratch_path(spark, "half")
+    commit(sensors.select("id"), half, 0)
+    sensors.select("id").write.parquet(f"{half}/v=00000001")
+    import os
+    os.remove(f"{half.removeprefix('file:')}/v=00000001/_SUCCESS")
+    assert committed(spark, half) == [0] and newest_before(spark, half, 5).endswith("v=00000000")
+
+
+def test_jdbc_append_is_safe_to_replay(spark):
+    url = f"jdbc:derby:memory:tw{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    U._jdbc_execute(spark, url, ["CREATE TABLE SUMS (NAME VARCHAR(32), TOTAL DOUBLE)"], props)
+    one = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "name string, total double")
+    two = spark.createDataFrame([("c", 3.0)], "name string, total double")
+    for batch, number in ((one, 0), (one, 0), (two, 1), (one, 0)):
+        W.append_batch_once(batch, number, url, "SUMS", props)
+    assert sorted((r.NAME, r.TOTAL) for r in spark.read.jdbc(url, "SUMS", properties=props).collect()) == [
+        ("a", 1.0), ("b", 2.0), ("c", 3.0)]
+
+
+def test_one_header_over_many_files(spark):
+    path = scratch_path(spark, "headed")
+    W.write_delimited_once(spark.range(0, 20).repartition(4).select("id", (F.col("id") * 2).alias("two")), path, ";")
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert lines.count("id;two") == 1 and len(lines) == 21
+
+
+def test_topic_reader_and_writer(spark, tmp_path):
+    """The message source and sink with a file format in place of a broker."""
+    from tidewater.sources.readers import read_topic_lines
+    src, out = scratch_path(spark, "topic"), scratch_path(spark, "topic-out")
+    spark.createDataFrame([("a",), ("b",)], "value string").coalesce(1).write.text(src)
+    lines = read_topic_lines(spark, "unused:0", "readings", fmt="text", options={"path": src})
+    W.write_topic(lines, "unused:0", "copy", scratch_path(spark, "ckpt"), fmt="text", options={"path": out},
+                  trigger={"availableNow": True}).awaitTermination()
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["a", "b"]
 
 
 def test_insert_into_declared_csv_table(spark, sensors):

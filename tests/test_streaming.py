@@ -2,7 +2,7 @@
 static result; restarting from a checkpoint resumes with the same state."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidewater.operators import changelog as CL
 from tidewater.operators import folds as FO
@@ -28,10 +28,10 @@ def as_stream(spark, df, n=3, flush=None):
     """Replay ``df`` as ``n`` files in event_id order (+ an optional flush
     row far in the future, as the last file)."""
     path = scratch_path(spark, "replay")
-    replay_as_files(spark, df, "event_id", n, path)
+    replay_as_files(spark, df, "event_id", n, path, files=2 if n < 5 else 1)
     if flush is not None:
         flush.coalesce(1).write.mode("overwrite").parquet(f"{path}/c{n:05d}")
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/c*")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2 if n < 5 else 1).parquet(f"{path}/c*")
 
 
 def collect_stream(spark, sdf):
@@ -44,8 +44,7 @@ def keyset(df, cols):
 
 
 def test_jump_alert_stream_equals_batch(spark, readings):
-    bucket = S.time_bucket("ts", 6 * 3600)
-    batch = K.jump_alert(readings, "id", ORDER, bucket, "temperature", 10.0, initial=0.0)
+    batch = K.jump_alert(readings, "id", ORDER, None, "temperature", 10.0, initial=0.0)
     stream = K.jump_alert(as_stream(spark, readings), "id", ORDER, None, "temperature", 10.0, initial=0.0)
     got = collect_stream(spark, stream)
     cols = ["event_id", "id", "last_value", "temperature"]
@@ -54,14 +53,13 @@ def test_jump_alert_stream_equals_batch(spark, readings):
 
 
 def test_changelog_stream_equals_batch_and_restarts(spark, readings):
-    bucket = S.time_bucket("ts", 6 * 3600)
-    batch = CL.changelog_count(readings, "id", ORDER, bucket, carry=["event_id"])
+    batch = CL.changelog_count(readings, "id", ORDER, None, carry=["event_id"])
     path = scratch_path(spark, "replay")
-    replay_as_files(spark, readings, "event_id", 3, path)
+    replay_as_files(spark, readings, "event_id", 3, path, files=2)
     ckpt, sink = scratch_path(spark, "ckpt"), scratch_path(spark, "sink")
 
     def run(glob):
-        src = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(glob)
+        src = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 2).parquet(glob)
         run_available_now(CL.changelog_count(src, "id", ORDER, None, carry=["event_id"]), sink, checkpoint=ckpt)
 
     # first run sees only the first file; the restart picks up the rest
@@ -76,8 +74,7 @@ def test_changelog_stream_equals_batch_and_restarts(spark, readings):
 
 
 def test_rising_alert_stream_equals_batch(spark, readings):
-    bucket = S.time_bucket("ts", 6 * 3600)
-    batch = FO.rising_alert(readings, "id", "ts", "event_id", "temperature", bucket, seconds=6 * 3600)
+    batch = FO.rising_alert(readings, "id", "ts", "event_id", "temperature", None, seconds=6 * 3600)
     last = readings.agg(F.max("ts"), F.max("event_id")).first()
     flush = spark.createDataFrame([(last[1] + 1, "__flush__", None, 0.0)], readings.schema) \
         .withColumn("ts", F.lit(last[0]) + F.expr("INTERVAL 30 DAYS"))
@@ -158,13 +155,11 @@ def test_window_join_stream(spark):
 
 
 def test_rows_frame_stream_equals_batch(spark, readings):
-    from tidewater.streaming.stateful import rows_frame_stream
-    bucket = S.time_bucket("ts", 6 * 3600)
-    batch = K.rows_frame(readings, ["id"], ORDER, bucket, 2,
+    batch = K.rows_frame(readings, ["id"], ORDER, None, 2,
                          {"cnt": lambda w: F.count("id").over(w),
                           "avg_value": lambda w: F.round(F.avg("temperature").over(w), 6)})
-    got = collect_stream(spark, rows_frame_stream(as_stream(spark, readings), "id", ORDER, "temperature", 2,
-                                                  ["event_id"])).withColumn("avg_value", F.round("avg_value", 6))
+    got = collect_stream(spark, K.rows_frame(as_stream(spark, readings), ["id"], ORDER, None, 2, {},
+                                             stream_value="temperature")).withColumn("avg_value", F.round("avg_value", 6))
     cols = ["event_id", "id", "cnt", "avg_value"]
     assert keyset(got, cols) == keyset(batch, cols)
 
@@ -172,8 +167,8 @@ def test_rows_frame_stream_equals_batch(spark, readings):
 def test_count_window_stream_equals_batch(spark):
     from tidewater.operators import countwindows as CW
     e = table(spark, SF, "events").select("event_type", "event_id", "value")
-    batch = CW.sliding_count_window_sum(e, ["event_type"], ["event_id"], S.seq_bucket("event_id", 100),
-                                        "value", size=25, slide=15)
+    batch = CW.sliding_count_window_sum(e, ["event_type"], ["event_id"], None, "value", size=25, slide=15) \
+        .withColumn("total", F.round("total", 6))
     got = collect_stream(spark, CW.sliding_count_window_sum(as_stream(spark, e), ["event_type"], ["event_id"],
                                                             None, "value", size=25, slide=15))
     cols = ["event_type", "n", "total"]
@@ -181,6 +176,109 @@ def test_count_window_stream_equals_batch(spark):
     assert got.count() > 0
 
 
+def test_tiny_values_sum_alike_on_stream_and_batch(spark):
+    from tidewater.operators import countwindows as CW
+    df = spark.range(0, 40).select(F.col("id").alias("event_id"), F.lit("k").alias("k"), F.lit(1e-8).alias("v"))
+    batch = CW.sliding_count_window_sum(df, ["k"], ["event_id"], None, "v", size=10, slide=5)
+    got = collect_stream(spark, CW.sliding_count_window_sum(as_stream(spark, df), ["k"], ["event_id"], None, "v", size=10, slide=5))
+    scaled = lambda d: keyset(d.withColumn("s", F.round(F.col("total") * 1e8, 6)), ["n", "s"])
+    assert scaled(got) == scaled(batch) == [(5, 5.0)] + [(n, 10.0) for n in range(10, 45, 5)]
+
+
+def test_tumbling_count_window_stream_equals_batch(spark, readings):
+    from tidewater.operators import countwindows as CW
+    batch = CW.tumbling_count_window(readings, ["id"], ORDER, None, 4,
+                                     [F.min("temperature").alias("m"), F.max_by("ts", "event_id").alias("last_ts")])
+    got = collect_stream(spark, CW.tumbling_count_window(
+        as_stream(spark, readings), ["id"], ORDER, None, 4, [], {"m": ("temperature", "min"), "last_ts": ("ts", "last")}))
+    cols = ["id", "window_no", "m", "last_ts"]
+    assert keyset(got, cols) == keyset(batch, cols) and got.count() > 0
+
+
+def test_top1_additions_stream_equals_batch(spark, readings):
+    d = readings.select("event_id", "id", "ts", "temperature")
+    batch = CL.top1_additions(d, "id", ORDER, None, "temperature")
+    got = collect_stream(spark, CL.top1_additions(as_stream(spark, d), "id", ORDER, None, "temperature"))
+    assert keyset(got, ["event_id", "id", "is_add"]) == keyset(batch, ["event_id", "id", "is_add"])
+
+
+def test_top_speed_stream_equals_batch(spark, readings):
+    total = F.sum(F.round(F.col("temperature") * 100).cast("long") - 4000).over(Window.partitionBy("id").orderBy(*ORDER))
+    d = readings.withColumn("d", F.when(F.col("event_id") % 11 != 0, total))
+    args = ("id", "ts", "event_id", "temperature", "d")
+    batch = FO.top_speed_delta(d, *args, threshold_cents=2000, evict_seconds=36000)
+    got = collect_stream(spark, FO.top_speed_delta(as_stream(spark, d), *args, threshold_cents=2000, evict_seconds=36000))
+    cols = ["id", "event_id", "speed", "distance", "time"]
+    assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, batch.select(cols).collect())) and got.count() > 0
+
+
+def test_sliding_sum_stream_equals_batch(spark, readings):
+    """Windows of 2500 ms every 500 ms, on a scale of milliseconds."""
+    d = readings.withColumn("ts", F.timestamp_millis(F.floor(F.unix_micros("ts") / 60_000_000).cast("long")))
+    last = d.agg(F.max("ts"), F.max("event_id")).first()
+    flush = spark.createDataFrame([(last[1] + 1, "__flush__", None, 0.0)], d.schema).withColumn(
+        "ts", F.lit(last[0]) + F.expr("INTERVAL 1 HOUR")).select(d.columns)
+    args = (["id"], "ts", "temperature", "2500 milliseconds", "500 milliseconds")
+    batch = TW.sliding_sum(d, *args)
+    src = as_stream(spark, d, 3, flush).withWatermark("ts", "0 seconds")
+    got = collect_stream(spark, TW.sliding_sum(src, *args)).filter("id != '__flush__'")
+    rnd = lambda x: keyset(x.withColumn("total", F.round("total", 6)), ["id", "window_start", "window_end", "total"])
+    assert rnd(got) == rnd(batch) and got.count() > 0
+
+
+def test_late_updates_are_emitted_again(spark):
+    """A window comes out when its first rows arrive and again, with the new
+    result, when late but allowed rows change it; too late rows do not."""
+    from tidewater.operators.late import late_updates_stream
+    out, late, state = (scratch_path(spark, n) for n in ("updates", "late", "lstate"))
+    late_updates_stream(as_stream(spark, _late_rows(spark), 5), ["id"], "ts", 15, 3, 60,
+                        [F.min("temperature").alias("m"), F.count("*").alias("c")],
+                        [F.min("m").alias("m"), F.sum("c").alias("c")], out, late, state,
+                        scratch_path(spark, "ckpt")).awaitTermination()
+    got = sorted((r.batch_id, int(r.window_start.timestamp()), r.m, r.c) for r in spark.read.parquet(out).collect())
+    # the third row is late for its window and changes it; the fifth is too late
+    assert [g[1:] for g in got] == [(0, 5.0, 1), (15, 6.0, 1), (0, 4.0, 2), (90, 7.0, 1)]
+    assert [r.event_id for r in spark.read.parquet(late).collect()] == [5]
+
+
+def test_processing_time_window_on_arrival(spark):
+    df = TW.on_arrival(spark.range(0, 10).withColumn("word", F.lit("a")))
+    r = TW.tumble(df, ["word"], "arrival", "1 day", [F.count(F.lit(1)).alias("cnt")]).collect()
+    assert sum(x.cnt for x in r) == 10
+
+
+def test_running_reduce_branch_equals_batch(spark, readings):
+    d = readings.withColumn("sec", F.unix_seconds("ts"))
+    batch = K.running_reduce_latest_step(d, "id", ORDER, None, "sec")
+    got = collect_stream(spark, K.running_reduce_latest_step(as_stream(spark, d), "id", ORDER, None, "sec"))
+    assert keyset(got, ["event_id", "sec"]) == keyset(batch, ["event_id", "sec"])
+
+
+def test_replay_keeps_rows_without_order(spark):
+    df = spark.createDataFrame([(None, "x"), (2 ** 60, "y"), (2 ** 60 + 1, "z"), (5, "w")], "event_id long, v string")
+    path = scratch_path(spark, "replay")
+    got = spark.read.parquet(replay_as_files(spark, df, "event_id", 3, path))
+    assert sorted(r.v for r in got.collect()) == ["w", "x", "y", "z"]
+    import glob
+    assert all(len(glob.glob(f"{path.removeprefix('file:')}/c0000{i}/part-*")) >= 1 for i in range(3))
+
+
+def test_lookup_timeout_is_per_request(spark):
+    """A slow lookup fails although others finish in the meantime."""
+    from tidewater.operators.joins import async_lookup
+
+    def slow_one(k):
+        import time
+        time.sleep(3.0 if k == 0 else 0.02)
+        return "ok"
+
+    df = spark.range(0, 400).select(F.col("id").alias("rid"), F.col("id").alias("k")).coalesce(1)
+    with pytest.raises(Exception, match="longer than"):
+        async_lookup(df, "k", "rid", slow_one, capacity=4, timeout_s=1.0, ordered=False).collect()
+    got = async_lookup(df.filter("k > 0"), "k", "rid", slow_one, capacity=4, ordered=True, position_col="p").collect()
+    assert [(r.rid, r.p) for r in sorted(got, key=lambda r: r.p)] == [(i + 1, i) for i in range(399)]
+
+
 def test_running_reduce_stream(spark, sensors):
     from tidewater.streaming.stateful import running_reduce_stream
     df = sensors.select(F.col("seq").alias("event_id"), "id", "time_stamp", "temperature", "ts")

@@ -18,9 +18,11 @@ def _int32(x: str) -> str:
     return f"CAST(CASE WHEN {m} >= 2147483648 THEN {m} - 4294967296 ELSE {m} END AS INT)"
 
 
-# String.hashCode: 31-polynomial over the characters, int32 wrap-around
-_HASH = _int32("aggregate(transform(split(s, ''), c -> CAST(ascii(c) AS BIGINT)), 0L, "
-               "(a, u) -> (a * 31 + u) % 4294967296)")
+# String.hashCode: 31-polynomial over UTF-16 code units (two for a character
+# above U+FFFF), int32 wrap-around
+_HASH = _int32("aggregate(transform(split(s, ''), c -> CAST(ascii(c) AS BIGINT)), 0L, (a, c) -> "
+               "(CASE WHEN c > 65535 THEN a * 961 + (55296 + shiftright(c - 65536, 10)) * 31 + 56320 + ((c - 65536) & 1023) "
+               "ELSE a * 31 + c END) % 4294967296)")
 
 STATEMENTS = [
     f"""

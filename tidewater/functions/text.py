@@ -46,11 +46,13 @@ def words(col, pattern: str = WORD_SEPARATOR, lower: bool = True, keep_empty: bo
 
 def java_string_hash(col) -> Column:
     """``String.hashCode``: 31-polynomial over UTF-16 code units, int32
-    wrap-around.  Works for BMP text (code point = code unit)."""
+    wrap-around.  A character above U+FFFF is two units."""
     s = _c(col)
-    units = F.transform(F.split(s, ""), lambda ch: F.ascii(ch).cast("long"))
-    h = F.aggregate(units, F.lit(0).cast("long"),
-                    lambda acc, u: (acc * F.lit(31) + u) % F.lit(4294967296))
+    points = F.transform(F.split(s, ""), lambda ch: F.ascii(ch).cast("long"))
+    two = lambda acc, c: (acc * F.lit(961) + (F.lit(0xD800) + F.shiftright(c - 0x10000, 10)) * 31
+                          + F.lit(0xDC00) + (c - 0x10000).bitwiseAND(0x3FF))
+    h = F.aggregate(points, F.lit(0).cast("long"),
+                    lambda acc, c: F.when(c > 0xFFFF, two(acc, c)).otherwise(acc * F.lit(31) + c) % F.lit(4294967296))
     return F.when(s == "", F.lit(0)).otherwise(to_int32(h))
 
 
@@ -75,8 +77,3 @@ def normalize_address(street, zip_code, city) -> Column:
     collapse spaces, trim, joined with ``", "``."""
     return F.concat(normalize_part(street), F.lit(", "), normalize_part(zip_code),
                     F.lit(", "), normalize_part(city))
-
-
-def key_label(col, modulus: int = 10) -> Column:
-    """``'key' || (k % modulus)`` lookup result of the async sample client."""
-    return F.concat(F.lit("key"), (_c(col) % F.lit(modulus)).cast("string"))

@@ -29,18 +29,6 @@ def last_row(df: DataFrame, keys: list[str], order, cols: list[str]) -> DataFram
     return df.groupBy(*keys).agg(rec).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in cols])
 
 
-def max_by_row(df: DataFrame, keys: list, value: str, seq: str, minimum: bool = False) -> DataFrame:
-    """Whole row with the max (or min) ``value`` per group; ties go to the
-    earliest arrival (smallest ``seq``)."""
-    cols = [c for c in df.columns]
-    rec = F.struct(*[F.col(c) for c in cols])
-    if minimum:
-        agg = F.min_by(rec, F.struct(F.col(value), F.col(seq)))
-    else:
-        agg = F.max_by(rec, F.struct(F.col(value), -F.col(seq)))
-    return df.groupBy(*keys).agg(agg.alias("__r"))
-
-
 def top_n_filled(df: DataFrame, keys: list[str], value: str, n: int = 2, floor: float = 0.0,
                  value_name: str = "temp", rank_name: str = "rank") -> DataFrame:
     """Table aggregate "top N values with rank": always N rows per key; slots

@@ -1,47 +1,37 @@
-"""Sequential per-key folds whose state cannot be expressed as a window
-aggregate: the rising-temperature timer alert and the delta-triggered
-global window with a time evictor.
-
-Both run as a *sorted streaming fold*: rows are hash-partitioned by the fold
-group, sorted inside each partition, and ``mapInPandas`` walks the sorted
-batches carrying only the current group's state across batch boundaries.
-No group is ever held in memory as a whole.
-
-The rising alert is additionally split into independent groups: a falling
-value cancels any pending timer and resets the state completely, so each
-run of non-falling values (a "segment") is folded on its own, with the
-segment's first predecessor value and the next segment's start time as
-inputs.  A key with a third of all rows is thus spread over its segments.
+"""Sequential per-key rules as parallel plans: the rising-temperature timer
+alert and the delta-triggered global window with a time evictor.
+
+Both follow a chain per key (the timer that is armed next, the row that fires
+next).  The pointer of every possible chain member is found by a running
+minimum over balanced buckets (``sequence.first_at_or_after``), the chain from
+the key's head by pointer doubling (``sequence.chain_from_heads``).  There is
+one plan whatever the size of a key, and no key is ever one task.  A null key
+is a key like any other.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewater.operators import keyed as K
 from tidewater.plans import sequence as S
+from tidewater.session import ensure_checkpoint_dir
 
 
-# Largest key (rows) a sequential fold may give to one task.
-MAX_ROWS_PER_TASK = 5_000_000
-
-
-def _sorted_fold(df: DataFrame, group: list[str], order: list[str], fn, schema: str,
-                 partitions: int | None = None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartition(n, *group)
-            .sortWithinPartitions(*group, *order)
-            .mapInPandas(fn, schema))
+def _null_free(df: DataFrame, key: str) -> tuple[DataFrame, list[str], Column]:
+    """``df`` with null-free key columns, their names, and the key again."""
+    enc = S.null_free_keys(df, [key])
+    if enc is None:
+        raise TypeError(f"key {key} has a type without a zero value")
+    d, names = enc
+    if names == [key]:
+        return d, names, F.col(key)
+    d = d.withColumnsRenamed(dict(zip(names, ("__key", "__no_key"))))
+    return d.drop(key), ["__key", "__no_key"], F.when(~F.col("__no_key"), F.col("__key")).alias(key)
 
 
 # ------------------------------------------------------------ rising alert
-def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket: Column,
-                 seconds: int, initial: float = 0.0, flush_at_end: bool = True,
-                 max_rows_per_task: int | None = None) -> DataFrame:
+def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket: Column | None = None,
+                 seconds: int = 0, initial: float = 0.0, flush_at_end: bool = True) -> DataFrame:
     """Event-time form of "value rose continuously for ``seconds``".
 
     Per key, in ``(ts, seq)`` order, with ``last`` starting at ``initial``:
@@ -51,254 +41,134 @@ def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket:
     leaves it; ``last = value``.  At the end of input a pending timer fires
     when ``flush_at_end``.  Output: ``(key, alert_ts, last_value)``.
     A streaming input runs the timer-based stateful processor (the end of
-    input is a watermark that passes every deadline).  A batch input whose
-    largest key exceeds ``max_rows_per_task`` runs the parallel
-    :func:`rising_alert_doubling`; otherwise the segmented sorted fold.
+    input is a watermark that passes every deadline).
+
+    A falling value resets all state, so a key falls into segments, runs
+    without falling values.  In a segment a strictly rising row arms the
+    timer; once armed, the next arming row is the first rising row at or
+    after the deadline.  The arming rows are thus a chain from the segment's
+    first rising row, and an armed deadline D fires iff the first row of the
+    key at or after D is in the same segment or opens the next one (or, with
+    no such row, the segment is the key's last and the end of input flushes
+    it), carrying the value of the row just before.
+
+    Previous value, row number and segment number come from one window over
+    balanced buckets plus one row per (key, bucket).
     """
-    max_rows_per_task = MAX_ROWS_PER_TASK if max_rows_per_task is None else max_rows_per_task
     if df.isStreaming:
         from tidewater.streaming.stateful import rising_alert_stream
         return rising_alert_stream(df, key, ts, seq, value, seconds, initial)
-    largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if largest > max_rows_per_task:
-        return rising_alert_doubling(df, key, ts, seq, value, bucket, seconds, initial, flush_at_end)
-    d = df.select(key, ts, seq, value)
-    d = K.with_previous(d, [key], [ts, seq], bucket, value, "__last", default=initial)
-    d = d.withColumn("__fall", (F.col(value) < F.col("__last")).cast("int"))
-    d = S.running_agg(d, [key], [ts, seq], bucket, [("__seg", "__fall", "sum")])
-    d = d.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
-    starts = d.groupBy(key, "__seg").agg(F.min("__us").alias("__end_us"))
-    nxt = starts.select(key, (F.col("__seg") - 1).alias("__seg"), "__end_us")
-    d = d.join(nxt, [key, "__seg"], "left").select(key, "__seg", seq, "__us", F.col(value).alias("__v"),
-                                                   "__last", "__end_us")
-    period = seconds * 1_000_000
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur = None          # (key, seg)
-        last = deadline = end_us = None
-        out_k, out_ts, out_last = [], [], []
-
-        def close():
-            if cur is not None and deadline is not None:
-                if (end_us is None and flush_at_end) or (end_us is not None and deadline <= end_us):
-                    out_k.append(cur[0]); out_ts.append(deadline); out_last.append(last)  # noqa: E702
-
-        for pdf in batches:
-            ks, sg = pdf[key].to_numpy(), pdf["__seg"].to_numpy()
-            us, v = pdf["__us"].to_numpy(np.int64), pdf["__v"].to_numpy(np.float64)
-            lasts, ends = pdf["__last"].to_numpy(np.float64), pdf["__end_us"].to_numpy()
-            for i in range(len(pdf)):
-                g = (ks[i], sg[i])
-                if g != cur:
-                    close()
-                    cur, last, deadline = g, lasts[i], None
-                    e = ends[i]
-                    end_us = None if e is None or (isinstance(e, float) and np.isnan(e)) else int(e)
-                if deadline is not None and deadline <= us[i]:
-                    out_k.append(cur[0]); out_ts.append(deadline); out_last.append(last)  # noqa: E702
-                    deadline = None
-                if v[i] > last and deadline is None:
-                    deadline = int(us[i]) + period
-                elif v[i] < last:
-                    deadline = None
-                last = v[i]
-            if len(out_k) >= 10_000:
-                yield pd.DataFrame({key: out_k, "__alert_us": out_ts, "last_value": out_last})
-                out_k, out_ts, out_last = [], [], []
-        close()
-        if out_k:
-            yield pd.DataFrame({key: out_k, "__alert_us": pd.Series(out_ts, dtype="int64"),
-                                "last_value": pd.Series(out_last, dtype="float64")})
-
-    key_type = dict(df.dtypes)[key]
-    ts_type = dict(df.dtypes)[ts]
-    res = _sorted_fold(d, [key, "__seg"], ["__us", seq], fold,
-                       f"{key} {key_type}, __alert_us long, last_value double")
-    return res.select(key, F.timestamp_micros("__alert_us").cast(ts_type).alias("alert_ts"), "last_value")
-
-
-# ------------------------------------------------- delta trigger + evictor
-def top_speed_delta_fold(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
-                         threshold_cents: int, evict_seconds: int) -> DataFrame:
-    """Global window per key with a delta trigger and a time evictor.
-
-    The first row of a key arms the trigger; a later row fires when its
-    distance exceeds the distance of the last firing (or arming) row by more
-    than the threshold, and becomes the new reference.  On firing, the
-    window holds the rows with ``ts > fire_ts - evict`` (up to the firing
-    row) and the row with the highest speed is emitted (earliest on ties).
-    Distances are integer cents so the comparison is exact.
-
-    Sequential form (one task per key, bounded memory); the parallel plan is
-    :func:`top_speed_delta`.
-    """
-    d = df.select(key, seq, F.unix_micros(F.col(ts).cast("timestamp")).alias("__us"),
-                  F.col(speed).cast("double").alias("__sp"), F.col(distance_cents).cast("long").alias("__dc"))
-    ev = evict_seconds * 1_000_000
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from collections import deque
-        cur = None
-        ref = None
-        win: deque = deque()
-        rows = []
-        for pdf in batches:
-            ks, sq = pdf[key].to_numpy(), pdf[seq].to_numpy()
-            us, sp, dc = pdf["__us"].to_numpy(np.int64), pdf["__sp"].to_numpy(np.float64), pdf["__dc"].to_numpy(np.int64)
-            for i in range(len(pdf)):
-                if ks[i] != cur:
-                    cur, ref, win = ks[i], None, deque()
-                t = int(us[i])
-                win.append((t, int(sq[i]), float(sp[i]), int(dc[i])))
-                while win and win[0][0] <= t - ev:
-                    win.popleft()
-                if ref is None:
-                    ref = int(dc[i])
-                    continue
-                if int(dc[i]) - ref > threshold_cents:
-                    ref = int(dc[i])
-                    best = None
-                    for r in win:
-                        if best is None or r[2] > best[2]:
-                            best = r
-                    rows.append((cur, best[1], best[0], best[2], best[3]))
-            if len(rows) >= 10_000:
-                yield pd.DataFrame(rows, columns=[key, seq, "__us", "__sp", "__dc"])
-                rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=[key, seq, "__us", "__sp", "__dc"]).astype(
-                {"__us": "int64", "__sp": "float64", "__dc": "int64"})
-
-    types = dict(df.dtypes)
-    res = _sorted_fold(d, [key], ["__us", seq], fold,
-                       f"{key} {types[key]}, {seq} {types[seq]}, __us long, __sp double, __dc long")
-    return res.select(key, seq, F.col("__sp").alias("speed"), (F.col("__dc") / 100.0).alias("distance"),
-                      F.timestamp_micros("__us").cast(types[ts]).alias("time"))
-
-
-def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
-                    threshold_cents: int, evict_seconds: int, bucket: Column | None = None,
-                    max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
-    """Delta trigger + time evictor.  The size of the largest key is
-    measured first (one aggregate job): up to ``max_rows_per_task`` rows the
-    sorted fold runs (one task per key, bounded memory); above it the
-    parallel pointer-doubling plan runs, which never gives a key to a single
-    task.  Both are exact and give the same rows."""
-    largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if largest <= max_rows_per_task:
-        return top_speed_delta_fold(df, key, ts, seq, speed, distance_cents, threshold_cents, evict_seconds)
-    return top_speed_delta_doubling(df, key, ts, seq, speed, distance_cents, threshold_cents, evict_seconds,
-                                    bucket)
-
-
-def top_speed_delta_doubling(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
-                             threshold_cents: int, evict_seconds: int, bucket: Column | None = None,
-                             partitions: int | None = None) -> DataFrame:
-    """Delta trigger + time evictor with no key processed by one task.
-
-    Distances are non-decreasing per key, so the row that fires after row
-    ``i`` is ``next(i) = 1 + max{n : d_n <= d_i + T}`` -- a running maximum
-    over a merged sequence of distance points and queries.  The firing rows
-    are the chain ``1 -> next(1) -> ...``, found by pointer doubling
-    (``R <- R + J(R)``, ``J <- J o J``) in O(log chain length) rounds of
-    equi-joins, each round checkpointed below the shared checkpoint folder.
-    The emitted row per firing is the top speed among rows with
-    ``fire_ts - evict < ts <= fire_ts`` (earliest on ties), found through
-    time buckets of the evictor width.  Same output as
-    :func:`top_speed_delta_fold`.
-    """
-    from tidewater.session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = df.select(key, seq, us.alias("__us"), F.col(speed).cast("double").alias("__sp"),
-                     F.col(distance_cents).cast("long").alias("__dc"))
-    bkt = bucket if bucket is not None else F.floor(F.col("__us") / F.lit(6 * 3600 * 1_000_000))
-    numbered = S.running_agg(base.withColumn("__tb", bkt), [key], ["__us", seq], F.col("__tb"),
-                             [("__n", F.lit(1), "count")]).drop("__tb").checkpoint()
-
-    # next pointers: merged points (kind 0) and queries d + T (kind 1),
-    # range-partitioned so that a hot key spans several buckets
-    pts = numbered.select(key, F.col("__dc").alias("__v"), F.lit(0).alias("__kind"),
-                          F.col("__n").alias("__m"), F.lit(None).cast("long").alias("__q"))
-    qs = numbered.select(key, (F.col("__dc") + F.lit(threshold_cents)).alias("__v"), F.lit(1).alias("__kind"),
-                         F.lit(None).cast("long").alias("__m"), F.col("__n").alias("__q"))
-    merged = (pts.unionByName(qs).withColumn("__ord", F.coalesce("__m", "__q"))
-              .repartitionByRange(nparts, key, "__v", "__kind", "__ord")
-              .withColumn("__rb", F.spark_partition_id()).checkpoint())
-    scanned = S.running_agg(merged, [key], ["__v", "__kind", "__ord"], F.col("__rb"),
-                            [("__maxn", "__m", "max")])
-    jump = (scanned.filter(F.col("__kind") == 1)
-            .select(key, F.col("__q").alias("n"), (F.col("__maxn") + 1).alias("j")).checkpoint())
-
-    heads = numbered.filter(F.col("__n") == 1).select(key, F.col("__n").alias("n"))
-    reached = S.chain_from_heads(jump, heads, [key], "n", "j")
-
-    # only existing rows can fire (a pointer past the last row ends the chain)
-    fires = (reached.filter(F.col("n") > 1)
-             .join(numbered.select(key, F.col("__n").alias("n"), F.col("__us").alias("__fus"),
-                                   F.col(seq).alias("__fseq")), [key, "n"]))
-    ev = evict_seconds * 1_000_000
-    fires = fires.withColumn("__b", F.floor(F.col("__fus") / F.lit(ev)))
-    rows = numbered.withColumn("__b", F.explode(F.array(F.floor(F.col("__us") / F.lit(ev)),
-                                                        F.floor(F.col("__us") / F.lit(ev)) + 1)))
-    cand = (fires.join(rows, [key, "__b"])
-            .filter((F.col("__us") > F.col("__fus") - F.lit(ev))
-                    & ((F.col("__us") < F.col("__fus"))
-                       | ((F.col("__us") == F.col("__fus")) & (F.col(seq) <= F.col("__fseq"))))))
-    rec = F.struct(F.col(seq).alias("s"), F.col("__us").alias("u"), F.col("__sp").alias("sp"),
-                   F.col("__dc").alias("dc"))
-    best = cand.groupBy(key, "n").agg(
-        F.max_by(rec, F.struct(F.col("__sp"), -F.col("__us"), -F.col(seq))).alias("r"))
-    ts_type = dict(df.dtypes)[ts]
-    return best.select(key, F.col("r.s").alias(seq), F.col("r.sp").alias("speed"),
-                       (F.col("r.dc") / 100.0).alias("distance"),
-                       F.timestamp_micros(F.col("r.u")).cast(ts_type).alias("time"))
-
-
-def rising_alert_doubling(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket: Column,
-                          seconds: int, initial: float = 0.0, flush_at_end: bool = True) -> DataFrame:
-    """Parallel plan of :func:`rising_alert` for segments too long for one
-    task.  Within a segment (a run without falling values) the timer is armed
-    by a strictly rising row; once armed, the next arming row is the first
-    rising row at or after the deadline.  So the arming rows are the chain
-    ``head -> next(head) -> ...`` over rising rows (pointer doubling), and an
-    armed deadline ``D`` fires iff the first row of the key at or after ``D``
-    is in the same segment or opens the next one (or, with no such row, the
-    segment is the key's last and the end of input flushes it).  The alert
-    carries the value of the row just before that first row."""
-    period = seconds * 1_000_000
-    d = df.select(key, ts, seq, value)
-    d = K.with_previous(d, [key], [ts, seq], bucket, value, "__last", default=initial)
-    fall = (F.col(value) < F.col("__last")).cast("int")
-    d = S.running_agg(d, [key], [ts, seq], bucket, [("__n", F.lit(1), "count"), ("__seg", fall, "sum")])
-    d = (d.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
-         .withColumn("__first", (F.col(value) < F.col("__last")) | (F.col("__n") == 1))
-         .select(key, "__n", "__seg", "__us", F.col(value).alias("__v"), "__last", "__first")
-         .checkpoint())
-
+    ensure_checkpoint_dir(df.sparkSession)
+    period = F.lit(seconds * 1_000_000).cast("long")
+    d = df.select(key, ts, seq, F.col(value).alias("__v"), F.unix_micros(F.col(ts).cast("timestamp")).alias("__us"))
+    d, own, back = _null_free(d, key)
+    d, bucket = S.bucketed(d, own, [ts, seq], bucket)
+    d = d.withColumn(S.BKT, F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long")))
+    part = [*own, S.BKT]
+    w = Window.partitionBy(*part).orderBy(ts, seq)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    prev = F.lag("__v").over(w)
+    d = (d.withColumn("__i", F.row_number().over(w).cast("long")).withColumn("__prev", prev)
+         .withColumn("__fall", F.coalesce((F.col("__v") < prev).cast("long"), F.lit(0)))
+         .withColumn("__falls", F.sum("__fall").over(upto)))
+    ends = F.struct(ts, seq)
+    edge = d.groupBy(*part).agg(F.min_by("__v", ends).alias("__head"), F.max_by("__v", ends).alias("__tail"),
+                                F.count(F.lit(1)).alias("__c"), F.sum("__fall").alias("__f"))
+    along = Window.partitionBy(*own).orderBy(S.BKT)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    last_before = F.coalesce(F.lag("__tail").over(along), F.lit(initial))
+    edge = (edge.withColumn("__pv", last_before)
+            .withColumn("__ef", F.coalesce((F.col("__head") < F.col("__pv")).cast("long"), F.lit(0)))
+            .select(*part, "__pv", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__n0"),
+                    (F.coalesce(F.sum(F.col("__f") + F.col("__ef")).over(before), F.lit(0)) + F.col("__ef")).alias("__s0")))
+    last = F.when(F.col("__i") == 1, F.col("__pv")).otherwise(F.col("__prev"))
+    d = d.join(edge, part).select(*own, "__us", "__v", last.alias("__last"), (F.col("__n0") + F.col("__i")).alias("__n"),
+                                  (F.col("__s0") + F.col("__falls")).alias("__seg"))
+    d = d.withColumn("__first", (F.col("__v") < F.col("__last")) | (F.col("__n") == 1)).checkpoint()
+
+    seg = [*own, "__seg"]
     rises = d.filter(F.col("__v") > F.col("__last"))
-    nxt = S.first_at_or_after(rises.select(key, "__seg", "__us", "__n"),
-                              rises.select(key, "__seg", (F.col("__us") + F.lit(period)).alias("__x"),
-                                           F.col("__n").alias("__from")),
-                              [key, "__seg"], "__us", "__n", "__x", out="__j")
-    heads = rises.groupBy(key, "__seg").agg(F.min("__n").alias("n"))
-    arms = S.chain_from_heads(nxt.select(key, "__seg", F.col("__from").alias("n"), F.col("__j").alias("j")),
-                              heads, [key, "__seg"], "n", "j")
-    arms = (arms.join(d.select(key, F.col("__n").alias("n"), "__us"), [key, "n"])
-            .select(key, "__seg", (F.col("__us") + F.lit(period)).alias("__x")))
-    first = S.first_at_or_after(d.select(key, "__us", "__n"), arms, [key], "__us", "__n", "__x", out="__f")
-    info = d.select(key, F.col("__n").alias("__f"), F.col("__seg").alias("__fseg"),
+    nxt = S.first_at_or_after(rises.select(*seg, "__us", "__n"),
+                              rises.select(*seg, (F.col("__us") + period).alias("__x"), F.col("__n").alias("__from")),
+                              seg, "__us", "__n", "__x", out="__j")
+    heads = rises.groupBy(*seg).agg(F.min("__n").alias("n"))
+    arms = S.chain_from_heads(nxt.select(*seg, F.col("__from").alias("n"), F.col("__j").alias("j")), heads, seg, "n", "j")
+    arms = (arms.join(d.select(*own, F.col("__n").alias("n"), "__us"), [*own, "n"])
+            .select(*seg, (F.col("__us") + period).alias("__x")))
+    first = S.first_at_or_after(d.select(*own, "__us", "__n"), arms, own, "__us", "__n", "__x", out="__f")
+    info = d.select(*own, F.col("__n").alias("__f"), F.col("__seg").alias("__fseg"),
                     F.col("__last").alias("__fprev"), F.col("__first").alias("__ffirst"))
-    per_key = d.groupBy(key).agg(F.max("__seg").alias("__maxseg"),
-                                 F.max_by("__v", "__n").alias("__lastv"))
-    j = first.join(info, [key, "__f"], "left").join(per_key, [key])
+    per_key = d.groupBy(*own).agg(F.max("__seg").alias("__maxseg"), F.max_by("__v", "__n").alias("__lastv"))
+    j = first.join(info, [*own, "__f"], "left").join(per_key, own)
     has_next = F.col("__f").isNotNull()
     fires = ((has_next & ((F.col("__fseg") == F.col("__seg"))
                           | ((F.col("__fseg") == F.col("__seg") + 1) & F.col("__ffirst"))))
              | (~has_next & (F.col("__seg") == F.col("__maxseg")) & F.lit(flush_at_end)))
-    ts_type = dict(df.dtypes)[ts]
     return (j.filter(fires)
-            .select(key, F.timestamp_micros("__x").cast(ts_type).alias("alert_ts"),
+            .select(back, F.timestamp_micros("__x").cast(dict(df.dtypes)[ts]).alias("alert_ts"),
                     F.when(has_next, F.col("__fprev")).otherwise(F.col("__lastv")).alias("last_value")))
+
+
+# ------------------------------------------------- delta trigger + evictor
+def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
+                    threshold_cents: int, evict_seconds: int, bucket: Column | None = None) -> DataFrame:
+    """Global window per key with a delta trigger and a time evictor.
+
+    The first row of a key (with a distance) arms the trigger; a later row
+    fires when its distance exceeds the distance of the last firing (or
+    arming) row by more than the threshold, and becomes the new reference.
+    On firing, the window holds the rows with ``ts > fire_ts - evict`` (up to
+    the firing row) and the row with the highest speed is emitted (earliest
+    on ties).  Distances are integer cents so the comparison is exact; they
+    may fall, and rows without one never fire.
+
+    A firing row is always a new maximum of the distance: all rows before it
+    are at most ``reference + threshold``.  So the chain can be followed on
+    the running maximum D: the next firing row after row i is the first row
+    with ``D > D_i + threshold``, and only rows at which D grows are nodes.
+
+    The top speed of a window of the evictor's width is the larger of two
+    running maxima: over the firing row's own time block (blocks as wide as
+    the evictor) up to the row, and over the block before it from its end
+    back to the window's start.  No row is compared with another.
+    """
+    if threshold_cents < 0:
+        raise ValueError("the threshold must not be negative")
+    if df.isStreaming:
+        from tidewater.streaming.stateful import top_speed_delta_stream
+        return top_speed_delta_stream(df, key, ts, seq, speed, distance_cents, threshold_cents, evict_seconds)
+    ensure_checkpoint_dir(df.sparkSession)
+    width = evict_seconds * 1_000_000
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    base = df.select(key, seq, us.alias("__us"), F.col(speed).cast("double").alias("__sp"),
+                     F.col(distance_cents).cast("long").alias("__dc"),
+                     F.floor(us / F.lit(width)).cast("long").alias("__block"))
+    base, own, back = _null_free(base, key)
+    base, bucket = S.bucketed(base, own, ["__us", seq], bucket)
+    # the row that wins a window: highest speed, then earliest
+    row = F.struct(F.col("__sp"), (-F.col("__us")).alias("nu"), (-F.col(seq)).alias("ns"), F.col("__dc"))
+    base = base.withColumn("__row", row)
+    rows = S.running_agg(base.withColumn("__bucket", bucket), own, ["__us", seq], F.col("__bucket"), [("__n", F.lit(1), "count"), ("__D", "__dc", "max")])
+    # time blocks follow the same order, so the same buckets serve them
+    rows = S.running_agg(rows, [*own, "__block"], ["__us", seq], F.col("__bucket"), [("__pre", "__row", "max")]).checkpoint()
+
+    nodes = rows.filter(F.col("__D").isNotNull()).groupBy(*own, "__D").agg(F.min("__n").alias("__n"))
+    jump = S.first_at_or_after(nodes, nodes.select(*own, (F.col("__D") + F.lit(threshold_cents + 1)).alias("__x"),
+                                                   F.col("__n").alias("n")), own, "__D", "__n", "__x", out="j")
+    heads = nodes.groupBy(*own).agg(F.min("__n").alias("n"))
+    reached = S.chain_from_heads(jump.select(*own, "n", "j"), heads, own, "n", "j")
+    fires = reached.join(heads.withColumn("__head", F.lit(True)), [*own, "n"], "left").filter(F.col("__head").isNull())
+
+    fired = (rows.join(fires.select(*own, F.col("n").alias("__n")), [*own, "__n"])
+             .select(*own, "__n", "__us", "__block", "__pre").checkpoint())
+    # maxima of the block before, from its end back to the window's start (exclusive)
+    ask = fired.select(*own, (F.col("__block") - 1).alias("__block"), (F.col("__us") - width).alias("__us"),
+                       F.lit(0).alias("__kind"), F.col("__n").alias("__o"))
+    told = rows.select(*own, "__block", "__us", F.lit(1).alias("__kind"), F.col("__n").alias("__o"), "__row")
+    both = told.unionByName(ask, allowMissingColumns=True).withColumn("__back", -F.col("__us"))
+    suffix = (S.running_agg(both, [*own, "__block"], ["__back", "__kind", "__o"], None, [("__suf", "__row", "max")])
+              .filter("__kind = 0").select(*own, F.col("__o").alias("__n"), "__suf"))
+    best = fired.join(suffix, [*own, "__n"]).withColumn("r", F.greatest("__pre", "__suf"))
+    return best.select(back, (-F.col("r.ns")).cast(dict(df.dtypes)[seq]).alias(seq), F.col("r.__sp").alias("speed"),
+                       (F.col("r.__dc") / 100.0).alias("distance"),
+                       F.timestamp_micros(-F.col("r.nu")).cast(dict(df.dtypes)[ts]).alias("time"))

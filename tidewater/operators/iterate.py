@@ -1,8 +1,11 @@
-"""Iteration: per-row bounded loops and bulk k-means rounds.
+"""Iteration: feedback loops and bulk k-means rounds.
 
+* ``iterate_until``: a general feedback loop over rows -- each round applies
+  one step, rows that leave the loop are written out, the others go round
+  again.
 * ``fibonacci_steps``: the feedback-loop sample (step ``(x, y) -> (y, x+y)``
-  until either number reaches the bound) in closed form as one native
-  ``CASE`` -- no Python, no driver loop.
+  until either number reaches the bound) as one Arrow-batched function, for
+  batch and streaming columns.
 * k-means: each round is one distributed job (assign by nearest centroid,
   mean per cluster with a partial/final aggregate); only the k centroids go
   through the driver between rounds.
@@ -10,44 +13,58 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-# For inputs >= 1 the slowest growth starts at (1, 1) and reaches 100 after
-# 10 steps; 64 steps cover any bound below 2**43 for positive inputs.
-MAX_STEPS = 64
-
-
-def _fibonacci(n: int) -> list[int]:
-    """F(0) .. F(n) by the recurrence F(k) = F(k-1) + F(k-2)."""
-    f = [0, 1]
-    while len(f) <= n:
-        f.append(f[-1] + f[-2])
-    return f
-
-
-def fibonacci_steps(a: Column, b: Column, bound: int = 100, max_steps: int = MAX_STEPS) -> Column:
+from tidewater.session import prepare, scratch_path
+
+
+def iterate_until(df: DataFrame, step: Callable[[DataFrame], DataFrame], again: Column) -> DataFrame:
+    """Feedback loop: every row takes a step, then leaves the loop unless
+    ``again`` holds for it (a null counts as leaving).  ``step`` keeps the
+    columns.  Every round is written below the shared checkpoint folder, so
+    neither the plan nor what a lost executor costs grows with the number of
+    rounds; there is no limit on it."""
+    spark = prepare(df.sparkSession)
+    path = scratch_path(spark, "iterate")
+    fields, rounds = [(f.name, f.dataType) for f in df.schema.fields], []
+    while True:
+        taken = step(df).select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in fields])
+        tagged = taken.withColumn("__again", F.coalesce(again, F.lit(False)))
+        rounds.append(f"{path}/{len(rounds):06d}")
+        tagged.write.parquet(rounds[-1])
+        df = spark.read.schema(tagged.schema).parquet(rounds[-1]).filter("__again").drop("__again")
+        if df.isEmpty():
+            break
+    return spark.read.schema(tagged.schema).parquet(*rounds).filter("NOT __again").drop("__again")
+
+
+def fibonacci_steps(a: Column, b: Column, bound: int = 100) -> Column:
     """Number of steps until ``x >= bound or y >= bound`` (at least one step
-    is always taken).  NULL if the bound is not reached within ``max_steps``
-    (only possible for non-positive inputs, which the feedback loop would
-    never emit either).
-
-    After ``n`` steps from ``(a, b)`` the pair is
-    ``(F(n-1)*a + F(n)*b, F(n)*a + F(n+1)*b)``, so the answer is the first
-    ``n`` whose pair reaches the bound: one native ``CASE`` with a branch per
-    step, compiled by whole-stage code generation and cut short at the first
-    hit (a step loop in a higher-order function would be interpreted)."""
-    fib = _fibonacci(max_steps + 1)
-    a, b = a.cast("long"), b.cast("long")
-    steps = None
-    for n in range(1, max_steps + 1):
-        x = F.lit(fib[n - 1]) * a + F.lit(fib[n]) * b
-        y = F.lit(fib[n]) * a + F.lit(fib[n + 1]) * b
-        hit = (x >= bound) | (y >= bound)
-        steps = F.when(hit, F.lit(n)) if steps is None else steps.when(hit, F.lit(n))
-    return steps
+    is always taken), in 32-bit arithmetic that wraps around, so every pair
+    but (0, 0) gets there; (0, 0), which would go round for ever, and nulls
+    give NULL.  The rows of an Arrow batch take their steps together."""
+
+    @pandas_udf("int")
+    def steps(x: pd.Series, y: pd.Series) -> pd.Series:
+        usable = (x.notna() & y.notna()).to_numpy()
+        u = x.fillna(0).to_numpy(np.int64).astype(np.int32)
+        v = y.fillna(0).to_numpy(np.int64).astype(np.int32)
+        usable &= (u != 0) | (v != 0)
+        n = np.zeros(len(u), np.int32)
+        active = np.flatnonzero(usable)
+        while len(active):
+            nxt = u[active] + v[active]
+            u[active], v[active] = v[active], nxt
+            n[active] += 1
+            active = active[(u[active] < bound) & (v[active] < bound)]
+        return pd.Series(n, dtype="Int32").where(usable)
+
+    return steps(a.cast("long"), b.cast("long"))
 
 
 # ------------------------------------------------------------------ k-means
@@ -56,38 +73,11 @@ def as_vectors(points: DataFrame, col: str) -> DataFrame:
     return points.withColumn("__vec", array_to_vector(F.col(col).cast("array<double>")))
 
 
-def _double_sql(x: float) -> str:
-    r = repr(float(x))
-    return r if ("e" in r or "n" in r) else f"{r}D"
-
-
-def centroid_literal(centroids: list[tuple[int, list[float]]]) -> Column:
-    """Centroids as one array-of-struct literal (k is small and checked),
-    written as one SQL expression so it is built in a single call."""
-    items = ", ".join(
-        f"named_struct('id', {int(cid)}, 'v', array({', '.join(_double_sql(x) for x in vec)}))"
-        for cid, vec in centroids)
-    return F.expr(f"array({items})")
-
-
-def nearest(point: Column, cents: Column) -> Column:
-    """Id of the nearest centroid by Euclidean distance as one native
-    expression; on equal distance the first centroid (smallest id) wins.
-    Higher-order functions are evaluated without code generation (k*d lambda
-    calls per row), so :func:`kmeans_assign` uses :func:`nearest_udf`; this
-    form stays for small inputs and as the reference rule."""
-    def dist2(c):
-        return F.aggregate(F.zip_with(point, c["v"], lambda x, y: (x - y) * (x - y)), F.lit(0.0),
-                           lambda acc, v: acc + v)
-    scored = F.transform(cents, lambda c: F.struct(dist2(c).alias("d"), c["id"].alias("id")))
-    return F.array_min(scored)["id"]
-
-
 def nearest_udf(centroids: list[tuple[int, list[float]]]):
     """Arrow-batched nearest-centroid function: each batch of points becomes
     one ``n x d`` matrix and the squared distances to the k centroids are k
-    vectorised numpy passes (memory ``n x d``).  Ties keep the smallest id,
-    as in :func:`nearest`.  NULL points give NULL."""
+    vectorised numpy passes (memory ``n x d``).  Ties keep the smallest id.
+    NULL points give NULL."""
     ordered = sorted(centroids)
     ids = np.array([int(c) for c, _ in ordered], dtype=np.int32)
     cmat = np.array([list(v) for _, v in ordered], dtype=np.float64)
@@ -115,18 +105,45 @@ def nearest_udf(centroids: list[tuple[int, list[float]]]):
     return assign
 
 
+# Centroid values that travel inside the assignment function (32 MB).
 MAX_CENTROID_VALUES = 4_000_000
 
 
 def kmeans_assign(points: DataFrame, col: str, centroids: list[tuple[int, list[float]]],
                   out: str = "cluster_id") -> DataFrame:
-    """Nearest-centroid column.  The centroids travel inside the function
-    (k*d doubles, bounded by ``MAX_CENTROID_VALUES``); only the vector column
-    is shipped to Python, the other columns stay in the JVM."""
-    size = sum(len(v) for _, v in centroids)
-    if size > MAX_CENTROID_VALUES:
-        raise ValueError(f"{size} centroid values exceed the bound {MAX_CENTROID_VALUES}")
-    return points.withColumn(out, nearest_udf(centroids)(F.col(col).cast("array<double>")))
+    """Nearest-centroid column.  The centroids travel inside the function;
+    only the vector column is shipped to Python, the other columns stay in
+    the JVM.  More centroids than ``MAX_CENTROID_VALUES`` values travel in
+    blocks, one function per block over the same points: each gives its
+    nearest and the distance, and the smallest wins (on equal distance the
+    smallest id)."""
+    v = F.col(col).cast("array<double>")
+    ordered = sorted(centroids)
+    per_block = max(1, MAX_CENTROID_VALUES // max(1, len(ordered[0][1]) if ordered else 1))
+    if len(ordered) <= per_block:
+        return points.withColumn(out, nearest_udf(ordered)(v))
+    blocks = [nearest_distance_udf(ordered[i:i + per_block])(v) for i in range(0, len(ordered), per_block)]
+    return points.withColumn(out, F.array_min(F.array(*blocks))["id"])
+
+
+def nearest_distance_udf(centroids: list[tuple[int, list[float]]]):
+    """As :func:`nearest_udf`, with the squared distance first."""
+    ids, cmat = np.array([c for c, _ in centroids], np.int32), np.array([v for _, v in centroids], np.float64)
+
+    @pandas_udf("d double, id int")
+    def assign(points: pd.Series) -> pd.DataFrame:
+        best, arg = np.full(len(points), np.nan), np.zeros(len(points), np.int64)
+        present = points.notna().to_numpy()
+        if present.any():
+            pmat = np.stack(points[present].to_numpy()).astype(np.float64, copy=False)
+            near, at = np.full(len(pmat), np.inf), np.zeros(len(pmat), np.int64)
+            for j in range(len(cmat)):
+                d = np.einsum("ij,ij->i", pmat - cmat[j], pmat - cmat[j])
+                near, at = np.minimum(near, d), np.where(d < near, j, at)
+            best[present], arg[present] = near, at
+        return pd.DataFrame({"d": best, "id": pd.Series(ids[arg], dtype="Int32").where(present)})
+
+    return assign
 
 
 def cluster_means(assigned: DataFrame, col: str, cluster: str = "cluster_id") -> DataFrame:
@@ -140,11 +157,9 @@ def cluster_means(assigned: DataFrame, col: str, cluster: str = "cluster_id") ->
             .select(cluster, "n", vector_to_array("m").alias("centroid")))
 
 
-def collect_centroids(means: DataFrame, cluster: str = "cluster_id", max_k: int = 100_000):
-    rows = means.select(cluster, "centroid").limit(max_k + 1).collect()
-    if len(rows) > max_k:
-        raise ValueError(f"more than {max_k} centroids")
-    return sorted((r[0], list(r[1])) for r in rows)
+def collect_centroids(means: DataFrame, cluster: str = "cluster_id"):
+    """The k centroids, which the next round's functions carry."""
+    return sorted((r[0], list(r[1])) for r in means.select(cluster, "centroid").collect())
 
 
 def kmeans(points: DataFrame, col: str, initial: list[tuple[int, list[float]]], iterations: int = 10):

@@ -4,67 +4,77 @@ external lookups."""
 from __future__ import annotations
 
 import concurrent.futures as cf
+import time
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewater.plans.broadcast import maybe_broadcast
+from tidewater.plans import sequence as S
+from tidewater.plans.broadcast import fits_broadcast
+from tidewater.session import ensure_checkpoint_dir
+from tidewater.sinks.versions import commit, newest_before
 
 
 def asof_backward(data: DataFrame, ts: str, right: DataFrame, right_ts: str, bucket_seconds: int,
-                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                  broadcast: bool | None = None) -> DataFrame:
     """Pair each data row with the latest ``right`` row whose ``right_ts`` is
     at or before the row's ``ts`` (left outer: no earlier right row => NULLs).
     ``right_ts`` must be unique.
 
-    ``right`` is a small, slowly changing table (models).  Each right row
-    gets its validity interval ``[right_ts, next right_ts)`` (the last one is
-    open-ended); intervals are cut into time buckets, so
-    the join is an equi-join on the bucket plus a range filter -- no
-    nested-loop join.  The expanded right side is broadcast only when it has
-    at most ``max_broadcast_rows`` rows; otherwise the same join shuffles.
+    ``right`` is usually a small, slowly changing table (models).  If it fits
+    a broadcast, each of its rows gets its validity interval ``[right_ts,
+    next right_ts)``, cut into time buckets, and the join is a broadcast
+    equi-join on the bucket plus a range filter.  Otherwise both sides become
+    one sequence in time order and the latest right row is a running maximum
+    over balanced buckets: no time range, however busy, is one task.
+    ``broadcast`` forces one of the two; they give the same rows.
     """
-    bw = bucket_seconds * 1_000_000
-
-    def us(c):
-        return F.unix_micros(F.col(c).cast("timestamp"))
-
-    # validity intervals: the end of each is the next start, a running
-    # minimum over the starts in descending time (two-level, time buckets:
-    # no single-task window over the right side)
-    from tidewater.plans import sequence as S
-    from tidewater.session import ensure_checkpoint_dir
-    r = right.withColumn("__from", us(right_ts)).withColumn("__neg", -F.col("__from"))
-    r = S.running_agg(r, [], ["__neg"], F.floor(F.col("__neg") / F.lit(bw)).cast("long"),
-                      [("__to", "__from", "min")], inclusive=False)
-    r = (r.withColumn("__to", F.coalesce(F.col("__to"), F.lit(2 ** 63 - 1))).drop("__neg")
-         .filter(F.col("__to") > F.col("__from")))
-    # the right side is computed once: its last start, its size check and the
-    # join all read this checkpoint (below the shared checkpoint folder)
     ensure_checkpoint_dir(right.sparkSession)
-    r = r.checkpoint()
-    last_from = r.agg(F.max("__from")).first()[0]          # one value from the small side
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    r = right.withColumn("__from", us(right_ts)).filter(F.col("__from").isNotNull()).checkpoint()
+    if not (fits_broadcast(r) if broadcast is None else broadcast):
+        return _asof_merged(data, ts, r, us)
+    bw = bucket_seconds * 1_000_000
+    # the end of each interval is the next start; the right side is small here
+    nxt = F.lead("__from").over(Window.partitionBy(F.lit(0)).orderBy("__from"))
+    r = r.withColumn("__to", F.coalesce(nxt, F.lit(2 ** 63 - 1)))
+    last_from = r.agg(F.max("__from")).first()[0]
     last_bucket = (last_from // bw) if last_from is not None else 0
     # closed intervals cover their buckets; the open last one only its first
     # bucket, and data rows after it are clamped into that bucket
     end_bucket = F.least(F.floor((F.col("__to") - 1) / F.lit(bw)), F.lit(last_bucket)).cast("long")
     r = r.withColumn("__b", F.explode(F.sequence(F.floor(F.col("__from") / F.lit(bw)).cast("long"), end_bucket)))
-    rb, _ = maybe_broadcast(r, max_broadcast_rows)
     d = (data.withColumn("__dus", us(ts))
          .withColumn("__db", F.least(F.floor(F.col("__dus") / F.lit(bw)), F.lit(last_bucket)).cast("long")))
-    cond = (d["__db"] == rb["__b"]) & (d["__dus"] >= rb["__from"]) & (d["__dus"] < rb["__to"])
-    return d.join(rb, cond, "left").drop("__dus", "__db", "__from", "__to", "__b")
+    r = F.broadcast(r)
+    cond = (d["__db"] == r["__b"]) & (d["__dus"] >= r["__from"]) & (d["__dus"] < r["__to"])
+    return d.join(r, cond, "left").drop("__dus", "__db", "__from", "__to", "__b")
+
+
+def _asof_merged(data: DataFrame, ts: str, r: DataFrame, us) -> DataFrame:
+    cols = [c for c in r.columns if c != "__from"]
+    model = F.struct("__from", *cols)
+    row = F.struct(*[F.col(f"`{c}`") for c in data.columns])
+    points = r.select(F.col("__from").alias("__at"), F.lit(0).alias("__kind"), model.alias("__model"))
+    asked = data.select(us(ts).alias("__at"), F.lit(1).alias("__kind"), row.alias("__row"))
+    both = points.unionByName(asked, allowMissingColumns=True)
+    seen = S.running_agg(both, [], ["__at", "__kind"], None, [("__last", "__model", "max")]).filter("__kind = 1")
+    # rows without a time meet no right row
+    last = F.when(F.col("__at").isNotNull(), F.col("__last"))
+    return seen.withColumn("__last", last).select("__row.*", *[F.col(f"__last.{c}").alias(c) for c in cols])
 
 
 def async_lookup(df: DataFrame, key_col: str, id_col: str, lookup: Callable[[object], str],
                  capacity: int = 20, timeout_s: float = 10.0, ordered: bool = True,
-                 out_col: str = "result") -> DataFrame:
+                 out_col: str = "result", position_col: str | None = None) -> DataFrame:
     """Concurrent external lookups per partition, at most ``capacity`` in
-    flight, each bounded by ``timeout_s`` (a timeout or failure fails the
-    task, so Spark retries it).  ``ordered`` keeps input order inside each
-    partition; unordered emits results as they complete.  Output:
-    ``(id_col, out_col)``.
+    flight.  Each lookup has ``timeout_s`` from the moment it starts; one that
+    takes longer, or fails, fails the task, so Spark retries it.  ``ordered``
+    emits results in input order, unordered as they complete; requests stay
+    in flight across Arrow batches.  Output: ``(id_col, out_col)`` and, if
+    named, ``position_col``: the place at which a row came out of its
+    partition.
 
     ``lookup`` is called once per row from a thread pool that is created
     once per partition (the rich function's ``open``) and shut down after it
@@ -72,35 +82,58 @@ def async_lookup(df: DataFrame, key_col: str, id_col: str, lookup: Callable[[obj
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pool = cf.ThreadPoolExecutor(max_workers=capacity)
+        flying: dict = {}                    # future -> (id, deadline), in the order of the input
+        ready: list = []
+        emitted = 0
+
+        def wait_for(futures):
+            deadline = min(end for _, end in (flying[f] for f in futures))
+            done, _ = cf.wait(futures, timeout=max(0.0, deadline - time.monotonic()), return_when=cf.FIRST_COMPLETED)
+            late = [f for f in flying if not f.done() and flying[f][1] <= time.monotonic()]
+            if late:
+                raise TimeoutError(f"lookup took longer than {timeout_s} s")
+            return done
+
+        def take():
+            """Results that may be emitted now."""
+            if ordered:
+                while flying and next(iter(flying)).done():
+                    f = next(iter(flying))
+                    ready.append((flying.pop(f)[0], f.result()))
+            else:
+                for f in [f for f in flying if f.done()]:
+                    ready.append((flying.pop(f)[0], f.result()))
+
+        def out():
+            nonlocal emitted, ready
+            got, ready = ready, []
+            frame = pd.DataFrame({id_col: [i for i, _ in got], out_col: [r for _, r in got]})
+            if position_col:
+                frame[position_col] = range(emitted, emitted + len(got))
+            emitted += len(got)
+            return frame
+
         try:
             for pdf in batches:
-                keys = pdf[key_col].tolist()
-                ids = pdf[id_col].tolist()
-                results: list = [None] * len(keys)
-                done_order: list[int] = []
-                inflight: dict = {}
-                it = iter(range(len(keys)))
-                for i in it:
-                    inflight[pool.submit(lookup, keys[i])] = i
-                    if len(inflight) >= capacity:
-                        finished, _ = cf.wait(inflight, timeout=timeout_s, return_when=cf.FIRST_COMPLETED)
-                        if not finished:
-                            raise TimeoutError("async lookup timed out")
-                        for f in finished:
-                            j = inflight.pop(f)
-                            results[j] = f.result()
-                            done_order.append(j)
-                for f in cf.as_completed(list(inflight), timeout=timeout_s):
-                    j = inflight.pop(f)
-                    results[j] = f.result()
-                    done_order.append(j)
-                order = range(len(keys)) if ordered else done_order
-                yield pd.DataFrame({id_col: [ids[j] for j in order], out_col: [results[j] for j in order]})
+                for k, i in zip(pdf[key_col].tolist(), pdf[id_col].tolist()):
+                    while sum(not f.done() for f in flying) >= capacity:
+                        wait_for([f for f in flying if not f.done()])
+                    flying[pool.submit(lookup, k)] = (i, time.monotonic() + timeout_s)
+                    take()
+                if ready:
+                    yield out()
+            while flying:
+                if pending := [f for f in flying if not f.done()]:
+                    wait_for(pending)
+                take()
+            if ready:
+                yield out()
         finally:
             pool.shutdown(wait=False, cancel_futures=True)
 
     id_type = dict(df.dtypes)[id_col]
-    return df.select(id_col, key_col).mapInPandas(run, f"{id_col} {id_type}, {out_col} string")
+    place = f", {position_col} long" if position_col else ""
+    return df.select(id_col, key_col).mapInPandas(run, f"{id_col} {id_type}, {out_col} string{place}")
 
 
 def key_mod_label(k) -> str:
@@ -124,29 +157,22 @@ def latest_model_predict_stream(stream: DataFrame, id_col: str, ts: str, value:
     spark = stream.sparkSession
     w_us = window_seconds * 1_000_000
 
-    def models_before(batch_id: int):
-        if batch_id == 0:
-            return None
-        try:
-            return spark.read.parquet(f"{model_path}/v={batch_id - 1:08d}")
-        except Exception:  # nothing stored yet
-            return None
-
     def step(batch: DataFrame, batch_id: int) -> None:
         us = F.unix_micros(F.col(ts).cast("timestamp"))
         part = (batch.groupBy((F.floor(us / F.lit(w_us)) * F.lit(w_us)).alias("w_us"))
                 .agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("n")))
-        prev = models_before(batch_id)
-        merged = part if prev is None else (prev.unionByName(part).groupBy("w_us")
+        prev = newest_before(spark, model_path, batch_id)
+        merged = part if prev is None else (spark.read.parquet(prev).unionByName(part).groupBy("w_us")
                                             .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
-        merged.coalesce(1).write.mode("overwrite").parquet(f"{model_path}/v={batch_id:08d}")
-        models = (spark.read.parquet(f"{model_path}/v={batch_id:08d}")
-                  .select(F.timestamp_micros(F.col("w_us") + F.lit(w_us)).cast(dict(batch.dtypes)[ts])
-                          .alias("model_ts"),
-                          F.round(F.col("s") / F.col("n"), 6).alias("prediction")))
+        merged = merged.checkpoint()
+        models = (merged.select(F.timestamp_micros(F.col("w_us") + F.lit(w_us)).cast(dict(batch.dtypes)[ts])
+                                .alias("model_ts"),
+                                F.round(F.col("s") / F.col("n"), 6).alias("prediction")))
         pred = asof_backward(batch.select(id_col, ts), ts, models, "model_ts", window_seconds)
         pred.select(id_col, "model_ts", "prediction").write.mode("overwrite").parquet(
             f"{out_path}/batch_id={batch_id}")
+        commit(merged, model_path, batch_id)          # state last: a batch that fails earlier starts over
 
+    ensure_checkpoint_dir(spark)
     w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidewater.plans import sequence as S
 
 
-def with_previous(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
+def with_previous(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None,
                   col: str, out: str = "prev", default=None) -> DataFrame:
     """Add the previous row's ``col`` per key (``lag``), exact at bucket edges."""
     ctx = S.with_preceding(df, keys, order, bucket, 1)
@@ -23,7 +23,7 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
     return S.drop_ghosts(ctx.withColumn(out, prev))
 
 
-def jump_alert(df: DataFrame, key: str, order: list[str], bucket: Column, value: str,
+def jump_alert(df: DataFrame, key: str, order: list[str], bucket: Column | None, value: str,
                threshold: float, initial: float | None = None) -> DataFrame:
     """Emit ``(key, last, current)`` when ``|current - last| > threshold``.
     Without ``initial`` the first row of a key only sets ``last``; with it,
@@ -36,10 +36,16 @@ def jump_alert(df: DataFrame, key: str, order: list[str], bucket: Column, value:
     return p.filter(F.abs(F.col(value) - F.col("last_value")) > F.lit(threshold))
 
 
-def rows_frame(df: DataFrame, keys: list[str], order: list[str], bucket: Column, preceding: int,
-               aggs: dict[str, callable]) -> DataFrame:
+def rows_frame(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None, preceding: int,
+               aggs: dict[str, callable], stream_value: str | None = None) -> DataFrame:
     """Aggregates over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW``
-    per key; ``aggs`` maps output name -> function of a WindowSpec."""
+    per key; ``aggs`` maps output name -> function of a WindowSpec.  A
+    streaming input gives ``cnt``, ``total`` and ``avg_value`` of the column
+    ``stream_value`` next to the input's columns."""
+    if df.isStreaming:
+        from tidewater.streaming.stateful import rows_frame_stream
+        (key,) = keys
+        return rows_frame_stream(df, key, order, stream_value, preceding, [c for c in df.columns if c != key])
     ctx = S.with_preceding(df, keys, order, bucket, preceding)
     w = Window.partitionBy(*keys, S.BKT).orderBy(*order).rowsBetween(-preceding, 0)
     for name, fn in aggs.items():
@@ -47,19 +53,17 @@ def rows_frame(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
     return S.drop_ghosts(ctx)
 
 
-def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Column, out: str = "n") -> DataFrame:
+def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None, out: str = "n") -> DataFrame:
     return S.running_agg(df, keys, order, bucket, [(out, F.lit(1), "count")])
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], bucket: Column, value: str,
-                out: str) -> DataFrame:
-    return S.running_agg(df, keys, order, bucket, [(out, value, "sum")])
-
-
-def running_reduce_latest_step(df: DataFrame, key: str, order: list[str], bucket: Column, ts_seconds: str,
+def running_reduce_latest_step(df: DataFrame, key: str, order: list[str], bucket: Column | None, ts_seconds: str,
                                step: int = 10) -> DataFrame:
     """Running reduce of the sample: keep the latest value, advance the
     timestamp by ``step`` per row => ``first_ts + step * (n - 1)``."""
+    if df.isStreaming:
+        from tidewater.streaming.stateful import running_reduce_stream
+        return running_reduce_stream(df, key, order, lambda acc, row: dict(row, **{ts_seconds: acc[ts_seconds] + step}))
     r = S.running_agg(df, [key], order, bucket, [("__n", F.lit(1), "count"), ("__first", ts_seconds, "first")])
     return (r.withColumn(ts_seconds, F.col("__first") + F.lit(step) * (F.col("__n") - 1))
             .drop("__n", "__first"))

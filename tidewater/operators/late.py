@@ -20,9 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewater.plans import sequence as S
+from tidewater.sinks.versions import commit, newest_before
 
 
-def mark_late(df: DataFrame, ts: str, arrival_order: list[str], arrival_bucket: Column,
+def mark_late(df: DataFrame, ts: str, arrival_order: list[str], arrival_bucket: Column | None,
               size_seconds: int, delay_seconds: int, lateness_seconds: int, flag: str = "too_late") -> DataFrame:
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     size_us = size_seconds * 1_000_000
@@ -35,7 +36,7 @@ def mark_late(df: DataFrame, ts: str, arrival_order: list[str], arrival_bucket:
     return with_max.withColumn(flag, F.coalesce(late, F.lit(False))).drop("__ts_us", "__max_before")
 
 
-def split_late(df: DataFrame, ts: str, arrival_order: list[str], arrival_bucket: Column,
+def split_late(df: DataFrame, ts: str, arrival_order: list[str], arrival_bucket: Column | None,
                size_seconds: int, delay_seconds: int, lateness_seconds: int) -> tuple[DataFrame, DataFrame]:
     """``(on_time, too_late)``; on-time rows include the late-but-allowed ones."""
     m = mark_late(df, ts, arrival_order, arrival_bucket, size_seconds, delay_seconds, lateness_seconds, "__late")
@@ -56,12 +57,8 @@ def split_late_stream(stream: DataFrame, ts: str, size_seconds: int, delay_secon
     spark = stream.sparkSession
 
     def prev_max(batch_id: int):
-        if batch_id == 0:
-            return None
-        try:
-            return spark.read.parquet(f"{state_path}/v={batch_id - 1:08d}").first()[0]
-        except Exception:  # no earlier version (empty history)
-            return None
+        path = newest_before(spark, state_path, batch_id)
+        return None if path is None else spark.read.parquet(path).first()[0]
 
     def split(batch: DataFrame, batch_id: int) -> None:
         m = prev_max(batch_id)
@@ -78,8 +75,58 @@ def split_late_stream(stream: DataFrame, ts: str, size_seconds: int, delay_secon
         finally:
             tagged.unpersist()
         new = max(v for v in (m, bmax) if v is not None) if (m is not None or bmax is not None) else None
-        spark.createDataFrame([(new,)], "max_us long").coalesce(1).write.mode("overwrite").parquet(
-            f"{state_path}/v={batch_id:08d}")
+        # state last: a batch that fails earlier starts over with the old maximum
+        commit(spark.createDataFrame([(new,)], "max_us long").coalesce(1), state_path, batch_id)
 
     w = stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def late_updates_stream(stream: DataFrame, keys: list[str], ts: str, size_seconds: int, delay_seconds: int,
+                        lateness_seconds: int, aggs: list[Column], merges: list[Column], out_path: str, late_path: str,
+                        state_path: str, checkpoint: str, trigger: dict | None = None):
+    """Tumbling windows with allowed lateness on a stream: a window is emitted
+    in the batch in which its first rows arrive and again, with the new
+    result, in every later batch that brings rows for it, until the watermark
+    has passed its end by the allowed lateness; later rows go to ``late_path``.
+
+    ``aggs`` are aggregates of a batch's rows, ``merges`` aggregates of the
+    same names over partial results.  The partial results of windows that can
+    still change are a versioned table below ``state_path/windows``; outputs
+    are ``batch_id=`` folders, so a replayed batch rewrites its own, and the
+    state is committed last."""
+    size_us, delay_us, late_us = (x * 1_000_000 for x in (size_seconds, delay_seconds, lateness_seconds))
+    spark = stream.sparkSession
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        marks = newest_before(spark, f"{state_path}/max", batch_id)
+        m = None if marks is None else spark.read.parquet(marks).first()[0]
+        old = newest_before(spark, f"{state_path}/windows", batch_id)
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        start = F.floor(us / F.lit(size_us)).cast("long") * size_us
+        tagged = batch.withColumn("__us", us).withColumn("__start", start).persist()
+        try:
+            closed = F.lit(False) if m is None else F.col("__start") + (size_us + late_us) <= F.lit(m - delay_us)
+            tagged.filter(closed).drop("__us", "__start").write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
+            part = tagged.filter(~closed).groupBy(*keys, "__start").agg(*aggs)
+            known = part if old is None else spark.read.parquet(old).unionByName(part)
+            merged = known.groupBy(*keys, "__start").agg(*merges).checkpoint()
+            changed = part.select(*[F.col(c).alias(f"__c_{c}") for c in [*keys, "__start"]])
+            out = merged.join(changed, [F.col(c).eqNullSafe(F.col(f"__c_{c}")) for c in [*keys, "__start"]], "left_semi")
+            kind = dict(batch.dtypes)[ts]
+            out.select(*keys, F.timestamp_micros("__start").cast(kind).alias("window_start"),
+                       *[c for c in out.columns if c not in (*keys, "__start")]) \
+                .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            bmax = tagged.agg(F.max("__us")).first()[0]
+        finally:
+            tagged.unpersist()
+        new = max((v for v in (m, bmax) if v is not None), default=None)
+        # windows that no row may change any more are dropped from the state
+        still = merged if new is None else merged.filter(F.col("__start") + (size_us + late_us) > F.lit(new - delay_us))
+        commit(still, f"{state_path}/windows", batch_id)
+        commit(spark.createDataFrame([(new,)], "max_us long").coalesce(1), f"{state_path}/max", batch_id)
+
+    from tidewater.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

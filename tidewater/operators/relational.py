@@ -26,11 +26,24 @@ def tag_by_threshold(df: DataFrame, col: str, threshold: float, tag: str = "side
 
 
 def split_by_threshold(df: DataFrame, col: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The two outputs as DataFrames of their own, for consumers that differ;
+    each of them scans the input.  To bring them together again use
+    :func:`split_union`."""
     tagged = tag_by_threshold(df, col, threshold, "__side")
     return (tagged.filter(F.col("__side") == "high").drop("__side"),
             tagged.filter(F.col("__side") == "low").drop("__side"))
 
 
+def split_union(df: DataFrame, col: str, threshold: float, high, low) -> DataFrame:
+    """Split at the threshold, one function per side, one output, in one
+    scan: ``high`` and ``low`` map the row (a struct column) to structs of the
+    same fields."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    tagged = tag_by_threshold(df, col, threshold, "__side")
+    out = F.when(F.col("__side") == "high", high(row)).otherwise(low(row))
+    return tagged.select(out.alias("__row")).select("__row.*")
+
+
 def connect_comap(left: DataFrame, right: DataFrame, left_fn, right_fn) -> DataFrame:
     """Two differently shaped inputs, one function each, one output:
     missing columns on either side are null."""

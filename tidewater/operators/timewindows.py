@@ -7,16 +7,33 @@ groups are partial/final aggregates in both; streaming inputs only need
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from fractions import Fraction
+from math import gcd
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewater.plans import sequence as S
 
 
-def _interval_seconds(spec: str) -> int:
-    n, unit = spec.split()
-    mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
-            "day": 86400, "days": 86400, "millisecond": 0.001, "milliseconds": 0.001}[unit.lower()]
-    return int(float(n) * mult)
+_UNIT_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+
+
+def interval_micros(spec: str) -> int:
+    """Microseconds of an interval like ``2500 milliseconds`` or
+    ``1 hour 30 minutes``."""
+    parts = spec.lower().removeprefix("interval ").split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"not an interval: {spec!r}")
+    total = 0
+    for n, unit in zip(parts[::2], parts[1::2]):
+        us = Fraction(n) * _UNIT_US[unit.rstrip("s")]
+        if us.denominator != 1:
+            raise ValueError(f"not whole microseconds: {spec!r}")
+        total += us.numerator
+    if total <= 0:
+        raise ValueError(f"not a positive interval: {spec!r}")
+    return total
 
 
 def counter_timestamps(df: DataFrame, seq: str, step_ms: int = 10, start_ms: int = 0,
@@ -37,69 +54,99 @@ def tumble(df: DataFrame, keys: list[str], ts: str, size: str, aggs: list[Column
             .drop("w"))
 
 
+def _floor_div(x: Column, y: int) -> Column:
+    """Floor of a whole-number quotient (exact: no remainder is divided)."""
+    return ((x - F.pmod(x, F.lit(y).cast("long"))) / F.lit(y)).cast("long")
+
+
 def sliding_sum(df: DataFrame, keys: list[str], ts: str, value: str, size: str, slide: str,
                 out: str = "total") -> DataFrame:
-    """Keyed sliding-window sum, pre-aggregated per slide pane.
+    """Keyed sliding-window sum, pre-aggregated per pane.
 
     ``window(ts, size, slide)`` copies every *row* into size/slide windows
     before the shuffle.  Summing per pane first (partial aggregate, one row
-    per key and pane) and expanding the panes instead moves size/slide rows
-    per pane, independent of how many rows a pane holds.
+    per key and pane; a pane is as wide as the largest interval that divides
+    both) and expanding the panes instead moves size/slide rows per pane,
+    independent of how many rows a pane holds.
+
+    A streaming input (watermark on ``ts``) sums its panes with Spark's
+    tumbling ``window`` first and then the panes of a window, two stateful
+    aggregates in append mode.
     """
-    size_s, slide_s = _interval_seconds(size), _interval_seconds(slide)
-    if size_s % slide_s != 0:
-        w = F.window(F.col(ts), size, slide)
-        return (df.groupBy(*keys, w.alias("w")).agg(F.sum(value).alias(out))
-                .select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), out))
-    n = size_s // slide_s
+    size_us, slide_us = interval_micros(size), interval_micros(slide)
+    pane_us = gcd(size_us, slide_us)
+    if df.isStreaming:
+        pane = F.window(F.col(ts), f"{pane_us} microseconds")
+        panes = df.groupBy(*keys, pane.alias("__p")).agg(F.sum(value).alias("psum"))
+        w = F.window(F.window_time("__p"), f"{size_us} microseconds", f"{slide_us} microseconds")
+        return (panes.groupBy(*keys, w.alias("__w")).agg(F.sum("psum").alias(out))
+                .select(*keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), out))
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    pane = F.floor(micros / F.lit(slide_s * 1_000_000)).cast("long")
+    pane = _floor_div(micros, pane_us)
     panes = df.groupBy(*keys, pane.alias("pane")).agg(F.sum(value).alias("psum"))
-    expanded = (panes.select(*keys, "pane", "psum", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"))
-                .select(*keys, (F.col("pane") - F.col("k")).alias("wpane"), "psum"))
-    start_us = F.col("wpane") * F.lit(slide_s * 1_000_000)
-    ts_type = dict(df.dtypes)[ts]
-    start = F.timestamp_micros(start_us)
-    end = F.timestamp_micros(start_us + F.lit(size_s * 1_000_000))
-    if ts_type == "timestamp_ntz":
+    # windows start at multiples of the slide; those that hold a pane start
+    # after its end less the size, and no later than the pane
+    last = _floor_div(F.col("pane") * pane_us, slide_us)
+    first = _floor_div((F.col("pane") + 1) * pane_us - size_us - 1, slide_us) + 1
+    expanded = (panes.withColumn("__first", first).withColumn("__last", last).filter("__first <= __last")
+                .select(*keys, F.explode(F.sequence("__first", "__last")).alias("wpane"), "psum"))
+    start_us = F.col("wpane") * F.lit(slide_us)
+    start, end = F.timestamp_micros(start_us), F.timestamp_micros(start_us + F.lit(size_us))
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
         start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
     return (expanded.groupBy(*keys, "wpane").agg(F.sum("psum").alias(out))
             .select(*keys, start.alias("window_start"), end.alias("window_end"), out))
 
 
+def on_arrival(df: DataFrame, out: str = "arrival") -> DataFrame:
+    """Stamp rows with the time at which they are processed, for windows in
+    processing time.  Results depend on the clock, so registered queries use
+    an arrival column of the data instead."""
+    return df.withColumn(out, F.current_timestamp())
+
+
 def session_windows(df: DataFrame, keys: list[str], ts: str, seq: str, gap_seconds: float,
-                    aggs: list[Column], bucket_seconds: int = 6 * 3600) -> DataFrame:
+                    aggs: list[Column], bucket: Column | None = None) -> DataFrame:
     """Keyed session windows: a new session starts when the gap to the
     previous event of the key is larger than ``gap_seconds`` (events exactly
     ``gap`` apart stay together).  Output: keys, ``session_start`` (first
     event time), ``session_end`` (last event time + gap) and ``aggs``.
 
-    Two-level plan: the previous event comes from ghost rows at bucket
-    edges, the session number from a bucketed running count of starts, then
-    a plain partial/final aggregate per ``(key, session)`` -- a key with a
-    third of the rows is spread over its time buckets.
+    One bucketing, one window over (key, bucket): the gaps inside a bucket
+    and their running number.  A row per (key, bucket), with its first and
+    last event time and its number of gaps, says whether the bucket's first
+    event starts a session and how many started before.  Then a plain
+    partial/final aggregate per ``(key, session)``: a key with a third of the
+    rows is spread over its buckets.
 
     A streaming input uses Spark's ``session_window`` (merging sessions in
     the state store); it needs a watermark on ``ts`` and emits a session
     once the watermark passes its end.
     """
+    gap_micros = int(round(gap_seconds * 1_000_000))
     if df.isStreaming:
-        sw = F.session_window(F.col(ts), f"{int(round(gap_seconds * 1_000_000))} microseconds")
+        sw = F.session_window(F.col(ts), f"{gap_micros} microseconds")
         return (df.groupBy(*keys, sw.alias("__s")).agg(F.min(ts).alias("session_start"), *aggs)
                 .withColumn("session_end", F.col("__s.end")).drop("__s"))
-    bucket = S.time_bucket(ts, bucket_seconds)
-    ctx = S.with_preceding(df, keys, [ts, seq], bucket, 1)
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys, S.BKT).orderBy(ts, seq)
-    prev = F.lag(F.col(ts)).over(w)
-    gap_us = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(prev.cast("timestamp"))
-    gap_micros = int(round(gap_seconds * 1_000_000))
-    marked = ctx.withColumn("__start", F.when(prev.isNull() | (gap_us > F.lit(gap_micros)), 1)
-                            .otherwise(0))
-    marked = S.drop_ghosts(marked)
-    numbered = S.running_agg(marked, keys, [ts, seq], bucket, [("__session", "__start", "sum")])
+    d, bucket = S.bucketed(df, keys, [ts, seq], bucket)
+    d = (d.withColumn(S.BKT, F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long")))
+         .withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp"))))
+    d, own = S.null_free_keys(d, keys) or (d, keys)
+    part = [*own, S.BKT]
+    w = Window.partitionBy(*part).orderBy(ts, seq)
+    gap = F.coalesce((F.col("__us") - F.lag("__us").over(w) > gap_micros).cast("int"), F.lit(0))
+    d = d.withColumn("__gap", gap).withColumn("__local", F.sum("__gap").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    edge = d.groupBy(*part).agg(F.min("__us").alias("__lo"), F.max("__us").alias("__hi"),
+                                F.sum("__gap").alias("__gaps"))
+    along = Window.partitionBy(*own).orderBy(S.BKT)
+    opens = F.coalesce((F.col("__lo") - F.lag("__hi").over(along) > gap_micros).cast("int"), F.lit(1))
+    edge = (edge.withColumn("__opens", opens)
+            .select(*part, (F.sum(F.col("__opens") + F.col("__gaps")).over(along.rowsBetween(Window.unboundedPreceding, 0))
+                            - F.col("__gaps")).alias("__before")))
     gap_iv = F.make_dt_interval(secs=F.lit(gap_micros / 1_000_000).cast("decimal(18,6)"))
-    return (numbered.groupBy(*keys, "__session")
+    both = d.join(edge, part) if own != keys else S._null_safe_join(d, edge, part)
+    return (both.withColumn("__session", F.col("__before") + F.col("__local"))
+            .groupBy(*keys, "__session")
             .agg(F.min(ts).alias("session_start"), (F.max(ts) + gap_iv).alias("session_end"), *aggs)
             .drop("__session"))
 

@@ -104,18 +104,17 @@ def split_high_low(spark, sf):
 @query
 def split_then_union(spark, sf):
     s = sensor_readings(spark, sf).select("event_id", "id", "temperature")
-    high, low = R.split_by_threshold(s, "temperature", 37.0)
-    return R.union_all(high, low)
+    return R.split_union(s, "temperature", 37.0, lambda r: r, lambda r: r)
 
 
 @query
 def connect_comap(spark, sf):
     s = sensor_readings(spark, sf).select("event_id", "id", "temperature")
-    high, low = R.split_by_threshold(s, "temperature", 37.0)
-    return R.connect_comap(
-        high, low,
-        lambda d: d.select("event_id", "id", "temperature", F.lit("warning").alias("status")),
-        lambda d: d.select("event_id", "id", F.lit("healthy").alias("status")))
+    return R.split_union(
+        s, "temperature", 37.0,
+        lambda r: F.struct(r["event_id"], r["id"], r["temperature"], F.lit("warning").alias("status")),
+        lambda r: F.struct(r["event_id"], r["id"], F.lit(None).cast("double").alias("temperature"),
+                           F.lit("healthy").alias("status")))
 
 
 # --------------------------------------------------------------- word counts
@@ -161,17 +160,13 @@ def tokenize_variants(spark, sf):
                 ("ws", T.WHITESPACE_CHAR, False, False),
                 ("comma", T.COMMA, False, False),
                 ("semicolon", T.SEMICOLON, False, False)]
-    parts = []
-    for name, pat, lower, drop_empty in variants:
-        if drop_empty:   # plain split; empty tokens are dropped as rows below
-            arr = F.split(F.lower("line") if lower else F.col("line"), pat)
-        else:
-            arr = T.words("line", pat, lower)
-        tok = lines.select(F.lit(name).alias("variant"), F.explode(arr).alias("token"))
-        if drop_empty:
-            tok = tok.filter(F.col("token") != "")
-        parts.append(tok)
-    return R.union_all(*parts).groupBy("variant", "token").agg(F.count(F.lit(1)).alias("cnt"))
+    # one scan: each line is exploded into its (variant, tokens) pairs
+    pairs = F.array(*[F.struct(F.lit(name).alias("variant"), T.words("line", pat, lower).alias("tokens"),
+                               F.lit(drop_empty).alias("drop_empty")) for name, pat, lower, drop_empty in variants])
+    tok = (lines.select(F.explode(pairs).alias("p"))
+           .select("p.variant", "p.drop_empty", F.explode("p.tokens").alias("token"))
+           .filter(~F.col("drop_empty") | (F.col("token") != "")))
+    return tok.groupBy("variant", "token").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 @query
@@ -188,12 +183,12 @@ def json_english_wordcount(spark, sf):
 
 @query
 def wordcount_semicolon(spark, sf):
-    from tidewater.sinks.writers import write_delimited
+    from tidewater.sinks.writers import write_delimited_once
     from tidewater.sources.readers import read_lines
     from tidewater.session import scratch_path
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     path = scratch_path(spark, "people-csv")
-    write_delimited(c, path, sep=";", header=True)
+    write_delimited_once(c.repartition(4), path, sep=";")   # more than one split
     lines = read_lines(spark, path)
     tok = lines.select(F.explode(T.split_drop_trailing("value", T.SEMICOLON)).alias("word"))
     return tok.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
@@ -250,7 +245,8 @@ def udaf_avg(spark, sf):
 @query
 def java_hash(spark, sf):
     s = sensor_readings(spark, sf)
-    return s.select("event_id", "id", T.scaled_hash("id", 2).alias("hash_code"))
+    wide = F.concat(F.col("id"), F.lit("\U0001F600"))        # a character of two code units
+    return s.select("event_id", "id", T.scaled_hash("id", 2).alias("hash_code"), T.scaled_hash(wide, 2).alias("wide_hash"))
 
 
 @query

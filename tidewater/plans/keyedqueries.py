@@ -10,33 +10,28 @@ from tidewater.operators import keyed as K
 from tidewater.plans import sequence as S
 from tidewater.plans.catalog import _t, query, sensor_readings
 from tidewater.sources.tables import spread
-from tidewater.plans.timequeries import TIME_BUCKET_S
 
 ORDER = ["ts", "event_id"]
 
 
-def _bucket():
-    return S.time_bucket("ts", TIME_BUCKET_S)
-
-
 @query
 def jump_alert(spark, sf):
     s = sensor_readings(spark, sf)
-    return K.jump_alert(s, "id", ORDER, _bucket(), "temperature", 10.0) \
+    return K.jump_alert(s, "id", ORDER, None, "temperature", 10.0) \
         .select("event_id", "id", "last_value", "temperature")
 
 
 @query
 def jump_alert_default_zero(spark, sf):
     s = sensor_readings(spark, sf)
-    return K.jump_alert(s, "id", ORDER, _bucket(), "temperature", 10.0, initial=0.0) \
+    return K.jump_alert(s, "id", ORDER, None, "temperature", 10.0, initial=0.0) \
         .select("event_id", "id", "last_value", "temperature")
 
 
 @query
 def running_reduce(spark, sf):
     s = sensor_readings(spark, sf).withColumn("time_stamp", F.unix_seconds(F.col("ts").cast("timestamp")))
-    return K.running_reduce_latest_step(s, "id", ORDER, _bucket(), "time_stamp", 10) \
+    return K.running_reduce_latest_step(s, "id", ORDER, None, "time_stamp", 10) \
         .select("event_id", "id", "time_stamp", "temperature")
 
 
@@ -46,26 +41,26 @@ def running_wordcount(spark, sf):
     # empty tokens are dropped, so the plain split gives the same positions
     w = (d.select("doc_id", F.posexplode(F.split(F.lower("text"), T.WORD_SEPARATOR)).alias("pos", "word"))
          .filter(F.col("word") != ""))
-    return K.running_count(w, ["word"], ["doc_id", "pos"], S.seq_bucket("doc_id", 100), "cnt")
+    return K.running_count(w, ["word"], ["doc_id", "pos"], None, "cnt")
 
 
 @query
 def changelog_count(spark, sf):
     s = sensor_readings(spark, sf)
-    return CL.changelog_count(s, "id", ORDER, _bucket(), carry=["event_id"])
+    return CL.changelog_count(s, "id", ORDER, None, carry=["event_id"])
 
 
 @query
 def changelog_adds_top1(spark, sf):
     s = sensor_readings(spark, sf).select("event_id", "id", "ts", "temperature")
-    return CL.top1_additions(s, "id", ORDER, _bucket(), "temperature").select("event_id", "id", "temperature",
+    return CL.top1_additions(s, "id", ORDER, None, "temperature").select("event_id", "id", "temperature",
                                                                              "is_add")
 
 
 @query
 def over_rows_2_preceding(spark, sf):
     s = sensor_readings(spark, sf)
-    r = K.rows_frame(s, ["id"], ORDER, _bucket(), 2,
+    r = K.rows_frame(s, ["id"], ORDER, None, 2,
                      {"cnt": lambda w: F.count("id").over(w),
                       "avg_temp": lambda w: F.round(F.avg("temperature").over(w), 6)})
     return r.select("event_id", "id", "cnt", "avg_temp")
@@ -74,7 +69,7 @@ def over_rows_2_preceding(spark, sf):
 @query
 def over_rows_named_window(spark, sf):
     s = sensor_readings(spark, sf)
-    ctx = S.with_preceding(s, ["id"], ORDER, _bucket(), 2)
+    ctx = S.with_preceding(s, ["id"], ORDER, None, 2)
     r = spark.sql("""
         SELECT event_id, id, ts, _ghost,
                count(id) OVER w AS cnt,
@@ -90,7 +85,8 @@ def over_rows_named_window(spark, sf):
 def sql_hash_code(spark, sf):
     from tidewater.functions.sql_functions import register_sql_functions
     register_sql_functions(spark)
-    return spark.sql("SELECT event_id, id, hash_code(id, 2) AS hash_code FROM {s}", s=sensor_readings(spark, sf))
+    return spark.sql("SELECT event_id, id, hash_code(id, 2) AS hash_code, hash_code(id || '\U0001F600', 2) AS wide_hash FROM {s}",
+                     s=sensor_readings(spark, sf))
 
 
 @query

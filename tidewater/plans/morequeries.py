@@ -3,7 +3,7 @@ k-means, latest-model join, concurrent lookups and sequential folds."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidewater.functions import text as T
 from tidewater.operators import folds as FO
@@ -12,7 +12,6 @@ from tidewater.operators import joins as J
 from tidewater.operators import timewindows as TW
 from tidewater.plans import sequence as S
 from tidewater.plans.catalog import _t, query, sensor_readings
-from tidewater.plans.timequeries import TIME_BUCKET_S
 from tidewater.session import scratch_path
 from tidewater.sinks import writers as W
 from tidewater.sources import readers as RD
@@ -115,23 +114,22 @@ def sink_delimited_roundtrip(spark, sf):
 
 @query
 def sink_stream_files(spark, sf):
-    from tidewater.streaming.runner import replay_as_files, run_available_now
+    from tidewater.streaming.runner import REPLAY_FILES, run_available_now, spread_as_files
     e = _t(spark, sf, "events").select("event_id", "user_id", "value")
-    src = replay_as_files(spark, e, "event_id", 3, scratch_path(spark, "events-replay"))
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    src = spread_as_files(e, 3, scratch_path(spark, "events-replay"))
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", REPLAY_FILES).parquet(src)
     out = run_available_now(stream, scratch_path(spark, "events-sink"), fmt="parquet")
     return spark.read.parquet(out)
 
 
 @query
 def stream_wordcount(spark, sf):
-    from tidewater.streaming.runner import replay_as_files, run_keyed_updates
-    docs = _t(spark, sf, "documents").select("doc_id", "text")
-    # the documents as text files, replayed in doc_id order; a line reader
-    # stream over them feeds the word count
-    src = replay_as_files(spark, docs, "doc_id", 3, scratch_path(spark, "docs-text"), fmt="text",
-                          columns=["text"])
-    lines = RD.read_lines(spark, src, streaming=True, max_files_per_trigger=1).filter(F.col("value") != "")
+    from tidewater.streaming.runner import REPLAY_FILES, run_keyed_updates, spread_as_files
+    docs = _t(spark, sf, "documents").select("text")
+    # the documents as text files; a line reader stream over them feeds the
+    # word count, three micro-batches of several files
+    src = spread_as_files(docs, 3, scratch_path(spark, "docs-text"), fmt="text")
+    lines = RD.read_lines(spark, src, streaming=True, max_files_per_trigger=REPLAY_FILES).filter(F.col("value") != "")
     # split on single spaces, empty tokens included, no lower-casing
     counts = (lines.select(F.explode(T.split_drop_trailing("value", T.SPACE)).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
@@ -142,36 +140,48 @@ def stream_wordcount(spark, sf):
 def state_kinds(spark, sf):
     """Value / list / map / reducing state per sensor, run as a stream over
     the readings replayed in arrival order."""
-    from tidewater.streaming.runner import replay_as_files, run_available_now
+    from tidewater.streaming.runner import REPLAY_FILES, replay_as_files, run_available_now
     from tidewater.streaming.stateful import state_kinds_stream
     s = sensor_readings(spark, sf)
     src = replay_as_files(spark, s, "event_id", 3, scratch_path(spark, "readings-replay"))
-    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", REPLAY_FILES).parquet(src)
     kinds = state_kinds_stream(stream, "id", "temperature", ["ts", "event_id"])
     return spark.read.parquet(run_available_now(kinds, scratch_path(spark, "state-kinds"), fmt="parquet"))
 
 
 @query
 def map_partition_setup(spark, sf):
+    """A pattern compiled once per partition, applied to whole batches."""
+    import re
+
     import pandas as pd
 
-    e = _t(spark, sf, "events").select("event_id", "props")
+    from tidewater.operators.rich import map_with_setup
 
-    def with_setup(batches):
-        import re
-        pattern = re.compile(r'"k"\s*:\s*(-?\d+)')     # "open": compiled once per partition
-        for pdf in batches:
-            ks = [int(m.group(1)) if (m := pattern.search(p or "")) else None for p in pdf["props"]]
-            yield pd.DataFrame({"event_id": pdf["event_id"], "k": pd.array(ks, dtype="Int64")})
+    def extract(pattern, pdf):
+        k = pdf["props"].str.extract(pattern, expand=False)
+        return pd.DataFrame({"event_id": pdf["event_id"], "k": pd.to_numeric(k).astype("Int64")})
 
-    return e.mapInPandas(with_setup, "event_id bigint, k bigint")
+    e = _t(spark, sf, "events").select("event_id", "props")
+    return map_with_setup(e, lambda: re.compile(r'"k"\s*:\s*(-?\d+)'), extract, "event_id bigint, k bigint")
 
 
 # ------------------------------------------------------- async lookups
 @query
 def async_enrich_ordered(spark, sf):
-    e = _t(spark, sf, "events").select("event_id", "user_id")
-    return J.async_lookup(e, "user_id", "event_id", J.key_mod_label, capacity=20, timeout_s=10.0, ordered=True)
+    """Results in input order: the place at which each row comes out of its
+    partition is its place in it."""
+    e = _t(spark, sf, "events").select("event_id", "user_id").repartitionByRange(4, "event_id") \
+        .sortWithinPartitions("event_id")
+    r = J.async_lookup(e, "user_id", "event_id", J.key_mod_label, capacity=20, timeout_s=10.0, ordered=True,
+                       position_col="position")
+    part = F.spark_partition_id()
+    r = r.withColumn("part", part)
+    first = r.groupBy("part").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
+                                         F.lit(0)))
+    return r.join(first.select("part", "before"), "part") \
+        .select("event_id", "result", (F.col("before") + F.col("position")).alias("position"))
 
 
 @query
@@ -211,17 +221,16 @@ def kmeans_step(spark, sf):
     return means.select("cluster_id", "n", _round_vec(F.col("centroid")).alias("centroid"))
 
 
-KMEANS_ROUNDS = 3
+KMEANS_ROUNDS = 10
 
 
 @query
 def kmeans_centroids(spark, sf, rounds: int = KMEANS_ROUNDS):
-    pts = _embeddings(spark, sf).select("v").persist()
-    cents = IT.initial_centroids_by_label(_embeddings(spark, sf), "v", "label")
-    for _ in range(rounds - 1):
-        cents = IT.collect_centroids(IT.cluster_means(IT.kmeans_assign(pts, "v", cents), "v"))
-    last = IT.cluster_means(IT.kmeans_assign(pts, "v", cents), "v")
-    return last.select("cluster_id", _round_vec(F.col("centroid")).alias("centroid"))
+    pts = _embeddings(spark, sf)
+    seeds = IT.initial_centroids_by_label(pts, "v", "label")
+    cents = IT.kmeans(pts, "v", seeds, iterations=rounds)
+    out = spark.createDataFrame([(int(c), v) for c, v in cents], "cluster_id int, centroid array<double>")
+    return out.select("cluster_id", _round_vec(F.col("centroid")).alias("centroid"))
 
 
 # ------------------------------------------------------ latest-model join
@@ -237,8 +246,7 @@ def latest_model_predict(spark, sf):
 @query
 def rising_alert(spark, sf):
     s = sensor_readings(spark, sf)
-    return FO.rising_alert(s, "id", "ts", "event_id", "temperature", S.time_bucket("ts", TIME_BUCKET_S),
-                           seconds=6 * 3600)
+    return FO.rising_alert(s, "id", "ts", "event_id", "temperature", seconds=6 * 3600)
 
 
 @query
@@ -246,7 +254,6 @@ def top_speed_delta(spark, sf):
     e = _t(spark, sf, "events").select(F.col("user_id").alias("car_id"), "ts", "event_id",
                                        F.col("value").alias("speed"),
                                        F.round(F.col("value") * 100).cast("long").alias("cents"))
-    d = S.running_agg(e, ["car_id"], ["ts", "event_id"], S.time_bucket("ts", TIME_BUCKET_S),
-                      [("distance_cents", "cents", "sum")])
+    d = S.running_agg(e, ["car_id"], ["ts", "event_id"], None, [("distance_cents", "cents", "sum")])
     return FO.top_speed_delta(d, "car_id", "ts", "event_id", "speed", "distance_cents",
                               threshold_cents=5000, evict_seconds=10 * 3600)

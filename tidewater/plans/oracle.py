@@ -23,7 +23,8 @@ def _split_drop_trailing(expr: str, pattern: str) -> str:
 
 def _java_hash(expr: str) -> str:
     h = (f"list_reduce(list_transform(string_split({expr}, ''), lambda x: unicode(x)::BIGINT), "
-         f"lambda a, x: (a * 31 + x) % 4294967296, 0::BIGINT)")
+         f"lambda a, x: (CASE WHEN x > 65535 THEN a * 961 + (55296 + ((x - 65536) >> 10)) * 31 + 56320 + ((x - 65536) & 1023) "
+         f"ELSE a * 31 + x END) % 4294967296, 0::BIGINT)")
     return h
 
 
@@ -131,7 +132,8 @@ SELECT slots.id, greatest(coalesce(r.temperature, 0.0), 0.0) AS temp, CAST(slots
 FROM slots LEFT JOIN r ON slots.id = r.id AND slots.rk = r.rk"""
 ORACLE["udaf_avg"] = f"SELECT id, round(sum(temperature) / count(temperature), 6) AS avg_temp FROM {SENSOR} s GROUP BY id"
 
-ORACLE["java_hash"] = (f"SELECT event_id, id, {_int32('CAST(' + _int32(_java_hash('id')) + ' AS BIGINT) * 2 - 1000')} AS hash_code "
+ORACLE["java_hash"] = (f"SELECT event_id, id, {_int32('CAST(' + _int32(_java_hash('id')) + ' AS BIGINT) * 2 - 1000')} AS hash_code, "
+                       f"{_int32('CAST(' + _int32(_java_hash("id || '😀'")) + ' AS BIGINT) * 2 - 1000')} AS wide_hash "
                        f"FROM {SENSOR} s")
 ORACLE["normalize_address"] = (
     f"SELECT c_custkey, {_normalize('c_name')} || ', ' || {_normalize('n_name')} || ', ' || {_normalize('c_mktsegment')} "
@@ -162,6 +164,14 @@ FROM (SELECT user_id, value, time_bucket(INTERVAL '10 minutes', ts) - to_minutes
       FROM events, (SELECT range AS i FROM range(5)) r) x
 GROUP BY user_id, ws"""
 
+# windows of 2500 ms every 500 ms over event times scaled from minutes to seconds
+ORACLE["sliding_sum_millis"] = """
+SELECT user_id, make_timestamp(w * 500000) AS window_start, make_timestamp(w * 500000 + 2500000) AS window_end,
+       round(sum(value), 6) AS total
+FROM (SELECT user_id, value, unnest(range(ms // 500 - 4, ms // 500 + 1)) AS w
+      FROM (SELECT user_id, value, epoch_us(ts) // 60000 AS ms FROM events) e) x
+GROUP BY user_id, w"""
+
 ORACLE["session_sum"] = """
 WITH g AS (
   SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
@@ -190,9 +200,9 @@ SELECT user_id, window_start, event_id, value FROM (
   FROM events) x WHERE rn = 1"""
 
 ORACLE["ddl_tumble_sum"] = """
-SELECT event_type AS album_id, round(sum(value), 6) AS price,
-       time_bucket(INTERVAL '1 hour', date_trunc('second', ts)) AS start_time,
-       time_bucket(INTERVAL '1 hour', date_trunc('second', ts)) + INTERVAL '1 hour' AS end_time
+SELECT time_bucket(INTERVAL '1 hour', date_trunc('second', ts)) AS hour_start,
+       time_bucket(INTERVAL '1 hour', date_trunc('second', ts)) + INTERVAL '1 hour' AS hour_end,
+       event_type, round(sum(value), 6) AS total
 FROM events WHERE event_type IS NOT NULL
 GROUP BY event_type, time_bucket(INTERVAL '1 hour', date_trunc('second', ts))"""
 
@@ -286,8 +296,9 @@ SELECT word, count(*) AS cnt FROM (
   SELECT unnest({_split_drop_trailing('line', ' ')}) AS word FROM {LINES} l WHERE line <> '') w
 GROUP BY word"""
 ORACLE["map_partition_setup"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
-ORACLE["async_enrich_ordered"] = "SELECT event_id, 'key' || CAST(user_id % 10 AS VARCHAR) AS result FROM events"
-ORACLE["async_enrich_unordered"] = ORACLE["async_enrich_ordered"]
+ORACLE["async_enrich_unordered"] = "SELECT event_id, 'key' || CAST(user_id % 10 AS VARCHAR) AS result FROM events"
+ORACLE["async_enrich_ordered"] = ("SELECT event_id, 'key' || CAST(user_id % 10 AS VARCHAR) AS result, "
+                                  "row_number() OVER (ORDER BY event_id) - 1 AS position FROM events")
 
 # ------------------------------------------------------------- iteration
 ORACLE["iterate_fibonacci"] = """
@@ -316,9 +327,9 @@ _SEED = _means(f"SELECT vec_id, label AS cid FROM {_PTS} s", False)
 ORACLE["kmeans_assign"] = f"SELECT vec_id, CAST(cid AS INTEGER) AS cluster_id FROM ({_assign(_SEED)}) a"
 ORACLE["kmeans_step"] = (f"SELECT CAST(cid AS INTEGER) AS cluster_id, n, c AS centroid "
                          f"FROM ({_means(_assign(_SEED), True)}) m")
-_R1 = _means(_assign(_SEED), False)
-_R2 = _means(_assign(_R1), False)
-ORACLE["kmeans_centroids"] = f"SELECT CAST(cid AS INTEGER) AS cluster_id, c AS centroid FROM ({_means(_assign(_R2), True)}) m"
+_ROUNDS = ", ".join(f"c{i} AS MATERIALIZED ({_means(_assign(f'SELECT * FROM c{i - 1}'), False)})" for i in range(1, 10))
+ORACLE["kmeans_centroids"] = (f"WITH c0 AS MATERIALIZED ({_SEED}), {_ROUNDS} SELECT CAST(cid AS INTEGER) AS cluster_id, c AS centroid "
+                              f"FROM ({_means(_assign('SELECT * FROM c9'), True)}) m")
 
 ORACLE["latest_model_predict"] = """
 WITH m AS (SELECT time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS model_ts, round(avg(value), 6) AS prediction

@@ -11,9 +11,13 @@ the order (an id range or a time range) and work in two levels:
 
 Both results are exact; nothing depends on how rows land in partitions.
 
-``bucket`` must be non-decreasing along ``order`` within a key.  Use
-:func:`seq_bucket` for integer sequence columns and :func:`time_bucket` for
-timestamps.
+By default the buckets are balanced (:func:`balanced_bucket`): row ranges of
+(key, order) of about equal size, so neither a hot key nor a burst in time
+makes a large bucket, and the bucket table has about one row per key plus one
+per range.  A caller may pass its own ``bucket`` column, which must be
+non-decreasing along ``order`` within a key (:func:`seq_bucket`,
+:func:`time_bucket`), for instance one balanced bucketing shared by several
+steps.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 BKT = "_bkt"
+RANGE = "_range"
 GHOST = "_ghost"
 
 
@@ -92,7 +97,13 @@ def null_free_keys(df: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]
     return out, names
 
 
-def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
+def bucketed(df: DataFrame, keys: list[str], order: list[str],
+             bucket: Column | None) -> tuple[DataFrame, Column]:
+    """``df`` and its buckets: the caller's, else balanced ones."""
+    return (df, bucket) if bucket is not None else balanced_bucket(df, keys, order, name=RANGE)
+
+
+def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None,
                 specs: list[tuple[str, str | Column, str]], inclusive: bool = True) -> DataFrame:
     """Add running aggregates per ``keys`` along ``order``.
 
@@ -101,6 +112,7 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     strictly before it when ``inclusive`` is False) and ``first`` (value of
     the first row of the key).
     """
+    df, bucket = bucketed(df, keys, order, bucket)
     # a NULL bucket (NULL order value) becomes the smallest long: it still
     # sorts first, and the bucket column needs no null-safe encoding
     d = df.withColumn(BKT, F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long")))
@@ -173,10 +185,10 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
         out = out.withColumn(name, val)
     drop = [c for c in out.columns if c.endswith("__loc") or c.endswith("__off")
             or c.startswith("__nv") or c.startswith("__nn")]
-    return out.drop(*drop, BKT)
+    return out.drop(*drop, BKT, RANGE)
 
 
-def with_preceding(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
+def with_preceding(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None,
                    k: int) -> DataFrame:
     """Return ``df`` plus, for every ``(key, bucket)``, up to ``k`` "ghost"
     copies of the rows that precede the bucket in key order.  Ghost rows
@@ -186,6 +198,7 @@ def with_preceding(df: DataFrame, keys: list[str], order: list[str], bucket: Col
     then sees up to ``k`` earlier rows of the key even at bucket edges
     (``lag``, ``rowsBetween(-k, 0)``); filter ghosts out afterwards.
     """
+    df, bucket = bucketed(df, keys, order, bucket)
     d = df.withColumn(BKT, bucket)
     cols = d.columns
     ordc = [F.col(o) for o in order]
@@ -208,7 +221,7 @@ def with_preceding(df: DataFrame, keys: list[str], order: list[str], bucket: Col
 
 
 def drop_ghosts(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col(GHOST)).drop(GHOST, BKT)
+    return df.filter(~F.col(GHOST)).drop(GHOST, BKT, RANGE)
 
 
 def first_at_or_after(points: DataFrame, queries: DataFrame, keys: list[str], t: str, n: str,

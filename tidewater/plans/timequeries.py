@@ -7,15 +7,8 @@ from pyspark.sql import functions as F
 from tidewater.operators import countwindows as CW
 from tidewater.operators import late as L
 from tidewater.operators import timewindows as TW
-from tidewater.plans import sequence as S
 from tidewater.plans.catalog import _t, query, sensor_readings
 
-# Bucket widths of the two-level scans for the test tables (events span 30
-# days).  On production data pick widths so one bucket of one key is a
-# comfortable task.
-TIME_BUCKET_S = 6 * 3600
-ID_BUCKET = 1000
-
 
 @query
 def tumble_min_reduce(spark, sf):
@@ -37,12 +30,22 @@ def sliding_sum(spark, sf):
     return r.withColumn("total", F.round("total", 6))
 
 
+@query
+def sliding_sum_millis(spark, sf):
+    """A window that is no whole number of seconds, on a scale of
+    milliseconds: one second of the stream for each minute of ``events``."""
+    e = _t(spark, sf, "events").select("user_id", "ts", "value")
+    ms = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000).cast("long")
+    e = e.withColumn("ts", F.timestamp_millis(ms).cast("timestamp_ntz"))
+    r = TW.sliding_sum(e, ["user_id"], "ts", "value", "2500 milliseconds", "500 milliseconds")
+    return r.withColumn("total", F.round("total", 6))
+
+
 @query
 def session_sum(spark, sf):
     e = _t(spark, sf, "events").select("user_id", "ts", "event_id", "value")
     return TW.session_windows(e, ["user_id"], "ts", "event_id", 600,
-                              [F.count(F.lit(1)).alias("cnt"), F.round(F.sum("value"), 6).alias("total")],
-                              bucket_seconds=TIME_BUCKET_S)
+                              [F.count(F.lit(1)).alias("cnt"), F.round(F.sum("value"), 6).alias("total")])
 
 
 @query
@@ -70,27 +73,20 @@ def minby_tumble(spark, sf):
 
 @query
 def ddl_tumble_sum(spark, sf):
+    """A table declared over JSON payloads of ``events`` with a computed
+    event-time column and a watermark, summed per hour in SQL."""
     from tidewater.sources.table_source import table_source
     e = _t(spark, sf, "events")
     payload = e.select(F.to_json(F.struct(
-        F.col("event_id").cast("string").alias("impression_id"),
-        F.col("user_id").cast("string").alias("uaa_user_id"),
-        F.col("event_type").alias("album_id"),
-        F.col("event_id").alias("episode_id"),
-        F.col("value").alias("bidding_price"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("request_time"))).alias("value"))
-    t = table_source(
-        payload, "impressions",
-        "impression_id string, uaa_user_id string, album_id string, episode_id bigint, "
-        "bidding_price double, request_time string",
-        computed={"ts": "to_timestamp(request_time)"}, watermark=("ts", "5 seconds"))
+        "event_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))).alias("value"))
+    t = table_source(payload, "event_payloads", "event_id bigint, event_type string, value double, at string",
+                     computed={"ts": "to_timestamp(at)"}, watermark=("ts", "5 seconds"))
     return spark.sql("""
-        SELECT album_id, round(sum(bidding_price), 6) AS price,
-               CAST(window.start AS TIMESTAMP_NTZ) AS start_time,
-               CAST(window.end AS TIMESTAMP_NTZ) AS end_time
+        SELECT CAST(window.start AS TIMESTAMP_NTZ) AS hour_start, CAST(window.end AS TIMESTAMP_NTZ) AS hour_end,
+               event_type, round(sum(value), 6) AS total
         FROM {t}
-        WHERE album_id IS NOT NULL
-        GROUP BY album_id, window(ts, '1 hour')""", t=t)
+        WHERE event_type IS NOT NULL
+        GROUP BY window(ts, '1 hour'), event_type""", t=t)
 
 
 @query
@@ -107,14 +103,14 @@ def window_join(spark, sf):
 @query
 def count_window_sliding(spark, sf):
     e = _t(spark, sf, "events").select("event_type", "event_id", "value")
-    return CW.sliding_count_window_sum(e, ["event_type"], ["event_id"], S.seq_bucket("event_id", ID_BUCKET),
-                                       "value", size=250, slide=150)
+    return (CW.sliding_count_window_sum(e, ["event_type"], ["event_id"], None, "value", size=250, slide=150)
+            .withColumn("total", F.round("total", 6)))
 
 
 @query
 def count_window_tumbling(spark, sf):
     e = _t(spark, sf, "events").select("user_id", "ts", "event_id", "value")
-    return CW.tumbling_count_window(e, ["user_id"], ["ts", "event_id"], S.time_bucket("ts", TIME_BUCKET_S), 10,
+    return CW.tumbling_count_window(e, ["user_id"], ["ts", "event_id"], None, 10,
                                     [F.min("value").alias("min_temp"), F.max_by("ts", "event_id").alias("last_ts")])
 
 
@@ -132,15 +128,14 @@ LATE_ARGS = dict(size_seconds=900, delay_seconds=180, lateness_seconds=3600)
 @query
 def late_side_output(spark, sf):
     d = _delayed_arrivals(spark, sf)
-    _, late = L.split_late(d, "ts", ["arrival", "event_id"], S.time_bucket("arrival", TIME_BUCKET_S), **LATE_ARGS)
+    _, late = L.split_late(d, "ts", ["arrival", "event_id"], None, **LATE_ARGS)
     return late.select("event_id", "user_id", "ts", "value")
 
 
 @query
 def late_updates(spark, sf):
     d = _delayed_arrivals(spark, sf)
-    on_time, _ = L.split_late(d, "ts", ["arrival", "event_id"], S.time_bucket("arrival", TIME_BUCKET_S),
-                              **LATE_ARGS)
+    on_time, _ = L.split_late(d, "ts", ["arrival", "event_id"], None, **LATE_ARGS)
     return (TW.tumble(on_time, ["user_id"], "ts", "15 minutes",
                       [F.min("value").alias("min_temp"), F.count(F.lit(1)).alias("cnt")])
             .drop("window_end"))

@@ -48,18 +48,23 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators depend on to a session made
     elsewhere (the driver's).  Only SQL runtime settings are touched."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
+        if spark.conf.get(name, None) != BASE_CONF[name]:
+            spark.conf.set(name, BASE_CONF[name])
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if the
-    session has none (tests)."""
+    session has none and runs in this one process (tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         try:

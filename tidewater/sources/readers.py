@@ -104,7 +104,7 @@ def decode_json(df: DataFrame, schema: str, col: str = "value") -> DataFrame:
 
 
 def read_topic_lines(spark: SparkSession, servers: str, topic: str,
-                     starting_offsets: str = "latest", fmt: str = "kafka") -> DataFrame:
+                     starting_offsets: str = "latest", fmt: str = "kafka", options: dict | None = None) -> DataFrame:
     """Message topic as a stream of string ``value``s.  The connector jar is
     not bundled here; tests use a file stream with the same ``value``
     column."""
@@ -112,5 +112,6 @@ def read_topic_lines(spark: SparkSession, servers: str, topic: str,
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting_offsets)
+            .options(**(options or {}))
             .load()
             .select(F.col("value").cast("string").alias("value")))

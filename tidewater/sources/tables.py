@@ -16,12 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register each table as a temp view of the same name (SQL surface)."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-distribute an under-split input on ``key`` (a unique id) before
     CPU-heavy per-row work such as tokenizing text.  Only when the scan gives

@@ -1,9 +1,10 @@
 """Running Structured Streaming queries to completion over file streams.
 
-* ``replay_as_files``: split a static DataFrame into ``n`` files by ranges of
-  an order column, written one after another, so a file stream with
-  ``maxFilesPerTrigger=1`` sees them as successive micro-batches in order
-  (files out of event order make Spark drop rows behind the watermark).
+* ``replay_as_files``: split a static DataFrame into ``n`` chunks by ranges of
+  an order column, written one after another by several tasks each, so a file
+  stream sees them as successive micro-batches in order (files out of event
+  order make Spark drop rows behind the watermark).
+* ``spread_as_files``: the same in one pass, in no order.
 * ``run_available_now``: append-mode query into a file sink with a
   checkpoint; returns the sink folder.
 * ``run_keyed_updates``: update-mode query whose micro-batches are written
@@ -27,26 +28,36 @@ def tolerate_idle_inputs(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
 
 
-def replay_as_files(spark: SparkSession, df: DataFrame, order_col: str, n: int, path: str,
-                    fmt: str = "parquet", columns: list[str] | None = None) -> str:
-    """Write ``df`` as ``n`` consecutive chunks of ``order_col`` ranges
-    (only ``columns``, if given -- e.g. the one string column of a text
-    file)."""
+REPLAY_FILES = 4
+
+
+def replay_as_files(spark: SparkSession, df: DataFrame, order_col: str, n: int, path: str, fmt: str = "parquet",
+                    columns: list[str] | None = None, files: int = REPLAY_FILES) -> str:
+    """Write ``df`` as ``n`` consecutive chunks of ranges of the integer
+    column ``order_col`` (rows without one come first), ``files`` files each,
+    written by as many tasks; only ``columns``, if given -- e.g. the one
+    string column of a text file.  A file stream over the returned pattern
+    with ``maxFilesPerTrigger=files`` takes a chunk per micro-batch.  Rows of
+    a chunk are in no order, as in any micro-batch."""
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    if lo is None:
-        df.select(*(columns or df.columns)).limit(0).write.mode("overwrite").format(fmt).save(f"{path}/c00000")
-        return path
-    span = (hi - lo) / n if n else 1
+    lo, hi = (0, 0) if lo is None else (int(lo), int(hi))
     for i in range(n):
-        a = lo + span * i
-        b = lo + span * (i + 1)
-        cond = (F.col(order_col) >= F.lit(a)) & ((F.col(order_col) < F.lit(b)) if i < n - 1
-                                                  else (F.col(order_col) <= F.lit(hi)))
-        (df.filter(cond).select(*(columns or df.columns)).coalesce(1)
+        a, b = lo + (hi - lo + 1) * i // n, lo + (hi - lo + 1) * (i + 1) // n
+        mine = (F.col(order_col) >= F.lit(a)) & (F.col(order_col) < F.lit(b))
+        if i == 0:
+            mine = mine | F.col(order_col).isNull()
+        (df.filter(mine).select(*(columns or df.columns)).repartition(files)
          .write.mode("overwrite").format(fmt).save(f"{path}/c{i:05d}"))
     return f"{path}/c*"
 
 
+def spread_as_files(df: DataFrame, n: int, path: str, fmt: str = "parquet", files: int = REPLAY_FILES) -> str:
+    """Write ``df`` as ``n * files`` files in one pass, for streams whose
+    result does not depend on the order of the rows."""
+    df.repartition(n * files).write.mode("overwrite").format(fmt).save(path)
+    return path
+
+
 def run_available_now(stream: DataFrame, out_path: str, fmt: str = "parquet", mode: str = "append",
                       checkpoint: str | None = None, timeout_s: float | None = None) -> str:
     spark = stream.sparkSession
@@ -88,10 +99,11 @@ def run_keyed_updates(spark: SparkSession, stream: DataFrame, keys: list[str], t
 def read_keyed_table(spark: SparkSession, table_path: str, keys: list[str], schema=None) -> DataFrame:
     """Latest row per key over all ``batch_id=`` folders of a keyed table."""
     from tidewater.sinks.upsert import latest_per_key
-    try:
-        log = spark.read.parquet(table_path)
-    except Exception:  # nothing written yet
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(table_path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):            # nothing written yet; other errors are raised
         if schema is None:
-            raise
+            raise FileNotFoundError(table_path)
         return spark.createDataFrame([], schema)
-    return latest_per_key(log, keys, ["batch_id"]).drop("batch_id")
+    return latest_per_key(spark.read.parquet(table_path), keys, ["batch_id"]).drop("batch_id")

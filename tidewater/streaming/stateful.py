@@ -3,6 +3,8 @@ processors with value / list / map state and event-time timers.
 
 Each processor sorts the rows of its key inside a micro-batch by the
 operator's order columns, so results do not depend on how a batch was read.
+A key's rows of one micro-batch are in memory at once; the trigger's limit
+(``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds them.
 State lives in the configured state store (RocksDB) and is checkpointed with
 the query; restarting from the checkpoint resumes with the same state.
 """
@@ -239,15 +241,15 @@ class RowsFrameProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted_rows(rows, self.order)
+        import numpy as np
         buf = [r[0] for r in self.buf.get()] if self.buf.exists() else []
-        cnt, sm = [], []
-        for v in pdf[self.value].to_numpy(dtype=float):
-            frame = buf[-self.k:] + [float(v)] if self.k else [float(v)]
-            cnt.append(len(frame))
-            sm.append(sum(frame))
-            buf = frame[-self.k:] if self.k else []
-        self.buf.put([(x,) for x in buf])
-        out = pdf[[self.key, *self.carry]].assign(cnt=cnt, total=sm)
+        v = np.concatenate([np.array(buf, dtype=float), pdf[self.value].to_numpy(dtype=float)])
+        # frames of k + 1 values, the missing ones before the first row as 0
+        frames = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.zeros(self.k), v]), self.k + 1)[len(buf):]
+        cnt = np.minimum(np.arange(len(buf), len(v)) + 1, self.k + 1)
+        if self.k:
+            self.buf.put([(float(x),) for x in v[max(0, len(v) - self.k):]])
+        out = pdf[[self.key, *self.carry]].assign(cnt=cnt.astype(np.int64), total=frames.sum(axis=1))
         yield out.assign(avg_value=out["total"] / out["cnt"])
 
     def close(self) -> None:
@@ -279,20 +281,19 @@ class CountWindowProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted_rows(rows, self.order)
+        import numpy as np
         buf = [r[0] for r in self.buf.get()] if self.buf.exists() else []
         n = self.n.get()[0] if self.n.exists() else 0
-        out = []
-        for v in pdf[self.value].to_numpy(dtype=float):
-            n += 1
-            buf.append(float(v))
-            if len(buf) > self.size:
-                buf = buf[-self.size:]
-            if n % self.slide == 0:
-                out.append((key[0], n, sum(buf)))
-        self.buf.put([(x,) for x in buf])
-        self.n.update((n,))
-        if out:
-            yield pd.DataFrame(out, columns=[self.key, "n", "total"])
+        v = np.concatenate([np.array(buf, dtype=float), pdf[self.value].to_numpy(dtype=float)])
+        # only the rows that fire look back over their window
+        fire = np.arange(n + 1, n + 1 + len(v) - len(buf))
+        fire = fire[fire % self.slide == 0]
+        ends = fire - n + len(buf)
+        total = [float(v[max(0, e - self.size):e].sum()) for e in ends]
+        self.buf.put([(float(x),) for x in v[max(0, len(v) - self.size):]])
+        self.n.update((n + len(v) - len(buf),))
+        if len(fire):
+            yield pd.DataFrame({self.key: [key[0]] * len(fire), "n": fire, "total": total})
 
     def close(self) -> None:
         pass
@@ -337,3 +338,145 @@ def running_reduce_stream(df: DataFrame, key: str, order: list[str], fn) -> Data
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=RunningReduceProcessor(order, fn, df.columns, schema),
         outputStructType=schema, outputMode="Append", timeMode="None")
+
+
+# ------------------------------------------------- tumbling count window
+class TumblingCountProcessor(StatefulProcessor):
+    """Every ``size`` rows of a key emit once.  Rows of the open window wait
+    in list state (fewer than ``size``)."""
+
+    KINDS = {"min": "min", "max": "max", "sum": "sum", "count": "count", "first": "first", "last": "last"}
+
+    def __init__(self, key: str, order: list[str], size: int, aggs: dict[str, tuple[str, str]], fields: list[tuple[str, str]]):
+        self.key, self.order, self.size, self.aggs, self.fields = key, order, size, aggs, fields
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getListState("open", ", ".join(f"`{c}` {t}" for c, t in self.fields))
+        self.n = handle.getValueState("n", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        import numpy as np
+        cols = [c for c, _ in self.fields]
+        new = _sorted_rows(rows, self.order)[cols]
+        held = pd.DataFrame(list(self.open.get()), columns=cols) if self.open.exists() else new.iloc[:0]
+        pdf = pd.concat([held, new], ignore_index=True) if len(held) else new.reset_index(drop=True)
+        n = self.n.get()[0] if self.n.exists() else 0
+        whole = len(pdf) // self.size
+        block = np.arange(len(pdf)) // self.size
+        if whole:
+            done = pdf[block < whole]
+            grouped = done.groupby(block[:len(done)])
+            out = pd.DataFrame({name: grouped[c].agg(self.KINDS[kind]) for name, (c, kind) in self.aggs.items()})
+            yield out.assign(**{self.key: key[0], "window_no": n + 1 + np.arange(whole)})[
+                [self.key, "window_no", *self.aggs]]
+        rest = [tuple(r) for r in pdf[block >= whole].itertuples(index=False)]
+        self.open.put(rest) if rest else self.open.clear()
+        self.n.update((n + whole,))
+
+    def close(self) -> None:
+        pass
+
+
+def tumbling_count_window_stream(df: DataFrame, key: str, order: list[str], size: int,
+                                 aggs: dict[str, tuple[str, str]]) -> DataFrame:
+    """``aggs``: output name -> (column, kind), kind one of min, max, sum,
+    count, first, last (in the order of ``order``)."""
+    types = dict(df.dtypes)
+    fields = [(c, types[c]) for c in dict.fromkeys(c for c, _ in aggs.values())]
+    out = ", ".join(f"`{name}` {'long' if kind == 'count' else types[c]}" for name, (c, kind) in aggs.items())
+    return df.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=TumblingCountProcessor(key, order, size, aggs, fields),
+        outputStructType=f"`{key}` {types[key]}, window_no long, {out}", outputMode="Append", timeMode="None")
+
+
+# ------------------------------------------------------- additions of a top 1
+class Top1AdditionsProcessor(StatefulProcessor):
+    """Rows that rank strictly above every earlier row of their key."""
+
+    def __init__(self, order: list[str], rank: str):
+        self.order, self.rank = order, rank
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", "v double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        import numpy as np
+        pdf = _sorted_rows(rows, self.order)
+        v = pdf[self.rank].to_numpy(dtype=float)
+        best = self.best.get()[0] if self.best.exists() else -np.inf
+        before = np.fmax.accumulate(np.concatenate([[best], v]))
+        adds = pdf[v > before[:-1]]
+        self.best.update((float(before[-1]),))
+        if len(adds):
+            yield adds.assign(is_add=True)
+
+    def close(self) -> None:
+        pass
+
+
+def top1_additions_stream(df: DataFrame, key: str, order: list[str], rank: str) -> DataFrame:
+    fields = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+    return df.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=Top1AdditionsProcessor(order, rank),
+        outputStructType=f"{fields}, is_add boolean", outputMode="Append", timeMode="None")
+
+
+# ------------------------------------------------- delta trigger + evictor
+class TopSpeedProcessor(StatefulProcessor):
+    """Delta trigger with a time evictor: the reference distance in value
+    state, the rows that a later window can still hold in list state."""
+
+    def __init__(self, key: str, seq: str, threshold: int, evict_us: int):
+        self.key, self.seq, self.threshold, self.evict_us = key, seq, threshold, evict_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.ref = handle.getValueState("ref", "d long")
+        self.rows = handle.getListState("rows", "us long, seq long, sp double, dc long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        import numpy as np
+        new = _sorted_rows(rows, ["tw_us", self.seq])[["tw_us", self.seq, "tw_sp", "tw_dc"]].set_axis(
+            ["us", "seq", "sp", "dc"], axis=1)
+        held = pd.DataFrame(list(self.rows.get()) if self.rows.exists() else [], columns=new.columns)
+        pdf = pd.concat([held, new], ignore_index=True) if len(held) else new.reset_index(drop=True)
+        us, sp = pdf["us"].to_numpy(np.int64), pdf["sp"].to_numpy(float)
+        d = pdf["dc"].to_numpy(float)
+        high = np.fmax.accumulate(np.concatenate([[-np.inf], d[len(held):]]))[1:]
+        ref = self.ref.get()[0] if self.ref.exists() else None
+        at = 0
+        if ref is None and (known := np.flatnonzero(~np.isnan(d[len(held):]))).size:
+            at, ref = int(known[0]) + 1, int(d[len(held) + known[0]])
+        out = []
+        while ref is not None:
+            # the running maximum over the new rows finds the next firing row
+            i = max(at, int(np.searchsorted(high, ref + self.threshold, side="right")))
+            if i >= len(high):
+                break
+            row = len(held) + i
+            first = int(np.searchsorted(us, us[row] - self.evict_us, side="right"))
+            best = first + int(np.nanargmax(sp[first:row + 1]))
+            out.append((key[0], int(pdf["seq"].iloc[best]), sp[best], d[best] / 100.0, int(us[best])))
+            ref, at = int(d[row]), i + 1
+        if ref is not None:
+            self.ref.update((ref,))
+        keep = us > us[-1] - self.evict_us
+        self.rows.put([(int(a), int(b), float(c), None if np.isnan(e) else int(e)) for a, b, c, e in zip(
+            us[keep], pdf["seq"].to_numpy()[keep], sp[keep], d[keep])])
+        if out:
+            yield pd.DataFrame(out, columns=[self.key, self.seq, "speed", "distance", "tw_time"])
+
+    def close(self) -> None:
+        pass
+
+
+def top_speed_delta_stream(df: DataFrame, key: str, ts: str, seq: str, speed: str, distance_cents: str,
+                           threshold_cents: int, evict_seconds: int) -> DataFrame:
+    types = dict(df.dtypes)
+    d = df.select(key, F.col(seq).cast("long").alias(seq), F.unix_micros(F.col(ts).cast("timestamp")).alias("tw_us"),
+                  F.col(speed).cast("double").alias("tw_sp"), F.col(distance_cents).cast("long").alias("tw_dc"))
+    out = d.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=TopSpeedProcessor(key, seq, threshold_cents, evict_seconds * 1_000_000),
+        outputStructType=f"`{key}` {types[key]}, `{seq}` long, speed double, distance double, tw_time long",
+        outputMode="Append", timeMode="None")
+    return out.select(key, F.col(seq).cast(types[seq]).alias(seq), "speed", "distance",
+                      F.timestamp_micros("tw_time").cast(types[ts]).alias("time"))
