@@ -46,3 +46,31 @@ def test_kmeans_assignment_ships_only_the_vector(spark):
     assert sorted((r.id, r.cluster_id) for r in out.collect()) == [(1, 3), (2, 7), (3, None)]
     py = [line for line in _plan(out).splitlines() if "ArrowEvalPython" in line]
     assert py and "tag" not in py[0]
+
+
+def test_sequential_queries_scan_once_and_exchange_little(spark):
+    """The final plan of a sequential query reads bucketed rows, not the
+    source again, and has few exchanges even if nothing is broadcast."""
+    import re
+    import __spark_entry__ as entry
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = [spark.conf.get(k, None) for k in names]
+    most = {"session_sum": 5, "rising_alert": 5, "top_speed_delta": 5, "running_wordcount": 4, "late_side_output": 4,
+            "jump_alert": 3, "over_rows_2_preceding": 3, "changelog_count": 4}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, bound in most.items():
+            plan = _plan(entry.queries()[name](spark, "/root/testdata/sf0.001"))
+            assert len(re.findall(r"(?<!Reused)Exchange (?:hash|range|Single)", plan)) <= bound, name
+            assert "FileScan" not in plan, name
+    finally:
+        for k, v in zip(names, old):
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_splits_scan_the_input_once(spark):
+    import __spark_entry__ as entry
+    for name in ("split_then_union", "connect_comap", "tokenize_variants"):
+        plan = _plan(entry.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert plan.count("FileScan") == 1, name

@@ -95,7 +95,7 @@ def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket:
     arms = S.chain_from_heads(nxt.select(*seg, F.col("__from").alias("n"), F.col("__j").alias("j")), heads, seg, "n", "j")
     arms = (arms.join(d.select(*own, F.col("__n").alias("n"), "__us"), [*own, "n"])
             .select(*seg, (F.col("__us") + period).alias("__x")))
-    first = S.first_at_or_after(d.select(*own, "__us", "__n"), arms, own, "__us", "__n", "__x", out="__f")
+    first = S.first_at_or_after(d.select(*own, "__us", "__n"), arms, own, "__us", "__n", "__x", out="__f").checkpoint()
     info = d.select(*own, F.col("__n").alias("__f"), F.col("__seg").alias("__fseg"),
                     F.col("__last").alias("__fprev"), F.col("__first").alias("__ffirst"))
     per_key = d.groupBy(*own).agg(F.max("__seg").alias("__maxseg"), F.max_by("__v", "__n").alias("__lastv"))
