@@ -90,18 +90,23 @@ def json_documents(spark, sf):
 
 @query
 def catalog_roundtrip(spark, sf):
-    """Database -> table in the session catalog: create a database and a
-    parquet table in it, list its tables, insert a query result, read it."""
+    """Database -> table in the session catalog: create a database and an
+    external parquet table in it, list its tables, insert a query result,
+    read it through the catalog.  Database and table are dropped again; the
+    rows are returned from the table's folder."""
     import uuid
-    db = "tidewater_catalog"
-    name = f"customer_copy_{uuid.uuid4().hex[:8]}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
-    spark.sql(f"CREATE TABLE {db}.{name} (id BIGINT, name STRING, balance DOUBLE) USING parquet "
-              f"LOCATION '{scratch_path(spark, name)}'")
-    c = _t(spark, sf, "customer")
-    spark.sql(f"INSERT INTO {db}.{name} SELECT c_custkey, c_name, c_acctbal FROM {{c}}", c=c)
-    assert spark.sql(f"SHOW TABLES IN {db}").filter(F.col("tableName") == name).count() == 1
-    return spark.table(f"{db}.{name}")
+    db = f"tidewater_{uuid.uuid4().hex[:8]}"
+    place = scratch_path(spark, "customer-copy")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    try:
+        spark.sql(f"CREATE TABLE {db}.customer_copy (id BIGINT, name STRING, balance DOUBLE) USING parquet LOCATION '{place}'")
+        c = _t(spark, sf, "customer")
+        spark.sql(f"INSERT INTO {db}.customer_copy SELECT c_custkey, c_name, c_acctbal FROM {{c}}", c=c)
+        assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect()] == ["customer_copy"]
+        schema = spark.table(f"{db}.customer_copy").schema
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+    return spark.read.schema(schema).parquet(place)
 
 
 @query

@@ -24,6 +24,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Arrow batches to Python workers: bounded by bytes, as texts may be long
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -48,7 +50,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators depend on to a session made
     elsewhere (the driver's).  Only SQL runtime settings are touched."""
-    for name in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
+    for name in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass",
+                 "spark.sql.execution.arrow.maxBytesPerBatch"):
         if spark.conf.get(name, None) != BASE_CONF[name]:
             spark.conf.set(name, BASE_CONF[name])
     ensure_checkpoint_dir(spark)
