@@ -400,11 +400,21 @@ def verified(candidates: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFra
             .filter(100 * both >= 80 * (F.size("ha") + F.size("hb") - both)).select("a", "b").distinct())
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """Links (a < b) that connect the same nodes: a node's link to its
+    smallest neighbour stays, its other smaller neighbours are linked to that
+    one instead.  Sets that share several partners keep one link each."""
+    least = links.groupBy("b").agg(F.min("a").alias("m"))
+    ends = F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b")), F.struct(F.col("m").alias("a"), F.col("a").alias("b"))))
+    return links.join(least, "b").select(ends.alias("e")).select("e.a", "e.b").filter("a < b").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, comp): the smallest node reachable, for nodes with links.  Each
-    round takes the smallest label of the neighbours, hands it to the node's
+    """(node, comp): the smallest node reachable, for nodes with links.  After
+    contracting the links twice, each round takes the smallest label of the neighbours, hands it to the node's
     own label too, and follows labels once, so paths shrink geometrically."""
-    links = written(links, "near-links")
+    for _ in range(2):
+        links = written(contracted(written(links, "near-links")), "near-links")
     edges = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-edges")
     label = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("comp")), "near-labels")
     while True:
