@@ -20,12 +20,13 @@ small to tell sets apart:
   differs in at most one shingle; each part is indexed with all its
   one-shingle deletions.
 
-*Cost-based allocation.*  A plain segment that more than ``POPULAR`` sets share
-is skipped by all of them.  A set may skip as many as its slack; one with more
-popular segments (most of a large group of near copies, or mostly boilerplate)
-is allocated one-deletion segments, twice as wide, in that band.  As a linked
-pair has ``1 + slack`` segments in common, one of them is left unless both
-sets are of the latter kind, and then both are in the second index.
+*Cost-based allocation.*  A segment that more than ``POPULAR`` sets share is
+skipped by all of them.  A set may skip as many as its slack; one with more
+popular segments (boilerplate, large groups of near copies) is allocated
+one-deletion segments, about twice as wide, in that band, with a slack of
+their own; and one that is still over it gets one-deletion segments without
+slack, of which none is skipped.  As a linked pair has ``1 + slack`` segments
+in common, one of them is left at a level unless both sets go on to the next.
 
 *Verification.*  Pairs whose parity sketches (a few bits per shingle) differ in
 more than (s + t) / 9 bits cannot link and are ruled out first; the others are
@@ -45,6 +46,8 @@ component is null.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -122,6 +125,15 @@ def parity_sketches(h: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return [raw[i // 8:j // 8] for i, j in zip(base[:-1], base[1:])]
 
 
+def parity_words(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The same with 256 bits for every set, as four int64 columns: what a
+    join condition can compare."""
+    of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    at = of * 256 + (mixed(h * np.uint64(0xC2B2AE3D27D4EB4F)) & np.uint64(255)).astype(np.int64)
+    odd = (np.bincount(at, minlength=256 * (len(bounds) - 1)) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8").reshape(-1, 4)
+
+
 def sketch_distance(a: bytes, b: bytes) -> int:
     """Bits that differ, after folding the longer string to the shorter."""
     if len(a) < len(b):
@@ -167,15 +179,21 @@ def _cost(size: int, segments: int, rows: int) -> float:
     return rows * (1 + SMALL_SEGMENT_COST * np.exp(-x) * (1 + x))
 
 
+def wide_slack(s):
+    return (s >= 32) * ((15 * (differing(s) // 2) + 99) // 100 + 1)
+
+
 PLAIN = np.array([_cost(u, plain_segments(u), plain_segments(u)) <= _cost(u, wide_segments(u), u + wide_segments(u))
                   for u in HIGH.tolist()])
 
 
-def index_rows(h: np.ndarray, bounds: np.ndarray, own: np.ndarray, wide: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def index_rows(h: np.ndarray, bounds: np.ndarray, own: np.ndarray, wide: np.ndarray | None,
+               level: int) -> tuple[np.ndarray, np.ndarray]:
     """``(set index, signature)`` of sets in their own band (``own``) or the
-    band below.  ``wide``: None for each band's scheme, else the sets that
-    get one-deletion segments, and only those rows.  A signature is 62 bits of
-    hash, whether it is of the own band, whether it is of a deletion."""
+    band below.  ``wide``: None for each band's scheme (level 1), else the
+    sets that get one-deletion segments, with slack (level 2) or without
+    (level 3).  A signature is 62 bits of hash, whether it is of the own band,
+    whether it is of a deletion."""
     n = len(bounds) - 1
     size = np.diff(bounds)
     band = np.searchsorted(LOW, size, side="right") - 1 - (~own)
@@ -187,8 +205,9 @@ def index_rows(h: np.ndarray, bounds: np.ndarray, own: np.ndarray, wide: np.ndar
     if wide is not None:
         use &= wide
     top = HIGH[band]
-    m = np.where(plain, plain_segments(top), wide_segments(top))
-    e = np.where(use, np.minimum(np.where(plain, plain_segments(size), wide_segments(size)), m), 0)
+    spare = wide_slack if level == 2 else (lambda s: 0)
+    m = np.where(plain, plain_segments(top), wide_segments(top) + spare(top))
+    e = np.where(use, np.minimum(np.where(plain, plain_segments(size), wide_segments(size) + spare(size)), m), 0)
     base = np.concatenate(([0], np.cumsum(e)))
     of = np.repeat(np.arange(n), size)
     seg = (mixed(h * np.uint64(0xD6E8FEB86659FD93)) % m[of].astype(np.uint64)).astype(np.int64)
@@ -198,8 +217,9 @@ def index_rows(h: np.ndarray, bounds: np.ndarray, own: np.ndarray, wide: np.ndar
     np.add.at(part, base[of] + seg, token)
     owner = np.repeat(np.arange(n), e)
     place = (np.arange(base[-1]) - base[owner]).astype(np.uint64)
-    # one-deletion parts live in another key space than plain ones
-    space = mixed(band[owner].astype(np.uint64) << np.uint64(40) | place << np.uint64(1) | plain[owner].astype(np.uint64))
+    # each band, level and scheme has keys of its own
+    space = mixed(band[owner].astype(np.uint64) << np.uint64(40) | place << np.uint64(3) | np.uint64(2 * level)
+                  | plain[owner].astype(np.uint64))
     flag = np.where(own, np.uint64(2), np.uint64(0)) if own.ndim else np.uint64(2)
     sign = lambda x, o: (mixed(x) & ~np.uint64(3)) | flag[o]
     rows = sign(part + space, owner)
@@ -209,12 +229,13 @@ def index_rows(h: np.ndarray, bounds: np.ndarray, own: np.ndarray, wide: np.ndar
     return np.concatenate((owner, of[d])), np.concatenate((rows, deleted)).view(np.int64)
 
 
-def signatures(h: np.ndarray, bounds: np.ndarray, wide: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def signatures(h: np.ndarray, bounds: np.ndarray, wide: np.ndarray | None = None,
+               level: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """``(offsets, values)``: the signatures of each set.  ``wide[:, 0]`` and
     ``wide[:, 1]``: sets that need one-deletion segments in the band below and
     in their own."""
     n = len(bounds) - 1
-    both = [index_rows(h, bounds, np.full(n, own), None if wide is None else wide[:, int(own)]) for own in (False, True)]
+    both = [index_rows(h, bounds, np.full(n, own), None if wide is None else wide[:, int(own)], level) for own in (False, True)]
     owner, value = (np.concatenate(x) for x in zip(*both))
     order = np.argsort(owner, kind="stable")
     return np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=n)))), value[order]
@@ -228,27 +249,33 @@ def _sets_of(batches):
 
 
 def describe_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, s1, s2, sketch): size, key and parity sketch of each
-    document's set."""
+    """(doc_id, n, s1, s2, sketch, p0..p3): size, key and parity sketches of
+    each document's set."""
     def describe(batches):
         for b, h, bounds in _sets_of(batches):
             s1, s2 = set_keys(h, bounds)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(np.diff(bounds)), pa.array(s1), pa.array(s2),
-                 pa.array(parity_sketches(h, bounds), pa.binary())], names=["doc_id", "n", "s1", "s2", "sketch"])
+                 pa.array(parity_sketches(h, bounds), pa.binary()), *[pa.array(p) for p in parity_words(h, bounds).T.copy()]],
+                names=["doc_id", "n", "s1", "s2", "sketch", "p0", "p1", "p2", "p3"])
 
-    return documents_of(docs, "doc_id", "text").mapInArrow(describe, "doc_id long, n long, s1 long, s2 long, sketch binary")
+    return documents_of(docs, "doc_id", "text").mapInArrow(
+        describe, "doc_id long, n long, s1 long, s2 long, sketch binary, p0 long, p1 long, p2 long, p3 long")
 
 
-def set_signatures(docs: DataFrame, rich: DataFrame | None = None) -> DataFrame:
-    """(node, s1, s2, sigs) of documents with an id.  ``rich`` (node, flags):
-    only these, with one-deletion segments where flagged (1: band below, 2:
-    own band)."""
-    d = documents_of(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull())
-    if rich is not None:
-        d = d.join(broadcast_if_small(rich), F.col("doc_id") == F.col("node")).select("doc_id", "text", "flags")
+def texts_of(docs: DataFrame, rich: DataFrame) -> DataFrame:
+    """(doc_id, text, flags) of the sets (node, flags)."""
+    d = documents_of(docs, "doc_id", "text")
+    return d.join(broadcast_if_small(rich), F.col("doc_id") == F.col("node")).select("doc_id", "text", "flags")
 
-    some = rich is not None
+
+def set_signatures(d: DataFrame, level: int = 1) -> DataFrame:
+    """(node, s1, s2, sigs) of documents with an id.  Above level 1 the input
+    has flags: one-deletion segments in the band below (1), the own band
+    (2)."""
+    some = level > 1
+    if not some:
+        d = documents_of(d, "doc_id", "text").filter(F.col("doc_id").isNotNull())
 
     def sign(batches):
         for b, h, bounds in _sets_of(batches):
@@ -257,7 +284,7 @@ def set_signatures(docs: DataFrame, rich: DataFrame | None = None) -> DataFrame:
             if some:
                 flags = b.column("flags").to_numpy(zero_copy_only=False)
                 wide = np.column_stack(((flags & 1) > 0, (flags & 2) > 0))
-            offsets, values = signatures(h, bounds, wide)
+            offsets, values = signatures(h, bounds, wide, level)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(s1), pa.array(s2),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))], names=["node", "s1", "s2", "sigs"])
@@ -286,38 +313,44 @@ def _bucket_rows(key, node, sig, pivot, popular):
 
 def shared_buckets(sigs: DataFrame, popular: int) -> DataFrame:
     """The rows of buckets that several sets share, with the bucket's smallest
-    whole part as pivot (buckets of deletions only are dropped).  Rows of a
-    bucket with more than ``popular`` rows, as far as plain segments go, are
-    marked popular.  The rows arrive sorted; a bucket that is open at the end
-    of a batch is carried over, at most ``popular + 1`` rows of it."""
+    whole part as pivot; buckets of deletions only are dropped, as no pair is
+    due to them.  Rows of a bucket with more than ``popular`` rows are marked
+    popular.  The rows arrive sorted, whole parts first; a bucket that is open
+    at the end of a batch is carried over, at most ``popular + 1`` rows of
+    it."""
     def scan(batches):
         node, sig = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        over = None                        # key of a bucket that is known to be popular
+        over = None                        # key of a bucket that is known to be popular (or to be dropped)
+        dropped = False
         for b in batches:
             node = np.concatenate((node, b.column("node").to_numpy(zero_copy_only=False)))
             sig = np.concatenate((sig, b.column("sig").to_numpy(zero_copy_only=False)))
-            yield from emit(node, sig, over, False)
+            yield from emit(node, sig, over, dropped, False)
             key = sig >> 2
             if len(key):
                 last = int(np.searchsorted(key, key[-1]))
                 if over is not None and key[-1] == over:
                     last = len(key)
-                elif len(key) - last > popular:
-                    yield _bucket_rows(key[last:], node[last:], sig[last:], node[last:], np.ones(len(key) - last, bool))
+                elif len(key) - last > popular or sig[last] & 1:
+                    dropped = bool(sig[last] & 1)
+                    if not dropped:
+                        yield _bucket_rows(key[last:], node[last:], sig[last:], node[last:], np.ones(len(key) - last, bool))
                     over, last = key[-1], len(key)
                 node, sig = node[last:], sig[last:]
-        yield from emit(node, sig, over, True)
+        yield from emit(node, sig, over, dropped, True)
 
-    def emit(node, sig, over, final):
+    def emit(node, sig, over, dropped, final):
         key = sig >> 2
         if not len(key):
             return
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         count = np.diff(np.append(first, len(key)))
         run = np.repeat(np.arange(len(first)), count)
-        busy = (count > popular) if over is None else (count > popular) | (key[first] == over)
-        keep = (busy | ((count > 1) & ((sig[first] & 1) == 0)))
-        if not final and (over is None or key[-1] != over):
+        whole = (sig[first] & 1) == 0
+        again = np.zeros(len(first), bool) if over is None else key[first] == over
+        busy = ((count > popular) & whole & ~again) | (again & (not dropped))
+        keep = busy | ((count > 1) & whole & ~again)
+        if not final and not again[-1]:
             keep[-1] = False               # still open
         at = keep[run]
         if at.any():
@@ -448,18 +481,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = set_signatures(docs).join(broadcast_if_small(classes.drop("n")), ["s1", "s2"], "left") \
         .filter(F.col("rep").isNull() | (F.col("rep") == F.col("node"))).select("node", "sigs")
     shared = written(shared_buckets(signed, POPULAR), "near-buckets")
-    narrow = shared.filter(~F.col("popular")).drop("popular")
-    # sets with more popular segments than they may skip
-    skipped = shared.filter("popular").groupBy("node", "own").agg(F.count("*").alias("k"))
     size = sets.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.min("n").alias("n"))
+    plain = _is_plain(F.col("n"), F.col("own"))
     least = F.ceil(F.col("n") * 4 / 5).cast("long")       # of the smallest set that could link
-    may = F.floor((F.floor(least / 4) * 15 + 99) / 100) + 1
-    band = _is_plain(F.col("n"), F.col("own"))
-    rich = (skipped.join(size, F.col("node") == F.col("id")).filter((F.col("k") > may) | ~band)
-            .groupBy("node").agg(F.sum(F.when(F.col("own"), 2).otherwise(1)).cast("int").alias("flags")))
-    rich = written(rich, "near-rich")
-    broad = written(wide_buckets(set_signatures(docs, rich).select("node", "sigs")), "near-wide").drop("popular")
-    buckets = narrow.unionByName(broad)
+    h = F.floor(least / 4)
+    rich = written(_over(shared, size, F.when(plain, F.floor((h * 15 + 99) / 100) + 1).otherwise(0)), "near-rich")
+    texts = written(texts_of(docs, rich), "near-rich-texts")
+    wide = written(shared_buckets(set_signatures(texts, 2).select("node", "sigs"), POPULAR), "near-wide")
+    spare = F.when(least >= 32, F.floor((F.floor(h / 2) * 15 + 99) / 100) + 1).otherwise(0)
+    dense = written(_over(wide, size, spare), "near-dense")
+    last = written(wide_buckets(set_signatures(texts_of(texts, dense), 3).select("node", "sigs")), "near-last")
+    buckets = reduce(DataFrame.unionByName, [x.filter(~F.col("popular")).drop("popular") for x in (shared, wide, last)])
 
     star = written(buckets.filter("pivot <> node").select(*_pairs("pivot", "node")).distinct(), "near-star")
     links = written(verified(star, sets, docs), "near-verified")
@@ -469,10 +501,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = written(buckets.join(comp.withColumnRenamed("node", "id"), F.col("node") == F.col("id"), "left")
                    .select("key", "node", "deletion", label.alias("comp")).distinct(), "near-labelled")
     mixed_keys = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-    open_rows = written(rows.join(written(mixed_keys, "near-mixed"), "key", "left_semi"), "near-open")
-    other = open_rows.select("key", F.col("node").alias("node2"), F.col("deletion").alias("deletion2"), F.col("comp").alias("comp2"))
-    rest = (open_rows.join(other, "key").filter((F.col("comp") < F.col("comp2")) & ~(F.col("deletion") & F.col("deletion2")))
-            .select(*_pairs("node", "node2")).distinct())
+    open_rows = rows.join(written(mixed_keys, "near-mixed"), "key", "left_semi")
+    facts = ["n", "p0", "p1", "p2", "p3"]
+    open_rows = written(open_rows.join(sets.select(F.col("doc_id").alias("id"), *facts), F.col("node") == F.col("id")).drop("id"),
+                        "near-open")
+    other = open_rows.withColumnsRenamed({c: f"{c}2" for c in open_rows.columns if c != "key"})
+    apart = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"p{i}2"))) for i in range(1, 4)),
+                F.bit_count(F.col("p0").bitwiseXOR(F.col("p02"))))
+    # what size and the short parity sketch rule out is never a row of the join
+    near = (F.col("comp") < F.col("comp2")) & ~(F.col("deletion") & F.col("deletion2")) & (9 * apart <= F.col("n") + F.col("n2")) \
+        & (100 * F.least("n", "n2") >= 80 * F.greatest("n", "n2"))
+    rest = open_rows.join(other, "key").filter(near).select(*_pairs("node", "node2")).distinct()
     rest = written(rest.join(star, ["a", "b"], "left_anti"), "near-rest")
     comp = components(links.unionByName(verified(rest, sets, docs)))
 
@@ -483,6 +522,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       F.when(linked, F.coalesce("comp", "node")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _over(buckets: DataFrame, size: DataFrame, may) -> DataFrame:
+    """(node, flags) of the sets with more popular parts than they ``may``
+    skip in the band below (1), in their own (2)."""
+    skipped = buckets.filter("popular").groupBy("node", "own").agg(F.count("*").alias("k"))
+    return (skipped.join(size, F.col("node") == F.col("id")).filter(F.col("k") > may)
+            .groupBy("node").agg(F.sum(F.when(F.col("own"), 2).otherwise(1)).cast("int").alias("flags")))
+
+
 def _is_plain(n, own):
     """Whether the band of a set of size n (its own, or the one below) has
     plain segments: bands up to some size are one-deletion."""
