@@ -4,6 +4,7 @@ import os
 import random
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,47 @@ def test_buckets_over_many_batches(spark):
     assert len(broad) == 3 * 29 + 2
 
 
+def test_linked_sets_share_what_the_pigeonhole_promises():
+    """Random pairs at or above the threshold: enough common parts at every
+    level, and sketches no further apart than the sets."""
+    rng = np.random.default_rng(4)
+    fresh = iter(rng.integers(1, 2 ** 63, 800_000, dtype=np.uint64))
+    linked = 0
+    for _ in range(1200):
+        s = int(rng.choice([4, 5, 6, 9, 13, 20, 31, 40, 90, 200, 600, 1500]) * rng.uniform(1, 1.5))
+        a = [next(fresh) for _ in range(s)]
+        change = int(rng.integers(0, s // 8 + 2))
+        b = a[:s - change] + [next(fresh) for _ in range(int(rng.integers(0, change + 2)))]
+        common, union = s - change, len(b) + change
+        if not b or 100 * common < 80 * union:
+            continue
+        linked += 1
+        sets = [np.sort(np.array(x, np.uint64)) for x in (a, b)]
+        h, bounds = np.concatenate(sets), np.array([0, s, s + len(b)])
+        x, y = near_join.parity_sketches(h, bounds)
+        words = near_join.parity_words(h, bounds)
+        assert near_join.sketch_distance(x, y) <= union - common
+        assert int(np.bitwise_count((words[0] ^ words[1]).view(np.uint64)).sum()) <= union - common
+        if change == 0 and len(b) == s:
+            continue
+        both = np.ones((2, 2), bool)
+        small = min(s, len(b))
+        band = int(np.searchsorted(near_join.LOW, small, side="right")) - 1
+        for level, wide in ((1, None), (2, both), (3, both)):
+            offsets, values = near_join.signatures(h, bounds, wide, level)
+            one, two = values[:offsets[1]], values[offsets[1]:]
+            plain = {int(v) >> 2 for v in one if not v & 1} & {int(v) >> 2 for v in two if not v & 1}
+            keys = ({int(v) >> 2 for v in one if not v & 1} & {int(v) >> 2 for v in two}) | (
+                {int(v) >> 2 for v in one} & {int(v) >> 2 for v in two if not v & 1})
+            if level == 1 and near_join.PLAIN[band]:
+                assert len(plain) >= 1 + near_join.slack(small)
+            elif level == 2:
+                assert len(keys) >= 1 + near_join.wide_slack(small)
+            else:
+                assert keys
+    assert linked > 400
+
+
 def test_no_rows(none):
     assert exact_dedup.exact_dedup(none).count() == 0
     assert exact_dedup.deduplicated(none).count() == 0

@@ -117,10 +117,12 @@ def worker_state(name: str, make):
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table below the shared checkpoint folder and read it back: cuts
     the lineage, survives lost executors, and later jobs read only the
-    columns they need."""
+    columns they need.  It is deleted when the application ends."""
     spark = prepare(df.sparkSession)
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
