@@ -142,9 +142,10 @@ def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, dist
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.select(key, seq, us.alias("__us"), F.col(speed).cast("double").alias("__sp"),
                      F.col(distance_cents).cast("long").alias("__dc"),
-                     F.floor(us / F.lit(width)).cast("long").alias("__block"))
+                     F.floor(us / F.lit(width)).cast("long").alias("__block"),
+                     *([] if bucket is None else [bucket.alias("__bucket")]))
     base, own, back = _null_free(base, key)
-    base, bucket = S.bucketed(base, own, ["__us", seq], bucket)
+    base, bucket = S.bucketed(base, own, ["__us", seq], None if bucket is None else F.col("__bucket"))
     # the row that wins a window: highest speed, then earliest
     row = F.struct(F.col("__sp"), (-F.col("__us")).alias("nu"), (-F.col(seq)).alias("ns"), F.col("__dc"))
     base = base.withColumn("__row", row)

@@ -260,6 +260,8 @@ def top_speed_delta(spark, sf):
     e = _t(spark, sf, "events").select(F.col("user_id").alias("car_id"), "ts", "event_id",
                                        F.col("value").alias("speed"),
                                        F.round(F.col("value") * 100).cast("long").alias("cents"))
-    d = S.running_agg(e, ["car_id"], ["ts", "event_id"], None, [("distance_cents", "cents", "sum")])
+    # one bucketing for the running distance and the operator
+    e, bucket = S.balanced_bucket(e, ["car_id"], ["ts", "event_id"])
+    d = S.running_agg(e, ["car_id"], ["ts", "event_id"], bucket, [("distance_cents", "cents", "sum")])
     return FO.top_speed_delta(d, "car_id", "ts", "event_id", "speed", "distance_cents",
-                              threshold_cents=5000, evict_seconds=10 * 3600)
+                              threshold_cents=5000, evict_seconds=10 * 3600, bucket=bucket)

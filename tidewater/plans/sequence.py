@@ -247,26 +247,24 @@ def first_at_or_after(points: DataFrame, queries: DataFrame, keys: list[str], t:
 def chain_from_heads(jump: DataFrame, heads: DataFrame, keys: list[str], node: str = "n",
                      target: str = "j") -> DataFrame:
     """Nodes reachable from ``heads`` along ``jump`` pointers (a forest of
-    linked lists, one pointer per node), by pointer doubling: ``R <- R + J(R)``
-    then ``J <- J o J``, O(log chain length) rounds of equi-joins, each
-    round checkpointed below the shared checkpoint folder."""
+    linked lists, one pointer per node), by pointer doubling.  One table holds
+    pointer and "reached"; a round joins it with itself along the pointers,
+    which marks what the reached nodes point to and doubles every pointer:
+    O(log chain length) rounds of one equi-join and one aggregate, each
+    checkpointed below the shared checkpoint folder."""
     from tidewater.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(jump.sparkSession)
-    jump = jump.select(*keys, F.col(node).alias("__n"), F.col(target).alias("__j")).checkpoint()
-    reached = heads.select(*keys, F.col(node).alias("__n")).distinct().checkpoint()
-    size = reached.count()
-    while True:
-        step = (reached.join(jump, keys + ["__n"]).filter(F.col("__j").isNotNull())
-                .select(*keys, F.col("__j").alias("__n")))
-        grown = reached.unionByName(step).distinct().checkpoint()
-        new_size = grown.count()
-        if new_size == size:
-            break
-        a = jump.alias("a")
-        b = jump.select(*keys, F.col("__n").alias("__bn"), F.col("__j").alias("__bj"))
-        jump = (a.join(b, [F.col(f"a.{k}") == b[k] for k in keys] + [F.col("a.__j") == b["__bn"]], "left")
-                .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.__n").alias("__n"),
-                        F.col("__bj").alias("__j"))
-                .checkpoint())
-        reached, size = grown, new_size
-    return reached.withColumnRenamed("__n", node)
+    marks = heads.select(*keys, F.col(node).alias("__n"), F.lit(None).cast("long").alias("__j"), F.lit(True).alias("__r"))
+    table = (jump.select(*keys, F.col(node).alias("__n"), F.col(target).cast("long").alias("__j"), F.lit(False).alias("__r"))
+             .unionByName(marks).groupBy(*keys, "__n").agg(F.max("__j").alias("__j"), F.max("__r").alias("__r")).checkpoint())
+    while not table.filter(F.col("__r") & F.col("__j").isNotNull()).isEmpty():
+        a = table.filter(F.col("__j").isNotNull()).select(*keys, F.col("__j").alias("__to"), F.col("__n").alias("__from"), "__r")
+        b = table.select(*keys, F.col("__n").alias("__to"), F.col("__j").alias("__next"))
+        pair = F.array(F.struct(F.col("__from").alias("n"), F.col("__next").alias("j"), F.lit(False).alias("r")),
+                       F.struct(F.col("__to").alias("n"), F.lit(None).cast("long").alias("j"), F.col("__r").alias("r")))
+        moved = a.join(b, [*keys, "__to"]).select(*keys, F.explode(pair).alias("p")) \
+            .select(*keys, F.col("p.n").alias("__n"), F.col("p.j").alias("__j"), F.col("p.r").alias("__r"))
+        here = table.select(*keys, "__n", F.lit(None).cast("long").alias("__j"), "__r")
+        table = (moved.unionByName(here).groupBy(*keys, "__n")
+                 .agg(F.max("__j").alias("__j"), F.max("__r").alias("__r")).checkpoint())
+    return table.filter("__r").select(*keys, F.col("__n").alias(node))
