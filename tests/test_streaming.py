@@ -8,7 +8,6 @@ from tidewater.operators import changelog as CL
 from tidewater.operators import folds as FO
 from tidewater.operators import keyed as K
 from tidewater.operators import timewindows as TW
-from tidewater.plans import sequence as S
 from tidewater.session import scratch_path
 from tidewater.sources.tables import table
 from tidewater.streaming.runner import replay_as_files, run_available_now
