@@ -147,3 +147,39 @@ def test_language_of_odd_rows(odd, none):
 def test_far_texts_are_rejected(spark, larger):
     model = language.fit(larger[0])
     assert model.predict(["жизнь прожить не поле перейти " * 200])[2].all()
+
+
+def test_short_far_texts_are_rejected_in_each_band(spark, larger):
+    model = language.fit(larger[0])
+    assert (model.floor > 0).all()
+    far = ["жизньпрожитьнеполеперейти", "漢字かな交じり文を書くのは難しい", "ηζωήείναιωραίαότανέχειήλιο"]
+    texts = [(f * 20)[a:a + n] for f in far for a in range(8) for n in (1, 2, 4, 8, 16, 32, 64, 100, 200)]
+    band, rejected = language.length_band(language.gram_counts(texts).sum(axis=1)), model.predict(texts)[2]
+    for k in range(2, 10):  # a letter that is no ASCII letter has five n-grams at least
+        # hashes of so few n-grams meet those of a language by chance
+        assert rejected[band == k].mean() >= (0.9 if k < 4 else 1), k
+    rng = random.Random(3)
+    letters = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(n)) for n in (40, 80, 160) for _ in range(100)]
+    assert model.predict(letters)[2].mean() > 0.9
+
+
+def test_short_texts_of_the_languages_are_kept(larger):
+    short = larger[0].filter(F.length("text") < 250)
+    model = language.fit(larger[0])
+    rows = language.identify(short, model).filter("held_out and lang_pred <> 'und'").collect()
+    assert len(rows) > 50 and sum(r.rejected for r in rows) <= 0.01 * len(rows)
+
+
+def test_floors_pool_neighbouring_bands():
+    band, cosine = np.array([2] * 60 + [3] * 60 + [7] * 100), np.array([0.4] * 60 + [0.2] * 60 + [0.8] * 100)
+    floor = language.floors(band, cosine) / language.FLOOR_SLACK
+    assert np.allclose(floor[[0, 2, 3, 4]], 0.2) and np.allclose(floor[[7, 8, 15]], 0.8)
+    assert np.allclose(language.floors(band[:3], cosine[:3]), 0.4 * language.FLOOR_SLACK)
+    assert not language.floors(band[:0], cosine[:0]).any()
+
+
+def test_a_row_is_not_its_own_neighbour():
+    x = np.eye(3, dtype=np.float32)[[0, 0, 1]]
+    got = language.cosine_to_others(x, np.eye(3, dtype=np.float32)[:2])
+    assert np.allclose(got, [1, 1, 0])
+    assert np.isneginf(language.cosine_to_others(x[2:], x[2:])).all()

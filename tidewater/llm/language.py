@@ -5,8 +5,11 @@ and at its edges, lower case): ``log(1 + count) * idf``, length 1.  Each
 language of the labelled sample is split into several clusters by spherical
 k-means; a text gets the language of the centroid with the largest cosine.
 A text is rejected when it has no letter, or when that cosine is below what
-the sample's texts of the same length reach (``FLOOR_QUANTILE`` of them, times
-``FLOOR_SLACK``): it is too far from every centroid.
+the sample's texts of about the same length reach (``FLOOR_QUANTILE`` of them,
+times ``FLOOR_SLACK``): it is too far from every centroid.  Lengths are bands of
+one power of two; a band with under ``FLOOR_ROWS`` rows is pooled with as many
+neighbours on both sides as give that many, so every band has a floor.  A
+sample row is measured without its own part in its centroid.
 
 The model is fitted on at most about ``TRAIN_PER_LANG`` rows per language,
 chosen by the hash of their id among the rows outside the held-out fold; every
@@ -14,7 +17,8 @@ row is then scored over its whole text.
 
 Cases: null text, or no letter: ``und`` with score 0; no labelled row to learn
 from: ``und`` for all; rows that repeat a doc_id are scored each; a null lang
-is never learned.
+is never learned; a sample of under ``FLOOR_ROWS`` rows is one pool; a language's
+only sample row says nothing about floors.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ ROUNDS = 12
 DIM = 4096
 FLOOR_QUANTILE = 0.001
 FLOOR_SLACK = 0.75
+FLOOR_ROWS = 100
+BANDS = 16
 LETTER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]")
 UNKNOWN = "und"
 
@@ -100,7 +106,33 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def length_band(n_grams: np.ndarray) -> np.ndarray:
-    return np.minimum(np.log2(np.maximum(n_grams, 1)).astype(np.int64), 15)
+    return np.minimum(np.log2(np.maximum(n_grams, 1)).astype(np.int64), BANDS - 1)
+
+
+def cosine_to_others(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The largest cosine of each row with a centroid, its own part taken out
+    of the one it belongs to; -inf if nothing else is there."""
+    cosine = x @ c.T
+    own = np.argmax(cosine, axis=1)
+    for j in range(len(c)):
+        mine = own == j
+        total = x[mine].sum(axis=0)
+        dot = x[mine] @ total
+        rest = np.sqrt(np.maximum(total @ total - 2 * dot + 1, 1e-12))
+        cosine[mine, j] = (dot - 1) / rest if mine.sum() > 1 else -np.inf
+    return cosine.max(axis=1)
+
+
+def floors(band: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+    """The floor of each length band, from the rows of the nearest bands that
+    hold ``FLOOR_ROWS`` together (or all there are)."""
+    out = np.zeros(BANDS)
+    for k in range(BANDS):
+        away = np.abs(band - k)
+        reach = next((r for r in range(BANDS) if (away <= r).sum() >= FLOOR_ROWS), BANDS)
+        if len(near := cosine[away <= reach]):
+            out[k] = np.quantile(near, FLOOR_QUANTILE) * FLOOR_SLACK
+    return out
 
 
 class Centroids:
@@ -152,7 +184,7 @@ def fit(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, centroids: int = CENTRO
     parts = sample.mapInArrow(frequencies, "n long, df array<long>").collect()
     n = sum(r.n for r in parts)
     if n == 0:
-        return Centroids(np.ones(DIM, np.float32), [], np.zeros((0, DIM), np.float32), np.zeros(16))
+        return Centroids(np.ones(DIM, np.float32), [], np.zeros((0, DIM), np.float32), np.zeros(BANDS))
     df = np.sum([r.df for r in parts], axis=0)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
@@ -163,8 +195,9 @@ def fit(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, centroids: int = CENTRO
             return pd.DataFrame({"lang": [], "centroid": [], "band": [], "cosine": []})
         x = unit(counts, idf)
         c = spherical_kmeans(x, centroids)
-        own = (x @ c.T).max(axis=1)
-        band = length_band(counts.sum(axis=1))
+        own = cosine_to_others(x, c)
+        band = length_band(counts.sum(axis=1))[np.isfinite(own)]
+        own = own[np.isfinite(own)]
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [v.astype(np.float32).tobytes() for v in c],
                              "band": [band.tolist()] + [[]] * (len(c) - 1), "cosine": [own.tolist()] + [[]] * (len(c) - 1)})
 
@@ -172,12 +205,8 @@ def fit(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, centroids: int = CENTRO
             .orderBy("lang", "centroid").collect())
     band = np.concatenate([np.asarray(r.band, np.int64) for r in rows] or [np.zeros(0, np.int64)])
     cosine = np.concatenate([np.asarray(r.cosine, np.float64) for r in rows] or [np.zeros(0)])
-    floor = np.zeros(16)
-    for k in range(16):  # a band with few rows takes the floor of all shorter ones
-        own = cosine[band == k]
-        floor[k] = np.quantile(own, FLOOR_QUANTILE) * FLOOR_SLACK if len(own) >= 100 else (floor[k - 1] if k else 0.0)
     matrix = np.stack([np.frombuffer(r.centroid, np.float32) for r in rows]) if rows else np.zeros((0, DIM), np.float32)
-    return Centroids(idf, [r.lang for r in rows], matrix, floor)
+    return Centroids(idf, [r.lang for r in rows], matrix, floors(band, cosine))
 
 
 def identify(docs: DataFrame, model: Centroids | None = None) -> DataFrame:
