@@ -12,11 +12,13 @@ last return the columns of documents.
   with the smallest id stays;
 * mix: sources are taken by their target weights; a document that is taken
   more than once is repeated, one that is not taken goes;
-* pack: length bucket, batch and place of every document row that is left.
+* pack: length bucket (in tokens), batch and place of every document row that
+  is left.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import exact_dedup, language, mixing, near_join, packing
@@ -42,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    return packing.pack_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("language", identify_language), ("exact", drop_exact_copies), ("near", drop_near_copies),

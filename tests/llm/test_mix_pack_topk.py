@@ -106,6 +106,24 @@ def test_packing(sample, odd, none, budget):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_query_and_stage_pack_by_tokens(spark, odd, none):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    import corpus_pipeline
+    from tidewater.llm.queries import QUERIES
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    sf = "/root/testdata/sf0.001"
+    unspaced = spark.createDataFrame([(i, "漢字かな交じり文" * 500) for i in range(1000, 1040)], "doc_id long, text string")
+    odd = odd.select("doc_id", "text").union(unspaced)
+    for docs, packed in ((spark.read.parquet(f"{sf}/documents.parquet"), QUERIES["op7_packing"](spark, sf)),
+                         (odd, corpus_pipeline.pack(spark, odd, sf))):
+        rows = packed.collect()
+        tokens = sorted((plain.id_key(r.doc_id), len(lib.encode(r.text or "", add_special_tokens=False).ids)) for r in docs.collect())
+        assert sorted((plain.id_key(r.doc_id), r.length) for r in rows) == tokens
+        check_packs(rows, packing.TOKEN_BUDGET, packing.BUCKETS)
+    assert corpus_pipeline.pack(spark, none, sf).count() == 0
+
+
 def test_grid(spark):
     d = spark.range(0, 5000).union(spark.createDataFrame([(10 ** 6 + i,) for i in range(50)] + [(2 ** 31,)], "id long"))
     for r in d.select("id", packing.grid(F.col("id")).alias("g")).collect():

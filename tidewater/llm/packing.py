@@ -8,12 +8,15 @@ bounds, among the grid points in use, with the least total padding.  Inside a
 bucket a batch holds as many sequences as fit the token budget when each is
 padded to the bucket's bound (at least one).
 
+``pack_tokens`` measures a text by its tokens (:mod:`token_counts`), the unit
+of the budget; ``pack_documents`` by its words.
+
 A document's place in its bucket is the number of documents of lower shards
 plus its row number in its own (bucket, shard), so a bucket with a third of
 all rows is numbered by as many tasks as there are shards, and only the last
 batch of each bucket is not full.
 
-Cases: documents without words have length 0 and sit in the first bucket;
+Cases: documents without tokens (words) have length 0 and sit in the first bucket;
 repeated rows are packed once each; ties are numbered by doc_id (null last)
 and then by length.
 """
@@ -25,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewater.llm.common import documents_of, word_counts, written
+from tidewater.llm.token_counts import token_counts
 
 BUCKETS = 16
 TOKEN_BUDGET = 65536
@@ -110,3 +114,8 @@ def pack(sized: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, s
 
 def pack_documents(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET) -> DataFrame:
     return pack(lengths(docs), buckets, budget)
+
+
+def pack_tokens(docs: DataFrame, path: str, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET) -> DataFrame:
+    """:func:`pack` by the tokens of the tokenizer file ``path``."""
+    return pack(token_counts(docs, path).withColumnRenamed("n_tokens", "length"), buckets, budget)

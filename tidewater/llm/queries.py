@@ -27,7 +27,7 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @query
 def op7_packing(spark, sf):
-    return packing.pack_documents(_t(spark, sf, "documents"))
+    return packing.pack_tokens(_t(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @query
