@@ -124,6 +124,14 @@ def test_query_and_stage_pack_by_tokens(spark, odd, none):
     assert corpus_pipeline.pack(spark, none, sf).count() == 0
 
 
+def test_bounds_are_lengths_of_documents(spark):
+    rng = np.random.default_rng(4)
+    sized = [1, 5, 700, 1025, 1027, 4099, 4111, 65537, *rng.integers(1025, 10 ** 6, 40).tolist()]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(sized)), "doc_id long, length long"), buckets=4).collect()
+    check_packs(rows, packing.TOKEN_BUDGET, 4)
+    assert {r.bucket_len for r in rows} <= set(sized) and max(r.bucket_len for r in rows) == max(sized)
+
+
 def test_grid(spark):
     d = spark.range(0, 5000).union(spark.createDataFrame([(10 ** 6 + i,) for i in range(50)] + [(2 ** 31,)], "id long"))
     for r in d.select("id", packing.grid(F.col("id")).alias("g")).collect():

@@ -3,8 +3,9 @@
 The lengths of all documents are counted on a grid (every length up to
 ``2 * FINE``, above that steps that keep ``FINE`` values per power of two, so
 the grid has at most ``FINE * 33`` points however many documents there are).
-Dynamic programming over that histogram chooses at most ``buckets`` upper
-bounds, among the grid points in use, with the least total padding.  Inside a
+A cell's candidate bound is the longest length in it.  Dynamic programming over
+that histogram chooses at most ``buckets`` upper bounds, among these, with the
+least total padding; a cut inside a cell, under 0.2 % wide, is not tried.  Inside a
 bucket a batch holds as many sequences as fit the token budget when each is
 padded to the bucket's bound (at least one).
 
@@ -46,9 +47,9 @@ def grid(length) -> Column:
 
 
 def best_bounds(values: np.ndarray, counts: np.ndarray, totals: np.ndarray, buckets: int) -> list[int]:
-    """Upper bounds that minimise sum(bound - length).  ``values``: distinct
-    grid points ascending, with the number and the total length of their
-    documents.  cost(i, j) of points i..j-1 under bound values[j-1] is
+    """Upper bounds that minimise sum(bound - length).  ``values``: the longest
+    length of each grid cell ascending, with the number and the total length of
+    its documents.  cost(i, j) of points i..j-1 under bound values[j-1] is
     values[j-1] * documents - length, from prefix sums."""
     n = len(values)
     if n == 0:
@@ -90,9 +91,10 @@ def pack(sized: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, s
     """(doc_id, length, bucket, bucket_len, padding, batch, slot) for rows
     (doc_id, length)."""
     sized = written(sized.select("doc_id", "length"), "pack-lengths")
-    hist = (sized.groupBy(grid(F.col("length")).alias("g")).agg(F.count("*").alias("n"), F.sum("length").alias("t"))
+    hist = (sized.groupBy(grid(F.col("length")).alias("g"))
+            .agg(F.max("length").alias("top"), F.count("*").alias("n"), F.sum("length").alias("t"))
             .orderBy("g").collect())  # at most FINE * 33 rows
-    bounds = best_bounds(np.array([r.g for r in hist], np.float64), np.array([r.n for r in hist]),
+    bounds = best_bounds(np.array([r.top for r in hist], np.float64), np.array([r.n for r in hist]),
                          np.array([r.t for r in hist]), buckets)
     bucket, upper = F.lit(len(bounds) - 1), F.lit(bounds[-1] if bounds else 0)
     for i in reversed(range(len(bounds) - 1)):
