@@ -7,7 +7,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, language, mixing, near_join, packing, pii, quality, token_counts, token_ids, topk
+from tidewater.llm import (alignment, exact_dedup, language, mixing, near_join, packing, pii, quality, simhash, spelling,
+                           token_counts, token_ids, topk)
 from tidewater.session import prepare
 from tidewater.sources.tables import table
 
@@ -103,3 +104,19 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @query
 def op4_near_join(spark, sf):
     return near_join.near_duplicates(_t(spark, sf, "documents"))
+
+
+@query
+def op11_spelling(spark, sf):
+    return spelling.spelling_variants(_t(spark, sf, "documents"))
+
+
+@query
+def op12_alignment(spark, sf):
+    return alignment.align_tokenizers(_t(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                      public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_simhash(spark, sf):
+    return simhash.simhash_components(_t(spark, sf, "documents"))
