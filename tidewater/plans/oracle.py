@@ -385,3 +385,38 @@ SELECT id, lag(temperature) OVER w AS previous, CAST(1 AS INTEGER) AS list_size,
        row_number() OVER w > 1 AS had_marker,
        max(temperature) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_max
 FROM {SENSOR} s WINDOW w AS (PARTITION BY id ORDER BY ts, event_id)"""
+
+# y = 3 * y + cents modulo a prime, as a sum with powers of 3 and its inverse
+ORACLE["running_reduce_any"] = f"""
+WITH RECURSIVE r AS (
+  SELECT event_id, id, CAST(round(temperature * 100) AS BIGINT) AS c,
+         row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS n FROM {SENSOR}),
+p AS (
+  SELECT CAST(1 AS BIGINT) AS n, CAST(3 AS BIGINT) AS up, CAST(666669 AS BIGINT) AS down
+  UNION ALL
+  SELECT n + 1, up * 3 % 1000003, down * 666669 % 1000003 FROM p WHERE n < (SELECT max(n) FROM r)),
+s AS (
+  SELECT event_id, id, up, sum(c % 1000003 * down % 1000003) OVER (PARTITION BY id ORDER BY r.n) AS t
+  FROM r JOIN p ON r.n = p.n)
+SELECT event_id, id, CAST(t % 1000003 * up % 1000003 AS BIGINT) AS state FROM s
+"""
+
+ORACLE["udaf_accumulate"] = """
+SELECT event_type, count(value) AS n, round(sum(CAST(round(value * 100) AS BIGINT)) / count(value) / 100, 6) AS mean,
+       (max(CAST(round(value * 100) AS BIGINT)) - min(CAST(round(value * 100) AS BIGINT))) / 100 AS spread
+FROM events GROUP BY event_type
+"""
+
+ORACLE["sql_udaf_merge"] = f"""
+SELECT id, count(temperature) AS n, round(sum(CAST(round(temperature * 100) AS BIGINT)) / count(temperature) / 100, 6) AS mean,
+       (max(CAST(round(temperature * 100) AS BIGINT)) - min(CAST(round(temperature * 100) AS BIGINT))) / 100 AS spread
+FROM {SENSOR} GROUP BY id
+"""
+
+ORACLE["table_agg_heavy_bins"] = """
+SELECT event_type, bin, cnt FROM (
+  SELECT event_type, bin, cnt, sum(cnt) OVER (PARTITION BY event_type) AS total FROM (
+    SELECT event_type, CAST(floor(value / 10) AS BIGINT) AS bin, count(*) AS cnt
+    FROM events WHERE value IS NOT NULL GROUP BY ALL))
+WHERE 100 * cnt >= 5 * total
+"""

@@ -41,6 +41,24 @@ def time_bucket(col: str | Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write the columns as Parquet below the shared
+    checkpoint folder and read them back, so that later steps read only what
+    they need and a lost executor costs one step.  Columns that cannot be null
+    stay so.  The folder is deleted when the application ends."""
+    from tidewater.session import prepare, scratch_path
+    spark = prepare(df.sparkSession)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    cols = []
+    for f in df.schema.fields:
+        zero = None if f.nullable else _zero(f.dataType)
+        cols.append(F.col(f"`{f.name}`") if zero is None else F.coalesce(F.col(f"`{f.name}`"), zero).alias(f.name))
+    return spark.read.schema(df.schema).parquet(path).select(*cols)
+
+
 def balanced_bucket(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None,
                     name: str = "_rbkt") -> tuple[DataFrame, Column]:
     """Buckets that are balanced whatever the key or time distribution:
