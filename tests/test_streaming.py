@@ -119,7 +119,8 @@ def test_late_side_output_stream(spark):
     df = _late_rows(spark)
     src = as_stream(spark, df, 5)
     on_time, late, state = (scratch_path(spark, n) for n in ("ontime", "late", "lstate"))
-    q = split_late_stream(src, "ts", 15, 3, 60, on_time, late, state, scratch_path(spark, "ckpt"))
+    q = split_late_stream(src, "ts", 15, 3, 60, on_time, late, state, scratch_path(spark, "ckpt"),
+                          arrival_order=["event_id"])
     q.awaitTermination()
     assert [r.event_id for r in spark.read.parquet(late).collect()] == [5]
     assert spark.read.parquet(on_time).count() == 4
@@ -134,7 +135,7 @@ def test_allowed_lateness_updates_stream(spark):
     df = _late_rows(spark)
     on_time, late, state = (scratch_path(spark, n) for n in ("ontime", "late", "lstate"))
     split_late_stream(as_stream(spark, df, 5), "ts", 15, 3, 60, on_time, late, state,
-                      scratch_path(spark, "ckpt")).awaitTermination()
+                      scratch_path(spark, "ckpt"), arrival_order=["event_id"]).awaitTermination()
     agg = TW.tumble(spark.read.parquet(on_time), ["id"], "ts", "15 seconds", [F.min("temperature").alias("m")])
     assert sorted((int(r.window_start.timestamp()), r.m) for r in agg.collect()) == [(0, 4.0), (15, 6.0), (90, 7.0)]
 
@@ -225,21 +226,6 @@ def test_sliding_sum_stream_equals_batch(spark, readings):
     assert rnd(got) == rnd(batch) and got.count() > 0
 
 
-def test_late_updates_are_emitted_again(spark):
-    """A window comes out when its first rows arrive and again, with the new
-    result, when late but allowed rows change it; too late rows do not."""
-    from tidewater.operators.late import late_updates_stream
-    out, late, state = (scratch_path(spark, n) for n in ("updates", "late", "lstate"))
-    late_updates_stream(as_stream(spark, _late_rows(spark), 5), ["id"], "ts", 15, 3, 60,
-                        [F.min("temperature").alias("m"), F.count("*").alias("c")],
-                        [F.min("m").alias("m"), F.sum("c").alias("c")], out, late, state,
-                        scratch_path(spark, "ckpt")).awaitTermination()
-    got = sorted((r.batch_id, int(r.window_start.timestamp()), r.m, r.c) for r in spark.read.parquet(out).collect())
-    # the third row is late for its window and changes it; the fifth is too late
-    assert [g[1:] for g in got] == [(0, 5.0, 1), (15, 6.0, 1), (0, 4.0, 2), (90, 7.0, 1)]
-    assert [r.event_id for r in spark.read.parquet(late).collect()] == [5]
-
-
 def test_processing_time_window_on_arrival(spark):
     df = TW.on_arrival(spark.range(0, 10).withColumn("word", F.lit("a")))
     r = TW.tumble(df, ["word"], "arrival", "1 day", [F.count(F.lit(1)).alias("cnt")]).collect()

@@ -420,3 +420,16 @@ SELECT event_type, bin, cnt FROM (
     FROM events WHERE value IS NOT NULL GROUP BY ALL))
 WHERE 100 * cnt >= 5 * total
 """
+
+# punctuated watermarks: the largest mark of the rows that arrived before
+_MARKED = """
+WITH e AS (SELECT event_id, user_id, value, CASE WHEN event_id % 7 = 3 THEN ts - INTERVAL 5 HOUR ELSE ts END AS ts FROM events),
+m AS (SELECT *, CASE WHEN event_id % 20 = 0 THEN ts END AS mark, time_bucket(INTERVAL '1 hour', ts) AS window_start FROM e),
+b AS (SELECT *, max(mark) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM m),
+l AS (SELECT *, coalesce(window_start + INTERVAL 1 HOUR <= before, false) AS late FROM b)"""
+ORACLE["punctuated_windows"] = _MARKED + """,
+w AS (SELECT user_id, window_start, min(value) AS low, count(*) AS cnt FROM l WHERE NOT late GROUP BY ALL),
+c AS (SELECT s.window_start, min(m.event_id) AS closed_by FROM (SELECT DISTINCT window_start FROM w) s
+      JOIN m ON m.mark >= s.window_start + INTERVAL 1 HOUR GROUP BY ALL)
+SELECT user_id, window_start, low, cnt, closed_by FROM w JOIN c USING (window_start)"""
+ORACLE["punctuated_late_rows"] = _MARKED + " SELECT event_id, user_id, value, ts FROM l WHERE late"

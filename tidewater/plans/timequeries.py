@@ -139,3 +139,27 @@ def late_updates(spark, sf):
     return (TW.tumble(on_time, ["user_id"], "ts", "15 minutes",
                       [F.min("value").alias("min_temp"), F.count(F.lit(1)).alias("cnt")])
             .drop("window_end"))
+
+
+def _marked_arrivals(spark, sf):
+    """Events in the order of their number, every seventh with an event time
+    five hours back; every 20th carries its time as watermark."""
+    e = _t(spark, sf, "events").select(
+        "event_id", "user_id", "value",
+        F.when(F.col("event_id") % 7 == 3, F.col("ts") - F.expr("INTERVAL 5 HOURS")).otherwise(F.col("ts")).alias("ts"))
+    return e, F.when(F.col("event_id") % 20 == 0, F.col("ts"))
+
+
+@query
+def punctuated_windows(spark, sf):
+    e, marker = _marked_arrivals(spark, sf)
+    closed, _ = L.punctuated_windows(e, ["user_id"], "ts", "event_id", marker, 3600,
+                                     [F.min("value").alias("low"), F.count("*").alias("cnt")])
+    return closed
+
+
+@query
+def punctuated_late_rows(spark, sf):
+    e, marker = _marked_arrivals(spark, sf)
+    _, late = L.punctuated_windows(e, ["user_id"], "ts", "event_id", marker, 3600, [F.count("*").alias("cnt")])
+    return late
