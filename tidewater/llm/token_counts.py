@@ -11,6 +11,11 @@ The table comes from a sample of about ``SAMPLE_DOCS`` documents chosen by
 the hash of their id.  It only decides what is looked up and what is encoded
 once per worker; the counts do not depend on it.
 
+A worker has one :class:`PieceLengths` per tokenizer file, whichever calls use
+it; its cache is emptied when another call begins and when it is full.  New
+pre-tokens of a space and letters are encoded as one text, which costs the
+library less, and cut by the bytes of their tokens.
+
 Texts that hold the text of an added token (``<|endoftext|>``) or rare
 characters (``AGREED``) are encoded whole by the library, as are all texts if
 the tokenizer is not a plain byte-level one.  Null and empty texts have 0 tokens; repeated rows are counted
@@ -21,8 +26,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
@@ -32,7 +39,14 @@ from tidewater.llm.common import documents_of, worker_state
 LIMIT = 1024
 TABLE = 1 << 16
 SAMPLE_DOCS = 4096
-CACHE = 800_000
+CACHE = 600_000                   # pre-tokens, about 80 MB
+# The classes of PATTERN for texts of these characters only,
+# which the faster module splits.
+LETTER, NUMBER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+PLAIN = re.compile("[\\t\\n\\r -~\u00a1-\u024f]*")
+PLAIN_PIECES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^\s{LETTER}{NUMBER}]+|\s+(?!\S)|\s+")
+WORD = re.compile(f" [{LETTER}]+")
+BLOCK = 1000                      # pre-tokens encoded as one text
 # Characters whose Unicode class (letter, number, space, other) is the same in
 # the library and in the regex module; texts with others, which newer Unicode
 # versions assign, are encoded whole.
@@ -45,7 +59,7 @@ BATCH = 256                       # texts split before their new pre-tokens are
 class PieceLengths:
     """Splits texts into pre-tokens and knows their lengths."""
 
-    def __init__(self, path: str, frequent: dict[str, int] | None = None):
+    def __init__(self, path: str):
         import regex
         from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
@@ -57,20 +71,48 @@ class PieceLengths:
                          and not pre.get("add_prefix_space"))
         self.agreed = regex.compile(f"[{AGREED}]*").fullmatch
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.split = regex.compile(PATTERN).findall
-        self.frequent = frequent or {}
-        self.cache = dict(self.frequent)
+        self.pattern = regex.compile(PATTERN).findall
+        # a byte-level token has one character per byte
+        self.bytes = np.zeros(self.lib.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, i in self.lib.get_vocab(with_added_tokens=True).items():
+            self.bytes[i] = len(token)
+        self.call, self.frequent, self.cache = None, {}, {}
+
+    def begin(self, call: str, frequent: dict[str, int]) -> None:
+        """Empty the cache if another call used it."""
+        if call != self.call:
+            self.call, self.frequent, self.cache = call, frequent, dict(frequent)
+
+    def split(self, text: str) -> list[str]:
+        return PLAIN_PIECES.findall(text) if PLAIN.fullmatch(text) else self.pattern(text)
 
     def encode_lengths(self, texts: list[str]) -> list[int]:
         return [len(e.ids) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def piece_lengths(self, pieces: list[str]) -> dict[str, int]:
+        """Lengths of pre-tokens: those of a space and letters stay apart in
+        one text."""
+        words, rest = [], []
+        for p in pieces:
+            (words if WORD.fullmatch(p) else rest).append(p)
+        out = dict(zip(rest, self.encode_lengths(rest)))
+        for at in range(0, len(words), BLOCK):
+            block = words[at:at + BLOCK]
+            (e,) = self.lib.encode_batch_fast(["".join(block)], add_special_tokens=False)
+            end = np.cumsum(self.bytes[e.ids])
+            cut = np.cumsum([len(w.encode()) for w in block])
+            out.update(zip(block, np.diff(np.searchsorted(end, cut, side="right"), prepend=0).tolist()))
+        return out
+
     def counts(self, texts: list[str]) -> list[int]:
-        whole = [not (self.by_piece and self.agreed(t)) or any(s in t for s in self.special) for t in texts]
-        pieces = [[] if w else self.split(t) for t, w in zip(texts, whole)]
+        plain = [self.by_piece and PLAIN.fullmatch(t) is not None for t in texts]
+        whole = [not (p or self.by_piece and self.agreed(t)) or any(s in t for s in self.special)
+                 for t, p in zip(texts, plain)]
+        pieces = [[] if w else PLAIN_PIECES.findall(t) if p else self.pattern(t) for t, p, w in zip(texts, plain, whole)]
         if len(self.cache) > CACHE:
             self.cache = dict(self.frequent)
         if new := list(set().union(*pieces).difference(self.cache)):
-            self.cache.update(zip(new, self.encode_lengths(new)))
+            self.cache.update(self.piece_lengths(new))
         length = self.cache.__getitem__
         out = [sum(map(length, p)) for p in pieces]
         for i, w in enumerate(whole):
@@ -105,10 +147,11 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, table: int = TA
                  sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every row."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_pieces(docs, path, table, sample_docs))
-    name = f"piece-lengths:{os.urandom(8).hex()}"  # one cache per call
+    call = os.urandom(8).hex()
 
     def count(batches):
-        pieces = worker_state(name, lambda: PieceLengths(path, frequent.value))
+        pieces = worker_state(f"pieces:{path}", lambda: PieceLengths(path))
+        pieces.begin(call, frequent.value)
         for b in batches:
             text = pc.fill_null(b.column("text"), "")
             for at in range(0, b.num_rows, BATCH):
