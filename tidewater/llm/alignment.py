@@ -44,7 +44,7 @@ from tidewater.llm.token_counts import AGREED
 
 FREQUENT = 500_000
 BATCH = 256                       # texts cut before their new segments are encoded
-KEPT = 12_000_000                 # characters of segments that a worker keeps
+KEPT = 5_000_000                  # characters of segments that a worker keeps
 BLOCK = 50_000                    # characters of new segments encoded as one text
 
 
