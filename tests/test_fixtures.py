@@ -581,7 +581,7 @@ def test_as_of_join_broadcast_and_merged(spark):
     times = [50, 51, 200, 203, 400]
     want = sorted((i, max((float(t) for t in times if t <= (i * 37) % 500), default=None)) for i in range(400))
     for broadcast in (True, False, None):
-        got = asof_backward(data, "ts", models, "mts", 60, broadcast=broadcast)
+        got = asof_backward(data, "ts", models, "mts", broadcast=broadcast)
         assert sorted((r.id, r.p) for r in got.collect() if r.id != 999) == want
         assert got.filter("id = 999").first().p is None
 

@@ -2,11 +2,11 @@
 alert and the delta-triggered global window with a time evictor.
 
 Both follow a chain per key (the timer that is armed next, the row that fires
-next).  The pointer of every possible chain member is found by a running
-minimum over balanced buckets (``sequence.first_at_or_after``), the chain from
-the key's head by pointer doubling (``sequence.chain_from_heads``).  There is
-one plan whatever the size of a key, and no key is ever one task.  A null key
-is a key like any other.
+next): the next member is the first one whose time or distance is a fixed
+width higher.  ``sequence.chain_reached`` follows it inside balanced ranges
+and from one range's exit to the next one's entry.  There is one plan whatever
+the size of a key, and the rows of a key are never in one task.  A null key is
+a key like any other.
 """
 
 from __future__ import annotations
@@ -84,18 +84,16 @@ def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket:
     last = F.when(F.col("__i") == 1, F.col("__pv")).otherwise(F.col("__prev"))
     d = d.join(edge, part).select(*own, "__us", "__v", last.alias("__last"), (F.col("__n0") + F.col("__i")).alias("__n"),
                                   (F.col("__s0") + F.col("__falls")).alias("__seg"))
-    d = d.withColumn("__first", (F.col("__v") < F.col("__last")) | (F.col("__n") == 1)).checkpoint()
+    d = d.withColumn("__first", (F.col("__v") < F.col("__last")) | (F.col("__n") == 1))
+    d = S.written(d, "rising")
 
     seg = [*own, "__seg"]
     rises = d.filter(F.col("__v") > F.col("__last"))
-    nxt = S.first_at_or_after(rises.select(*seg, "__us", "__n"),
-                              rises.select(*seg, (F.col("__us") + period).alias("__x"), F.col("__n").alias("__from")),
-                              seg, "__us", "__n", "__x", out="__j")
-    heads = rises.groupBy(*seg).agg(F.min("__n").alias("n"))
-    arms = S.chain_from_heads(nxt.select(*seg, F.col("__from").alias("n"), F.col("__j").alias("j")), heads, seg, "n", "j")
-    arms = (arms.join(d.select(*own, F.col("__n").alias("n"), "__us"), [*own, "n"])
+    arms = S.chain_reached(rises, seg, "__us", "__n", seconds * 1_000_000) if seconds > 0 else rises.select(*seg, "__n")
+    arms = (arms.join(d.select(*own, "__n", "__us"), [*own, "__n"])
             .select(*seg, (F.col("__us") + period).alias("__x")))
-    first = S.first_at_or_after(d.select(*own, "__us", "__n"), arms, own, "__us", "__n", "__x", out="__f").checkpoint()
+    first = S.first_at_or_after(d.select(*own, "__us", "__n"), arms, own, "__us", "__n", "__x", out="__f")
+    first = S.written(first, "alerts")
     info = d.select(*own, F.col("__n").alias("__f"), F.col("__seg").alias("__fseg"),
                     F.col("__last").alias("__fprev"), F.col("__first").alias("__ffirst"))
     per_key = d.groupBy(*own).agg(F.max("__seg").alias("__maxseg"), F.max_by("__v", "__n").alias("__lastv"))
@@ -151,17 +149,15 @@ def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, dist
     base = base.withColumn("__row", row)
     rows = S.running_agg(base.withColumn("__bucket", bucket), own, ["__us", seq], F.col("__bucket"), [("__n", F.lit(1), "count"), ("__D", "__dc", "max")])
     # time blocks follow the same order, so the same buckets serve them
-    rows = S.running_agg(rows, [*own, "__block"], ["__us", seq], F.col("__bucket"), [("__pre", "__row", "max")]).checkpoint()
+    rows = S.running_agg(rows, [*own, "__block"], ["__us", seq], F.col("__bucket"), [("__pre", "__row", "max")])
+    rows = S.written(rows, "speeds")
 
     nodes = rows.filter(F.col("__D").isNotNull()).groupBy(*own, "__D").agg(F.min("__n").alias("__n"))
-    jump = S.first_at_or_after(nodes, nodes.select(*own, (F.col("__D") + F.lit(threshold_cents + 1)).alias("__x"),
-                                                   F.col("__n").alias("n")), own, "__D", "__n", "__x", out="j")
-    heads = nodes.groupBy(*own).agg(F.min("__n").alias("n"))
-    reached = S.chain_from_heads(jump.select(*own, "n", "j"), heads, own, "n", "j")
-    fires = reached.join(heads.withColumn("__head", F.lit(True)), [*own, "n"], "left").filter(F.col("__head").isNull())
-
-    fired = (rows.join(fires.select(*own, F.col("n").alias("__n")), [*own, "__n"])
-             .select(*own, "__n", "__us", "__block", "__pre").checkpoint())
+    heads = nodes.groupBy(*own).agg(F.min("__n").alias("__n0"))
+    fires = (S.chain_reached(nodes, own, "__D", "__n", threshold_cents + 1)
+             .join(heads, own).filter(F.col("__n") != F.col("__n0")).drop("__n0"))
+
+    fired = S.written(rows.join(fires, [*own, "__n"]).select(*own, "__n", "__us", "__block", "__pre"), "fired")
     # maxima of the block before, from its end back to the window's start (exclusive)
     ask = fired.select(*own, (F.col("__block") - 1).alias("__block"), (F.col("__us") - width).alias("__us"),
                        F.lit(0).alias("__kind"), F.col("__n").alias("__o"))

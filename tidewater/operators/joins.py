@@ -12,44 +12,39 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewater.plans import sequence as S
 from tidewater.plans.broadcast import fits_broadcast
-from tidewater.session import ensure_checkpoint_dir
 from tidewater.sinks.versions import commit, newest_before
 
 
-def asof_backward(data: DataFrame, ts: str, right: DataFrame, right_ts: str, bucket_seconds: int,
-                  broadcast: bool | None = None) -> DataFrame:
+def asof_backward(data: DataFrame, ts: str, right: DataFrame, right_ts: str, broadcast: bool | None = None) -> DataFrame:
     """Pair each data row with the latest ``right`` row whose ``right_ts`` is
     at or before the row's ``ts`` (left outer: no earlier right row => NULLs).
     ``right_ts`` must be unique.
 
     ``right`` is usually a small, slowly changing table (models).  If it fits
-    a broadcast, each of its rows gets its validity interval ``[right_ts,
-    next right_ts)``, cut into time buckets, and the join is a broadcast
-    equi-join on the bucket plus a range filter.  Otherwise both sides become
-    one sequence in time order and the latest right row is a running maximum
-    over balanced buckets: no time range, however busy, is one task.
-    ``broadcast`` forces one of the two; they give the same rows.
+    a broadcast, its sorted times are an index that gives each data row the
+    number of its right row (a binary search over one column), and the join is
+    a broadcast equi-join on that number; whatever lies between two right rows
+    costs nothing.  Otherwise both sides become one sequence in time order and
+    the latest right row is a running maximum over balanced buckets: no time
+    range, however busy, is one task.  ``broadcast`` forces one of the two;
+    they give the same rows.
     """
-    ensure_checkpoint_dir(right.sparkSession)
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    r = right.withColumn("__from", us(right_ts)).filter(F.col("__from").isNotNull()).checkpoint()
+    r = S.written(right.withColumn("__from", us(right_ts)).filter(F.col("__from").isNotNull()), "asof-right")
     if not (fits_broadcast(r) if broadcast is None else broadcast):
         return _asof_merged(data, ts, r, us)
-    bw = bucket_seconds * 1_000_000
-    # the end of each interval is the next start; the right side is small here
-    nxt = F.lead("__from").over(Window.partitionBy(F.lit(0)).orderBy("__from"))
-    r = r.withColumn("__to", F.coalesce(nxt, F.lit(2 ** 63 - 1)))
-    last_from = r.agg(F.max("__from")).first()[0]
-    last_bucket = (last_from // bw) if last_from is not None else 0
-    # closed intervals cover their buckets; the open last one only its first
-    # bucket, and data rows after it are clamped into that bucket
-    end_bucket = F.least(F.floor((F.col("__to") - 1) / F.lit(bw)), F.lit(last_bucket)).cast("long")
-    r = r.withColumn("__b", F.explode(F.sequence(F.floor(F.col("__from") / F.lit(bw)).cast("long"), end_bucket)))
-    d = (data.withColumn("__dus", us(ts))
-         .withColumn("__db", F.least(F.floor(F.col("__dus") / F.lit(bw)), F.lit(last_bucket)).cast("long")))
-    r = F.broadcast(r)
-    cond = (d["__db"] == r["__b"]) & (d["__dus"] >= r["__from"]) & (d["__dus"] < r["__to"])
-    return d.join(r, cond, "left").drop("__dus", "__db", "__from", "__to", "__b")
+    starts = r.select("__from").orderBy("__from").toPandas()["__from"].to_numpy("int64")  # the bound of fits_broadcast
+    index = data.sparkSession.sparkContext.broadcast(starts)
+
+    @F.pandas_udf("long")
+    def latest(t: pd.Series) -> pd.Series:
+        at = index.value.searchsorted(t.fillna(0).to_numpy("int64"), side="right") - 1
+        return pd.Series(at).where(t.notna().to_numpy() & (at >= 0))
+
+    number = pd.DataFrame({"__from": starts, "__i": range(len(starts))})
+    r = r.join(F.broadcast(data.sparkSession.createDataFrame(number, "__from long, __i long")), "__from").drop("__from")
+    d = data.withColumn("__di", latest(us(ts)))
+    return d.join(F.broadcast(r), F.col("__di") == F.col("__i"), "left").drop("__di", "__i")
 
 
 def _asof_merged(data: DataFrame, ts: str, r: DataFrame, us) -> DataFrame:
@@ -143,7 +138,7 @@ def key_mod_label(k) -> str:
 
 def latest_model_predict_stream(stream: DataFrame, id_col: str, ts: str, value: str, window_seconds: int,
                                 out_path: str, model_path: str, checkpoint: str,
-                                trigger: dict | None = None):
+                                trigger: dict | None = None, retention_seconds: int | None = None):
     """Streaming latest-model enrichment.  The model of a tumbling window is
     the mean of ``value`` over it, available from the window's end; every
     row is paired with the newest available model.
@@ -153,9 +148,15 @@ def latest_model_predict_stream(stream: DataFrame, id_col: str, ts: str, value:
     ``batch_id``), then the batch's rows are as-of joined against it.  With
     in-order input a window is complete before any row at or after its end
     arrives, so predictions equal the batch result.  Outputs and model
-    versions are keyed by ``batch_id``, so a replayed batch rewrites them."""
+    versions are keyed by ``batch_id``, so a replayed batch rewrites them.
+
+    The model table is bounded: it keeps the windows that end within
+    ``retention_seconds`` (default: one window) of the newest event time, and
+    the newest model before those, which is what rows up to that late need.
+    Rows that come later still may miss their model."""
     spark = stream.sparkSession
     w_us = window_seconds * 1_000_000
+    keep_us = w_us if retention_seconds is None else retention_seconds * 1_000_000
 
     def step(batch: DataFrame, batch_id: int) -> None:
         us = F.unix_micros(F.col(ts).cast("timestamp"))
@@ -164,15 +165,20 @@ def latest_model_predict_stream(stream: DataFrame, id_col: str, ts: str, value:
         prev = newest_before(spark, model_path, batch_id)
         merged = part if prev is None else (spark.read.parquet(prev).unionByName(part).groupBy("w_us")
                                             .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
-        merged = merged.checkpoint()
+        merged = S.written(merged, "models")
         models = (merged.select(F.timestamp_micros(F.col("w_us") + F.lit(w_us)).cast(dict(batch.dtypes)[ts])
                                 .alias("model_ts"),
                                 F.round(F.col("s") / F.col("n"), 6).alias("prediction")))
-        pred = asof_backward(batch.select(id_col, ts), ts, models, "model_ts", window_seconds)
+        pred = asof_backward(batch.select(id_col, ts), ts, models, "model_ts")
         pred.select(id_col, "model_ts", "prediction").write.mode("overwrite").parquet(
             f"{out_path}/batch_id={batch_id}")
-        commit(merged, model_path, batch_id)          # state last: a batch that fails earlier starts over
+        # state last: a batch that fails earlier starts over
+        newest = batch.agg(F.max(us)).first()[0]
+        before = merged.agg(F.max("w_us")).first()[0]
+        horizon = max((v for v in (newest, before) if v is not None), default=0) - keep_us
+        last_closed = merged.filter(F.col("w_us") + w_us <= horizon).agg(F.max("w_us")).first()[0]
+        kept = merged if last_closed is None else merged.filter(F.col("w_us") >= last_closed)
+        commit(kept.coalesce(1), model_path, batch_id)
 
-    ensure_checkpoint_dir(spark)
     w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -151,11 +151,62 @@ def session_windows(df: DataFrame, keys: list[str], ts: str, seq: str, gap_secon
             .drop("__session"))
 
 
-def window_join(left: DataFrame, right: DataFrame, key: str, ts_left: str, ts_right: str,
-                size: str) -> DataFrame:
+def heavy_keys(df: DataFrame, keys: list[str], share: float, counters: int = 1000) -> DataFrame:
+    """The keys that more than ``share`` of all rows have, and perhaps some
+    that a little fewer have, at most 2 / share in all.  Every task keeps a
+    summary of ``counters`` keys (Misra-Gries: when there are more, the
+    smallest counts are subtracted from all), so a count is too low by at most
+    1 / counters of the task's rows; the summaries add up."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    if counters < 2 / share:
+        raise ValueError("too few counters for the share")
+    shape = df.select(*keys).schema.add("__n", "long").add("__rows", "long")
+
+    def summary(batches):
+        held, rows = None, 0
+        for b in batches:
+            rows += b.num_rows
+            t = pa.Table.from_batches([b]).append_column("__n", pa.array(np.ones(b.num_rows, np.int64)))
+            t = t if held is None else pa.concat_tables([held, t])
+            t = t.group_by(keys).aggregate([("__n", "sum")]).rename_columns([*keys, "__n"])
+            if t.num_rows > counters:
+                n = t.column("__n").to_numpy()
+                rest = n - np.partition(n, -counters - 1)[-counters - 1]
+                t = t.set_column(t.num_columns - 1, "__n", pa.array(rest)).filter(pc.greater(pc.field("__n"), 0))
+            held = t.combine_chunks()
+        if held is not None:
+            seen = np.zeros(held.num_rows, np.int64)
+            seen[:1] = rows
+            yield from held.append_column("__rows", pa.array(seen)).to_batches()
+
+    from tidewater.plans import sequence as S
+    told = S.written(df.select(*keys).mapInArrow(summary, shape), "heavy")
+    rows = told.agg(F.coalesce(F.sum("__rows"), F.lit(0))).first()[0]
+    return (told.groupBy(*keys).agg(F.sum("__n").alias("__n"))
+            .filter(F.col("__n") > (share - 1 / counters) * rows).select(*keys))
+
+
+def window_join(left: DataFrame, right: DataFrame, key: str, ts_left: str, ts_right: str, size: str,
+                share: float = 0.01, salts: int = 64) -> DataFrame:
     """Windowed inner join: same key and same tumbling window; every
     matching pair of the window is emitted.  An equi-join on
-    ``(key, window_start)``."""
+    ``(key, window_start)``.
+
+    A (key, window) with more than ``share`` of the left rows is split: its
+    left rows are dealt over ``salts`` parts, its right rows are copied to
+    each.  There are at most 2 / share of them, so their list is broadcast.
+    Streams use the plain join."""
     lw = left.withColumn("window_start", F.window(F.col(ts_left), size).start)
     rw = right.withColumn("window_start", F.window(F.col(ts_right), size).start)
-    return lw.join(rw, [key, "window_start"], "inner")
+    if left.isStreaming or right.isStreaming:
+        return lw.join(rw, [key, "window_start"], "inner")
+    pair = [key, "window_start"]
+    hot = F.broadcast(heavy_keys(lw, pair, share).withColumn("__hot", F.lit(True)))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    part = F.when(F.col("__hot"), F.pmod(row, F.lit(salts)).cast("int")).otherwise(0)
+    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    lw = lw.join(hot, pair, "left").withColumn("__part", part).drop("__hot")
+    rw = rw.join(hot, pair, "left").withColumn("__part", F.explode(copies)).drop("__hot")
+    return lw.join(rw, [*pair, "__part"], "inner").drop("__part")

@@ -188,7 +188,7 @@ def wordcount_semicolon(spark, sf):
     from tidewater.session import scratch_path
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     path = scratch_path(spark, "people-csv")
-    write_delimited_once(c.repartition(4), path, sep=";")   # more than one split
+    write_delimited_once(c.repartition("c_custkey"), path, sep=";")   # more than one split
     lines = read_lines(spark, path)
     tok = lines.select(F.explode(T.split_drop_trailing("value", T.SEMICOLON)).alias("word"))
     return tok.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))

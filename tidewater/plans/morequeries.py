@@ -120,22 +120,22 @@ def sink_delimited_roundtrip(spark, sf):
 
 @query
 def sink_stream_files(spark, sf):
-    from tidewater.streaming.runner import REPLAY_FILES, run_available_now, spread_as_files
+    from tidewater.streaming.runner import replay_width, run_available_now, spread_as_files
     e = _t(spark, sf, "events").select("event_id", "user_id", "value")
     src = spread_as_files(e, 3, scratch_path(spark, "events-replay"))
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", REPLAY_FILES).parquet(src)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", replay_width(spark)).parquet(src)
     out = run_available_now(stream, scratch_path(spark, "events-sink"), fmt="parquet")
     return spark.read.parquet(out)
 
 
 @query
 def stream_wordcount(spark, sf):
-    from tidewater.streaming.runner import REPLAY_FILES, run_keyed_updates, spread_as_files
+    from tidewater.streaming.runner import replay_width, run_keyed_updates, spread_as_files
     docs = _t(spark, sf, "documents").select("text")
     # the documents as text files; a line reader stream over them feeds the
     # word count, three micro-batches of several files
     src = spread_as_files(docs, 3, scratch_path(spark, "docs-text"), fmt="text")
-    lines = RD.read_lines(spark, src, streaming=True, max_files_per_trigger=REPLAY_FILES).filter(F.col("value") != "")
+    lines = RD.read_lines(spark, src, streaming=True, max_files_per_trigger=replay_width(spark)).filter(F.col("value") != "")
     # split on single spaces, empty tokens included, no lower-casing
     counts = (lines.select(F.explode(T.split_drop_trailing("value", T.SPACE)).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
@@ -146,11 +146,11 @@ def stream_wordcount(spark, sf):
 def state_kinds(spark, sf):
     """Value / list / map / reducing state per sensor, run as a stream over
     the readings replayed in arrival order."""
-    from tidewater.streaming.runner import REPLAY_FILES, replay_as_files, run_available_now
+    from tidewater.streaming.runner import replay_as_files, replay_width, run_available_now
     from tidewater.streaming.stateful import state_kinds_stream
     s = sensor_readings(spark, sf)
     src = replay_as_files(spark, s, "event_id", 3, scratch_path(spark, "readings-replay"))
-    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", REPLAY_FILES).parquet(src)
+    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", replay_width(spark)).parquet(src)
     kinds = state_kinds_stream(stream, "id", "temperature", ["ts", "event_id"])
     return spark.read.parquet(run_available_now(kinds, scratch_path(spark, "state-kinds"), fmt="parquet"))
 
@@ -177,7 +177,7 @@ def map_partition_setup(spark, sf):
 def async_enrich_ordered(spark, sf):
     """Results in input order: the place at which each row comes out of its
     partition is its place in it."""
-    e = _t(spark, sf, "events").select("event_id", "user_id").repartitionByRange(4, "event_id") \
+    e = _t(spark, sf, "events").select("event_id", "user_id").repartitionByRange("event_id") \
         .sortWithinPartitions("event_id")
     r = J.async_lookup(e, "user_id", "event_id", J.key_mod_label, capacity=20, timeout_s=10.0, ordered=True,
                        position_col="position")
@@ -245,7 +245,7 @@ def latest_model_predict(spark, sf):
     e = _t(spark, sf, "events").select("event_id", "ts", "value")
     models = (TW.tumble(e, [], "ts", "1 hour", [F.round(F.avg("value"), 6).alias("prediction")])
               .select(F.col("window_end").alias("model_ts"), "prediction"))
-    return J.asof_backward(e, "ts", models, "model_ts", 3600).select("event_id", "model_ts", "prediction")
+    return J.asof_backward(e, "ts", models, "model_ts").select("event_id", "model_ts", "prediction")
 
 
 # ---------------------------------------------------------------- folds

@@ -64,17 +64,14 @@ def balanced_bucket(df: DataFrame, keys: list[str], order: list[str], partitions
     """Buckets that are balanced whatever the key or time distribution:
     range-partition on ``keys + order`` (Spark samples the boundaries) and
     use the partition index, which is non-decreasing along the order within
-    every key.  The result is checkpointed below the shared checkpoint
-    folder so every later branch of the plan sees the same buckets.
+    every key.  The result is written below the shared checkpoint folder, so
+    every later branch of the plan sees the same buckets.
     Returns ``(df_with_bucket, bucket_column)``."""
-    from tidewater.session import ensure_checkpoint_dir
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = (df.repartitionByRange(n, *keys, *order)
-           .withColumn(name, F.spark_partition_id().cast("long"))
-           .checkpoint())
-    return out, F.col(name)
+           .withColumn(name, F.spark_partition_id().cast("long")))
+    return written(out, "buckets"), F.col(name)
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
@@ -262,27 +259,134 @@ def first_at_or_after(points: DataFrame, queries: DataFrame, keys: list[str], t:
     return scanned.filter(F.col("__k") == 1).select(*keys, *qcols, out)
 
 
-def chain_from_heads(jump: DataFrame, heads: DataFrame, keys: list[str], node: str = "n",
-                     target: str = "j") -> DataFrame:
-    """Nodes reachable from ``heads`` along ``jump`` pointers (a forest of
-    linked lists, one pointer per node), by pointer doubling.  One table holds
-    pointer and "reached"; a round joins it with itself along the pointers,
-    which marks what the reached nodes point to and doubles every pointer:
-    O(log chain length) rounds of one equi-join and one aggregate, each
-    checkpointed below the shared checkpoint folder."""
-    from tidewater.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(jump.sparkSession)
-    marks = heads.select(*keys, F.col(node).alias("__n"), F.lit(None).cast("long").alias("__j"), F.lit(True).alias("__r"))
-    table = (jump.select(*keys, F.col(node).alias("__n"), F.col(target).cast("long").alias("__j"), F.lit(False).alias("__r"))
-             .unionByName(marks).groupBy(*keys, "__n").agg(F.max("__j").alias("__j"), F.max("__r").alias("__r")).checkpoint())
-    while not table.filter(F.col("__r") & F.col("__j").isNotNull()).isEmpty():
-        a = table.filter(F.col("__j").isNotNull()).select(*keys, F.col("__j").alias("__to"), F.col("__n").alias("__from"), "__r")
-        b = table.select(*keys, F.col("__n").alias("__to"), F.col("__j").alias("__next"))
-        pair = F.array(F.struct(F.col("__from").alias("n"), F.col("__next").alias("j"), F.lit(False).alias("r")),
-                       F.struct(F.col("__to").alias("n"), F.lit(None).cast("long").alias("j"), F.col("__r").alias("r")))
-        moved = a.join(b, [*keys, "__to"]).select(*keys, F.explode(pair).alias("p")) \
-            .select(*keys, F.col("p.n").alias("__n"), F.col("p.j").alias("__j"), F.col("p.r").alias("__r"))
-        here = table.select(*keys, "__n", F.lit(None).cast("long").alias("__j"), "__r")
-        table = (moved.unionByName(here).groupBy(*keys, "__n")
-                 .agg(F.max("__j").alias("__j"), F.max("__r").alias("__r")).checkpoint())
-    return table.filter("__r").select(*keys, F.col("__n").alias(node))
+def _links(run, x, width):
+    """Per node (sorted by run, then x): the next node, the first of its run
+    with x at least ``width`` above (-1 if none), and the last node of its
+    chain."""
+    import numpy as np
+    n = len(x)
+    # nodes and what they look for in one order; a node comes after those that look for its x
+    order = np.lexsort((np.repeat([1, 0], n), np.concatenate((x, x + width)), np.concatenate((run, run))))
+    before = np.cumsum(order < n)
+    nxt = np.empty(n, np.int64)
+    asks = order >= n
+    nxt[order[asks] - n] = before[asks]
+    here = (nxt < n) & (run[np.minimum(nxt, n - 1)] == run)
+    nxt = np.where(here, nxt, -1)
+    last = np.where(here, nxt, np.arange(n))
+    while (last[last] != last).any():
+        last = last[last]
+    return nxt, last
+
+
+def chain_reached(nodes: DataFrame, keys: list[str], x: str, n: str, width: int, partitions: int | None = None) -> DataFrame:
+    """The chain of each key: its first node, then always the first node whose
+    ``x`` is at least ``width`` > 0 higher.  ``x`` (long) must not fall with
+    ``n``.  Returns (keys, n) of the nodes on the chains.
+
+    Nodes are cut into balanced ranges of (keys, x, n).  Inside a range a
+    node's chain is followed to its end with numpy.  A range's first key may
+    go on from the range before; only nodes up to ``width`` above its first
+    one, and the next, can be where a chain enters.  These entries alone, with
+    the ends of their chains in the range, are brought together by key and
+    streamed through in order, from one range's exit to the next one's entry:
+    a few rows a range (all of a range's nodes only where ``width`` exceeds
+    what it spans).  At most one entry of a range is on the chain; with these,
+    one number a range, a second pass marks the nodes."""
+    from itertools import chain
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    spark = nodes.sparkSession
+    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shape = T.StructType([nodes.schema[k] for k in keys] + [T.StructField(c, T.LongType()) for c in ("__x", "__n")])
+    out_shape = T.StructType(shape.fields + [T.StructField("__exit", T.LongType()), T.StructField("__kind", T.IntegerType())])
+
+    def runs_of_batches(batches):
+        """The rows of each run of equal keys in each batch."""
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = np.zeros(b.num_rows, bool)
+            for k in keys:
+                code = b.column(k).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                new[1:] |= code[1:] != code[:-1]
+            cut = [0, *np.flatnonzero(new).tolist(), b.num_rows]
+            for a, z in zip(cut, cut[1:]):
+                yield pa.Table.from_batches([b.slice(a, z - a)])
+
+    def whole(batches, run_keys):
+        """The nodes of a task (narrow, one balanced range) and the number of
+        the run of equal keys that each is in."""
+        t = pa.Table.from_batches(list(batches)).combine_chunks()
+        run = np.zeros(t.num_rows, bool)
+        for k in run_keys:
+            code = pc.dictionary_encode(t.column(k).combine_chunks(), null_encoding="encode").indices.to_numpy()
+            run[1:] |= code[1:] != code[:-1]
+        return t, np.cumsum(run), t.column("__x").to_numpy()
+
+    def follow(batches):
+        first = next(batches, None)
+        if first is None:
+            return
+        t, run, v = whole(chain([first], batches), keys)
+        _, end = _links(run, v, width)
+        # 1: where a chain may enter the range; 2: head of the last run, which may go on; 0: neither
+        kind = np.zeros(len(v), np.int32)
+        size = int(np.searchsorted(run, 0, side="right"))
+        kind[:min(size, int(np.searchsorted(v[:size], v[0] + width, side="right")) + 1)] = 1
+        head = int(np.searchsorted(run, run[-1]))
+        kind[head] = kind[head] or 2
+        yield from t.append_column("__exit", pa.array(v[end])).append_column("__kind", pa.array(kind)).to_batches()
+
+    d = nodes.select(*keys, F.col(x).cast("long").alias("__x"), F.col(n).cast("long").alias("__n"))
+    ranged = (d.repartitionByRange(count, *keys, "__x", "__n").sortWithinPartitions(*keys, "__x", "__n")
+              .mapInArrow(follow, out_shape).withColumn("__range", F.spark_partition_id()))
+    ranged = written(ranged, "chain-ranges")
+
+    def enter(batches):
+        """Where the chains enter ranges: the entries in order, followed from
+        exit to the next entry."""
+        key, target = None, None
+        for run in runs_of_batches(batches):
+            v, exits = run.column("__x").to_numpy(), run.column("__exit").to_numpy()
+            own = tuple(run.column(k)[0].as_py() for k in keys)
+            if own != key:
+                key, target = own, v[0]
+            at, hit = 0, []
+            while (at := at + int(np.searchsorted(v[at:], target))) < len(v):
+                hit.append(at)
+                target = exits[at] + width
+            if hit:
+                yield from run.take(pa.array(hit)).filter(pc.field("__kind") == 1).select(["__range", "__n"]).to_batches()
+
+    entries = ranged.filter("__kind > 0").repartition(count, *keys).sortWithinPartitions(*keys, "__x", "__n")
+    entry = entries.mapInArrow(enter, "__range int, __n long").collect()       # at most one of each range
+    starts = spark.sparkContext.broadcast({r["__range"]: r["__n"] for r in entry})
+
+    def mark(batches):
+        first = next(batches, None)
+        if first is None:
+            return
+        t, run, v = whole(chain([first], batches), ["__range", *keys])
+        nxt, _ = _links(run, v, width)
+        nxt = nxt.tolist()
+        at_range, number = t.column("__range").to_numpy(), t.column("__n").to_numpy()
+        heads = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+        on_chain = []
+        for h, z in zip(heads.tolist(), [*heads[1:].tolist(), len(v)]):
+            if h == 0 or at_range[h] != at_range[h - 1]:
+                # the first run of a range starts where the chain enters it, if it does
+                begin = starts.value.get(int(at_range[h]))
+                h = -1 if begin is None else h + int(np.searchsorted(number[h:z], begin))
+            while h >= 0:
+                on_chain.append(h)
+                h = nxt[h]
+        yield from t.take(pa.array(on_chain, pa.int64())).select([*keys, "__n"]).to_batches()
+
+    # one task has whole ranges; runs are of (range, key)
+    spread = ranged.select("__range", *keys, "__x", "__n").repartition(count, "__range") \
+        .sortWithinPartitions("__range", *keys, "__x", "__n")
+    final = T.StructType([nodes.schema[k] for k in keys] + [T.StructField("__n", T.LongType())])
+    return spread.mapInArrow(mark, final).withColumnRenamed("__n", n)

@@ -28,17 +28,20 @@ def tolerate_idle_inputs(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
 
 
-REPLAY_FILES = 4
+def replay_width(spark: SparkSession) -> int:
+    """Files of a chunk, one for each core of the cluster."""
+    return spark.sparkContext.defaultParallelism
 
 
 def replay_as_files(spark: SparkSession, df: DataFrame, order_col: str, n: int, path: str, fmt: str = "parquet",
-                    columns: list[str] | None = None, files: int = REPLAY_FILES) -> str:
+                    columns: list[str] | None = None, files: int | None = None) -> str:
     """Write ``df`` as ``n`` consecutive chunks of ranges of the integer
-    column ``order_col`` (rows without one come first), ``files`` files each,
-    written by as many tasks; only ``columns``, if given -- e.g. the one
+    column ``order_col`` (rows without one come first), ``files`` files each
+    (default: one per core), written by as many tasks; only ``columns``, if given -- e.g. the one
     string column of a text file.  A file stream over the returned pattern
     with ``maxFilesPerTrigger=files`` takes a chunk per micro-batch.  Rows of
     a chunk are in no order, as in any micro-batch."""
+    files = files or replay_width(spark)
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     lo, hi = (0, 0) if lo is None else (int(lo), int(hi))
     for i in range(n):
@@ -51,10 +54,10 @@ def replay_as_files(spark: SparkSession, df: DataFrame, order_col: str, n: int,
     return f"{path}/c*"
 
 
-def spread_as_files(df: DataFrame, n: int, path: str, fmt: str = "parquet", files: int = REPLAY_FILES) -> str:
+def spread_as_files(df: DataFrame, n: int, path: str, fmt: str = "parquet", files: int | None = None) -> str:
     """Write ``df`` as ``n * files`` files in one pass, for streams whose
     result does not depend on the order of the rows."""
-    df.repartition(n * files).write.mode("overwrite").format(fmt).save(path)
+    df.repartition(n * (files or replay_width(df.sparkSession))).write.mode("overwrite").format(fmt).save(path)
     return path
 
 
