@@ -93,7 +93,7 @@ def catalog_roundtrip(spark, sf):
     """Database -> table in the session catalog: create a database and an
     external parquet table in it, list its tables, insert a query result,
     read it through the catalog.  Database and table are dropped again; the
-    rows are returned from the table's folder."""
+    result is the catalog's scan, planned before, of the external files."""
     import uuid
     db = f"tidewater_{uuid.uuid4().hex[:8]}"
     place = scratch_path(spark, "customer-copy")
@@ -104,10 +104,20 @@ def catalog_roundtrip(spark, sf):
         spark.sql(f"INSERT INTO {db}.customer_copy SELECT c_custkey, c_name, c_acctbal FROM {{c}}", c=c)
         shown = spark.sql(f"SHOW TABLES IN {db}").filter("NOT isTemporary").collect()
         assert [r.tableName for r in shown] == ["customer_copy"]
-        schema = spark.table(f"{db}.customer_copy").schema
+        result = spark.table(f"{db}.customer_copy")
+        result.schema
     finally:
         spark.sql(f"DROP DATABASE {db} CASCADE")
-    return spark.read.schema(schema).parquet(place)
+    return result
+
+
+@query
+def src_row_groups(spark, sf):
+    """A user-defined stream source over the table's row groups."""
+    from tidewater.sources.row_groups import read_row_groups, run_until_read
+    _t(spark, sf, "events")
+    stream = read_row_groups(spark, f"{sf}/events.parquet", "event_id long, user_id long, event_type string, value double")
+    return spark.read.parquet(run_until_read(stream, scratch_path(spark, "row-groups"), scratch_path(spark, "row-groups-ckpt")))
 
 
 @query

@@ -433,3 +433,5 @@ c AS (SELECT s.window_start, min(m.event_id) AS closed_by FROM (SELECT DISTINCT
       JOIN m ON m.mark >= s.window_start + INTERVAL 1 HOUR GROUP BY ALL)
 SELECT user_id, window_start, low, cnt, closed_by FROM w JOIN c USING (window_start)"""
 ORACLE["punctuated_late_rows"] = _MARKED + " SELECT event_id, user_id, value, ts FROM l WHERE late"
+
+ORACLE["src_row_groups"] = "SELECT event_id, user_id, event_type, value FROM events"

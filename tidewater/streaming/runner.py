@@ -85,11 +85,15 @@ def run_keyed_updates(spark: SparkSession, stream: DataFrame, keys: list[str], t
     own ``batch_id=N`` folder (overwritten when a batch is replayed, so the
     sink is idempotent); :func:`read_keyed_table` resolves the latest row
     per key with a partial/final ``max_by`` aggregate.  Writing is
-    proportional to the changes, not to the table."""
+    proportional to the changes; every ``COMPACT`` batches the table is
+    rewritten as one version, and the folders that only the version before
+    needed are removed, so there are never more than 2 * ``COMPACT``."""
     ckpt = checkpoint or scratch_path(spark, "ckpt")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+        if batch_id % COMPACT == COMPACT - 1:
+            compact_keyed_table(spark, table_path, keys, batch_id)
 
     q = (stream.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
@@ -99,14 +103,40 @@ def run_keyed_updates(spark: SparkSession, stream: DataFrame, keys: list[str], t
     return read_keyed_table(spark, table_path, keys, stream.schema)
 
 
-def read_keyed_table(spark: SparkSession, table_path: str, keys: list[str], schema=None) -> DataFrame:
-    """Latest row per key over all ``batch_id=`` folders of a keyed table."""
+COMPACT = 16
+
+
+def _folder(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def compact_keyed_table(spark: SparkSession, table_path: str, keys: list[str], batch_id: int) -> None:
+    """Write the table up to a batch as one version.  Folders since the
+    version before stay, as a replay of this batch reads them again."""
+    from tidewater.sinks.versions import commit, committed
+    old = [v for v in committed(spark, f"{table_path}/_compacted") if v < batch_id]
+    commit(read_keyed_table(spark, table_path, keys, before=batch_id), f"{table_path}/_compacted", batch_id)
+    if old:
+        fs, p = _folder(spark, table_path)
+        for status in fs.listStatus(p):
+            name = status.getPath().getName()
+            if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= old[-1]:
+                fs.delete(status.getPath(), True)
+
+
+def read_keyed_table(spark: SparkSession, table_path: str, keys: list[str], schema=None, before: int | None = None) -> DataFrame:
+    """Latest row per key of a keyed table: its newest compacted version (the
+    newest below ``before``) and the ``batch_id=`` folders after it."""
     from tidewater.sinks.upsert import latest_per_key
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    from tidewater.sinks.versions import committed, version_path
+    fs, folder = _folder(spark, table_path)
     if not fs.exists(folder):            # nothing written yet; other errors are raised
         if schema is None:
             raise FileNotFoundError(table_path)
         return spark.createDataFrame([], schema)
-    return latest_per_key(spark.read.parquet(table_path), keys, ["batch_id"]).drop("batch_id")
+    rows = spark.read.parquet(table_path)
+    if base := [v for v in committed(spark, f"{table_path}/_compacted") if before is None or v < before]:
+        whole = spark.read.parquet(version_path(f"{table_path}/_compacted", base[-1])).withColumn("batch_id", F.lit(base[-1]))
+        rows = rows.filter(F.col("batch_id") > base[-1]).unionByName(whole)
+    return latest_per_key(rows, keys, ["batch_id"]).drop("batch_id")
