@@ -160,12 +160,11 @@ def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, dist
     fired = S.written(rows.join(fires, [*own, "__n"]).select(*own, "__n", "__us", "__block", "__pre"), "fired")
     # maxima of the block before, from its end back to the window's start (exclusive)
     ask = fired.select(*own, (F.col("__block") - 1).alias("__block"), (F.col("__us") - width).alias("__us"),
-                       F.lit(0).alias("__kind"), F.col("__n").alias("__o"))
+                       F.lit(0).alias("__kind"), F.col("__n").alias("__o"), "__pre")
     told = rows.select(*own, "__block", "__us", F.lit(1).alias("__kind"), F.col("__n").alias("__o"), "__row")
     both = told.unionByName(ask, allowMissingColumns=True).withColumn("__back", -F.col("__us"))
-    suffix = (S.running_agg(both, [*own, "__block"], ["__back", "__kind", "__o"], None, [("__suf", "__row", "max")])
-              .filter("__kind = 0").select(*own, F.col("__o").alias("__n"), "__suf"))
-    best = fired.join(suffix, [*own, "__n"]).withColumn("r", F.greatest("__pre", "__suf"))
+    best = (S.running_agg(both, [*own, "__block"], ["__back", "__kind", "__o"], None, [("__suf", "__row", "max")])
+            .filter("__kind = 0").withColumn("r", F.greatest("__pre", "__suf")))
     return best.select(back, (-F.col("r.ns")).cast(dict(df.dtypes)[seq]).alias(seq), F.col("r.__sp").alias("speed"),
                        (F.col("r.__dc") / 100.0).alias("distance"),
                        F.timestamp_micros(-F.col("r.nu")).cast(dict(df.dtypes)[ts]).alias("time"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewater.plans import sequence as S
 from tidewater.plans.broadcast import fits_broadcast
-from tidewater.sinks.versions import commit, newest_before
+from tidewater.sinks.versions import KEPT, commit, newest_before
 
 
 def asof_backward(data: DataFrame, ts: str, right: DataFrame, right_ts: str, broadcast: bool | None = None) -> DataFrame:
@@ -178,7 +178,7 @@ def latest_model_predict_stream(stream: DataFrame, id_col: str, ts: str, value:
         horizon = max((v for v in (newest, before) if v is not None), default=0) - keep_us
         last_closed = merged.filter(F.col("w_us") + w_us <= horizon).agg(F.max("w_us")).first()[0]
         kept = merged if last_closed is None else merged.filter(F.col("w_us") >= last_closed)
-        commit(kept.coalesce(1), model_path, batch_id)
+        commit(kept.coalesce(1), model_path, batch_id, KEPT)
 
     w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

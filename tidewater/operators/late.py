@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewater.operators.accumulators import Accumulator
 from tidewater.plans import sequence as S
-from tidewater.sinks.versions import commit, newest_before
+from tidewater.sinks.versions import KEPT, commit, newest_before
 
 
 def mark_late(df: DataFrame, ts: str, arrival_order: list[str], arrival_bucket: Column | None,
@@ -99,7 +99,7 @@ def _carried(spark, path: str, batch_id: int) -> int | None:
 
 
 def _carry(spark, value: int | None, path: str, batch_id: int) -> None:
-    commit(spark.createDataFrame([(value,)], "us long").coalesce(1), path, batch_id)
+    commit(spark.createDataFrame([(value,)], "us long").coalesce(1), path, batch_id, KEPT)
 
 
 # ------------------------------------------------- windows that are updated
@@ -246,7 +246,7 @@ def punctuated_windows_stream(stream: DataFrame, keys: list[str], ts: str, arriv
         (merged.filter(done).select(*keys, F.timestamp_micros("__start").cast(kind).alias("window_start"),
                                     *[c for c in merged.columns if c not in (*keys, "__start")])
          .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
-        commit(merged.filter(~done), f"{state_path}/windows", batch_id)
+        commit(merged.filter(~done), f"{state_path}/windows", batch_id, KEPT)
         _carry(spark, new, f"{state_path}/mark", batch_id)
 
     w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -43,16 +43,18 @@ def newest_before(spark: SparkSession, path: str, version: int) -> str | None:
     return version_path(path, older[-1]) if older else None
 
 
-# Only the last batch can be replayed, and it reads the version before its own.
+# Versions that a state table keeps: only the last batch can be replayed, and
+# it reads the version before its own.
 KEPT = 3
 
 
-def commit(df: DataFrame, path: str, version: int) -> str:
-    """Write a version (again, if its batch is replayed) and remove those
-    that no batch can read any more."""
+def commit(df: DataFrame, path: str, version: int, keep: int | None = None) -> str:
+    """Write a version (again, if its batch is replayed); of tables whose
+    newest version holds everything, ``keep`` versions stay."""
     out = version_path(path, version)
     df.write.mode("overwrite").parquet(out)
-    fs, p = _files(df.sparkSession, path)
-    for old in [v for v in committed(df.sparkSession, path) if v <= version][:-KEPT]:
-        fs.delete(p.suffix(f"/v={old:08d}"), True)
+    if keep:
+        fs, p = _files(df.sparkSession, path)
+        for old in [v for v in committed(df.sparkSession, path) if v <= version][:-keep]:
+            fs.delete(p.suffix(f"/v={old:08d}"), True)
     return out

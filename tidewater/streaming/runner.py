@@ -114,9 +114,9 @@ def _folder(spark: SparkSession, path: str):
 def compact_keyed_table(spark: SparkSession, table_path: str, keys: list[str], batch_id: int) -> None:
     """Write the table up to a batch as one version.  Folders since the
     version before stay, as a replay of this batch reads them again."""
-    from tidewater.sinks.versions import commit, committed
+    from tidewater.sinks.versions import KEPT, commit, committed
     old = [v for v in committed(spark, f"{table_path}/_compacted") if v < batch_id]
-    commit(read_keyed_table(spark, table_path, keys, before=batch_id), f"{table_path}/_compacted", batch_id)
+    commit(read_keyed_table(spark, table_path, keys, before=batch_id), f"{table_path}/_compacted", batch_id, KEPT)
     if old:
         fs, p = _folder(spark, table_path)
         for status in fs.listStatus(p):
