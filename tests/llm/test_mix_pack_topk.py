@@ -147,11 +147,13 @@ def test_one_length_for_all(spark):
 
 # --------------------------------------------------------------------- top-k
 def best(rows, k=20, every=20):
+    """From (id, whole numbers) pairs; the rows of an id ask together, and
+    none of them is a candidate."""
     out = []
-    for q, x in rows.items():
-        if q % every == 0:
-            scored = sorted((-int(np.dot(x, y)), i) for i, y in rows.items() if i != q and len(x) == len(y))
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    for q in sorted({i for i, _ in rows if i % every == 0}):
+        scored = sorted((-sum(int(a) * int(b) for a, b in zip(x, y)), j) for i, x in rows if i == q
+                        for j, y in rows if j != q and len(x) == len(y))
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -161,7 +163,7 @@ def usable(e):
 
 def test_top_k(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
-    rows = {r.vec_id: np.floor(64 * np.array(r.embedding, float)).astype(int) for r in vectors.collect()}
+    rows = [(r.vec_id, np.floor(64 * np.array(r.embedding, float)).astype(int).tolist()) for r in vectors.collect()]
     for block, group in ((8192, 8192), (60, 7)):
         got = topk.top_k(vectors, block=block, group=group).collect()
         assert sorted(map(tuple, got)) == best(rows)
@@ -173,13 +175,36 @@ def test_top_k_with_ties_and_odd_vectors(spark, none):
         (100, None), (120, [1.0, None, 2.0]), (140, [nan, 1.0, 1.0]), (160, [inf, 0.0, 0.0]), (180, []), (None, [1.0, 1.0, 1.0]),
         (200, [1.0, 2.0]), (201, [0.5, -2.0]), (7, [9.0, 9.0, 9.0]), (220, [1e6, -1e6, 3.0]), (221, [1e9, 1e9, 1e9])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("*", *[F.lit(1).alias(c) for c in ("dim", "v", "b", "g")])
-    chosen = {}
-    for i, e in rows:
-        if i is not None and usable(e):
-            x = np.floor(64 * np.array(e)).astype("<i8")
-            if i not in chosen or x.tobytes() < chosen[i].tobytes():
-                chosen[i] = x
-    want = best({i: x.astype(object) for i, x in chosen.items()})
+    want = best([(i, np.floor(64 * np.array(e)).tolist()) for i, e in rows if i is not None and usable(e)])
     for block in (8192, 16):
         assert sorted(map(tuple, topk.top_k(vectors, block=block).collect())) == want
     assert topk.top_k(vectors.limit(0)).count() == 0
+
+
+def test_top_k_with_large_components_and_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), (rng.normal(size=4) * 10.0 ** rng.integers(-1, 3 if i % 20 == 0 else 7)).tolist())
+            for i in rng.integers(0, 60, 300)]
+    rows += [(1003, [1e12, 1.0, 0.0, 0.0]), (1001, [1e11, 0.0, 0.0, 0.0]), (20, [1e3, 1e3, 0.0, 0.0]), (20, [1e3, 1e3, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = best([(i, np.floor(64 * np.array(e)).tolist()) for i, e in rows])
+    assert any(r[3] > 2 ** 53 for r in want) and len({r[0] for r in want}) == 3
+    for block, group in ((8192, 8192), (50, 3)):
+        assert sorted(map(tuple, topk.top_k(vectors, block=block, group=group).collect())) == want
+
+
+def test_top_k_says_when_a_score_is_no_long(spark):
+    far = spark.createDataFrame([(0, [1e12, 1e12]), (1, [1e12, 0.0]), (2, [1e11, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        topk.top_k(far).collect()
+    away = far.filter("vec_id > 0").union(spark.createDataFrame([(20, [0.0, 1.0])], far.schema))
+    assert sorted(map(tuple, topk.top_k(away).collect())) == [(20, 1, 1, 0), (20, 2, 2, 0)]
+
+
+def test_whole_scores_order_rows_that_floats_cannot():
+    q = np.array([[2.0 ** 60, 1.0]])
+    x = np.array([[2.0 ** 60, float(i)] for i in (3, 9, 1, 7)] + [[-2.0 ** 60, 5.0]])
+    at, scores = topk.Lists(np.arange(5), x).top(q, np.array([99]), 3)[0]
+    assert at.tolist() == [1, 3, 0] and scores == [2 ** 120 + 9, 2 ** 120 + 7, 2 ** 120 + 3]
+    high, low = topk.two_longs(scores)
+    assert [int(h) * 2 ** 60 + int(v) for h, v in zip(high, low)] == scores
