@@ -23,18 +23,27 @@ from pyspark.sql.functions import pandas_udf
 from tidewater.session import prepare, scratch_path
 
 
+def taken_step(df: DataFrame, step: Callable[[DataFrame], DataFrame], again: Column, tag: str) -> DataFrame:
+    """The rows after a step, with their types, and whether they go on."""
+    taken = step(df).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    return taken.withColumn(tag, F.coalesce(again, F.lit(False)))
+
+
 def iterate_until(df: DataFrame, step: Callable[[DataFrame], DataFrame], again: Column) -> DataFrame:
     """Feedback loop: every row takes a step, then leaves the loop unless
     ``again`` holds for it (a null counts as leaving).  ``step`` keeps the
     columns.  Every round is written below the shared checkpoint folder, so
     neither the plan nor what a lost executor costs grows with the number of
-    rounds; there is no limit on it."""
+    rounds; there is no limit on it.  A stream is run through the loop as far
+    as its source goes now (``streaming/feedback.py`` has its parts)."""
     spark = prepare(df.sparkSession)
     path = scratch_path(spark, "iterate")
-    fields, rounds = [(f.name, f.dataType) for f in df.schema.fields], []
+    if df.isStreaming:
+        from tidewater.streaming.feedback import iterate_stream
+        return iterate_stream(df, step, again, path, scratch_path(spark, "iterate-ckpt"))
+    rounds = []
     while True:
-        taken = step(df).select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in fields])
-        tagged = taken.withColumn("__again", F.coalesce(again, F.lit(False)))
+        tagged = taken_step(df, step, again, "__again")
         rounds.append(f"{path}/{len(rounds):06d}")
         tagged.write.parquet(rounds[-1])
         df = spark.read.schema(tagged.schema).parquet(rounds[-1]).filter("__again").drop("__again")

@@ -165,6 +165,39 @@ def state_kinds(spark, sf):
     return spark.read.parquet(run_available_now(kinds, scratch_path(spark, "state-kinds"), fmt="parquet"))
 
 
+def _state_kinds_run(spark, readings, checkpoint, seed=None):
+    """The rows that the state-kinds stream gives for some of the readings."""
+    from tidewater.streaming.runner import replay_as_files, replay_width, run_available_now
+    from tidewater.streaming.stateful import state_kinds_stream
+    src = replay_as_files(spark, readings, "event_id", 2, scratch_path(spark, "readings-replay"))
+    stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", replay_width(spark)).parquet(src)
+    kinds = state_kinds_stream(stream, "id", "temperature", ["ts", "event_id"], seed)
+    return spark.read.parquet(run_available_now(kinds, scratch_path(spark, "state-kinds"), checkpoint=checkpoint))
+
+
+@query
+def state_retained(spark, sf):
+    """What the stopped state-kinds query keeps for each sensor, read from
+    its checkpoint."""
+    from tidewater.streaming.retained import state_kinds_seed
+    checkpoint = scratch_path(spark, "state-kinds-ckpt")
+    _state_kinds_run(spark, sensor_readings(spark, sf), checkpoint)
+    return state_kinds_seed(spark, checkpoint)
+
+
+@query
+def state_seeded(spark, sf):
+    """The state kinds of all readings: one query takes the first half, another
+    starts from the state that it left and takes the rest."""
+    from tidewater.streaming.retained import state_kinds_seed
+    s = sensor_readings(spark, sf)
+    lo, hi = s.agg(F.min("event_id"), F.max("event_id")).first()
+    first = F.col("event_id") <= ((lo or 0) + (hi or 0)) // 2
+    one, two = scratch_path(spark, "state-one"), scratch_path(spark, "state-two")
+    before = _state_kinds_run(spark, s.filter(first), one)
+    return before.unionByName(_state_kinds_run(spark, s.filter(~first), two, state_kinds_seed(spark, one)))
+
+
 @query
 def map_partition_setup(spark, sf):
     """A pattern compiled once per partition, applied to whole batches."""
@@ -214,6 +247,24 @@ def iterate_fibonacci(spark, sf):
     return pairs.select("event_id", "a", "b", IT.fibonacci_steps(F.col("a"), F.col("b"), 100).alias("n"))
 
 
+@query
+def iterate_stream(spark, sf):
+    """The feedback loop on a stream: pairs that are not done go round again
+    with the next micro-batch."""
+    from tidewater.streaming.runner import replay_width, spread_as_files
+    pairs = _t(spark, sf, "events").select("event_id", F.ceil("value").cast("long").alias("a"), (F.col("user_id") + 1).alias("b"))
+    pairs = pairs.select("*", F.col("a").alias("x"), F.col("b").alias("y"), F.lit(0).alias("n"))
+    src = spread_as_files(pairs, 3, scratch_path(spark, "pairs-replay"))
+    stream = spark.readStream.schema(pairs.schema).option("maxFilesPerTrigger", replay_width(spark)).parquet(src)
+
+    def step(d):
+        known = F.col("x").isNotNull() & F.col("y").isNotNull()
+        return d.select("event_id", "a", "b", F.col("y").alias("x"), (F.col("x") + F.col("y")).alias("y"),
+                        F.when(known, F.col("n") + 1).alias("n"))
+
+    return IT.iterate_until(stream, step, (F.col("x") < 100) & (F.col("y") < 100)).select("event_id", "a", "b", "n")
+
+
 def _embeddings(spark, sf):
     return _t(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"), "label")
 

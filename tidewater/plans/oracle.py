@@ -386,6 +386,15 @@ SELECT id, lag(temperature) OVER w AS previous, CAST(1 AS INTEGER) AS list_size,
        max(temperature) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_max
 FROM {SENSOR} s WINDOW w AS (PARTITION BY id ORDER BY ts, event_id)"""
 
+ORACLE["state_seeded"] = ORACLE["state_kinds"]
+ORACLE["iterate_stream"] = ORACLE["iterate_fibonacci"]
+
+ORACLE["state_retained"] = f"""
+SELECT id, temperature AS last, CAST(1 AS BIGINT) AS list_size, CAST(1 AS BIGINT) AS markers, running_max
+FROM (SELECT id, temperature, max(temperature) OVER (PARTITION BY id) AS running_max,
+             row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) AS place FROM {SENSOR} s)
+WHERE place = 1"""
+
 # y = 3 * y + cents modulo a prime, as a sum with powers of 3 and its inverse
 ORACLE["running_reduce_any"] = f"""
 WITH RECURSIVE r AS (

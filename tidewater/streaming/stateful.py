@@ -7,6 +7,8 @@ A key's rows of one micro-batch are in memory at once; the trigger's limit
 (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds them.
 State lives in the configured state store (RocksDB) and is checkpointed with
 the query; restarting from the checkpoint resumes with the same state.
+``seed`` tables, one row per key, give a new query the state that another has
+left (``streaming/retained.py`` reads them from its checkpoint).
 """
 
 from __future__ import annotations
@@ -23,6 +25,14 @@ def _sorted_rows(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame
     return pdf.sort_values(order, kind="stable")
 
 
+def _seeded(seed: DataFrame | None, key: str) -> dict:
+    return {} if seed is None else {"initialState": seed.groupBy(key)}
+
+
+def _number(v, kind=float):
+    return None if pd.isna(v) else kind(v)
+
+
 # ---------------------------------------------------------------- jump alert
 class JumpAlertProcessor(StatefulProcessor):
     """Emit ``(key, last, current)`` when ``|current - last| > threshold``;
@@ -36,6 +46,9 @@ class JumpAlertProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "v double")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.last.update((_number(initialState["last"].iloc[0]),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         import numpy as np
         pdf = _sorted_rows(rows, self.order)
@@ -54,11 +67,11 @@ class JumpAlertProcessor(StatefulProcessor):
 
 
 def jump_alert_stream(df: DataFrame, key: str, order: list[str], value: str, threshold: float,
-                      initial: float | None = None) -> DataFrame:
+                      initial: float | None = None, seed: DataFrame | None = None) -> DataFrame:
     fields = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=JumpAlertProcessor(key, value, order, threshold, initial),
-        outputStructType=f"{fields}, last_value double", outputMode="Append", timeMode="None")
+        outputStructType=f"{fields}, last_value double", outputMode="Append", timeMode="None", **_seeded(seed, key))
 
 
 # ----------------------------------------------------- running count changelog
@@ -119,6 +132,12 @@ class RisingAlertProcessor(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("st", "last double, deadline_us long")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        last, deadline = _number(initialState["last"].iloc[0]), _number(initialState["deadline_us"].iloc[0], int)
+        self.state.update((last, deadline))
+        if deadline is not None:
+            self.handle.registerTimer(self._timer_ms(deadline))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted_rows(rows, [self.us, self.seq])
         last, deadline = (self.state.get() if self.state.exists() else (self.initial, None))
@@ -157,7 +176,7 @@ class RisingAlertProcessor(StatefulProcessor):
 
 
 def rising_alert_stream(df: DataFrame, key: str, ts: str, seq: str, value: str, seconds: int,
-                        initial: float = 0.0, delay: str = "0 seconds") -> DataFrame:
+                        initial: float = 0.0, delay: str = "0 seconds", seed: DataFrame | None = None) -> DataFrame:
     """Input must be a stream with ``ts`` of TIMESTAMP type."""
     d = (df.select(key, ts, seq, value).withWatermark(ts, delay)
          .withColumn("tw_us", F.unix_micros(F.col(ts))))
@@ -165,7 +184,7 @@ def rising_alert_stream(df: DataFrame, key: str, ts: str, seq: str, value: str,
     out = d.groupBy(key).transformWithStateInPandas(
         statefulProcessor=RisingAlertProcessor(key, "tw_us", seq, value, seconds, initial),
         outputStructType=f"{key} {key_type}, alert_us long, last_value double",
-        outputMode="Append", timeMode="EventTime")
+        outputMode="Append", timeMode="EventTime", **_seeded(seed, key))
     return out.select(key, F.timestamp_micros("alert_us").alias("alert_ts"), "last_value")
 
 
@@ -189,6 +208,14 @@ class StateKindsProcessor(StatefulProcessor):
         self.map = handle.getMapState("map", "k string", "v double")
         self.red = handle.getValueState("reduce", "v double")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        was = initialState.iloc[0]
+        self.val.update((_number(was["last"]),))
+        self.lst.put([(1,)] * int(was["list_size"]))
+        if was["markers"]:
+            self.map.updateValue(("marker",), (0.0,))
+        self.red.update((_number(was["running_max"]),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         import numpy as np
         v = _sorted_rows(rows, self.order)[self.value].to_numpy(dtype=float)
@@ -220,12 +247,12 @@ class StateKindsProcessor(StatefulProcessor):
         pass
 
 
-def state_kinds_stream(df: DataFrame, key: str, value: str, order: list[str]) -> DataFrame:
+def state_kinds_stream(df: DataFrame, key: str, value: str, order: list[str], seed: DataFrame | None = None) -> DataFrame:
     key_type = dict(df.dtypes)[key]
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=StateKindsProcessor(key, value, order),
         outputStructType=f"{key} {key_type}, previous double, list_size int, had_marker boolean, running_max double",
-        outputMode="Append", timeMode="None")
+        outputMode="Append", timeMode="None", **_seeded(seed, key))
 
 
 # ------------------------------------------------------ row frame (last k+1)
