@@ -138,6 +138,20 @@ def sink_stream_files(spark, sf):
     return spark.read.parquet(out)
 
 
+@query
+def sink_manifest_stream(spark, sf):
+    """A stream into files that count once their micro-batch is committed."""
+    from tidewater.sinks.manifest import read_manifest_table, write_manifest_table
+    from tidewater.streaming.runner import replay_width, spread_as_files
+    e = _t(spark, sf, "events").select("event_id", "user_id", "value")
+    src = spread_as_files(e, 3, scratch_path(spark, "events-replay"))
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", replay_width(spark)).parquet(src)
+    place = scratch_path(spark, "events-manifest")
+    q = write_manifest_table(stream, place, scratch_path(spark, "events-manifest-ckpt"), availableNow=True)
+    q.awaitTermination()
+    return read_manifest_table(spark, place, e.schema)
+
+
 @query
 def stream_wordcount(spark, sf):
     from tidewater.streaming.runner import replay_width, run_keyed_updates, spread_as_files

@@ -291,6 +291,7 @@ ORACLE["json_documents"] = (
 ORACLE["catalog_roundtrip"] = "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer"
 ORACLE["sink_delimited_roundtrip"] = ORACLE["wordcount_batch"]
 ORACLE["sink_stream_files"] = "SELECT event_id, user_id, value FROM events"
+ORACLE["sink_manifest_stream"] = ORACLE["sink_stream_files"]
 ORACLE["stream_wordcount"] = f"""
 SELECT word, count(*) AS cnt FROM (
   SELECT unnest({_split_drop_trailing('line', ' ')}) AS word FROM {LINES} l WHERE line <> '') w
