@@ -32,7 +32,8 @@ def odd_rows():
 
 # Names that operators use for columns of their own.
 CLASH = ("size", "u", "n", "node", "comp", "rep", "bucket", "batch", "length", "sha", "score", "times", "below", "copies",
-         "__dup", "__near", "__mix_source", "__lang_kept", "x", "key", "Prefix")
+         "__dup", "__near", "__mix_source", "__mix_copies", "__mix_copiest", "__mix_copiesb", "__mix_times", "__sha", "__shas",
+         "__gone_sha", "__lang_kept", "x", "key", "Prefix")
 
 
 @pytest.fixture(scope="session")

@@ -108,7 +108,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     all_rows, rows, groups = duplicate_groups(docs)
     members = written(rows.join(written(groups, "dedup-groups"), ["length", "sha"])
                       .select("doc_id", "keep_id", "sha"), "dedup-members")
-    x, h = fresh(docs, "__dup"), fresh(docs, "__sha")
+    x, h, gone_sha = fresh(docs, "__dup"), fresh(docs, "__sha"), fresh(docs, "__gone_sha")
     again = written(all_rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias(x)),
                     "dedup-repeated")
     gone = members.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias(x)) \
@@ -122,8 +122,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     norm = F.sha2(F.regexp_replace(F.coalesce(docs["text"].cast("string"), F.lit("")), "[ \\t\\n\\x0B\\f\\r]", ""), 256)
     few = docs.join(broadcast_if_small(again), same, "left_semi").withColumn(h, norm)
     drop = members.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))) \
-        .select(F.col("doc_id").alias(x), F.col("sha").alias(f"{h}s")).distinct()
-    few = few.join(drop, same & (F.col(h) == F.col(f"{h}s")), "left_anti")
+        .select(F.col("doc_id").alias(x), F.col("sha").alias(gone_sha)).distinct()
+    few = few.join(drop, same & (F.col(h) == F.col(gone_sha)), "left_anti")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     few = few.groupBy("doc_id", h).agg(F.max_by(whole, F.struct(F.length("text"), F.to_json(whole))).alias(x)).select(f"{x}.*")
     return once.unionByName(few)

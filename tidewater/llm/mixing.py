@@ -133,9 +133,10 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFra
     _, goal = mix_plan(docs, weights, cap)
     s, n = fresh(docs, "__mix_source"), fresh(docs, "__mix_copies")
     goal = broadcast_if_small(goal.select(F.col("source").alias(s), "times", "below"))
-    goal = goal.withColumnsRenamed({"times": f"{n}t", "below": f"{n}b"})
+    times, below = fresh(docs, "__mix_times"), fresh(docs, "__mix_below")
+    goal = goal.withColumnsRenamed({"times": times, "below": below})
     u = unit_hash(docs["doc_id"], docs["text"].cast("string"))
-    k = F.col(f"{n}t") + F.when(u < F.col(f"{n}b"), 1).otherwise(0)
+    k = F.col(times) + F.when(u < F.col(below), 1).otherwise(0)
     return (docs.join(goal, docs["source"].cast("string").eqNullSafe(F.col(s)))
             .withColumn(n, F.explode(F.array_repeat(F.lit(1), k.cast("int"))))
             .select(*[docs[c] for c in docs.columns]))
