@@ -18,8 +18,9 @@ last return the columns of documents.
 Cases.  A null text counts as empty: it has no letter and goes with the first
 stage, as empty and blank texts do.  A null id, language or source is a value
 like others: the row goes through every stage (source null has its own share).
-Ties: of equal texts the longest original and then the smallest id stays, of
-near ones the smallest id, a null id last.  Rows that repeat id and text stay
+Ties: of equal texts the longest original and then the smallest id stays, a
+null id last, of near ones the smallest id; a row without an id has no near
+copies.  Rows that repeat id and text stay
 once after exact; rows that repeat an id with different texts are kept apart
 there, and near keeps every row of the smallest id of a group.  An empty table,
 or a stage that keeps nothing, gives empty tables from there on.
