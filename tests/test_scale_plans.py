@@ -97,3 +97,27 @@ def test_model_state_is_bounded(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert spark.read.parquet(newest_before(spark, state, 10 ** 6)).count() <= 4
     assert len(committed(spark, state)) <= 3
+
+
+def test_running_wordcount_writes_documents_not_tokens(spark):
+    """Its last plan splits the text of written document ranges."""
+    import __spark_entry__ as E
+    plan = E.queries()["running_wordcount"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(split(lower" in plan
+
+
+def test_running_count_with_a_written_carry(spark):
+    rows = [(k, i, i // 7) for k in ("a", "b", None) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, i int, b int").repartition(5)
+    got = S.running_agg(df, ["k"], ["i"], F.col("b"), [("n", F.lit(1), "count"), ("m", "i", "max")], write_carry=True)
+    assert sorted((str(r.k), r.i, r.n, r.m) for r in got.collect()) == sorted((str(k), i, i + 1, i) for k, i, _ in rows)
+
+
+def test_first_at_or_after_brings_columns_along(spark):
+    points = spark.createDataFrame([("a", 5, 1, "x"), ("a", 5, 2, "y"), ("a", 9, 3, None), ("b", 1, 1, "z")],
+                                   "k string, t long, n long, v string")
+    asks = spark.createDataFrame([("a", i, i) for i in (0, 5, 6, 9, 10)] + [("b", 1, 1), ("c", 1, 1)], "k string, x long, id int")
+    got = S.first_at_or_after(points, asks, ["k"], "t", "n", "x", carry=["v"]).collect()
+    assert sorted((r.k, r.id, r.first_n, r.v) for r in got if r.first_n) == [
+        ("a", 0, 1, "x"), ("a", 5, 1, "x"), ("a", 6, 3, None), ("a", 9, 3, None), ("b", 1, 1, "z")]
+    assert {(r.k, r.id) for r in got if r.first_n is None} == {("a", 10), ("c", 1)}

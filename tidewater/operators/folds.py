@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidewater.plans import sequence as S
 from tidewater.session import ensure_checkpoint_dir
 
+END = 2 ** 63 - 1       # later than any row
+
 
 def _null_free(df: DataFrame, key: str) -> tuple[DataFrame, list[str], Column]:
     """``df`` with null-free key columns, their names, and the key again."""
@@ -53,7 +55,9 @@ def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket:
     it), carrying the value of the row just before.
 
     Previous value, row number and segment number come from one window over
-    balanced buckets plus one row per (key, bucket).
+    balanced buckets plus one row per (key, bucket).  The row that answers a
+    deadline brings its segment and previous value along, so rows are never
+    joined with each other.
     """
     if df.isStreaming:
         from tidewater.streaming.stateful import rising_alert_stream
@@ -89,22 +93,21 @@ def rising_alert(df: DataFrame, key: str, ts: str, seq: str, value: str, bucket:
 
     seg = [*own, "__seg"]
     rises = d.filter(F.col("__v") > F.col("__last"))
-    arms = S.chain_reached(rises, seg, "__us", "__n", seconds * 1_000_000) if seconds > 0 else rises.select(*seg, "__n")
-    arms = (arms.join(d.select(*own, "__n", "__us"), [*own, "__n"])
-            .select(*seg, (F.col("__us") + period).alias("__x")))
-    first = S.first_at_or_after(d.select(*own, "__us", "__n"), arms, own, "__us", "__n", "__x", out="__f")
-    first = S.written(first, "alerts")
-    info = d.select(*own, F.col("__n").alias("__f"), F.col("__seg").alias("__fseg"),
-                    F.col("__last").alias("__fprev"), F.col("__first").alias("__ffirst"))
-    per_key = d.groupBy(*own).agg(F.max("__seg").alias("__maxseg"), F.max_by("__v", "__n").alias("__lastv"))
-    j = first.join(info, [*own, "__f"], "left").join(per_key, own)
-    has_next = F.col("__f").isNotNull()
-    fires = ((has_next & ((F.col("__fseg") == F.col("__seg"))
-                          | ((F.col("__fseg") == F.col("__seg") + 1) & F.col("__ffirst"))))
-             | (~has_next & (F.col("__seg") == F.col("__maxseg")) & F.lit(flush_at_end)))
-    return (j.filter(fires)
+    arms = S.chain_reached(rises, seg, "__us", "__n", seconds * 1_000_000) if seconds > 0 else rises
+    arms = arms.select(*seg, (F.col("__us") + period).alias("__x"))
+    points = d.select(*own, "__us", "__n", F.col("__seg").alias("__fseg"), F.col("__last").alias("__fprev"),
+                      F.col("__first").alias("__ffirst"))
+    # a point after all rows of a key stands for the end of input
+    ended = d.groupBy(*own).agg(F.max("__seg").alias("__fseg"), F.max_by("__v", "__n").alias("__fprev"))
+    points = points.unionByName(ended.select(*own, F.lit(END).alias("__us"), F.lit(END).alias("__n"), "__fseg", "__fprev",
+                                             F.lit(False).alias("__ffirst")))
+    first = S.first_at_or_after(points, arms, own, "__us", "__n", "__x", out="__f", carry=["__fseg", "__fprev", "__ffirst"])
+    same, end = F.col("__fseg") == F.col("__seg"), F.col("__f") == END
+    fires = (F.when(end, same & F.lit(flush_at_end))
+             .otherwise(same | ((F.col("__fseg") == F.col("__seg") + 1) & F.col("__ffirst"))))
+    return (first.filter(fires)
             .select(back, F.timestamp_micros("__x").cast(dict(df.dtypes)[ts]).alias("alert_ts"),
-                    F.when(has_next, F.col("__fprev")).otherwise(F.col("__lastv")).alias("last_value")))
+                    F.col("__fprev").alias("last_value")))
 
 
 # ------------------------------------------------- delta trigger + evictor
@@ -147,17 +150,21 @@ def top_speed_delta(df: DataFrame, key: str, ts: str, seq: str, speed: str, dist
     # the row that wins a window: highest speed, then earliest
     row = F.struct(F.col("__sp"), (-F.col("__us")).alias("nu"), (-F.col(seq)).alias("ns"), F.col("__dc"))
     base = base.withColumn("__row", row)
-    rows = S.running_agg(base.withColumn("__bucket", bucket), own, ["__us", seq], F.col("__bucket"), [("__n", F.lit(1), "count"), ("__D", "__dc", "max")])
-    # time blocks follow the same order, so the same buckets serve them
-    rows = S.running_agg(rows, [*own, "__block"], ["__us", seq], F.col("__bucket"), [("__pre", "__row", "max")])
-    rows = S.written(rows, "speeds")
-
-    nodes = rows.filter(F.col("__D").isNotNull()).groupBy(*own, "__D").agg(F.min("__n").alias("__n"))
-    heads = nodes.groupBy(*own).agg(F.min("__n").alias("__n0"))
-    fires = (S.chain_reached(nodes, own, "__D", "__n", threshold_cents + 1)
-             .join(heads, own).filter(F.col("__n") != F.col("__n0")).drop("__n0"))
-
-    fired = S.written(rows.join(fires, [*own, "__n"]).select(*own, "__n", "__us", "__block", "__pre"), "fired")
+    # time blocks follow the same order, so the running maximum of (block, row)
+    # is the best row so far of the row's own block; that of (distance, earliest
+    # row with it) also says at which rows the distance grows
+    rows = S.running_agg(base, own, ["__us", seq], bucket, [
+        ("__n", F.lit(1), "count"), ("__k", F.col("__dc").isNotNull().cast("long"), "sum"),
+        ("__far", F.struct("__dc", (-F.col("__us")).alias("nu"), (-F.col(seq)).alias("ns")), "max"),
+        ("__best", F.struct("__block", "__row"), "max")])
+    grows = ((F.col("__dc") == F.col("__far.__dc")) & (F.col("__us") == -F.col("__far.nu"))
+             & (-F.col(seq)).eqNullSafe(F.col("__far.ns")))
+    rows = S.written(rows.select(*own, "__n", "__k", "__us", "__block", "__row", "__dc", F.col("__best.__row").alias("__pre"),
+                                 grows.alias("__grows")), "speeds")
+
+    # the first row with a distance only arms the trigger
+    fired = S.chain_reached(rows.filter("__grows"), own, "__dc", "__n", threshold_cents + 1,
+                            carry=["__k", "__us", "__block", "__pre"]).filter("__k > 1")
     # maxima of the block before, from its end back to the window's start (exclusive)
     ask = fired.select(*own, (F.col("__block") - 1).alias("__block"), (F.col("__us") - width).alias("__us"),
                        F.lit(0).alias("__kind"), F.col("__n").alias("__o"), "__pre")

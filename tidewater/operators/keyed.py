@@ -53,8 +53,9 @@ def rows_frame(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     return S.drop_ghosts(ctx)
 
 
-def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None, out: str = "n") -> DataFrame:
-    return S.running_agg(df, keys, order, bucket, [(out, F.lit(1), "count")])
+def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None, out: str = "n",
+                  write_carry: bool = False) -> DataFrame:
+    return S.running_agg(df, keys, order, bucket, [(out, F.lit(1), "count")], write_carry=write_carry)
 
 
 def running_reduce_latest_step(df: DataFrame, key: str, order: list[str], bucket: Column | None, ts_seconds: str,

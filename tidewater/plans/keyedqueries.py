@@ -11,7 +11,6 @@ from tidewater.operators import keyed as K
 from tidewater.operators.accumulators import Accumulator, accumulate, register_accumulator
 from tidewater.plans import sequence as S
 from tidewater.plans.catalog import _t, query, sensor_readings
-from tidewater.sources.tables import spread
 
 ORDER = ["ts", "event_id"]
 
@@ -130,11 +129,12 @@ def table_agg_heavy_bins(spark, sf):
 
 @query
 def running_wordcount(spark, sf):
-    d = spread(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    # the documents are cut into ranges, not their tokens: no token is written
+    d, block = S.balanced_bucket(_t(spark, sf, "documents").select("doc_id", "text"), ["doc_id"], [])
     # empty tokens are dropped, so the plain split gives the same positions
-    w = (d.select("doc_id", F.posexplode(F.split(F.lower("text"), T.WORD_SEPARATOR)).alias("pos", "word"))
+    w = (d.select("doc_id", block.alias("block"), F.posexplode(F.split(F.lower("text"), T.WORD_SEPARATOR)).alias("pos", "word"))
          .filter(F.col("word") != ""))
-    return K.running_count(w, ["word"], ["doc_id", "pos"], None, "cnt")
+    return K.running_count(w, ["word"], ["doc_id", "pos"], F.col("block"), "cnt", write_carry=True).drop("block")
 
 
 @query

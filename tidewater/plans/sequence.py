@@ -119,8 +119,10 @@ def bucketed(df: DataFrame, keys: list[str], order: list[str],
 
 
 def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None,
-                specs: list[tuple[str, str | Column, str]], inclusive: bool = True) -> DataFrame:
-    """Add running aggregates per ``keys`` along ``order``.
+                specs: list[tuple[str, str | Column, str]], inclusive: bool = True, write_carry: bool = False) -> DataFrame:
+    """Add running aggregates per ``keys`` along ``order``.  With
+    ``write_carry`` what buckets carry over (one row per key and bucket) is
+    written first, so its size decides how it is joined.
 
     ``specs`` = ``[(out_name, column, kind)]`` with kind in ``sum``, ``count``,
     ``max``, ``min`` (over rows up to and including the current one, or
@@ -185,8 +187,8 @@ def running_agg(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     if join is None:
         out = _null_safe_join(local, offsets, keys + [BKT])
     else:
-        out = local.join(offsets.drop(*[c for c in offsets.columns if c not in join and not c.endswith("__off")]),
-                         join, "inner")
+        offsets = offsets.drop(*[c for c in offsets.columns if c not in join and not c.endswith("__off")])
+        out = local.join(written(offsets, "carry") if write_carry else offsets, join, "inner")
     for name, kind in finals:
         loc, off = F.col(f"{name}__loc"), F.col(f"{name}__off")
         if kind in ("sum", "count"):
@@ -239,24 +241,24 @@ def drop_ghosts(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(GHOST)).drop(GHOST, BKT, RANGE)
 
 
-def first_at_or_after(points: DataFrame, queries: DataFrame, keys: list[str], t: str, n: str,
-                      x: str, out: str = "first_n", partitions: int | None = None) -> DataFrame:
+def first_at_or_after(points: DataFrame, queries: DataFrame, keys: list[str], t: str, n: str, x: str,
+                      out: str = "first_n", carry: list[str] = (), partitions: int | None = None) -> DataFrame:
     """For every query row, the smallest ``n`` among ``points`` of the same
-    key with ``t >= x`` (NULL if none); ``n`` must increase with ``t``.
+    key with ``t >= x`` (NULL if none) and that point's ``carry`` columns;
+    ``n`` must increase with ``t``.
 
     Points and queries are merged into one sequence in *descending* time
     (a point at the query's own time comes first), cut into balanced
     range-partition buckets, and scanned with a running minimum."""
-    pts = points.select(*keys, (-F.col(t)).alias("__nt"), F.lit(0).alias("__k"),
-                        F.col(n).cast("long").alias("__pn"), F.lit(None).cast("long").alias("__qn"))
+    pts = points.select(*keys, (-F.col(t)).alias("__nt"), F.lit(0).alias("__k"), F.col(n).cast("long").alias("__o"),
+                        F.struct(F.col(n).cast("long").alias(out), *carry).alias("__pt"))
     qcols = [c for c in queries.columns if c not in keys]
     qs = queries.select(*keys, (-F.col(x)).alias("__nt"), F.lit(1).alias("__k"),
-                        F.lit(None).cast("long").alias("__pn"),
-                        F.monotonically_increasing_id().alias("__qn"), *qcols)
-    merged = pts.unionByName(qs, allowMissingColumns=True).withColumn("__o", F.coalesce("__pn", "__qn"))
+                        F.monotonically_increasing_id().alias("__o"), *qcols)
+    merged = pts.unionByName(qs, allowMissingColumns=True)
     merged, bkt = balanced_bucket(merged, keys, ["__nt", "__k", "__o"], partitions)
-    scanned = running_agg(merged, keys, ["__nt", "__k", "__o"], bkt, [(out, "__pn", "min")])
-    return scanned.filter(F.col("__k") == 1).select(*keys, *qcols, out)
+    scanned = running_agg(merged, keys, ["__nt", "__k", "__o"], bkt, [("__found", "__pt", "min")])
+    return scanned.filter(F.col("__k") == 1).select(*keys, *qcols, *[F.col(f"__found.{c}").alias(c) for c in (out, *carry)])
 
 
 def _links(run, x, width):
@@ -279,10 +281,12 @@ def _links(run, x, width):
     return nxt, last
 
 
-def chain_reached(nodes: DataFrame, keys: list[str], x: str, n: str, width: int, partitions: int | None = None) -> DataFrame:
+def chain_reached(nodes: DataFrame, keys: list[str], x: str, n: str, width: int, partitions: int | None = None,
+                  carry: list[str] = ()) -> DataFrame:
     """The chain of each key: its first node, then always the first node whose
     ``x`` is at least ``width`` > 0 higher.  ``x`` (long) must not fall with
-    ``n``.  Returns (keys, n) of the nodes on the chains.
+    ``n``.  Returns (keys, x, n) and the ``carry`` columns of the nodes on the
+    chains.
 
     Nodes are cut into balanced ranges of (keys, x, n).  Inside a range a
     node's chain is followed to its end with numpy.  A range's first key may
@@ -300,7 +304,8 @@ def chain_reached(nodes: DataFrame, keys: list[str], x: str, n: str, width: int,
     import pyarrow.compute as pc
     spark = nodes.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shape = T.StructType([nodes.schema[k] for k in keys] + [T.StructField(c, T.LongType()) for c in ("__x", "__n")])
+    shape = T.StructType([nodes.schema[k] for k in keys] + [T.StructField(c, T.LongType()) for c in ("__x", "__n")]
+                         + [nodes.schema[c] for c in carry])
     out_shape = T.StructType(shape.fields + [T.StructField("__exit", T.LongType()), T.StructField("__kind", T.IntegerType())])
 
     def runs_of_batches(batches):
@@ -340,7 +345,7 @@ def chain_reached(nodes: DataFrame, keys: list[str], x: str, n: str, width: int,
         kind[head] = kind[head] or 2
         yield from t.append_column("__exit", pa.array(v[end])).append_column("__kind", pa.array(kind)).to_batches()
 
-    d = nodes.select(*keys, F.col(x).cast("long").alias("__x"), F.col(n).cast("long").alias("__n"))
+    d = nodes.select(*keys, F.col(x).cast("long").alias("__x"), F.col(n).cast("long").alias("__n"), *carry)
     ranged = (d.repartitionByRange(count, *keys, "__x", "__n").sortWithinPartitions(*keys, "__x", "__n")
               .mapInArrow(follow, out_shape).withColumn("__range", F.spark_partition_id()))
     ranged = written(ranged, "chain-ranges")
@@ -361,7 +366,7 @@ def chain_reached(nodes: DataFrame, keys: list[str], x: str, n: str, width: int,
             if hit:
                 yield from run.take(pa.array(hit)).filter(pc.field("__kind") == 1).select(["__range", "__n"]).to_batches()
 
-    entries = ranged.filter("__kind > 0").repartition(count, *keys).sortWithinPartitions(*keys, "__x", "__n")
+    entries = ranged.filter("__kind > 0").drop(*carry).repartition(count, *keys).sortWithinPartitions(*keys, "__x", "__n")
     entry = entries.mapInArrow(enter, "__range int, __n long").collect()       # at most one of each range
     starts = spark.sparkContext.broadcast({r["__range"]: r["__n"] for r in entry})
 
@@ -383,10 +388,9 @@ def chain_reached(nodes: DataFrame, keys: list[str], x: str, n: str, width: int,
             while h >= 0:
                 on_chain.append(h)
                 h = nxt[h]
-        yield from t.take(pa.array(on_chain, pa.int64())).select([*keys, "__n"]).to_batches()
+        yield from t.take(pa.array(on_chain, pa.int64())).select(shape.names).to_batches()
 
     # one task has whole ranges; runs are of (range, key)
-    spread = ranged.select("__range", *keys, "__x", "__n").repartition(count, "__range") \
+    spread = ranged.select("__range", *shape.names).repartition(count, "__range") \
         .sortWithinPartitions("__range", *keys, "__x", "__n")
-    final = T.StructType([nodes.schema[k] for k in keys] + [T.StructField("__n", T.LongType())])
-    return spread.mapInArrow(mark, final).withColumnRenamed("__n", n)
+    return spread.mapInArrow(mark, shape).withColumnsRenamed({"__x": x, "__n": n})
