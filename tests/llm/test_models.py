@@ -63,6 +63,31 @@ def test_spelt_forms_are_added(spark, larger):
     assert clean[1] == "write to [EMAIL] please" and clean[3] == texts[2][1] and clean[4] is None
 
 
+def test_candidates_of_any_length():
+    for n in (1, 63, 64, 65, 70, 300):
+        a = "x" * n
+        spelt = f"to {a}.b (at) {a} (dot) {a}" + " [dot] k" * n
+        assert (3, 0, len(spelt)) in pii.candidates(spelt + " !")
+        plain_form = f"<{a}@{a}{a}.é>"
+        assert (1, 0, len(plain_form) - 1) in pii.candidates(plain_form)
+    assert {(k, a, b) for a, k, b in pii.candidates("a@b@c")} == {(0, 0, 3), (0, 2, 5)}
+
+
+def test_a_small_sample_calibrates_every_kind_it_shows(spark):
+    """A dozen examples of a kind are enough; a kind that never occurs adds nothing."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
+    texts = [f"mail {word()}@{word()}.org or {word()} @{word()} at {word()}@{word()}" for _ in range(12)]
+    texts += [f"host 10.{i}.3.{i * 7} and version {i}.2.{i + 300}.4" for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, thresholds = pii.fit(docs)
+    assert model is not None and thresholds[0] <= 1 and thresholds[1] <= 1 and thresholds[2] == 2 and thresholds[3] == 2
+    got = pii.find_pii(docs, (model, thresholds)).collect()
+    assert all(r.n_spans == r.n_email + r.n_ip + r.n_card + r.n_phone + r.n_added for r in got)
+    assert pii.fit(docs, max_candidates=1)[1] == [2.0] * 4
+    assert pii.train(np.zeros((3, 4)), np.array([True, False, False])) == (None, [2.0] * 4)
+
+
 def test_trees_learn_an_interaction():
     x = np.random.default_rng(0).random((3000, 3))
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
@@ -98,6 +123,37 @@ def test_quality_never_reads_held_out_labels(larger):
     assert one == two
 
 
+def test_quality_where_all_documents_are_labelled(larger):
+    docs, labels = larger
+    labels = labels.join(docs.select("doc_id"), "doc_id")
+    docs = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    rows = quality.score_quality(docs, labels).filter("held_out").join(labels, "doc_id").select("score", "predicted", "quality").toPandas()
+    assert auc(rows["score"].to_numpy(), rows["quality"].to_numpy()) > 0.98
+    assert (rows["predicted"] == rows["quality"]).mean() > 0.95 and rows["score"].nunique() > 10
+
+
+def plain_risk(w, pos, unl, prior):
+    """The non-negative unbiased risk, row by row."""
+    loss = lambda z, y: float(np.log1p(np.exp(-y * z)))
+    margin = lambda cell: sum(w[c] for c in cell) + w[-1]
+    as_pos = sum(loss(margin(c), 1) for c in pos) / len(pos)
+    as_neg = sum(loss(margin(c), -1) for c in pos) / len(pos)
+    rest = sum(loss(margin(c), -1) for c in unl) / len(unl) - prior * as_neg
+    return prior * as_pos + max(0.0, rest)
+
+
+def test_quality_minimises_the_risk_of_the_direct_formula():
+    rng = np.random.default_rng(2)
+    pos, unl = rng.integers(0, 3, (40, 1)), rng.integers(0, 5, (60, 1))
+    prior, size = 0.4, 6
+    w = quality.non_negative_risk(pos, unl, prior, size)
+    at = plain_risk(w, pos, unl, prior)
+    assert at < plain_risk(np.zeros(size), pos, unl, prior) - 0.05
+    # no random direction leads to a clearly smaller risk
+    tries = [plain_risk(w + rng.normal(0, scale, size), pos, unl, prior) for scale in (0.05, 0.3, 1, 3) for _ in range(100)]
+    assert at <= min(tries) + 0.02
+
+
 def test_quality_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (1, None), (2, 0), (None, 1), (4, 1), (7, 0), (16, 1)], "doc_id long, quality int")
     got = quality.score_quality(odd, labels.select("*", F.lit("?").alias("text"))).collect()

@@ -1,7 +1,9 @@
 """Quality classifier by positive-unlabelled learning.
 
 Trusted positives are labelled rows of quality 1 outside the held-out fold;
-unlabelled web text is what the labels do not cover in the same folds.  Each
+unlabelled web text is what the labels do not cover in the same folds; where
+that is under ``LEAST_UNLABELLED`` documents, it is all documents of these
+folds with their labels hidden.  Each
 whole text becomes a few shares and rates (see ``FEATURES``); each feature is
 cut at its quantiles and the score is logistic in the cells.  Training
 minimises the non-negative unbiased risk of Kiryo et al. (2017),
@@ -20,7 +22,7 @@ by the hash of their id; every row is scored over its whole text.
 
 Cases: a null text is an empty one, and empty texts have a score too;
 repeated labels of a document count as positive if all say 1; null labels are
-ignored; without positives or unlabelled rows every score is the prior 0.5;
+ignored; without positives every score is the prior 0.5;
 rows that repeat a doc_id are scored each.
 """
 
@@ -35,6 +37,7 @@ from tidewater.llm.common import (IS_SPACE, documents_of, held_out, mixed, per_r
 
 MAX_POSITIVE = 20_000
 MAX_UNLABELLED = 40_000
+LEAST_UNLABELLED = 1_000
 THRESHOLD = 0.3
 # Quantiles at which features are cut; junk sits in the tails.
 CUTS = (0.005, 0.01, 0.02, 0.04, *(i / 12 for i in range(1, 12)), 0.96, 0.98, 0.99, 0.995)
@@ -259,7 +262,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     covered = labels.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     learn = rows.filter(~held_out())
     positive = _bounded(learn.join(known.filter("quality = 1"), "doc_id", "left_semi"), MAX_POSITIVE)
-    unlabelled = _bounded(learn.join(covered, "doc_id", "left_anti"), MAX_UNLABELLED)
+    uncovered = written(learn.join(covered, "doc_id", "left_anti"), "quality-unlabelled")
+    unlabelled = _bounded(learn if uncovered.count() < LEAST_UNLABELLED else uncovered, MAX_UNLABELLED)
     model, prior = train(positive, unlabelled)
     cuts, weights = model.cuts, model.weights
 
