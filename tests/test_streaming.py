@@ -318,6 +318,28 @@ def test_async_lookup_results_and_failure(spark):
         async_lookup(df, "k", "rid", failing_lookup, capacity=5).collect()
 
 
+def test_ordered_lookups_call_once_per_row(spark, tmp_path, monkeypatch):
+    """The query counts its partitions' rows from what the lookups returned,
+    not from a second round of lookups."""
+    import os
+    from tidewater.operators import joins as J
+    from tidewater.plans.morequeries import async_enrich_ordered
+    calls = str(tmp_path / "calls")
+
+    def counted(k):
+        f = os.open(calls, os.O_CREAT | os.O_APPEND | os.O_WRONLY)
+        os.write(f, b".")
+        os.close(f)
+        return "key" + str(int(k) % 10)
+
+    monkeypatch.setattr(J, "key_mod_label", counted)
+    e = spark.range(300).select((F.col("id") * 3).alias("event_id"), (F.col("id") % 17).alias("user_id"))
+    e.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(async_enrich_ordered(spark, str(tmp_path)).collect())
+    assert [tuple(r) for r in got] == [(i * 3, f"key{i % 17 % 10}", i) for i in range(300)]
+    assert os.path.getsize(calls) == 300
+
+
 def test_idle_input_does_not_hold_back_windows(spark, readings):
     """WM4: a union of a busy and an idle input.  Under the default policy
     the idle input's watermark holds every window open; with

@@ -3,8 +3,11 @@ external lookups."""
 
 from __future__ import annotations
 
-import concurrent.futures as cf
+import contextlib
+import queue
+import threading
 import time
+from collections import deque
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -64,67 +67,98 @@ def async_lookup(df: DataFrame, key_col: str, id_col: str, lookup: Callable[[obj
                  capacity: int = 20, timeout_s: float = 10.0, ordered: bool = True,
                  out_col: str = "result", position_col: str | None = None) -> DataFrame:
     """Concurrent external lookups per partition, at most ``capacity`` in
-    flight.  Each lookup has ``timeout_s`` from the moment it starts; one that
+    flight: as many threads take the rows one after another, at a cost per row
+    that does not depend on how many are in flight.  Each lookup has ``timeout_s`` from the moment it starts; one that
     takes longer, or fails, fails the task, so Spark retries it.  ``ordered``
     emits results in input order, unordered as they complete; requests stay
     in flight across Arrow batches.  Output: ``(id_col, out_col)`` and, if
     named, ``position_col``: the place at which a row came out of its
     partition.
 
-    ``lookup`` is called once per row from a thread pool that is created
-    once per partition (the rich function's ``open``) and shut down after it
-    (``close``)."""
+    ``lookup`` is called once per row from threads that are started once per
+    partition (the rich function's ``open``) and end after it (``close``)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pool = cf.ThreadPoolExecutor(max_workers=capacity)
-        flying: dict = {}                    # future -> (id, deadline), in the order of the input
-        ready: list = []
-        emitted = 0
-
-        def wait_for(futures):
-            deadline = min(end for _, end in (flying[f] for f in futures))
-            done, _ = cf.wait(futures, timeout=max(0.0, deadline - time.monotonic()), return_when=cf.FIRST_COMPLETED)
-            late = [f for f in flying if not f.done() and flying[f][1] <= time.monotonic()]
-            if late:
+        todo: queue.SimpleQueue = queue.SimpleQueue()    # (place, id, key), or the event at the end of a batch
+        done: deque = deque()                # (place, id, result), in the order of completion
+        began: list = [None] * capacity      # since when each thread is at its lookup
+        failed: list = []
+        held: dict = {}                      # ordered: results that wait for an earlier one
+        placed = emitted = 0
+
+        def work(me: int) -> None:
+            while (item := todo.get()) is not None:
+                if isinstance(item, threading.Event):
+                    item.set()
+                    continue
+                at, i, k = item
+                began[me] = start = time.monotonic()
+                try:
+                    got = lookup(k)
+                    if time.monotonic() - start > timeout_s:
+                        raise TimeoutError(f"lookup took longer than {timeout_s} s")
+                    done.append((at, i, got))
+                except BaseException as e:  # raised again by the task's own thread
+                    failed.append(e)
+                    return
+                finally:
+                    began[me] = None
+
+        def check() -> None:
+            if failed:
+                raise failed[0]
+            now = time.monotonic()
+            if any(b is not None and now - b > timeout_s for b in began):
                 raise TimeoutError(f"lookup took longer than {timeout_s} s")
-            return done
 
-        def take():
+        def out() -> pd.DataFrame:
             """Results that may be emitted now."""
-            if ordered:
-                while flying and next(iter(flying)).done():
-                    f = next(iter(flying))
-                    ready.append((flying.pop(f)[0], f.result()))
-            else:
-                for f in [f for f in flying if f.done()]:
-                    ready.append((flying.pop(f)[0], f.result()))
-
-        def out():
-            nonlocal emitted, ready
-            got, ready = ready, []
-            frame = pd.DataFrame({id_col: [i for i, _ in got], out_col: [r for _, r in got]})
+            nonlocal emitted
+            ready = []
+            for _ in range(len(done)):
+                at, i, got = done.popleft()
+                if ordered:
+                    held[at] = i, got
+                else:
+                    ready.append((i, got))
+            while emitted + len(ready) in held:
+                ready.append(held.pop(emitted + len(ready)))
+            frame = pd.DataFrame({id_col: [i for i, _ in ready], out_col: [r for _, r in ready]})
             if position_col:
-                frame[position_col] = range(emitted, emitted + len(got))
-            emitted += len(got)
+                frame[position_col] = range(emitted, emitted + len(ready))
+            emitted += len(ready)
             return frame
 
+        threads = [threading.Thread(target=work, args=(n,), daemon=True) for n in range(capacity)]
+        for t in threads:
+            t.start()
         try:
             for pdf in batches:
                 for k, i in zip(pdf[key_col].tolist(), pdf[id_col].tolist()):
-                    while sum(not f.done() for f in flying) >= capacity:
-                        wait_for([f for f in flying if not f.done()])
-                    flying[pool.submit(lookup, k)] = (i, time.monotonic() + timeout_s)
-                    take()
-                if ready:
-                    yield out()
-            while flying:
-                if pending := [f for f in flying if not f.done()]:
-                    wait_for(pending)
-                take()
-            if ready:
-                yield out()
+                    todo.put((placed, i, k))
+                    placed += 1
+                started = threading.Event()      # set once all rows before it have started
+                todo.put(started)
+                while not started.wait(min(timeout_s, 0.1)):
+                    check()
+                check()
+                if len(frame := out()):
+                    yield frame
+            for _ in threads:
+                todo.put(None)
+            for t in threads:
+                while t.is_alive():
+                    t.join(min(timeout_s, 0.1))
+                    check()
+            check()
+            if len(frame := out()):
+                yield frame
         finally:
-            pool.shutdown(wait=False, cancel_futures=True)
+            with contextlib.suppress(queue.Empty):
+                while True:
+                    todo.get_nowait()
+            for _ in threads:
+                todo.put(None)
 
     id_type = dict(df.dtypes)[id_col]
     place = f", {position_col} long" if position_col else ""

@@ -238,12 +238,12 @@ def async_enrich_ordered(spark, sf):
         .sortWithinPartitions("event_id")
     r = J.async_lookup(e, "user_id", "event_id", J.key_mod_label, capacity=20, timeout_s=10.0, ordered=True,
                        position_col="position")
-    part = F.spark_partition_id()
-    r = r.withColumn("part", part)
+    # written, so that every row is looked up once
+    r = S.written(r.withColumn("part", F.spark_partition_id()), "lookups")
     first = r.groupBy("part").agg(F.count(F.lit(1)).alias("n")) \
         .withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
                                          F.lit(0)))
-    return r.join(first.select("part", "before"), "part") \
+    return r.join(F.broadcast(first.select("part", "before")), "part") \
         .select("event_id", "result", (F.col("before") + F.col("position")).alias("position"))
 
 
