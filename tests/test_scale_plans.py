@@ -121,3 +121,28 @@ def test_first_at_or_after_brings_columns_along(spark):
     assert sorted((r.k, r.id, r.first_n, r.v) for r in got if r.first_n) == [
         ("a", 0, 1, "x"), ("a", 5, 1, "x"), ("a", 6, 3, None), ("a", 9, 3, None), ("b", 1, 1, "z")]
     assert {(r.k, r.id) for r in got if r.first_n is None} == {("a", 10), ("c", 1)}
+
+
+def test_token_variants_run_no_interpreted_lambda_or_trailing_regex(spark, tmp_path):
+    from tidewater.plans.catalog import tokenize_variants
+    rows = [(1, "A b,,; ;"), (2, " \t,x;;\u00a0 \x0b"), (3, ""), (4, None), (5, ",;, \n  \nB  "), (6, "\u03a3x\u03a3 q")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = tokenize_variants(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "lambdafunction" not in plan
+
+    def plain(line, pattern):
+        import re
+        tokens = re.split(pattern, line, flags=re.ASCII)
+        while tokens and tokens[-1] == "" and line:
+            tokens.pop()
+        return tokens
+
+    expect = {}
+    for _, text in rows:
+        for line in [] if text is None else text.split("\n"):
+            for name, pattern in (("word", r"\W+"), ("space", " "), ("ws", r"\s"), ("comma", ","), ("semicolon", ";")):
+                for t in plain(line.lower() if name == "word" else line, pattern):
+                    if name != "word" or t:
+                        expect[name, t] = expect.get((name, t), 0) + 1
+    assert {(r.variant, r.token): r.cnt for r in df.collect()} == expect

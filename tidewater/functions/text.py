@@ -10,6 +10,7 @@ WHITESPACE_CHAR = r"\s"     # socket window word count (single char: empties kep
 SPACE = " "                 # stream word count
 COMMA = ","                 # sensor lines
 SEMICOLON = ";"             # semicolon CSV word count
+SEPARATOR_CHARS = {WHITESPACE_CHAR: " \t\n\x0b\f\r", SPACE: " ", COMMA: ",", SEMICOLON: ";"}   # what each can match
 
 
 def _c(col) -> Column:
@@ -23,10 +24,13 @@ def split_drop_trailing(col, pattern: str) -> Column:
     ``""`` gives ``[""]``; a string made only of separators gives ``[]``.
     """
     s = _c(col)
-    # a pattern that already ends in "+" must not be wrapped in another
-    # repetition: nested quantifiers backtrack exponentially on long runs
-    tail = f"(?:{pattern})\\z" if pattern.endswith("+") else f"(?:{pattern})+\\z"
-    stripped = F.regexp_replace(s, tail, "")
+    if pattern in SEPARATOR_CHARS:      # single characters: trimmed from the right without a regex
+        stripped = F.rtrim(s, F.lit(SEPARATOR_CHARS[pattern]))
+    else:
+        # a pattern that already ends in "+" must not be wrapped in another
+        # repetition: nested quantifiers backtrack exponentially on long runs
+        tail = f"(?:{pattern})\\z" if pattern.endswith("+") else f"(?:{pattern})+\\z"
+        stripped = F.regexp_replace(s, tail, "")
     return (F.when(s.isNull(), F.lit(None))
             .when(stripped == "", F.when(s == "", F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
             .otherwise(F.split(stripped, pattern)))

@@ -160,8 +160,11 @@ def tokenize_variants(spark, sf):
                 ("ws", T.WHITESPACE_CHAR, False, False),
                 ("comma", T.COMMA, False, False),
                 ("semicolon", T.SEMICOLON, False, False)]
-    # one scan: each line is exploded into its (variant, tokens) pairs
-    pairs = F.array(*[F.struct(F.lit(name).alias("variant"), T.words("line", pat, lower).alias("tokens"),
+    # one scan: each line is exploded into its (variant, tokens) pairs; empty
+    # tokens are dropped below, so those variants need no trailing rule
+    split = lambda pat, lower, drop_empty: (F.split(F.lower("line") if lower else F.col("line"), pat) if drop_empty
+                                            else T.words("line", pat, lower))
+    pairs = F.array(*[F.struct(F.lit(name).alias("variant"), split(pat, lower, drop_empty).alias("tokens"),
                                F.lit(drop_empty).alias("drop_empty")) for name, pat, lower, drop_empty in variants])
     tok = (lines.select(F.explode(pairs).alias("p"))
            .select("p.variant", "p.drop_empty", F.explode("p.tokens").alias("token"))
