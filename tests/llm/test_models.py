@@ -239,3 +239,20 @@ def test_a_row_is_not_its_own_neighbour():
     got = language.cosine_to_others(x, np.eye(3, dtype=np.float32)[:2])
     assert np.allclose(got, [1, 1, 0])
     assert np.isneginf(language.cosine_to_others(x[2:], x[2:])).all()
+
+
+def test_language_sample_is_vectorised_in_pieces():
+    """A language's sample never needs several times its own vectors."""
+    import tracemalloc
+
+    import numpy as np
+    from tidewater.llm import language as L
+    texts = [f"word{i} some more words " * 60 for i in range(1200)] + [""]
+    idf = np.linspace(1, 2, L.DIM).astype(np.float32)
+    tracemalloc.start()
+    x, band = L.sample_vectors(texts, idf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    counts = L.gram_counts(texts[:-1])
+    assert np.array_equal(x, L.unit(counts, idf)) and np.array_equal(band, L.length_band(counts.sum(axis=1)))
+    assert peak < 2.5 * x.nbytes

@@ -83,6 +83,20 @@ def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
 
 
+def sample_vectors(texts: list[str], idf: np.ndarray, at_once: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and length bands of the texts that have n-grams, ``at_once``
+    texts at a time: only the result is as large as the sample."""
+    x, band, n = np.empty((len(texts), len(idf)), np.float32), [], 0
+    for at in range(0, len(texts), at_once):
+        counts = gram_counts(texts[at:at + at_once])
+        size = counts.sum(axis=1)
+        counts = counts[size > 0]
+        x[n:n + len(counts)] = unit(counts, idf)
+        band.append(length_band(size[size > 0]))
+        n += len(counts)
+    return x[:n], np.concatenate(band or [np.zeros(0, np.int64)])
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     """Unit centroids; the first ones are chosen farthest-first."""
     first = x.sum(axis=0)
@@ -189,14 +203,12 @@ def fit(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, centroids: int = CENTRO
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = gram_counts([t or "" for t in pdf["text"].sort_values(na_position="first")])
-        counts = counts[counts.sum(axis=1) > 0]
-        if not len(counts):
+        x, band = sample_vectors([t or "" for t in pdf["text"].sort_values(na_position="first")], idf)
+        if not len(x):
             return pd.DataFrame({"lang": [], "centroid": [], "band": [], "cosine": []})
-        x = unit(counts, idf)
         c = spherical_kmeans(x, centroids)
         own = cosine_to_others(x, c)
-        band = length_band(counts.sum(axis=1))[np.isfinite(own)]
+        band = band[np.isfinite(own)]
         own = own[np.isfinite(own)]
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [v.astype(np.float32).tobytes() for v in c],
                              "band": [band.tolist()] + [[]] * (len(c) - 1), "cosine": [own.tolist()] + [[]] * (len(c) - 1)})
