@@ -318,6 +318,19 @@ def test_async_lookup_results_and_failure(spark):
         async_lookup(df, "k", "rid", failing_lookup, capacity=5).collect()
 
 
+def test_state_kinds_take_plain_rows(spark):
+    """No data frame per key; nulls come last in the order and stay in the
+    maximum."""
+    from tidewater.streaming.stateful import state_kinds_stream
+    rows = [(1, "a", 5, 2.0), (2, "a", None, 9.0), (3, "a", 4, 3.0), (4, "b", 1, None), (5, "b", 2, 1.0), (6, None, 1, 7.0)]
+    df = spark.createDataFrame(rows, "event_id long, id string, ts long, temperature double")
+    stream = state_kinds_stream(as_stream(spark, df, 1), "id", "temperature", ORDER)
+    assert "InPandas" not in stream._jdf.queryExecution().analyzed().toString()
+    got = sorted((tuple(r) for r in collect_stream(spark, stream).collect()), key=repr)
+    assert got == sorted([("a", None, 1, False, 3.0), ("a", 3.0, 1, True, 3.0), ("a", 2.0, 1, True, 9.0),
+                          ("b", None, 1, False, None), ("b", None, 1, True, None), (None, None, 1, False, 7.0)], key=repr)
+
+
 def test_ordered_lookups_call_once_per_row(spark, tmp_path, monkeypatch):
     """The query counts its partitions' rows from what the lookups returned,
     not from a second round of lookups."""

@@ -1,5 +1,5 @@
 """Streaming forms of the keyed operators: ``transformWithStateInPandas``
-processors with value / list / map state and event-time timers.
+(state kinds: ``transformWithState``) processors with value / list / map state and event-time timers.
 
 Each processor sorts the rows of its key inside a micro-batch by the
 operator's order columns, so results do not depend on how a batch was read.
@@ -13,10 +13,11 @@ left (``streaming/retained.py`` reads them from its checkpoint).
 
 from __future__ import annotations
 
+import math
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
@@ -196,8 +197,10 @@ class StateKindsProcessor(StatefulProcessor):
     ``(key, previous, list_size, had_marker, running_max)``.
 
     Each state is read and written once per key and micro-batch (every state
-    call is a round trip to the state store); the rows of the batch are
-    computed vectorised from what was read."""
+    call is a round trip to the state store).  The processor takes plain rows:
+    most keys have few of them in a micro-batch, and data frames of a few rows
+    cost far more than the rows.  A null or NaN value is emitted as null, and so
+    is every running maximum after it."""
 
     def __init__(self, key: str, value: str, order: list[str]):
         self.key, self.value, self.order = key, value, order
@@ -207,41 +210,38 @@ class StateKindsProcessor(StatefulProcessor):
         self.lst = handle.getListState("list", "i int")
         self.map = handle.getMapState("map", "k string", "v double")
         self.red = handle.getValueState("reduce", "v double")
+        self.out = Row(self.key, "previous", "list_size", "had_marker", "running_max")
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        was = initialState.iloc[0]
-        self.val.update((_number(was["last"]),))
-        self.lst.put([(1,)] * int(was["list_size"]))
-        if was["markers"]:
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.val.update((_number(initialState["last"]),))
+        self.lst.put([(1,)] * int(initialState["list_size"]))
+        if initialState["markers"]:
             self.map.updateValue(("marker",), (0.0,))
-        self.red.update((_number(was["running_max"]),))
+        self.red.update((_number(initialState["running_max"]),))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        import numpy as np
-        v = _sorted_rows(rows, self.order)[self.value].to_numpy(dtype=float)
-        if len(v) == 0:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # the columns are key, value and the order; plain tuples are faster than named fields
+        got = sorted(map(tuple, rows), key=lambda r: [(v is None or v != v, v) for v in r[2:]])
+        values = [math.nan if r[1] is None else float(r[1]) for r in got]
+        if not values:
             return
-        prev0 = self.val.get()[0] if self.val.exists() else None
-        previous = pd.Series([prev0] + list(v[:-1]), dtype="float64")
-        self.val.update((float(v[-1]),))
+        previous, high = (s.get() for s in (self.val, self.red))
+        previous, high = previous and previous[0], high and high[0]
+        self.val.update((values[-1],))
         # add, add-all, then replace the whole list: one element remains
         self.lst.appendValue((1,))
         self.lst.appendList([(1,)])
         self.lst.put([(1,)])
         size = sum(1 for _ in self.lst.get())
-        had0 = self.map.containsKey(("marker",))
-        if had0:
+        had = self.map.containsKey(("marker",))
+        if had:
             self.map.getValue(("marker",))
         self.map.updateValue(("marker",), (0.0,))
-        had = np.ones(len(v), dtype=bool)
-        had[0] = had0
-        cur = self.red.get()[0] if self.red.exists() else None
-        running = np.maximum.accumulate(v if cur is None else np.concatenate([[cur], v]))
-        running = running if cur is None else running[1:]
-        self.red.update((float(running[-1]),))
-        yield pd.DataFrame({self.key: [key[0]] * len(v), "previous": previous,
-                            "list_size": np.full(len(v), size, dtype=np.int32),
-                            "had_marker": had, "running_max": running})
+        for v in values:
+            high = v if high is None or v > high or v != v else high
+            yield self.out(key[0], _number(previous), size, had, _number(high))
+            previous, had = v, True
+        self.red.update((high,))
 
     def close(self) -> None:
         pass
@@ -249,7 +249,7 @@ class StateKindsProcessor(StatefulProcessor):
 
 def state_kinds_stream(df: DataFrame, key: str, value: str, order: list[str], seed: DataFrame | None = None) -> DataFrame:
     key_type = dict(df.dtypes)[key]
-    return df.groupBy(key).transformWithStateInPandas(
+    return df.select(F.col(key), F.col(value).cast("double"), *order).groupBy(key).transformWithState(
         statefulProcessor=StateKindsProcessor(key, value, order),
         outputStructType=f"{key} {key_type}, previous double, list_size int, had_marker boolean, running_max double",
         outputMode="Append", timeMode="None", **_seeded(seed, key))
