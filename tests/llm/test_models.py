@@ -88,6 +88,38 @@ def test_a_small_sample_calibrates_every_kind_it_shows(spark):
     assert pii.train(np.zeros((3, 4)), np.array([True, False, False])) == (None, [2.0] * 4)
 
 
+def test_every_candidate_is_learnt_from(spark):
+    """Descriptions are counted over all documents, whatever their number, and
+    coarser ones still count every candidate."""
+    spelt = "to jane (at) example (dot) org"
+    texts = [f"mail a{'b' * (i % 150)}@example.org {i % 10 ** 4}" for i in range(24_000)] + [spelt] * 6000
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cells = pii.described(docs)
+    base = sum(len(set(pii.base_spans(t)) & set(pii.candidates(t))) for t in texts)
+    total = lambda c: tuple(c.groupBy().sum("pos", "neg").first())
+    assert total(cells) == (base, 6000) and base == 24_000
+    for bins in (16, 2, 1):
+        fewer = pii.coarser(cells, bins)
+        assert total(fewer) == (base, 6000) and fewer.count() < cells.count()
+        kinds = fewer.selectExpr("slice(x, 1, 4) k", "pos", "neg").groupBy("k").sum("pos", "neg").collect()
+        assert [tuple(r) for r in kinds] == [([1, 0, 0, 0], base, 6000)]
+    model, thresholds = pii.fit(docs, max_candidates=40)
+    assert model is not None and thresholds[0] <= 1
+
+
+def test_weights_count_as_copies():
+    rng = np.random.default_rng(3)
+    x, n = rng.integers(0, 6, (200, 5)).astype(float), rng.integers(1, 9, 200)
+    x[:, 0] = 1
+    y = x[:, 1] + x[:, 2] > rng.integers(2, 9, 200)
+    one, two = pii.train(np.repeat(x, n, axis=0), np.repeat(y, n)), pii.train(x, y, n)
+    assert np.allclose(one[1], two[1]) and all(np.allclose(a, b) for a, b in zip(one[0], two[0]))
+    assert pii.parts_of(np.array([4, 1, 2])).tolist() == [[2, 1, 1], [0, 1, 0], [1, 0, 1]]
+    v = np.arange(0, 5000)
+    r = pii.rounded_up(v)
+    assert (r[:65] == v[:65]).all() and (r >= v).all() and (r <= v * 33 / 32 + 1).all() and (pii.rounded_up(r) == r).all()
+
+
 def test_trees_learn_an_interaction():
     x = np.random.default_rng(0).random((3000, 3))
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)

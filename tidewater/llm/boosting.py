@@ -31,18 +31,26 @@ class Boosted:
         return 1 / (1 + np.exp(-self.margin(x)))
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: float = 0.2, smooth: float = 1.0) -> Boosted:
+def weighted_cuts(v: np.ndarray, weight: np.ndarray, bins: int) -> np.ndarray:
+    """Values of ``v`` that cut its weight into at most ``bins`` parts, each
+    up to and including a cut."""
+    return np.unique(np.quantile(v, np.linspace(0, 1, bins + 1)[1:-1], method="inverted_cdf", weights=weight))
+
+
+def boost(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: float = 0.2, smooth: float = 1.0,
+          weight: np.ndarray | None = None) -> Boosted:
     """Newton boosting; each level of a tree splits all its nodes at the best
-    of the binned cuts."""
-    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
+    of the binned cuts.  A row of weight w counts as w rows."""
+    w = np.ones(len(y)) if weight is None else np.asarray(weight, np.float64)
+    cuts = [weighted_cuts(x[:, j], w, BINS) for j in range(x.shape[1])]
     binned = np.column_stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)])
-    p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    p = np.clip(np.average(y, weights=w), 1e-3, 1 - 1e-3)
     base = float(np.log(p / (1 - p)))
     z, inner = np.full(len(y), base), 2 ** depth - 1
     features, thresholds, leaves = [], [], []
     for _ in range(trees):
         prob = 1 / (1 + np.exp(-z))
-        g, h = prob - y, prob * (1 - prob)
+        g, h = w * (prob - y), w * prob * (1 - prob)
         node = np.zeros(len(y), np.int64)
         feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
         for level in range(depth):

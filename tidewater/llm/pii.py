@@ -9,13 +9,17 @@ candidate is described by its format, after undoing the spelling, and by its
 context; boosted trees score it; a score at or above its kind's threshold adds
 the span, best score first, unless it overlaps a span that is already chosen.
 
-The trees learn from at most ``max_candidates`` candidates, chosen by the hash
-of their description, of about ``train_docs`` documents, chosen by the hash of
-their id: those that are base spans are positive, those that overlap none are
-negative.  Every candidate is scored by trees that were fitted on the other
-``FOLDS - 1`` parts; on these scores the threshold of each kind is the lowest
-at which at least ``PRECISION`` of the accepted candidates are positive,
-however few there are.  A kind without a positive adds nothing.
+The trees and thresholds learn from every candidate of every document: those
+that are base spans are positive, those that overlap none are negative.  Equal
+descriptions are counted by Spark (numbers above 64 rounded up to the next of 32
+steps an octave); the driver gets the distinct ones, each with its two counts.
+Only where there are more than ``MAX_CANDIDATES`` of these, the numbers of a
+description are rounded up to the bounds of fewer and fewer bins of equal
+weight, from histograms that Spark counts; no candidate is left out.  Every
+candidate is scored by trees that were fitted on the other ``FOLDS - 1`` parts;
+on these scores the threshold of each kind is the lowest at which at least
+``PRECISION`` of the accepted candidates are positive, however few there are.
+A kind without a positive adds nothing.
 
 Between the digits of a candidate are at most three marks (more make two
 candidates); nothing else limits a candidate's length.  Patterns run in linear
@@ -35,12 +39,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.boosting import Boosted, boost
-from tidewater.llm.common import documents_of, fresh
+from tidewater.llm.boosting import Boosted, boost, weighted_cuts
+from tidewater.llm.common import documents_of, fresh, written
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 20_000
-MAX_CANDIDATES = 50_000
+MAX_CANDIDATES = 50_000          # distinct descriptions on the driver
+COARSER = (32, 16, 8, 4, 2, 1)    # bins of a number, where there are more
 PRECISION = 0.98
 FOLDS = 3
 CONTEXT = 24
@@ -219,56 +223,116 @@ class Finder:
         return found
 
 
-def train(rows: np.ndarray, positive: np.ndarray) -> tuple[tuple | None, list[float]]:
-    """Trees fitted on all rows, and the threshold of each kind from scores of
-    trees that did not see the row."""
+def parts_of(weight: np.ndarray) -> np.ndarray:
+    """How many of each row's copies fall into each of the ``FOLDS`` parts, when
+    all copies are dealt in turn."""
+    end = np.cumsum(weight)
+    dealt = lambda n: (n[:, None] + FOLDS - 1 - np.arange(FOLDS)) // FOLDS
+    return dealt(end) - dealt(end - weight)
+
+
+def train(rows: np.ndarray, positive: np.ndarray, weight: np.ndarray | None = None) -> tuple[tuple | None, list[float]]:
+    """Trees fitted on all rows, each counted ``weight`` times, and the
+    threshold of each kind from scores of trees that did not see the copy."""
     never = [2.0] * len(KINDS)
-    fold = np.zeros(len(rows), np.int64)
-    for label in (True, False):     # each part gets its share of both labels
-        fold[positive == label] = np.arange((positive == label).sum()) % FOLDS
-    if positive.sum() < 2 or positive.all():
+    weight = np.ones(len(rows), np.int64) if weight is None else weight
+    if weight[positive].sum() < 2 or positive.all():
         return None, never
-    score = np.zeros(len(rows))
+    part = np.zeros((len(rows), FOLDS), np.int64)
+    for label in (True, False):     # each part gets its share of both labels
+        part[positive == label] = parts_of(weight[positive == label])
+    score = np.zeros((len(rows), FOLDS))
     for f in range(FOLDS):
-        own = fold == f
-        if own.any():
-            score[own] = boost(rows[~own], positive[~own].astype(float)).probability(rows[own])
+        seen = part[:, f] < weight
+        if part[:, f].any():
+            score[:, f] = boost(rows[seen], positive[seen].astype(float), weight=(weight - part[:, f])[seen]).probability(rows)
     for k in range(len(KINDS)):
-        of = rows[:, k] == 1
-        s, y = score[of], positive[of]
+        of, f = np.nonzero((rows[:, k] == 1)[:, None] & (part > 0))
+        s, n, y = score[of, f], part[of, f], positive[of]
         if not y.any():
             continue
         order = np.argsort(-s, kind="stable")
-        s, right = s[order], np.cumsum(y[order]) / np.arange(1, len(y) + 1)
+        s, right = s[order], np.cumsum((n * y)[order]) / np.cumsum(n[order])
         ends = np.append(s[1:] != s[:-1], True)
         good = np.flatnonzero(ends & (right >= PRECISION))
         if len(good):
             never[k] = max(float(s[good[-1]]), 0.5)
-    return boost(rows, positive.astype(float)).parts(), never
+    return boost(rows, positive.astype(float), weight=weight).parts(), never
+
+
+def rounded_up(v: np.ndarray) -> np.ndarray:
+    """Whole numbers, those above 64 on a grid of 32 steps an octave."""
+    v = np.asarray(v, np.int64)
+    step = np.int64(1) << np.maximum(np.frexp(np.maximum(v, 1).astype(float))[1] - 6, 0)
+    return -(-v // step) * step
+
+
+CELL = "x array<long>, pos long, neg long"
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, max_candidates: int = MAX_CANDIDATES) -> tuple[tuple | None, list[float]]:
-    d = documents_of(docs, "doc_id", "text")
-    n = d.count()
-    chosen = d.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) * F.lit(n) < F.lit(train_docs << 20))
+def _counted(cells: DataFrame) -> DataFrame:
+    cells = cells.groupBy("x").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return written(cells, "pii-descriptions")
 
+
+def described(docs: DataFrame) -> DataFrame:
+    """(x, pos, neg): the distinct descriptions of all documents' candidates
+    and how many are base spans and how many overlap none."""
     def gather(batches):
         for b in batches:
             rows, label = [], []
             for t in pc.fill_null(b.column("text"), "").to_pylist():
-                base = set(base_spans(t))
+                proposed = candidates(t)
+                base = set(base_spans(t)) if proposed else ()
                 taken = Taken(base)
-                for c in candidates(t):
+                for c in proposed:
                     if c in base or not taken.meets(c):
                         rows.append(describe(t, *c))
                         label.append(c in base)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(label, pa.bool_())],
-                                             names=["x", "y"])
+            if rows:
+                label = np.array(label, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(rounded_up(rows)), pa.list_(pa.int64())), pa.array(label), pa.array(1 - label)], names=["x", "pos", "neg"])
+
+    return _counted(documents_of(docs, "doc_id", "text").mapInArrow(gather, CELL))
 
-    got = (chosen.mapInArrow(gather, "x array<double>, y boolean")
-           .orderBy(F.xxhash64("x")).limit(max_candidates).toArrow())
-    x = np.array(got["x"].to_pylist(), np.float64)
-    return train(x, np.array(got["y"].to_pylist(), bool)) if len(x) else (None, [2.0] * len(KINDS))
+
+def coarser(cells: DataFrame, bins: int) -> DataFrame:
+    """The same with at most ``bins`` values (bounds, the highest the largest
+    value) of every number but the kinds."""
+    seen = cells.select(F.posexplode("x").alias("j", "v"), (F.col("pos") + F.col("neg")).alias("n")) \
+        .groupBy("j", "v").agg(F.sum("n").alias("n")).orderBy("j", "v").toPandas()   # a grid's values of each number
+    bounds = {}
+    for j, of in seen.groupby("j"):
+        if j >= len(KINDS):
+            v = of["v"].to_numpy()
+            bounds[j] = np.union1d(weighted_cuts(v, of["n"].to_numpy(), bins) if bins > 1 else [], v[-1:]).astype(np.int64)
+
+    def merge(batches):
+        for b in batches:
+            if b.num_rows:
+                x = b.column("x").flatten().to_numpy().reshape(b.num_rows, -1).copy()
+                for j, at in bounds.items():
+                    x[:, j] = at[np.searchsorted(at, x[:, j])]
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.int64())), b.column("pos"), b.column("neg")],
+                                                 names=["x", "pos", "neg"])
+
+    return _counted(cells.mapInArrow(merge, CELL))
+
+
+def fit(docs: DataFrame, max_candidates: int = MAX_CANDIDATES) -> tuple[tuple | None, list[float]]:
+    """Model and thresholds from the candidates of all documents; nothing is
+    learnt where not even the kinds are at most ``max_candidates``."""
+    cells, bins = described(docs), iter(COARSER)
+    while (n := cells.count()) > max_candidates and (b := next(bins, None)):
+        cells = coarser(cells, b)
+    if n == 0 or n > max_candidates:
+        return None, [2.0] * len(KINDS)
+    got = cells.orderBy(F.xxhash64("x"), "x").toArrow()
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(n, -1).astype(np.float64)
+    count = np.concatenate([got[c].to_numpy() for c in ("pos", "neg")])
+    some = count > 0
+    return train(np.concatenate((x, x))[some], (np.arange(2 * n) < n)[some], count[some])
 
 
 def _joined(spans) -> str:
