@@ -59,6 +59,7 @@ WORDS = 5
 POPULAR = 32
 SKETCH_BITS = 0.6
 SMALL_SEGMENT_COST = 8.0
+SLICE = 1 << 19                   # bytes of text whose shingles are in a worker's memory at once, a longer text alone
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -244,7 +245,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray, wide: np.ndarray | None = None
 # ------------------------------------------------------------------- Spark side
 def _sets_of(batches):
     for b in batches:
-        for first, end, data, off in text_slices(b.column("text")):
+        for first, end, data, off in text_slices(b.column("text"), SLICE):
             yield b.slice(first, end - first), *shingle_sets(data, off)
 
 
