@@ -5,6 +5,7 @@ import random
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,11 @@ def test_no_rows(none):
     assert exact_dedup.deduplicated(none).count() == 0
     assert near_join.near_duplicates(none).count() == 0
     assert near_join.without_near_duplicates(none).columns == none.columns
+
+
+def test_shingles_of_a_batch_are_held_in_small_parts():
+    """A worker describes at most SLICE bytes of texts at once, and loses none."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": [f"w{i} " * 3000 for i in range(300)]})
+    parts = [(b.num_rows, b.column("text").to_pylist(), len(bounds)) for b, _, bounds in near_join._sets_of([batch])]
+    assert sum(n for n, _, _ in parts) == 300 and all(k == n + 1 for n, _, k in parts)
+    assert all(sum(map(len, texts)) <= 1 << 19 for _, texts, _ in parts)
