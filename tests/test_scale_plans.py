@@ -106,6 +106,24 @@ def test_running_wordcount_writes_documents_not_tokens(spark):
     assert "posexplode(split(lower" in plan
 
 
+def test_running_wordcount_shuffles_and_joins_no_token(spark, tmp_path):
+    """Words are counted on over ranges; null and repeated ids count by (id, pos)."""
+    import re
+    from collections import Counter
+    from tidewater.plans.keyedqueries import running_wordcount
+    rows = [(i, f"A b{i % 3} a, \u0130a;{'the ' * (i % 5)}") for i in range(300)] + [(None, "a the A"), (7, "b1 a"), (400, None), (401, " ;")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = running_wordcount(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and len(re.findall("Exchange ", plan)) == 1 and plan.index("Generate") < plan.index("Exchange ")
+    tokens = [(i, p, w) for i, t in rows for p, w in enumerate(re.split(r"\W+", (t or "").lower(), flags=re.ASCII)) if w]
+    seen, want = Counter(), []
+    for i, p, w in sorted(tokens, key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
+        seen[w] += 1
+        want.append((str(i), p, w, seen[w]))
+    assert sorted((str(r.doc_id), r.pos, r.word, r.cnt) for r in df.collect()) == sorted(want)
+
+
 def test_running_count_with_a_written_carry(spark):
     rows = [(k, i, i // 7) for k in ("a", "b", None) for i in range(40)]
     df = spark.createDataFrame(rows, "k string, i int, b int").repartition(5)

@@ -58,6 +58,31 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
     return S.running_agg(df, keys, order, bucket, [(out, F.lit(1), "count")], write_carry=write_carry)
 
 
+def running_word_count(docs: DataFrame, id_col: str, text: str, separator: str, bucket: Column, blocks: int,
+                       out: str = "cnt") -> DataFrame:
+    """(id, pos, word, out): every token of the lower-cased texts and how often
+    its word came up to it, by (id, pos).  ``bucket`` numbers ranges of ids from
+    0 to ``blocks - 1``.  What a word's earlier ranges hold is one written row
+    per word and range; it goes to the range's task as the first row of the
+    word there, and the texts are split there, so no token is shuffled or
+    joined."""
+    split = F.posexplode(F.split(F.lower(text), separator)).alias("pos", "word")
+    d = docs.select(F.col(id_col), F.col(text).cast("string").alias(text), bucket.cast("int").alias(S.BKT))
+    per_block = d.select(S.BKT, split).filter(F.col("word") != "").groupBy("word", S.BKT).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("word").orderBy(S.BKT).rowsBetween(Window.unboundedPreceding, -1)
+    carry = S.written(per_block.select("word", S.BKT, F.sum("n").over(before).alias("__before")).filter("__before > 0"), "carry")
+
+    # a word of the carry is a text of one token
+    rows = d.withColumn("__before", F.lit(None).cast("long")).unionByName(
+        carry.select(F.lit(None).cast(d.schema[id_col].dataType).alias(id_col), F.col("word").alias(text), S.BKT, "__before"))
+    tokens = rows.repartitionById(blocks, F.col(S.BKT)).select(S.BKT, "__before", id_col, split).filter(F.col("word") != "")
+    carried = F.col("__before").isNotNull()
+    so_far = (Window.partitionBy("word", S.BKT).orderBy(carried.desc(), id_col, "pos")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = tokens.withColumn(out, F.sum(F.coalesce("__before", F.lit(1).cast("long"))).over(so_far))
+    return counted.filter(~carried).select(id_col, "pos", "word", out)
+
+
 def running_reduce_latest_step(df: DataFrame, key: str, order: list[str], bucket: Column | None, ts_seconds: str,
                                step: int = 10) -> DataFrame:
     """Running reduce of the sample: keep the latest value, advance the

@@ -12,6 +12,7 @@ from tidewater.operators.accumulators import Accumulator, accumulate, register_a
 from tidewater.plans import sequence as S
 from tidewater.plans.catalog import _t, query, sensor_readings
 
+WORD_BLOCK_BYTES = 32 << 20        # text of a range in running_wordcount
 ORDER = ["ts", "event_id"]
 
 
@@ -129,12 +130,12 @@ def table_agg_heavy_bins(spark, sf):
 
 @query
 def running_wordcount(spark, sf):
-    # the documents are cut into ranges, not their tokens: no token is written
-    d, block = S.balanced_bucket(_t(spark, sf, "documents").select("doc_id", "text"), ["doc_id"], [])
-    # empty tokens are dropped, so the plain split gives the same positions
-    w = (d.select("doc_id", block.alias("block"), F.posexplode(F.split(F.lower("text"), T.WORD_SEPARATOR)).alias("pos", "word"))
-         .filter(F.col("word") != ""))
-    return K.running_count(w, ["word"], ["doc_id", "pos"], F.col("block"), "cnt", write_carry=True).drop("block")
+    # the documents are cut into ranges, not their tokens: no token is written or shuffled
+    docs = _t(spark, sf, "documents").select("doc_id", "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // WORD_BLOCK_BYTES + 1)
+    d, block = S.balanced_bucket(docs, ["doc_id"], [], blocks)
+    return K.running_word_count(d, "doc_id", "text", T.WORD_SEPARATOR, block, blocks)
 
 
 @query
